@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
-from millrace.llm import cap, mixing, proportions, tokens, topn
+from millrace.llm import cap, mixing, near, proportions, segments, tokens, topn
+from millrace.llm.components import components
+from millrace.llm.shingles import has_text, word_key
 from millrace.llm.tasks import category, latest
 from millrace.session import durable
 from millrace.sources.tables import table
@@ -69,6 +71,80 @@ def p7_by_month(spark: SparkSession, d: str) -> DataFrame:
     return _capped(spark, d, stratum=month).select("support_record_id", "task_key", month.alias("month"), "stratum_slots", "stratum_rank")
 
 
+NEAR_QUESTION = 0.55
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The responses that are not new, by tranche, against records, earlier accepted responses and rejected tasks."""
+    key = F.when(has_text("question"), word_key(F.col("question"))).alias("key")
+    responses = table(spark, d, "responses").select("response_id", "task_key", F.col("tranche").cast("int").alias("tranche"), key)
+    rejected = table(spark, d, "rejected").filter("task_key is not null").groupBy("task_key").agg(F.min(F.coalesce(F.col("tranche"), F.lit(2**31 - 1))).alias("first_rejected"))
+    known = responses.join(rejected, "task_key", "left")
+    records = table(spark, d, "records").filter(~F.col("source").eqNullSafe("rejected_synth")).select(key, F.lit(-1).alias("accepted"), F.lit(False).alias("asked"))
+    asked = known.select("key", F.when(F.col("first_rejected").isNull(), F.col("tranche")).alias("accepted"), F.lit(True).alias("asked"))
+    # One class per sequence of words, with the first tranche that made it accepted: copies never meet one by one.
+    both = records.unionByName(asked).filter("key is not null").withColumn("id", F.xxhash64("key"))
+    classes = durable(both.groupBy("id").agg(F.first("key").alias("key"), F.min("accepted").alias("accepted"), F.max("asked").alias("asked")))
+    strings = segments.letters(classes, segments.run_frequencies(classes.select("key")), NEAR_QUESTION).join(classes.drop("key"), "id")
+    met = segments.near_pairs(strings.filter("accepted is not null").drop("asked"), strings.filter("asked").select("id", "size", "runs", "segments"), NEAR_QUESTION)
+    first_near = met.join(classes.select(F.col("id").alias("other"), "accepted"), "other").groupBy("id").agg(F.min("accepted").alias("near_from"))
+    out = known.withColumn("id", F.xxhash64("key")).join(classes.select("id", F.col("accepted").alias("same_from")), "id", "left").join(first_near, "id", "left")
+    kind = (
+        F.when(F.col("first_rejected") < F.col("tranche"), "retried")
+        .when(F.col("key").isNotNull() & (F.col("same_from") < F.col("tranche")), "same")
+        .when(F.col("key").isNotNull() & (F.col("near_from") < F.col("tranche")), "near")
+    )
+    return out.select("response_id", kind.alias("kind")).filter("kind is not null")
+
+
+ALIKE = 0.5
+#: Copies of one text are paired with each other up to this number; beyond it, each with the first of them.
+EXPAND = 100
+
+
+def _record_classes(spark: SparkSession, d: str) -> DataFrame:
+    """(record_id, id, key): id is the class of equal word sequences of question, blank, answer."""
+    r = table(spark, d, "records").filter(has_text("question") & has_text("answer") & F.col("record_id").isNotNull())
+    key = word_key(F.concat_ws(" ", "question", "answer"))
+    return r.select("record_id", key.alias("key")).withColumn("id", F.xxhash64("key"))
+
+
+def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(class pairs, members): members has one row per record and class, with the class' size and first record."""
+    classes = _record_classes(spark, d)
+    rows = table(spark, d, "records").count()
+    pairs = durable(near.similar_classes(classes.select("id", "key"), ALIKE, rows=rows))
+    # Texts of fewer than three words have no run, so even equal ones share none.
+    own = classes.filter(F.size(F.split("key", " ")) >= 3).select("record_id", "id").distinct()
+    sizes = own.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min("record_id").alias("first"))
+    return pairs, own.join(sizes, "id")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs, members = _similar(spark, d)
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = durable(members.join(involved.withColumn("linked", F.lit(True)), "id", "left").filter("linked or copies > 1"))
+    shown = members.filter((F.col("copies") <= EXPAND) | (F.col("record_id") == F.col("first")))
+    a, b = shown.select(F.col("id").alias("a"), F.col("record_id").alias("ra")), shown.select(F.col("id").alias("b"), F.col("record_id").alias("rb"))
+    across = pairs.select("a", "b").join(a, "a").join(b, "b")
+    few = members.filter(F.col("copies").between(2, EXPAND)).select("id", "record_id")
+    within = few.select("id", F.col("record_id").alias("ra")).join(few.select("id", F.col("record_id").alias("rb")), "id").filter("ra < rb")
+    many = members.filter((F.col("copies") > EXPAND) & (F.col("record_id") != F.col("first"))).select(F.col("first").alias("ra"), F.col("record_id").alias("rb"))
+    out = across.select("ra", "rb").unionByName(within.select("ra", "rb")).unionByName(many).filter("ra <> rb")
+    return out.select(F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+
+
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    """(record_id, group_id, copies, links): each record with its group, the copies of its text and its links to other texts."""
+    pairs, members = _similar(spark, d)
+    groups = components(pairs)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+    x = members.join(groups.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
+    x = x.withColumn("component", F.coalesce("component", "id"))
+    names = x.groupBy("component").agg(F.min("record_id").alias("group_id"))
+    return x.join(names, "component").select("record_id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
 
@@ -89,7 +165,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p7_found, p7_by_month, p8_ids, p9_mix, p9_report)}
+    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report)}
 
 
 def oracle_sql() -> dict[str, str]:
