@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shingles import distinct_runs, mix64, runs_of
+from millrace.llm.shingles import RUN, class_id, distinct_runs, mix64, runs_of, words_of
 from millrace.session import durable
 
 CHUNKS, WIDTH = 16, 5
 KEYS = CHUNKS * WIDTH
 SYMBOLS = 128  # the first KEYS are indexed; all of them are in the sketch
 #: Sketch bits that may differ. A pair of similarity s differs in (1 - s) / 2 of them in the mean: 32 at 0.5, with a standard deviation of 4.9.
-SKETCH_BITS = 48
+SKETCH_BITS = 45
 HOT = 512
 #: Texts that a partition of the join holds in the mean.
 TEXTS_PER_PART = 1_000_000
@@ -38,9 +38,9 @@ _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
-def signatures(keys: list[str]) -> np.ndarray:
+def signatures(words: list[list[str]]) -> np.ndarray:
     """(texts, SYMBOLS) symbols of 16 bits; every text must have a run."""
-    n, h = runs_of(keys)
+    n, h = runs_of(words)
     at = np.cumsum(n) - n
     out = np.empty((len(n), SYMBOLS), np.uint16)
     for k in range(SYMBOLS):
@@ -62,17 +62,32 @@ def chunk_keys(symbols: np.ndarray, chunk: int) -> np.ndarray:
 
 
 def sketches(symbols: np.ndarray) -> np.ndarray:
-    """(texts, SYMBOLS / 32) words of 32 bits."""
-    return np.packbits((symbols & 1).astype(np.uint8), axis=1).view(np.uint32)
+    """(texts, SYMBOLS / 64) words of 64 bits."""
+    return np.packbits((symbols & 1).astype(np.uint8), axis=1).view(np.uint64)
 
 
-def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
-    """Distinct classes of a batch that have a run."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
-    keys = batch.column(1).to_pylist()
-    _, first = np.unique(ids, return_index=True)
-    first = np.array([i for i in first.tolist() if keys[i] and keys[i].count(" ") >= 2], np.int64)
-    return ids[first], [keys[i] for i in first.tolist()]
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[list[str]]]:
+    """Distinct classes of a batch (one text column) that have a run."""
+    found: dict[int, list[str]] = {}
+    for t in batch.column(0).to_pylist():
+        words = words_of(t)
+        if len(words) >= RUN:
+            found.setdefault(class_id(words), words)
+    return np.fromiter(found, np.int64, len(found)), list(found.values())
+
+
+def class_ids(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, id): the class of every text with at least three words; others have no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [words_of(t) for t in batch.column(1).to_pylist()]
+            some = [len(w) >= RUN for w in words]
+            ids = pa.array([class_id(w) for w, ok in zip(words, some, strict=True) if ok], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(some, pa.bool_())), ids], [key, "id"])
+
+    kind = dict(df.dtypes)[key]
+    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, id long")
 
 
 def _index(split: int):
@@ -116,7 +131,7 @@ def _join(bits: int, hot: int):
         for i, s, k, o in zip(*[table.column(c).to_pylist() for c in ("ids", "sketch", "keys", "own")], strict=True):
             n, m = len(i) // 8, len(k) // 4
             ids.append(np.frombuffer(i, np.int64))
-            sketch.append(np.frombuffer(s, np.uint32).reshape(n, -1))
+            sketch.append(np.frombuffer(s, np.uint64).reshape(n, -1))
             keys.append(np.frombuffer(k, np.uint32))
             own.append(np.frombuffer(o, np.uint16 if len(o) == 2 * m else np.uint32).astype(np.int64) + base)
             base += n
@@ -164,7 +179,7 @@ def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(ids):
             symbols = signatures(keys)
             k = np.concatenate([chunk_keys(symbols, c) for c in range(CHUNKS)], axis=1)
-            words = np.ascontiguousarray(np.packbits((symbols & 1).astype(np.uint8), axis=1).view(np.uint32).astype(np.int64))
+            words = np.ascontiguousarray(sketches(symbols).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * KEYS, pa.int32()), pa.array(k.reshape(-1).view(np.int64)))
             bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * words.shape[1], pa.int32()), pa.array(words.reshape(-1)))
             yield pa.RecordBatch.from_arrays([pa.array(ids), lists, bits], ["id", "keys", "sketch"])
@@ -174,7 +189,7 @@ def _hot_pairs(texts: DataFrame, hot: DataFrame, split: int, bits: int) -> DataF
     """Pairs within shared hot keys: they must also share the key of another chunk. The sketch is held against inside the join."""
     members = hot.select(F.col("a").alias("bucket"), F.col("b").alias("id")).distinct()
     full = texts.mapInArrow(_all_keys, "id long, keys array<long>, sketch array<long>").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    words = SYMBOLS // 32
+    words = SYMBOLS // 64
     flat = full.select("id", F.posexplode("keys").alias("at", "key"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
     # A bucket is part << 32 | key, part is chunk * split + s: keys of the bucket's own chunk say nothing new.
     own = F.floor(F.shiftright("bucket", 32) / split)
@@ -186,7 +201,7 @@ def _hot_pairs(texts: DataFrame, hot: DataFrame, split: int, bits: int) -> DataF
 
 
 def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, rows: int | None = None) -> DataFrame:
-    """(a, b) with a < b: classes that meet in the index and whose sketches are close. texts: (id long, key string)."""
+    """(a, b) with a < b: classes that meet in the index and whose sketches are close. texts: one text column."""
     n = texts.count() if rows is None else rows
     split = max(1, -(-n // TEXTS_PER_PART))
     packed = texts.mapInArrow(_index(split), "part int, ids binary, sketch binary, keys binary, own binary")
@@ -197,28 +212,45 @@ def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, r
     return pairs.distinct()
 
 
-def _filter_words(ids: DataFrame) -> np.ndarray:
-    """A filter of 2^FILTER_BITS bits, set at two places per id; merged in the cluster, 1 MB at most comes here."""
-    place = lambda seed: F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 64 - FILTER_BITS)
-    bits = ids.select(F.explode(F.array(place(1), place(2))).alias("p"))
-    words = bits.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v"))
-    out = np.zeros(2 ** (FILTER_BITS - 6), np.int64)
-    got = words.toArrow()
-    out[got.column("w").to_numpy()] = got.column("v").to_numpy()
-    return out
+def _places(ids: np.ndarray) -> list[np.ndarray]:
+    h = mix64(ids.view(np.uint64))
+    return [(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & np.uint64(2**FILTER_BITS - 1)).astype(np.int64)]
+
+
+def _filter_of(ids: DataFrame) -> bytes:
+    """A filter of 2^FILTER_BITS bits, two per id; merged in the cluster by blocks, 1 MB at most comes here."""
+    block = 2**13
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(2**FILTER_BITS, bool)
+        for batch in batches:
+            for p in _places(batch.column(0).to_numpy(zero_copy_only=False)):
+                bits[p] = True
+        packed = np.packbits(bits).reshape(-1, block // 8)
+        some = np.flatnonzero(packed.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([packed[i].tobytes() for i in some], pa.binary())], ["block", "bits"])
+
+    def join(t: pa.Table) -> pa.Table:
+        both = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()])
+        return pa.table({"block": t.column("block").slice(0, 1), "bits": pa.array([both.tobytes()], pa.binary())})
+
+    out = np.zeros((2**FILTER_BITS // block, block // 8), np.uint8)
+    for r in ids.mapInArrow(mark, "block long, bits binary").groupBy("block").applyInArrow(join, "block long, bits binary").collect():
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.tobytes()
 
 
-def _runs(words: bytes):
+def _runs(mask: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.frombuffer(words, np.int64)
+        wanted = np.unpackbits(np.frombuffer(mask, np.uint8)).astype(bool)
         for batch in batches:
-            p = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
-            hit = np.logical_and.reduce([(mask[x >> 6] >> (x & 63)) & 1 == 1 for x in p])
-            ids, keys = _texts(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["id", "key"]).filter(pa.array(hit)))
-            if len(ids):
-                n, h = distinct_runs(keys)
+            ids, words = _texts(batch)
+            p, q = _places(ids)
+            hit = np.flatnonzero(wanted[p] & wanted[q])
+            if len(hit):
+                n, h = distinct_runs([words[i] for i in hit.tolist()])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array((h >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), lists], ["id", "runs"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), lists], ["id", "runs"])
 
     return run
 
@@ -226,14 +258,13 @@ def _runs(words: bytes):
 def similar_classes(texts: DataFrame, threshold: float, hot: int = HOT, rows: int | None = None) -> DataFrame:
     """(a, b, similarity) of classes a < b whose distinct runs shared are at least `threshold` of those in either.
 
-    texts: (id long, key string), one row or more per class; id is the class, key its words. Null keys and texts
-    of fewer than three words have no run and are similar to none. The similarity is exact but for collisions of
-    32-bit hashes within a pair (about two in a million pairs of a hundred runs).
+    texts: one text column, repeats allowed; equal sequences of words are one class, known by class_ids. Null
+    texts and texts of fewer than three words have no run and are similar to none. The similarity is exact but
+    for collisions of 32-bit hashes within a pair (about two in a million pairs of a hundred runs).
     """
     pairs = durable(candidate_pairs(texts, hot, rows=rows))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    place = lambda seed: F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 64 - FILTER_BITS)
-    runs = texts.select("id", "key", place(1).alias("p"), place(2).alias("q")).mapInArrow(_runs(_filter_words(wanted).tobytes()), "id long, runs array<int>").dropDuplicates(["id"])
+    mask = _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    runs = texts.mapInArrow(_runs(mask), "id long, runs array<int>").dropDuplicates(["id"])
     both = pairs.join(runs.select(F.col("id").alias("a"), F.col("runs").alias("ra")), "a").join(runs.select(F.col("id").alias("b"), F.col("runs").alias("rb")), "b")
     shared = F.size(F.array_intersect("ra", "rb"))
     x = both.select("a", "b", shared.alias("_s"), (F.size("ra") + F.size("rb")).alias("_n"))

@@ -102,20 +102,12 @@ ALIKE = 0.5
 EXPAND = 100
 
 
-def _record_classes(spark: SparkSession, d: str) -> DataFrame:
-    """(record_id, id, key): id is the class of equal word sequences of question, blank, answer."""
-    r = table(spark, d, "records").filter(has_text("question") & has_text("answer") & F.col("record_id").isNotNull())
-    key = word_key(F.concat_ws(" ", "question", "answer"))
-    return r.select("record_id", key.alias("key")).withColumn("id", F.xxhash64("key"))
-
-
 def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(class pairs, members): members has one row per record and class, with the class' size and first record."""
-    classes = _record_classes(spark, d)
-    rows = table(spark, d, "records").count()
-    pairs = durable(near.similar_classes(classes.select("id", "key"), ALIKE, rows=rows))
-    # Texts of fewer than three words have no run, so even equal ones share none.
-    own = classes.filter(F.size(F.split("key", " ")) >= 3).select("record_id", "id").distinct()
+    r = table(spark, d, "records").filter(has_text("question") & has_text("answer") & F.col("record_id").isNotNull())
+    r = r.select("record_id", F.concat_ws(" ", "question", "answer").alias("text"))
+    pairs = durable(near.similar_classes(r.select("text"), ALIKE, rows=table(spark, d, "records").count()))
+    own = near.class_ids(r, "record_id", "text").distinct()
     sizes = own.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min("record_id").alias("first"))
     return pairs, own.join(sizes, "id")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shingles import distinct_runs, long_lists
+from millrace.llm.shingles import distinct_runs, long_lists, split_key
 
 #: Slots of the table of run frequencies that orders the letters: fixed size (1 MB), whatever the corpus. Runs that share a slot share a rank, which costs time and no result.
 SLOTS = 2**18
@@ -33,7 +33,7 @@ SCHEMA = "id long, size int, runs array<long>, segments array<long>"
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SLOTS, np.int64)
     for batch in batches:
-        _, h = distinct_runs(batch.column(0).to_pylist())
+        _, h = distinct_runs([split_key(k) for k in batch.column(0).to_pylist()])
         total += np.bincount((h & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
     blocks = [b for b in range(SLOTS // _BLOCK) if total[b * _BLOCK : (b + 1) * _BLOCK].any()]
     yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([total[b * _BLOCK : (b + 1) * _BLOCK].tobytes() for b in blocks], pa.binary())], ["block", "n"])
@@ -68,7 +68,7 @@ def letters(texts: DataFrame, frequencies: np.ndarray, t: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(order, np.int32)
         for batch in batches:
-            n, h = distinct_runs(batch.column(1).to_pylist())
+            n, h = distinct_runs([split_key(k) for k in batch.column(1).to_pylist()])
             text = np.repeat(np.arange(len(n)), n)
             by = np.lexsort((h, rank[(h & np.uint64(SLOTS - 1)).astype(np.int64)], text))
             # The shortest partner, t times as long, leaves the most room for edits and so needs the most segments.

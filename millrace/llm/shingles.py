@@ -6,14 +6,14 @@ A run is known by a 64-bit hash of its three words.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import strip
-
 RUN = 3
 # Odd multipliers of the mixing steps: any would do, but stored indexes rely on them.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -24,8 +24,22 @@ def word_key(text: Column) -> Column:
 
 
 def has_text(x: str) -> Column:
-    """True where there is more than white space; never null."""
-    return F.coalesce(strip(x) != "", F.lit(False))
+    """True where there is more than white space; never null. It reads no further than the first other character."""
+    return F.coalesce(F.col(x).rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+
+
+_WORD = re.compile(r"[^\W_]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """The same words as word_key's, outside the JVM."""
+    return _WORD.findall(text.lower()) if text else []
+
+
+def class_id(words: list[str]) -> int:
+    """64-bit signed hash of a sequence of words."""
+    h = xxhash.xxh3_64_intdigest(" ".join(words))
+    return h - 2**64 if h >= 2**63 else h
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,9 +48,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def runs_of(keys: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """(number of runs of each text, hashes of all runs in order), repeats included."""
-    words = [k.split(" ") if k else [] for k in keys]
     size = np.fromiter(map(len, words), np.int64, len(words))
     code: dict[str, int] = {}
     flat = [w for ws in words for w in ws]
@@ -55,9 +68,13 @@ def runs_of(keys: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return n, mix64(out)
 
 
-def distinct_runs(keys: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def split_key(key: str | None) -> list[str]:
+    return key.split(" ") if key else []
+
+
+def distinct_runs(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """(number of distinct runs of each text, their hashes ascending text by text)."""
-    n, h = runs_of(keys)
+    n, h = runs_of(words)
     text = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((h, text))
     h, text = h[order], text[order]
