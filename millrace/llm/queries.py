@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
-from millrace.llm import cap, mixing, near, proportions, segments, tokens, topn
+from millrace.llm import cap, defects, mixing, near, proportions, segments, tokens, topn
 from millrace.llm.components import components
 from millrace.llm.shingles import has_text, word_key
 from millrace.llm.tasks import category, latest
@@ -97,6 +97,23 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return out.select("response_id", kind.alias("kind")).filter("kind is not null")
 
 
+def _defects(spark: SparkSession, d: str) -> DataFrame:
+    return defects.find_defects(table(spark, d, "responses"), "response_id", "question", "answer")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _defects(spark, d)
+
+
+def p5_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """(defect, reason, responses): what the log of rejections says of each kind of defect, and of sound responses."""
+    reasons = table(spark, d, "rejected").filter("task_key is not null").groupBy("task_key").agg(F.max("reason").alias("reason"))
+    r = table(spark, d, "responses").select("response_id", "task_key")
+    x = r.join(_defects(spark, d), "response_id", "left").join(reasons.withColumn("logged", F.lit(True)), "task_key", "left")
+    reason = F.when(F.col("logged"), F.coalesce(F.upper(strip("reason")), F.lit("none given"))).otherwise("not logged")
+    return x.groupBy(F.coalesce("defect", F.lit("sound")).alias("defect"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("responses"))
+
+
 ALIKE = 0.5
 #: Copies of one text are paired with each other up to this number; beyond it, each with the first of them.
 EXPAND = 100
@@ -157,7 +174,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report)}
+    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p5_found, p5_reasons, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report)}
 
 
 def oracle_sql() -> dict[str, str]:
