@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
-from millrace.llm import cap, defects, mixing, near, proportions, segments, tokens, topn
+from millrace.llm import cap, defects, mixing, near, proportions, segments, subjects, tokens, topn
 from millrace.llm.components import components
 from millrace.llm.shingles import has_text, word_key
 from millrace.llm.tasks import category, latest
@@ -173,8 +173,20 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(*_mixed(spark, d), "source", "tokens")
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    names = sorted(r[0] for r in table(spark, d, "subjects").select("subject").distinct().collect() if r[0])  # a fixed list
+    return subjects.subjects_of(table(spark, d, "documents"), table(spark, d, "subject_labels"), names)
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """(subject, source, documents): how many documents of each source deal with each subject, `none` included."""
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    x = docs.join(p10_found(spark, d), "doc_id", "left")
+    return x.groupBy(F.coalesce("subject", F.lit("none")).alias("subject"), "source").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p5_found, p5_reasons, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report)}
+    return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p5_found, p5_reasons, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report, p10_found, p10_composition)}
 
 
 def oracle_sql() -> dict[str, str]:

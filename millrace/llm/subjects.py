@@ -28,6 +28,8 @@ MAX_TERMS = 60_000
 ROUNDS, FOLDS, BEAM, L2 = 8, 5, 8, 1.0
 #: Sentences of mean behaviour added to every class, and the largest weight of a term.
 STIFF, CLIP = 2.0, 4.0
+#: A term may tell a subject if at least this part of the labelled documents that hold it have the subject, and chance is ruled out by this gain in log likelihood.
+LEAST_PART, LEAST_GAIN = 0.5, 2.5
 LANGUAGES = [None, *FUNCTION_WORDS]
 #: Share of the sentences from which a subject counts; shares enter the chain relative to it.
 SHARE = 0.25
@@ -114,26 +116,38 @@ class Model:
         seen = spread.sum(axis=1, keepdims=True)
         spread /= seen
         mean = seen / (spread @ np.bincount(lang, minlength=len(LANGUAGES)))[:, None]
+        # Only terms that stand mostly in documents of one subject may tell subjects apart: the wording that all share gets no weight.
+        pairs = np.unique(np.stack([doc[row], ids], axis=1), axis=0)
+        holds = np.bincount(pairs[:, 1], minlength=v).astype(float)
+        of = np.zeros((v, k))
+        np.add.at(of, pairs[:, 1], labels[pairs[:, 0]])
+        base = np.clip(labels.mean(axis=0), 1e-3, 0.999)
+        best = of.argmax(axis=1)
+        top = of.max(axis=1)
+        second = np.sort(of, axis=1)[:, -2] if k > 1 else np.zeros(v)
+        part = np.clip(top / np.maximum(holds, 1), 1e-6, 1 - 1e-6)
+        gain = top * np.log(part / base[best]) + (holds - top) * np.log((1 - part) / (1 - base[best]))
+        tells = (part >= LEAST_PART) & (gain >= LEAST_GAIN) & (top >= 1.25 * second) & (part > base[best])
         # What a document's labels allow: its subjects, none, and any other as a passing mention.
-        allow = np.full((len(docs), k + 1), 0.05 / k)
+        allow = np.full((len(docs), k + 1), 0.1 / k)
         allow[:, 0] = 0.4
         allow[:, 1:] += labels * (0.6 / np.maximum(labels.sum(axis=1, keepdims=True), 1))
         prior = np.log(allow / allow.sum(axis=1, keepdims=True))[doc]
-        p = np.exp(prior)
-        p[:, 0] = 1.0  # at first, none is what all documents have in common
-        p[:, 1:] = labels[doc]
-        for _ in range(ROUNDS):
-            mass = np.zeros((v, k + 1))
-            np.add.at(mass, ids, p[row])
-            total = np.zeros((len(LANGUAGES), k + 1))
-            np.add.at(total, lang, p)
-            rate = np.log((mass + STIFF * mean) / (spread @ total + STIFF))
-            self.weights = np.clip(rate - rate[:, :1], -CLIP, CLIP)
+        self.weights[tells, 1 + best[tells]] = 3.0
+        for last in range(ROUNDS + 1):
             score = np.zeros((len(doc), k + 1))
             np.add.at(score, row, self.weights[ids])
             score += prior
             p = np.exp(score - score.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
+            if last == ROUNDS:
+                break
+            mass = np.zeros((v, k + 1))
+            np.add.at(mass, ids, p[row])
+            total = np.zeros((len(LANGUAGES), k + 1))
+            np.add.at(total, lang, p)
+            rate = np.log((mass + STIFF * mean) / (spread @ total + STIFF))
+            self.weights = np.where(tells[:, None], np.clip(rate - rate[:, :1], -CLIP, CLIP), 0.0)
         flat = np.full(k + 1, 0.6 / k)
         flat[0] = 0.4
         self.prior = np.log(flat)
