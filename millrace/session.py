@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +53,24 @@ def durable(df: DataFrame) -> DataFrame:
     """The rows of df written to the shared folder, so that lineage ends here and a lost executor loses nothing."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Has every executor fetch this package, once per application, so that workers import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.writestr(str(f.relative_to(root.parent)), f.read_bytes())
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{root.name}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(buffer.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
+    _shipped.add(sc.applicationId)
