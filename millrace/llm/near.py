@@ -28,8 +28,8 @@ CHUNKS, WIDTH = 16, 5
 KEYS = CHUNKS * WIDTH
 SYMBOLS = 128  # the first KEYS are indexed; all of them are in the sketch
 #: Sketch bits that may differ. A pair of similarity s differs in (1 - s) / 2 of them in the mean: 32 at 0.5, with a standard deviation of 4.9.
-SKETCH_BITS = 45
-HOT = 512
+SKETCH_BITS = 43
+HOT = 8192
 #: Texts that a partition of the join holds in the mean.
 TEXTS_PER_PART = 1_000_000
 #: Fixed size of the filter over the classes in candidate pairs: 2^23 bits (1 MB), whatever the input.
@@ -173,22 +173,59 @@ def _join(bits: int, hot: int):
     return run
 
 
-def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, keys = _texts(batch)
-        if len(ids):
-            symbols = signatures(keys)
+def _places(ids: np.ndarray) -> list[np.ndarray]:
+    h = mix64(ids.view(np.uint64))
+    return [(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & np.uint64(2**FILTER_BITS - 1)).astype(np.int64)]
+
+
+def _filter_of(ids: DataFrame) -> bytes:
+    """A filter of 2^FILTER_BITS bits, two per id; merged in the cluster by blocks, 1 MB at most comes here."""
+    block = 2**13
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(2**FILTER_BITS, bool)
+        for batch in batches:
+            for p in _places(batch.column(0).to_numpy(zero_copy_only=False)):
+                bits[p] = True
+        packed = np.packbits(bits).reshape(-1, block // 8)
+        some = np.flatnonzero(packed.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([packed[i].tobytes() for i in some], pa.binary())], ["block", "bits"])
+
+    def join(t: pa.Table) -> pa.Table:
+        both = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()])
+        return pa.table({"block": t.column("block").slice(0, 1), "bits": pa.array([both.tobytes()], pa.binary())})
+
+    out = np.zeros((2**FILTER_BITS // block, block // 8), np.uint8)
+    for r in ids.mapInArrow(mark, "block long, bits binary").groupBy("block").applyInArrow(join, "block long, bits binary").collect():
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.tobytes()
+
+
+def _all_keys(mask: bytes):
+    """All keys and the sketch of the classes that pass a filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(mask, np.uint8)).astype(bool)
+        for batch in batches:
+            ids, words = _texts(batch)
+            p, q = _places(ids)
+            hit = np.flatnonzero(wanted[p] & wanted[q])
+            if not len(hit):
+                continue
+            ids = ids[hit]
+            symbols = signatures([words[i] for i in hit.tolist()])
             k = np.concatenate([chunk_keys(symbols, c) for c in range(CHUNKS)], axis=1)
-            words = np.ascontiguousarray(sketches(symbols).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * KEYS, pa.int32()), pa.array(k.reshape(-1).view(np.int64)))
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * words.shape[1], pa.int32()), pa.array(words.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), lists, bits], ["id", "keys", "sketch"])
+            bits = np.ascontiguousarray(sketches(symbols).view(np.int64))
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (k, bits)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *lists], ["id", "keys", "sketch"])
+
+    return run
 
 
 def _hot_pairs(texts: DataFrame, hot: DataFrame, split: int, bits: int) -> DataFrame:
     """Pairs within shared hot keys: they must also share the key of another chunk. The sketch is held against inside the join."""
     members = hot.select(F.col("a").alias("bucket"), F.col("b").alias("id")).distinct()
-    full = texts.mapInArrow(_all_keys, "id long, keys array<long>, sketch array<long>").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    full = texts.mapInArrow(_all_keys(_filter_of(members.select("id"))), "id long, keys array<long>, sketch array<long>").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     words = SYMBOLS // 64
     flat = full.select("id", F.posexplode("keys").alias("at", "key"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
     # A bucket is part << 32 | key, part is chunk * split + s: keys of the bucket's own chunk say nothing new.
@@ -212,34 +249,6 @@ def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, r
     return pairs.distinct()
 
 
-def _places(ids: np.ndarray) -> list[np.ndarray]:
-    h = mix64(ids.view(np.uint64))
-    return [(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & np.uint64(2**FILTER_BITS - 1)).astype(np.int64)]
-
-
-def _filter_of(ids: DataFrame) -> bytes:
-    """A filter of 2^FILTER_BITS bits, two per id; merged in the cluster by blocks, 1 MB at most comes here."""
-    block = 2**13
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(2**FILTER_BITS, bool)
-        for batch in batches:
-            for p in _places(batch.column(0).to_numpy(zero_copy_only=False)):
-                bits[p] = True
-        packed = np.packbits(bits).reshape(-1, block // 8)
-        some = np.flatnonzero(packed.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([packed[i].tobytes() for i in some], pa.binary())], ["block", "bits"])
-
-    def join(t: pa.Table) -> pa.Table:
-        both = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()])
-        return pa.table({"block": t.column("block").slice(0, 1), "bits": pa.array([both.tobytes()], pa.binary())})
-
-    out = np.zeros((2**FILTER_BITS // block, block // 8), np.uint8)
-    for r in ids.mapInArrow(mark, "block long, bits binary").groupBy("block").applyInArrow(join, "block long, bits binary").collect():
-        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.tobytes()
-
-
 def _runs(mask: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(mask, np.uint8)).astype(bool)
