@@ -139,7 +139,8 @@ def _join(bits: int, hot: int):
         # The same class from several batches is one.
         _, first, same = np.unique(ids, return_index=True, return_inverse=True)
         ids, sketch, own = ids[first], sketch[first], same[own]
-        both = np.unique((keys.astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))
+        both = np.sort((keys.astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))
+        both = both[np.r_[True, both[1:] != both[:-1]]]
         keys, own = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
         begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[begin, len(keys)])
