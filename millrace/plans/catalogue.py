@@ -4,43 +4,686 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import snake
-from millrace.operators import heavy_keys
+from millrace.functions import lexical, numbers, text
+from millrace.operators import audit, capacity, dedup, enrich, gates, heavy_keys, normalize, planner, profiles, prompts, routing, srcparse, support, telemetry
+from millrace.plans import sql as S
+from millrace.plans import views
+from millrace.session import durable, shared_folder
 from millrace.sources.tables import table
 
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+def joined(x, by: str = "|"):
+    return F.array_join(x, by)
+
+
+# Keys of very many rows
+
+PAIRS = f"""SELECT coalesce(lower(regexp_replace({S.strip('model_name')}, '{S.WS}+', '_', 'g')), 'unknown') model_name,
+    coalesce(model_bucket, 'unknown') model_bucket, seed_id, task_key, CASE WHEN isnan(priority) THEN NULL ELSE priority END q FROM planned_tasks"""
+
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "planned_tasks")
-    return t.select(F.coalesce(snake("model_name"), F.lit("unknown")).alias("model_name"), F.coalesce("model_bucket", F.lit("unknown")).alias("model_bucket"), "seed_id", "priority", "task_key")
+    return t.select(F.coalesce(text.snake("model_name"), F.lit("unknown")).alias("model_name"), F.coalesce("model_bucket", F.lit("unknown")).alias("model_bucket"), "seed_id", "priority", "task_key")
 
 
+@query(f"""WITH p AS ({PAIRS}), b AS (SELECT *, row_number() OVER (PARTITION BY model_name, model_bucket ORDER BY q DESC NULLS LAST, task_key) k FROM p)
+    SELECT model_name, model_bucket, count(*) AS n_rows, count(DISTINCT seed_id) AS n_seeds, max(task_key) FILTER (k = 1) AS best_task FROM b GROUP BY 1, 2""")
 def p3_totals(spark: SparkSession, d: str) -> DataFrame:
     """Rows, seeds and best task of every pair of model and bucket."""
     out = heavy_keys.key_totals(_pairs(spark, d), ["model_name", "model_bucket"], "seed_id", "priority", "task_key")
     return out.select("model_name", "model_bucket", F.col("rows").alias("n_rows"), F.col("distinct").alias("n_seeds"), F.col("best").alias("best_task"))
 
 
+@query(f"WITH p AS ({PAIRS}) SELECT model_name, model_bucket FROM p GROUP BY 1, 2 HAVING count(*) * 50 >= (SELECT count(*) FROM planned_tasks)")
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     total = table(spark, d, "planned_tasks").count()  # from the files' footers
     out = heavy_keys.key_totals(_pairs(spark, d), ["model_name", "model_bucket"])
     return out.filter(F.col("rows") * 50 >= total).select("model_name", "model_bucket")
 
 
-PAIRS = """SELECT coalesce(lower(regexp_replace(regexp_replace(model_name, '^\\s+|\\s+$', '', 'g'), '\\s+', '_', 'g')), 'unknown') model_name,
-    coalesce(model_bucket, 'unknown') model_bucket, seed_id, task_key, CASE WHEN isnan(priority) THEN NULL ELSE priority END q FROM planned_tasks"""
+# Normalisation
+
+
+@query(f"SELECT DISTINCT record_id, {S.key('question')} AS question_key, {S.nz('answer')} AS answer, {S.model('model_name')} AS model_name FROM records")
+def q_norm_text(spark: SparkSession, d: str) -> DataFrame:
+    r = table(spark, d, "records")
+    return r.select("record_id", text.text_key("question").alias("question_key"), text.blank_to_null("answer").alias("answer"), text.model_key("model_name").alias("model_name")).distinct()
+
+
+@query(f"WITH {S.NORMAL} SELECT DISTINCT record_id, source, source_id, model_name, question, answer, seed_id, class_id, level, tier, global_id FROM normal")
+def q_normalize_records(spark: SparkSession, d: str) -> DataFrame:
+    return views.normal(spark, d).select("record_id", "source", "source_id", "model_name", "question", "answer", "seed_id", "class_id", "level", "tier", "global_id").distinct()
+
+
+@query(f"""SELECT DISTINCT record_id, nullif({S.squeeze("regexp_extract(list_filter(tags, lambda t: regexp_matches(t, '(?is)^level:(.+)$'))[1], '(?is)^level:(.+)$', 1)")}, '') AS level,
+    {S.model("regexp_extract(list_filter(tags, lambda t: regexp_matches(t, '(?is)^model:(.+)$'))[1], '(?is)^model:(.+)$', 1)")} AS model FROM records""")
+def q_tags_extract(spark: SparkSession, d: str) -> DataFrame:
+    level = text.squeeze(lexical.tag_value("tags", "level"))
+    return table(spark, d, "records").select("record_id", F.when(level != "", level).alias("level"), text.model_key(lexical.tag_value("tags", "model")).alias("model")).distinct()
+
+
+MESSAGES = f"SELECT seed_id, {S.nz('seed_q')} AS q, {S.nz('seed_a')} AS a, question, answer FROM routed_seeds"
+
+
+@query(f"SELECT DISTINCT seed_id, coalesce(q, {S.nz('question')}) AS question, coalesce(a, {S.nz('answer')}) AS answer FROM ({MESSAGES})")
+def q_messages_qa(spark: SparkSession, d: str) -> DataFrame:
+    """Explicit sides first, each missing one from the first message of its role."""
+    r = table(spark, d, "routed_seeds")
+    m = F.array(F.struct(F.lit("system").alias("role"), F.lit("note").alias("content")), F.struct(F.lit("user").alias("role"), F.col("question").alias("content")), F.struct(F.lit("assistant").alias("role"), F.col("answer").alias("content")))
+    x = r.select("seed_id", F.col("seed_q").alias("_q"), F.col("seed_a").alias("_a"), m.alias("messages")).withColumnsRenamed({"_q": "question", "_a": "answer"})
+    q, a = normalize.question_answer(x)
+    return x.select("seed_id", q.alias("question"), a.alias("answer")).distinct()
+
+
+@query(f"""WITH {S.NORMAL}, i AS (SELECT source, unnest(list_filter([CASE WHEN record_id IS NULL THEN 'MISSING_ID' END, CASE WHEN model_name IS NULL THEN 'MISSING_MODEL' END,
+    CASE WHEN question IS NULL THEN 'MISSING_QUESTION' END, CASE WHEN answer IS NULL THEN 'MISSING_ANSWER' END], lambda x: x IS NOT NULL)) AS issue FROM normal)
+    SELECT source, issue, count(*) AS n FROM i GROUP BY 1, 2""")
+def q_issues(spark: SparkSession, d: str) -> DataFrame:
+    return views.normal(spark, d).select("source", F.explode("issues").alias("issue")).groupBy("source", "issue").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT record_id, count(*) AS n FROM records WHERE record_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def q_dup_ids(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.duplicate_ids(table(spark, d, "records"), "record_id")
+
+
+@query(f"""WITH {S.NORMAL}, x AS (SELECT source, model_name, list_filter([CASE WHEN record_id IS NULL THEN 'MISSING_ID' END, CASE WHEN model_name IS NULL THEN 'MISSING_MODEL' END,
+    CASE WHEN question IS NULL THEN 'MISSING_QUESTION' END, CASE WHEN answer IS NULL THEN 'MISSING_ANSWER' END], lambda x: x IS NOT NULL) AS issues FROM normal)
+    SELECT 'raw' AS kind, source AS name, count(*) AS n FROM x GROUP BY 2 UNION ALL SELECT 'normalized_ok', source, count(*) FILTER (len(issues) = 0) FROM x GROUP BY 2
+    UNION ALL SELECT 'issue', concat_ws(':', source, issue), count(*) FROM (SELECT source, unnest(issues) AS issue FROM x) GROUP BY 2
+    UNION ALL SELECT 'model', coalesce(model_name, 'unknown'), count(*) FROM x WHERE source IN ('corpus', 'seed') GROUP BY 2""")
+def q_consistency_report(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.consistency_report(views.normal(spark, d))
+
+
+@query(f"WITH {S.LAST} SELECT record_id, source, model_name, class_id, level, tier, ingested_at FROM last")
+def q_last_record(spark: SparkSession, d: str) -> DataFrame:
+    return views.records(spark, d).select("record_id", "source", "model_name", "class_id", "level", "tier", "ingested_at")
+
+
+@query("""SELECT source, record_id, CAST(NULL AS VARCHAR) AS seed_id FROM anchor_records UNION ALL SELECT source, record_id, NULL FROM support_entries
+    UNION ALL SELECT NULL, NULL, seed_id FROM routed_seeds""")
+def q_union_sources(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.union_sources([table(spark, d, "anchor_records").select("source", "record_id"), table(spark, d, "support_entries").select("source", "record_id"), table(spark, d, "routed_seeds").select("seed_id")])
+
+
+@query(f"""WITH {S.LAST}, side AS (SELECT source_id AS k, question AS q, answer AS a FROM last WHERE source = 'seed' AND source_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY ingested_at DESC NULLS LAST, question DESC NULLS LAST, answer DESC NULLS LAST) = 1),
+    s AS (SELECT DISTINCT seed_id, {S.nz('seed_q')} AS q0, {S.nz('seed_a')} AS a0 FROM routed_seeds),
+    x AS (SELECT seed_id, q0, a0, k, coalesce(q0, q) AS question, coalesce(a0, a) AS answer FROM s LEFT JOIN side ON seed_id = k)
+    SELECT seed_id, question, answer, CASE WHEN q0 IS NOT NULL AND a0 IS NOT NULL THEN 'complete' WHEN k IS NULL THEN 'miss' WHEN question IS NULL OR answer IS NULL THEN 'part' ELSE 'filled' END AS fill FROM x""")
+def q_seed_join(spark: SparkSession, d: str) -> DataFrame:
+    """Missing sides of seeds from the last record of the seed."""
+    s = table(spark, d, "routed_seeds").select("seed_id", text.blank_to_null("seed_q").alias("question"), text.blank_to_null("seed_a").alias("answer")).distinct()
+    side = views.records(spark, d).filter("source = 'seed'").select("source_id", "question", "answer", "ingested_at")
+    return normalize.fill_from(s, side, "seed_id", "source_id", ["question", "answer"], [F.col("ingested_at")])
+
+
+IDS = f"""list_distinct_keep AS (SELECT record_id, source_id, list_filter([nullif(source_id, ''), seed_id, global_id, record_id, CASE WHEN contains(record_id, '::') THEN nullif({S.strip("substr(record_id, strpos(record_id, '::') + 2)")}, '') END], lambda x: x IS NOT NULL) AS raw FROM last),
+    ids AS (SELECT record_id, list_filter(raw, lambda x, i: list_position(raw, x) = i) AS ids FROM list_distinct_keep)"""
+
+
+@query(f"WITH {S.LAST}, {IDS} SELECT record_id, array_to_string(ids, '|') AS ids FROM ids")
+def q_candidate_ids(spark: SparkSession, d: str) -> DataFrame:
+    return views.records(spark, d).select("record_id", joined(enrich.candidate_ids()).alias("ids"))
+
+
+@query(f"""WITH {S.LAST}, {IDS}, {S.SEEDS}, e AS (SELECT record_id, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS place FROM ids),
+    h AS (SELECT e.record_id, e.place, s.class_id AS c, s.tier AS t FROM e JOIN seeds s ON s.seed_id = e.id QUALIFY row_number() OVER (PARTITION BY e.record_id ORDER BY e.place) = 1)
+    SELECT l.record_id, coalesce(l.class_id, h.c) AS class_id, coalesce(l.tier, h.t) AS tier, h.record_id IS NOT NULL AS matched, coalesce(l.class_id <> h.c, false) AS conflict FROM last l LEFT JOIN h USING (record_id)""")
+def q_enrich_priority_join(spark: SparkSession, d: str) -> DataFrame:
+    """Class and tier of the first of a record's ids that the seeds know; what is there is kept."""
+    r = views.records(spark, d).select("record_id", "source_id", "seed_id", "global_id", "class_id", "tier")
+    hit = enrich.join_first_id(r, views.seeds(spark, d).select("seed_id", "class_id", "tier"), "seed_id")
+    return enrich.fill_only(hit, ["class_id", "tier"], "class_id").select("record_id", "class_id", "tier", "matched", "conflict")
+
+
+@query("""SELECT CASE WHEN p IS NULL THEN NULL WHEN isnan(p) THEN 'C' WHEN p >= 0.82 THEN 'A' WHEN p >= 0.78 THEN 'B' ELSE 'C' END AS tier, count(*) AS n FROM (SELECT priority / 2 AS p FROM planned_tasks) GROUP BY 1""")
+def q_tier(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "planned_tasks").groupBy(numbers.tier_of(F.col("priority") / 2).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT route_mode, v AS value, CASE WHEN lower(v) IN ('1', 'true', 'yes', 'y') THEN true WHEN lower(v) IN ('0', 'false', 'no', 'n') THEN false END AS flag, TRY_CAST(v AS DOUBLE) AS number, count(*) AS n
+    FROM (SELECT route_mode, CASE WHEN class_id % 4 = 0 THEN 'Yes' WHEN class_id % 4 = 1 THEN '0' WHEN class_id % 4 = 2 THEN 'n' ELSE class_id::VARCHAR END AS v FROM routed_seeds) GROUP BY ALL""")
+def q_coerce(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col("class_id")
+    v = F.when(c % 4 == 0, "Yes").when(c % 4 == 1, "0").when(c % 4 == 2, "n").otherwise(c.cast("string"))
+    x = table(spark, d, "routed_seeds").select("route_mode", v.alias("value"))
+    return x.groupBy("route_mode", "value", numbers.to_bool("value").alias("flag"), numbers.to_float("value").alias("number")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Terms
+
+
+@query(f"WITH {S.LAST} SELECT record_id, {S.joined(f'list_sort(list_distinct({S.term_list("question")}))')} AS terms FROM last")
+def q_terms_set(spark: SparkSession, d: str) -> DataFrame:
+    return views.records(spark, d).select("record_id", joined(lexical.terms("question")).alias("terms"))
+
+
+@query(f"WITH {S.LAST}, x AS (SELECT unnest({S.term_list('question')}) AS term FROM last) SELECT term, count(*) AS n FROM x GROUP BY 1")
+def q_term_counts(spark: SparkSession, d: str) -> DataFrame:
+    return views.records(spark, d).select(F.explode(lexical.term_list("question")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {S.COUNTS} SELECT model_name, term, n FROM identifiers")
+def q_identifier_counts(spark: SparkSession, d: str) -> DataFrame:
+    return profiles.identifier_counts(views.records(spark, d))
+
+
+@query(f"WITH {S.LAST} SELECT record_id, {S.joined(f'list_sort(list_distinct([t for t in {S.tokens("answer")} if len(t) >= 5]))')} AS keywords FROM last")
+def q_summary_keywords(spark: SparkSession, d: str) -> DataFrame:
+    return views.records(spark, d).select("record_id", joined(lexical.summary_keywords("answer")).alias("keywords"))
+
+
+@query(rf"""WITH {S.LAST}, x AS (SELECT record_id, [s for s in [{S.strip("p")} for p in string_split_regex(regexp_replace(coalesce(answer, ''), '([.!?])\s+', '\1' || chr(10), 'g'), '\n+')] if s <> ''] AS s FROM last)
+    SELECT record_id, len(s)::BIGINT AS n, s[1] AS first_sentence FROM x""")
+def q_sentences(spark: SparkSession, d: str) -> DataFrame:
+    s = lexical.sentences("answer")
+    return views.records(spark, d).select("record_id", F.size(s).cast("long").alias("n"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
+
+
+@query(f"""WITH {S.LAST}, t AS (SELECT {S.tokens('question')} AS t FROM last), g AS (SELECT unnest(flatten([[array_to_string(t[i:i + n - 1], ' ') for i in range(1, len(t) - n + 2)] for n in [2, 3, 4]])) AS gram FROM t)
+    SELECT gram, count(*) AS n FROM g GROUP BY 1 HAVING count(*) >= 5""")
+def q_ngrams(spark: SparkSession, d: str) -> DataFrame:
+    g = views.records(spark, d).select(F.explode(lexical.word_ngrams("question")).alias("gram"))
+    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+
+
+PHRASES = ["switch is turned on", "which bends at tick", "random cells", "every tenth tick", "gives way"]
+
+
+@query(f"WITH {S.LAST} SELECT record_id, {S.joined(f'''list_sort([p for p in {S.words(PHRASES)} if contains({S.key("coalesce(question, '') || ' ' || coalesce(answer, '')")}, p)])''')} AS phrases FROM last")
+def q_phrase_hits(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.coalesce("question", F.lit("")), F.lit(" "), F.coalesce("answer", F.lit("")))
+    return views.records(spark, d).select("record_id", joined(lexical.phrases_in(t, lexical.words_literal(PHRASES))).alias("phrases"))
+
+
+@query(rf"""WITH x AS (SELECT response_id, unnest([{S.key("p")} for p in regexp_extract_all(coalesce(answer, ''), '"([^"\n]{{1,120}})"', 1)]) AS phrase FROM responses)
+    SELECT response_id, phrase FROM x WHERE phrase <> '' AND len(string_split(phrase, ' ')) <= 5""")
+def q_quoted_phrases(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer")).alias("phrase"))
+
+
+# Source texts
+
+
+@query(r"""SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(text, '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g'), '(?mi)^\s*to(?:-report)?\s+([A-Za-z_][A-Za-z0-9_\-]*\??)', 1), '|') AS procedures,
+    len(regexp_replace(text, '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g'))::BIGINT AS code_chars FROM documents WHERE text IS NOT NULL AND strpos(text, chr(13)) = 0""")
+def q_procedures(spark: SparkSession, d: str) -> DataFrame:
+    """Procedures in documents, comments removed first; texts with old line ends are another format."""
+    t = table(spark, d, "documents").filter("text is not null and instr(text, char(13)) = 0")
+    code = srcparse.strip_comments("text")
+    return t.select("doc_id", joined(srcparse.procedures(code)).alias("procedures"), F.length(code).cast("long").alias("code_chars"))
+
+
+SOURCE = (
+    'globals [ total-count max-age ]\nbreed [ cows cow ]\ncows-own [ energy hungry? ]\n; to ghost\nto setup\n  clear-all\n  let herd count cows\n  show "a; not a comment"\nend\n\n'
+    'to-report mean-energy [ group ]\n  report mean [ energy ] of group\nend\n\nto go\n  ask cows [ graze-field grass-rate graze-field ]\n  tick\nend\n'
+    "@#$#@#$#@\nSLIDER\n1\n2\ngrass-rate\ngrass-rate\n0\n100\n\nSWITCH\n1\n2\nshow-energy?\nshow-energy?\n0\n\nMONITOR\n1\n2\nmean-energy\n"
+    "@#$#@#$#@\n## WHAT IS IT?\n\nCows graze on grass that grows back at a given rate.\n"
+)
+
+
+def _source(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("pasture", SOURCE), ("nothing", None)], "name string, text string")
+
+
+@query("""SELECT * FROM (VALUES ('pasture', 'go|mean-energy|setup', 'mean-energy', 'energy|hungry?|max-age|total-count', 'cows|cow', 'grass-rate|show-energy?', 'herd', 'a; not a comment', 'Cows graze on grass that grows back at a given rate.'),
+    ('nothing', '', '', '', '', '', '', '', '')) t(name, procedures, reporters, variables, breeds, widgets, locals, literals, summary)""")
+def q_source_core(spark: SparkSession, d: str) -> DataFrame:
+    x = srcparse.core_of(_source(spark), "text")
+    return x.select("name", *[joined(F.col(c)).alias(c) for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals")], "summary")
+
+
+@query("SELECT * FROM (VALUES ('pasture', 'graze-field', 2, 5), ('pasture', 'cows-own', 1, 3)) t(name, token, n, score)")
+def q_unresolved(spark: SparkSession, d: str) -> DataFrame:
+    known = [*srcparse.RESERVED, "show", "group"]
+    return srcparse.widget_candidates(srcparse.unresolved(_source(spark), "name", "text", known)).select("name", "token", F.col("n").cast("int").alias("n"), "score")
+
+
+# Profiles and audit
+
+
+@query(f"WITH {S.PROFILES} SELECT model_name, array_to_string(core, '|') AS core, concat_ws(';', array_to_string(f1, '|'), array_to_string(f2, '|'), array_to_string(f3, '|')) AS families FROM profiles")
+def q_profiles(spark: SparkSession, d: str) -> DataFrame:
+    fams = F.array_join(F.transform("families", lambda f: joined(f["identifiers"])), ";")
+    return views.profiles(spark, d).select("model_name", joined("core").alias("core"), fams.alias("families"))
+
+
+@query(f"""WITH {S.PROFILES}, a AS (SELECT * FROM profiles WHERE model_name < 'm'), b AS (SELECT * FROM profiles WHERE model_name > 'g')
+    SELECT coalesce(a.model_name, b.model_name) AS model_name, len(a.core)::INT AS core, ((b.f1 IS NOT NULL)::INT + (b.f2 IS NOT NULL)::INT + (b.f3 IS NOT NULL)::INT) AS families FROM a FULL JOIN b ON a.model_name = b.model_name""")
+def q_full_outer_profiles(spark: SparkSession, d: str) -> DataFrame:
+    p = durable(views.profiles(spark, d))
+    m = profiles.merge_profiles(p.filter("model_name < 'm'"), p.filter("model_name > 'g'"))
+    return m.select("model_name", F.when(F.col("core").isNotNull(), F.size("core")).alias("core"), F.size("families").alias("families"))
+
+
+@query(f"""WITH {S.LAST}, a AS (SELECT DISTINCT model_name, unnest({S.ticked('question')}) AS term FROM last WHERE model_name IS NOT NULL), b AS (SELECT DISTINCT model_name, unnest({S.ticked('answer')}) AS term FROM last WHERE model_name IS NOT NULL),
+    x AS (SELECT coalesce(a.model_name, b.model_name) AS model_name, a.term AS ta, b.term AS tb FROM a FULL JOIN b ON a.model_name = b.model_name AND a.term = b.term)
+    SELECT model_name, count(*) FILTER (tb IS NULL) AS only_now, count(*) FILTER (ta IS NULL) AS only_before, count(*) FILTER (ta IS NOT NULL AND tb IS NOT NULL) AS both FROM x GROUP BY 1""")
+def q_core_diff(spark: SparkSession, d: str) -> DataFrame:
+    r = views.records(spark, d).filter("model_name is not null")
+    side = lambda c: r.select("model_name", F.explode(lexical.backticked_identifiers(c)).alias("term"))
+    return profiles.compare_identifiers(side("question"), side("answer"))
+
+
+@query(f"""WITH {S.PROFILES}, f AS (SELECT model_name, 'family_1' AS family, unnest(f1) AS term FROM profiles UNION ALL SELECT model_name, 'family_2', unnest(f2) FROM profiles UNION ALL SELECT model_name, 'family_3', unnest(f3) FROM profiles)
+    SELECT model_name, family, sum(n)::BIGINT AS support FROM f JOIN identifiers USING (model_name, term) GROUP BY 1, 2""")
+def q_family_support(spark: SparkSession, d: str) -> DataFrame:
+    r = views.records(spark, d)
+    return profiles.family_support(views.profiles(spark, d), profiles.identifier_counts(r))
+
+
+@query(f"""WITH {S.PROFILES}, s AS (SELECT model_name, list_distinct(list_concat(f1, core[1:2])) AS ids FROM profiles), c AS (SELECT * FROM profiles WHERE model_name < 'p')
+    SELECT s.model_name, c.model_name IS NULL AS missing_core, coalesce(array_to_string(list_sort(list_intersect(s.ids, c.core)), '|'), '') AS overlap FROM s LEFT JOIN c ON s.model_name = c.model_name""")
+def q_spec_validation(spark: SparkSession, d: str) -> DataFrame:
+    p = durable(views.profiles(spark, d))
+    spec = F.array(F.struct(F.lit("made").alias("name"), F.concat(F.coalesce(F.try_element_at("families", F.lit(1))["identifiers"], F.array().cast("array<string>")), F.slice("core", 1, 2)).alias("identifiers"), F.array().cast("array<string>").alias("concepts")))
+    x = profiles.validate_specs(p.filter("model_name < 'p'"), p.select("model_name", spec.alias("families")))
+    return x.select("model_name", "missing_core", joined("overlap").alias("overlap"))
+
+
+AUDIT = f"""{S.PROFILES}, used AS (SELECT model_name, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL),
+    uc AS (SELECT model_name, term, count(*) AS n FROM used WHERE term <> '' GROUP BY 1, 2),
+    classified AS (SELECT model_name, term, n, CASE WHEN list_contains(core, term) THEN 'core' WHEN list_contains({S.words(routing.ALLOW)}, term) THEN 'allowed' WHEN n >= 2 THEN 'extension_candidate' ELSE 'drift' END AS class FROM uc JOIN profiles USING (model_name)),
+    top AS (SELECT *, CAST(row_number() OVER (PARTITION BY model_name, class ORDER BY n DESC, term) AS INT) AS rank FROM classified)"""
+
+
+def _audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.classified_terms(views.records(spark, d), views.profiles(spark, d), routing.ALLOW)
+
+
+@query(f"WITH {AUDIT} SELECT model_name, class, count(*) AS terms, sum(n)::BIGINT AS uses FROM classified GROUP BY 1, 2")
+def q_audit_terms(spark: SparkSession, d: str) -> DataFrame:
+    return _audit(spark, d).groupBy("model_name", "class").agg(F.count(F.lit(1)).alias("terms"), F.sum("n").alias("uses"))
+
+
+@query(f"WITH {AUDIT} SELECT model_name, class, term, n, rank FROM top WHERE rank <= 10")
+def q_audit_topk(spark: SparkSession, d: str) -> DataFrame:
+    return audit.top_terms(_audit(spark, d), 10).select("model_name", "class", "term", "n", "rank")
+
+
+@query(f"""WITH {AUDIT}, s AS (SELECT class, term, sum(n)::BIGINT AS n FROM top WHERE rank <= 50 GROUP BY 1, 2)
+    SELECT class, term, n, CAST(row_number() OVER (PARTITION BY class ORDER BY n DESC, term) AS INT) AS rank FROM s QUALIFY rank <= 100""")
+def q_audit_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return audit.roll_up(audit.top_terms(_audit(spark, d), 50), 100).select("class", "term", "n", "rank")
+
+
+@query(f"""WITH {AUDIT}, e AS (SELECT DISTINCT model_name, record_id, left(coalesce(question, ''), 220) AS example, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL)
+    SELECT model_name, term, record_id, example FROM e JOIN classified USING (model_name, term) WHERE class IN ('extension_candidate', 'drift') QUALIFY row_number() OVER (PARTITION BY model_name, term ORDER BY record_id, example) <= 3""")
+def q_audit_examples(spark: SparkSession, d: str) -> DataFrame:
+    return audit.examples(views.records(spark, d), _audit(spark, d))
+
+
+# Routing
+
+
+@query()
+def q_route(spark: SparkSession, d: str) -> DataFrame:
+    x = routing.route(views.seeds(spark, d), views.profiles(spark, d))
+    return x.select("seed_id", "route", "route_reason", "family", "core_hits", "best_family_score", F.round("unknown_ratio", 6).alias("unknown_ratio"), "extension_intent")
+
+
+@query(f"""WITH {S.SEEDS} SELECT 'total' AS kind, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS key2, count(*) AS n FROM seeds
+    UNION ALL SELECT 'route_mode', route_mode, NULL, count(*) FROM seeds WHERE route_mode IS NOT NULL GROUP BY 2 UNION ALL SELECT 'extension_family', extension_family, NULL, count(*) FROM seeds WHERE extension_family IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'model_name', model_name, NULL, count(*) FROM seeds WHERE model_name IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'model_name+route_mode', model_name, route_mode, count(*) FROM seeds WHERE model_name IS NOT NULL AND route_mode IS NOT NULL GROUP BY 2, 3""")
+def q_route_summary(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.summary(views.seeds(spark, d), ["route_mode", "extension_family", "model_name"], [("model_name", "route_mode")])
+
+
+# Support, tasks, capacity
+
+POOL = f"""{S.LAST}, {S.SEEDS}, cand AS (SELECT s.seed_id, r.record_id, r.source, CASE WHEN s.class_id = r.class_id THEN 'same_class_same_model' ELSE 'same_model' END AS relation,
+        50 + CASE WHEN s.class_id = r.class_id THEN 40 ELSE 0 END + CASE WHEN s.level = r.level THEN 5 ELSE 0 END + CASE r.source WHEN 'corpus' THEN 8 WHEN 'seed' THEN 3 ELSE 0 END AS score
+        FROM seeds s JOIN last r ON s.model_name = r.model_name WHERE r.source IN ('corpus', 'seed') AND r.seed_id IS DISTINCT FROM s.seed_id AND NOT (r.source = 'seed' AND r.source_id = s.seed_id)),
+    pool AS (SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, record_id) AS INT) AS rank FROM cand QUALIFY rank <= 12)"""
+
+
+def _pools(spark: SparkSession, d: str) -> DataFrame:
+    return support.support_pools(views.seeds(spark, d), views.records(spark, d))
+
+
+@query(f"WITH {POOL} SELECT seed_id, record_id, source, relation, score, rank FROM pool")
+def q_support_pool(spark: SparkSession, d: str) -> DataFrame:
+    return _pools(spark, d)
+
+
+@query(f"WITH {POOL}, n AS (SELECT seed_id, count(record_id) AS n FROM seeds LEFT JOIN pool USING (seed_id) GROUP BY 1) SELECT count(*) AS seeds, round(avg(n), 4) AS avg_size, min(n) AS min_size, max(n) AS max_size FROM n")
+def q_pool_summary(spark: SparkSession, d: str) -> DataFrame:
+    return support.pool_summary(_pools(spark, d), views.seeds(spark, d))
+
+
+PLAN = planner.Plan()
+_modes = "MAP {" + ", ".join(f"'{m}': {S.words(t)}" for m, t in PLAN.transforms.items()) + "}"
+_n = lambda d: "MAP {" + ", ".join(f"'{k}': {v}" for k, v in d.items()) + "}"
+_share = "MAP {" + ", ".join(f"'{k}': {round(v * 100)}" for k, v in PLAN.alternate_share.items()) + "}"
+_key = lambda *c: " || '|' || ".join(f"coalesce({x}, '')" for x in c)
+TASKS = f"""{POOL}, c AS (SELECT s.seed_id, s.model_name, s.class_id, s.tier, s.level, s.route_mode, s.extension_family, unnest(({_modes})[s.route_mode]) AS transform_type, p.record_id AS support_record_id,
+        coalesce(p.source, 'seed_only') AS support_source, coalesce(p.relation, 'seed_only') AS support_relation, coalesce(p.score, 0)::DOUBLE AS support_score
+        FROM seeds s LEFT JOIN pool p ON s.seed_id = p.seed_id AND p.rank <= ({_n(PLAN.supports)})[s.route_mode] WHERE s.route_mode IN {tuple(PLAN.transforms)}),
+    h AS (SELECT *, CASE WHEN route_mode = 'anchored_extension' AND {S.sha1_mod(_key('seed_id', 'route_mode', 'extension_family', 'transform_type', 'support_record_id'), 100)} < coalesce(({_share})[extension_family], 0) THEN '{PLAN.alternate}' ELSE '{PLAN.provider}' END AS provider_hint FROM c),
+    k AS (SELECT *, sha1({_key('seed_id', 'route_mode', 'extension_family', 'transform_type', 'support_record_id', 'provider_hint')} || '|v1') AS task_key,
+        round(coalesce(({_n(PLAN.tier_weight)})[coalesce(tier, 'C')], 0.5) + coalesce(({_n(PLAN.route_weight)})[route_mode], 0.7) + support_score / 100 + CASE WHEN support_source = 'corpus' THEN 0.05 ELSE 0 END - CASE WHEN support_relation = 'seed_only' THEN 0.08 ELSE 0 END
+        + ({S.sha1_mod(_key('seed_id', 'route_mode', 'extension_family', 'support_record_id', 'provider_hint'), 1000)}) / 1000000.0, 6) AS priority,
+        row_number() OVER (PARTITION BY seed_id ORDER BY support_score DESC, transform_type, coalesce(support_record_id, '')) AS r FROM h),
+    capped AS (SELECT * FROM k WHERE r <= ({_n(PLAN.tasks)})[route_mode]),
+    planned AS (SELECT *, row_number() OVER (PARTITION BY support_record_id ORDER BY seed_id, r) AS s FROM capped QUALIFY support_record_id IS NULL OR s <= 60)"""
+
+
+def _tasks(spark: SparkSession, d: str) -> DataFrame:
+    return planner.enumerate_tasks(views.seeds(spark, d), _pools(spark, d), PLAN)
+
+
+@query(f"WITH {TASKS} SELECT task_key, seed_id, transform_type, support_record_id, provider_hint, round(priority * 1e6)::BIGINT AS micro_priority FROM planned")
+def q_tasks(spark: SparkSession, d: str) -> DataFrame:
+    return _tasks(spark, d).select("task_key", "seed_id", "transform_type", "support_record_id", "provider_hint", F.round(F.col("priority") * 1e6).cast("long").alias("micro_priority"))
+
+
+@query(f"WITH {TASKS} SELECT route_mode, support_relation, provider_hint, count(*) AS n, round(max(priority) * 1e6)::BIGINT AS best FROM planned GROUP BY 1, 2, 3")
+def q_task_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _tasks(spark, d).groupBy("route_mode", "support_relation", "provider_hint").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("priority") * 1e6).cast("long").alias("best"))
+
+
+@query(f"""WITH {S.SEEDS}, n AS (SELECT model_name, count(*) AS n FROM seeds WHERE route_mode <> 'skip' AND model_name IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, model_name) AS r FROM n)
+    SELECT model_name, CASE WHEN r <= 8 THEN 'high_volume' WHEN r <= 20 THEN 'mid_volume' ELSE 'long_tail' END AS model_bucket FROM r""")
+def q_model_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return planner.model_buckets(views.seeds(spark, d))
+
+
+@query(f"""WITH {S.TASKS}, x AS (SELECT task_key, {S.sha1_mod(_key('seed_id', 'route_mode', 'extension_family', 'transform_type', 'support_record_id'), 100)} AS percent, {S.sha1_mod(_key('seed_id', 'provider_hint'), 1000)} AS mille FROM tasks)
+    SELECT task_key, percent, mille FROM x""")
+def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
+    """The deterministic split by hash of every task."""
+    c = lambda *n: numbers.joined_key(*[F.col(x) for x in n])
+    return views.tasks(spark, d).select("task_key", numbers.sha1_mod(c("seed_id", "route_mode", "extension_family", "transform_type", "support_record_id"), 100).alias("percent"), numbers.sha1_mod(c("seed_id", "provider_hint"), 1000).alias("mille"))
+
+
+QUOTA = {"core_repair": 700, "core_paraphrase": 200, "anchored_extension": 100}
+
+
+@query(f"""WITH {S.TASKS}, r AS (SELECT task_key, route_mode, row_number() OVER (PARTITION BY route_mode ORDER BY CASE WHEN isnan(priority) THEN NULL ELSE priority END DESC NULLS LAST, task_key) AS r FROM tasks)
+    SELECT task_key, route_mode FROM r WHERE r <= coalesce(({_n(QUOTA)})[route_mode], 9e18)""")
+def q_quota_cut(spark: SparkSession, d: str) -> DataFrame:
+    p = F.when(~F.isnan("priority"), F.col("priority"))
+    return planner.quota_cut(views.tasks(spark, d).select("task_key", "route_mode", "priority"), "route_mode", QUOTA, [p.desc_nulls_last(), F.col("task_key")]).select("task_key", "route_mode")
+
+
+@query()
+def q_select_greedy(spark: SparkSession, d: str) -> DataFrame:
+    t = views.tasks(spark, d).select("task_key", "route_mode", "tier", "extension_family", "provider_hint", F.when(~F.isnan("priority"), F.col("priority")).alias("priority"))
+    targets = {"route_mode": planner.target_counts(500, {"core_repair": 0.5, "core_paraphrase": 0.3, "anchored_extension": 0.2}), "tier": {"A": 150, "C": 250}, "extension_family": {"memory_layer": 10}, "provider_hint": {"prov-nano": 400}}
+    return planner.select_tasks(t, 500, targets)
+
+
+FEATURES = f"""{S.PROFILES}, {S.SEEDS},
+    f1 AS (SELECT model_name, count(DISTINCT seed_id) AS n_seed_anchors, count(DISTINCT class_id) AS n_classes_covered, count(*) FILTER (route_mode = 'core_repair') AS n_core_repair FROM seeds WHERE model_name IS NOT NULL GROUP BY 1),
+    f2 AS (SELECT model_name, count(*) AS n_corpus_records FROM last WHERE model_name IS NOT NULL GROUP BY 1),
+    f3 AS (SELECT model_name, len(core) AS n_core_procedures, (f1 IS NOT NULL)::INT + (f2 IS NOT NULL)::INT + (f3 IS NOT NULL)::INT AS n_extension_families, coalesce(len(f1), 0) + coalesce(len(f2), 0) + coalesce(len(f3), 0) AS n_extension_identifiers FROM profiles),
+    m AS (SELECT * FROM f1 FULL JOIN f2 USING (model_name) FULL JOIN f3 USING (model_name))"""
+
+
+def _matrix(spark: SparkSession, d: str) -> DataFrame:
+    r, s = views.records(spark, d), views.seeds(spark, d)
+    return capacity.feature_matrix([capacity.seed_features(s).select("model_name", "n_seed_anchors", "n_classes_covered", "n_core_repair"), capacity.corpus_features(r).select("model_name", "n_corpus_records"), capacity.profile_features(profiles.derive_profiles(r))])
+
+
+@query(f"WITH {FEATURES} SELECT model_name, n_seed_anchors, n_classes_covered, n_core_repair, n_corpus_records, n_core_procedures::INT AS n_core_procedures, n_extension_families, n_extension_identifiers::INT AS n_extension_identifiers FROM m")
+def q_capacity_features(spark: SparkSession, d: str) -> DataFrame:
+    return _matrix(spark, d)
+
+
+_norm = lambda c: f"CASE WHEN {c} IS NULL THEN 0.0 WHEN max({c}) OVER () <= min({c}) OVER () THEN 1.0 ELSE ({c} - min({c}) OVER ())::DOUBLE / (max({c}) OVER () - min({c}) OVER ()) END"
+_made = ("n_seed_anchors", "n_corpus_records", "n_classes_covered", "n_core_procedures", "n_extension_families", "n_extension_identifiers")
+_score = " + ".join(f"{capacity.WEIGHTS[c]} * {_norm(c)}" for c in _made)
+
+
+@query(f"""WITH {FEATURES}, s AS (SELECT model_name, round({_score}, 6) AS score FROM m)
+    SELECT model_name, round(score, 5) AS capacity_score, round_even(10 + 20 * score * 0.9, 0)::INT AS cap_total, CASE WHEN score * 0.9 >= 0.72 THEN 'high_capacity' WHEN score * 0.9 >= 0.45 THEN 'mid_capacity' ELSE 'low_capacity' END AS capacity_bucket FROM s""")
+def q_capacity(spark: SparkSession, d: str) -> DataFrame:
+    x = capacity.report(_matrix(spark, d))
+    return x.select("model_name", F.round("capacity_score", 5).alias("capacity_score"), "cap_total", "capacity_bucket")
+
+
+@query(f"""WITH {POOL}, z AS (SELECT model_name, seed_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2), u AS (SELECT model_name, record_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2),
+    a AS (SELECT model_name, round(avg(n), 4) AS avg_size, median(n)::DOUBLE AS median_size, max(n) AS max_size FROM z GROUP BY 1), b AS (SELECT model_name, round(avg(n), 4) AS reuse_avg, max(n) AS reuse_max FROM u GROUP BY 1)
+    SELECT * FROM a JOIN b USING (model_name)""")
+def q_pool_features(spark: SparkSession, d: str) -> DataFrame:
+    x = capacity.pool_features(_pools(spark, d), views.seeds(spark, d))
+    return x.select("model_name", F.col("support_pool_avg_size").alias("avg_size"), F.col("support_pool_median_size").alias("median_size"), F.col("support_pool_max_size").alias("max_size"), "reuse_avg", "reuse_max")
+
+
+# Gates
+
+REPLY = """CASE response_id % 8 WHEN 0 THEN '{"question": "a", "answer": "b"}' WHEN 1 THEN '{"question": "a", "answer": "b", "more": [1]}' WHEN 2 THEN 'no json' WHEN 3 THEN '["question"]' WHEN 4 THEN '{"question": "a"}'
+    WHEN 5 THEN '{"skip": null, "question": "a", "answer": "b"}' WHEN 6 THEN '{"question": 1, "answer": "b"}' ELSE NULL END"""
+
+
+@query("""SELECT response_id, CASE response_id % 8 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'bad_json' WHEN 3 THEN 'not_an_object' WHEN 4 THEN 'missing_key' WHEN 5 THEN 'skip' WHEN 6 THEN 'not_a_string' ELSE 'NO_RESPONSE' END AS error,
+    CASE WHEN response_id % 8 < 2 THEN 'b' END AS answer FROM responses""")
+def q_parse_json(spark: SparkSession, d: str) -> DataFrame:
+    x = table(spark, d, "responses").select("response_id", F.expr(REPLY).alias("raw"))
+    r = gates.parse_reply("raw")
+    return x.select("response_id", r["error"].alias("error"), r["answer"].alias("answer"))
+
+
+@query("""WITH c AS (SELECT label, list(v ORDER BY i) AS c FROM (SELECT label, i, avg(v) AS v FROM (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE label IS NOT NULL) GROUP BY 1, 2) GROUP BY 1),
+    s AS (SELECT vec_id, e.label AS own, c.label, list_cosine_similarity(e.embedding::DOUBLE[], c.c) AS s FROM embeddings e, c), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label DESC) AS r FROM s),
+    t AS (SELECT vec_id, any_value(own) AS own, max(label) FILTER (r = 1) AS best_label, max(s) FILTER (r = 1) AS s1, max(s) FILTER (r = 2) AS s2 FROM r GROUP BY 1)
+    SELECT vec_id, best_label, round(s1, 5) AS similarity, CASE WHEN own IS NOT NULL AND best_label <> own THEN 'WRONG_CLASS_NEIGHBORHOOD' WHEN s1 < 0.65 THEN 'LOW_EMBED_SIM' WHEN s1 - coalesce(s2, -1) < 0.01 THEN 'LOW_CLASS_MARGIN' END AS reason FROM t""")
+def q_gate1_knn(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "embeddings")
+    x = gates.nearest_class(e, gates.class_centres(e), "vec_id")
+    return x.select("vec_id", "best_label", F.round("similarity", 5).alias("similarity"), "reason")
+
+
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    t = views.tasks(spark, d).select("task_key", text.strip("route_mode").alias("route_mode"), "extension_family")
+    r = table(spark, d, "responses").withColumn("model_name", text.model_key("model_name"))
+    return gates.validate_vocabulary(r.join(t, "task_key", "left"), views.profiles(spark, d), routing.ALLOW)
+
+
+@query()
+def q_gate2(spark: SparkSession, d: str) -> DataFrame:
+    return _gated(spark, d).groupBy("route_mode", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+HASHED = f"""hashed AS (SELECT response_id, sha256({S.key("coalesce(question, '')")}) AS q, sha256({S.key("coalesce(question, '')")} || chr(10) || '---' || chr(10) || {S.key("coalesce(answer, '')")}) AS qa FROM responses)"""
+
+
+@query(f"WITH {HASHED} SELECT response_id, q AS q_hash, qa AS qa_hash FROM hashed")
+def q_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "responses").select("response_id", numbers.q_hash("question").alias("q_hash"), numbers.qa_hash("question", "answer").alias("qa_hash"))
+
+
+GATE3 = f"""{HASHED}, f AS (SELECT *, first_value(qa) OVER (PARTITION BY q ORDER BY response_id) AS first_qa, row_number() OVER (PARTITION BY q ORDER BY response_id) AS r FROM hashed),
+    verdicts AS (SELECT response_id, CASE WHEN r = 1 THEN 'ACCEPTED' WHEN qa = first_qa THEN 'EXACT_QA_DUP' ELSE 'QUESTION_TEMPLATE_DUP' END AS verdict FROM f)"""
+
+
+@query(f"WITH {GATE3} SELECT response_id, verdict FROM verdicts")
+def q_gate3_exact(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.gate_duplicates(table(spark, d, "responses"), "response_id").select("response_id", "verdict")
+
+
+@query(f"""WITH {S.LAST}, hist AS (SELECT sha256({S.key("coalesce(question, '')")}) AS q, min(sha256({S.key("coalesce(question, '')")} || chr(10) || '---' || chr(10) || {S.key("coalesce(answer, '')")})) AS qa FROM last WHERE source = 'accepted_synth' GROUP BY 1), {HASHED},
+    f AS (SELECT h.*, hist.qa AS old, first_value(h.qa) OVER (PARTITION BY h.q ORDER BY response_id) AS first_qa, row_number() OVER (PARTITION BY h.q ORDER BY response_id) AS r FROM hashed h LEFT JOIN hist ON h.q = hist.q)
+    SELECT response_id, CASE WHEN old IS NULL AND r = 1 THEN 'ACCEPTED' WHEN qa = coalesce(old, first_qa) THEN 'EXACT_QA_DUP' ELSE 'QUESTION_TEMPLATE_DUP' END AS verdict FROM f""")
+def q_gate3_history(spark: SparkSession, d: str) -> DataFrame:
+    old = views.records(spark, d).filter("source = 'accepted_synth'")
+    return dedup.gate_duplicates(table(spark, d, "responses"), "response_id", history=old).select("response_id", "verdict")
+
+
+# Logs, quotas, tranches
+
+EVENTS = """ev AS (SELECT r.response_id, r.tranche, r.model_name, r.seed_id, CASE WHEN j.task_key IS NULL THEN 'accepted' ELSE 'rejected' END AS status, j.reason FROM responses r LEFT JOIN (SELECT task_key, max(reason) AS reason FROM rejected WHERE task_key IS NOT NULL GROUP BY 1) j USING (task_key))"""
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    j = table(spark, d, "rejected").filter("task_key is not null").groupBy("task_key").agg(F.max("reason").alias("reason")).withColumn("hit", F.lit(True))
+    r = table(spark, d, "responses").join(j, "task_key", "left")
+    return r.select("response_id", "tranche", "model_name", "seed_id", F.when(F.col("hit"), "rejected").otherwise("accepted").alias("status"), "reason")
+
+
+@query(f"""WITH {EVENTS} SELECT 'total' AS kind, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS key2, count(*) AS n FROM ev UNION ALL SELECT 'status', status, NULL, count(*) FROM ev GROUP BY 2
+    UNION ALL SELECT 'reason', reason, NULL, count(*) FROM ev WHERE reason IS NOT NULL GROUP BY 2 UNION ALL SELECT 'model_name', model_name, NULL, count(*) FROM ev WHERE model_name IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'model_name+status', model_name, status, count(*) FROM ev WHERE model_name IS NOT NULL GROUP BY 2, 3
+    UNION ALL SELECT 'model_name+reason', model_name, reason, count(*) FROM ev WHERE model_name IS NOT NULL AND reason IS NOT NULL GROUP BY 2, 3""")
+def q_telemetry_summary(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.summary(_events(spark, d), ["status", "reason", "model_name"], [("model_name", "status"), ("model_name", "reason")])
+
+
+@query(f"""WITH {EVENTS}, a AS (SELECT tranche, count(*) AS total, count(*) FILTER (reason = 'BAD_JSON') AS bad_json, count(*) FILTER (reason IN ('LLM_ERROR', 'NO_RESPONSE')) AS failed,
+        count(*) FILTER (reason IN ('QUESTION_TEMPLATE_DUP', 'NEAR_DUP_QUESTION')) AS template_dup, count(*) FILTER (status = 'accepted') AS accepted FROM ev GROUP BY 1)
+    SELECT *, CASE WHEN total = 0 THEN 'EMPTY_TRANCHE' WHEN bad_json / total > 0.05 THEN printf('BAD_JSON_RATE=%.2f%%', bad_json / total * 100) WHEN failed / total > 0.05 THEN printf('LLM_ERROR_RATE=%.2f%%', failed / total * 100)
+        WHEN template_dup / total > 0.25 THEN printf('TEMPLATE_DUP_RATE=%.2f%%', template_dup / total * 100) WHEN accepted / total < 0.75 THEN printf('ACCEPTANCE_RATE=%.2f%%', accepted / total * 100) END AS stop_reason FROM a""")
+def q_stop_condition(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.tranche_stops(_events(spark, d))
+
+
+@query(f"""WITH {EVENTS} SELECT model_name, count(*) AS events, round(count(*) FILTER (status = 'accepted') / count(*), 6) AS accept_rate, round(count(*) FILTER (status <> 'accepted') / count(*), 6) AS reject_rate,
+    round(count(*) FILTER (reason IN {tuple(capacity.DEDUP)}) / count(*), 6) AS dedup_rate, round(count(*) FILTER (reason IN {tuple(capacity.BAD_MODEL)}) / count(*), 6) AS bad_model_rate FROM ev WHERE model_name IS NOT NULL GROUP BY 1""")
+def q_telemetry_features(spark: SparkSession, d: str) -> DataFrame:
+    x = telemetry.rates(_events(spark, d), "model_name", {"dedup": capacity.DEDUP, "bad_model": capacity.BAD_MODEL})
+    return x.select("model_name", "events", *[F.round(c, 6).alias(c) for c in ("accept_rate", "reject_rate", "dedup_rate", "bad_model_rate")])
+
+
+SMALL = {"per_model": 40, "per_mode": {"core_paraphrase": 0.30, "core_repair": 0.20, "anchored_extension": 0.50}, "per_family": 5, "per_seed_per_mode": 2, "per_seed_per_family": 1}
+
+
+@query(f"""WITH {S.SEEDS}, hist AS (SELECT coalesce(s.model_name, 'unknown') m, coalesce(s.route_mode, 'unknown') o, coalesce(s.extension_family, 'unknown') f, coalesce(s.seed_id, 'unknown') s FROM responses r JOIN seeds s ON r.seed_id = s.seed_id),
+    c AS (SELECT seed_id, coalesce(model_name, 'unknown') m, coalesce(route_mode, 'unknown') o, coalesce(extension_family, 'unknown') f, coalesce(seed_id, 'unknown') s FROM seeds),
+    x AS (SELECT c.*, (SELECT count(*) FROM hist h WHERE h.m = c.m) AS a, (SELECT count(*) FROM hist h WHERE h.m = c.m AND h.o = c.o) AS b, (SELECT count(*) FROM hist h WHERE h.f = c.f) AS d, (SELECT count(*) FROM hist h WHERE h.s = c.s AND h.o = c.o) AS e, (SELECT count(*) FROM hist h WHERE h.s = c.s AND h.f = c.f) AS g FROM c)
+    SELECT seed_id, CASE WHEN a >= 40 THEN 'MODEL_QUOTA' WHEN b >= (MAP {{'core_paraphrase': 12, 'core_repair': 8, 'anchored_extension': 20}})[o] THEN 'MODE_QUOTA' WHEN f <> 'unknown' AND d >= 5 THEN 'FAMILY_QUOTA' WHEN e >= 2 THEN 'SEED_MODE_QUOTA' WHEN f <> 'unknown' AND g >= 1 THEN 'SEED_FAMILY_QUOTA' END AS refused FROM x""")
+def q_quota_admission(spark: SparkSession, d: str) -> DataFrame:
+    s = views.seeds(spark, d)
+    hist = table(spark, d, "responses").select("seed_id").join(s.select("seed_id", "model_name", "route_mode", "extension_family"), "seed_id")
+    return telemetry.admit(s, hist, SMALL).select("seed_id", "refused")
+
+
+@query(f"WITH {S.TASKS} SELECT route_mode, count(*) AS n FROM tasks WHERE task_key NOT IN (SELECT task_key FROM responses WHERE task_key IS NOT NULL) GROUP BY 1")
+def q_resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.unseen(views.tasks(spark, d), table(spark, d, "responses"), "task_key").groupBy("route_mode").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {S.TASKS}, q AS (SELECT task_key, route_mode, CASE WHEN isnan(priority) THEN NULL ELSE priority END AS p FROM tasks), r AS (SELECT *, row_number() OVER (PARTITION BY route_mode ORDER BY p DESC NULLS LAST, task_key) AS r FROM q)
+    SELECT task_key, route_mode FROM r WHERE r <= coalesce((MAP {{'core_repair': 120, 'core_paraphrase': 80}})[route_mode], 9e18) ORDER BY p DESC NULLS LAST, task_key LIMIT 300""")
+def q_tranche_pick(spark: SparkSession, d: str) -> DataFrame:
+    t = views.tasks(spark, d).select("task_key", "route_mode", F.when(~F.isnan("priority"), F.col("priority")).alias("p"))
+    return telemetry.pick_tranche(t, 300, [F.col("p").desc_nulls_last(), F.col("task_key")], "route_mode", {"core_repair": 120, "core_paraphrase": 80}).select("task_key", "route_mode")
+
+
+@query(f"""WITH {S.TASKS}, c AS (SELECT provider_hint, floor((row_number() OVER (PARTITION BY provider_hint ORDER BY task_key) - 1) / 500)::BIGINT AS chunk FROM tasks) SELECT provider_hint, chunk, count(*) AS n FROM c GROUP BY 1, 2""")
+def q_chunk500(spark: SparkSession, d: str) -> DataFrame:
+    c = telemetry.chunks(views.tasks(spark, d).select("task_key", "provider_hint"), 500, "provider_hint", [F.col("task_key")])
+    return c.groupBy("provider_hint", "chunk").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Prompts
+
+
+def _short(x: str, n: int) -> str:
+    t = S.strip(f"coalesce({x}, '')")
+    return f"CASE WHEN len({t}) > {n} THEN regexp_replace(left({t}, {n - 1}), '{S.WS}+$', '') || '…' ELSE {t} END"
+
+
+@query(f"""SELECT DISTINCT seed_id, CASE WHEN seed_q IS NULL AND seed_a IS NULL THEN '' ELSE 'Support question: ' || {_short('seed_q', 60)} || chr(10) || 'Support answer: ' || {_short('seed_a', 90)} END AS block FROM routed_seeds""")
+def q_support_block(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "routed_seeds").select("seed_id", prompts.support_block(F.col("seed_q"), F.col("seed_a"), 60, 90).alias("block")).distinct()
+
+
+@query(r"SELECT response_id, regexp_replace(left('token=' || task_key || ' ' || coalesce(answer, ''), 200), '(?:sk-|key-|token[=:])\S+', '[REDACTED]', 'g') AS safe FROM responses")
+def q_redact(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "responses").select("response_id", prompts.redact(F.concat(F.lit("token="), "task_key", F.lit(" "), F.coalesce("answer", F.lit("")))).alias("safe"))
+
+
+@query()
+def q_prompts(spark: SparkSession, d: str) -> DataFrame:
+    t = views.tasks(spark, d).withColumn("model_name", text.model_key("model_name")).withColumn("route_mode", text.strip("route_mode"))
+    return prompts.prompts(t.select("task_key", "model_name", "level", "route_mode", "extension_family", "transform_type"), views.profiles(spark, d)).select("task_key", "prompt", "prompt_error")
+
+
+@query("SELECT response_id::VARCHAR AS custom_id, answer AS content FROM responses WHERE response_id % 5 NOT IN (1, 2) AND answer IS NOT NULL")
+def q_batch_results(spark: SparkSession, d: str) -> DataFrame:
+    """Result lines of a batch service, written and parsed again: lost ids and failed requests drop out."""
+    body = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("answer").alias("content")).alias("message"))).alias("choices")))
+    line = F.to_json(F.struct(F.when(F.col("response_id") % 5 != 1, F.col("response_id").cast("string")).alias("custom_id"), F.struct(F.when(F.col("response_id") % 5 == 2, 500).otherwise(200).alias("status_code"), body.alias("body")).alias("response")))
+    return prompts.results(table(spark, d, "responses").filter("answer is not null").select(line.alias("value")))
+
+
+# Pipeline and streams
+
+
+@query(f"""WITH {GATE3}, r AS (SELECT *, CASE WHEN question IS NULL OR {S.strip('question')} = '' THEN 'NO_QUESTION' END AS bad FROM responses)
+    SELECT tranche, coalesce(bad, verdict) AS outcome, count(*) AS n FROM r JOIN verdicts USING (response_id) GROUP BY 1, 2""")
+def q_pipeline_echo(spark: SparkSession, d: str) -> DataFrame:
+    """Responses through an echo generator, the JSON gate and the duplicate gate: outcomes by tranche."""
+    r = prompts.echo(table(spark, d, "responses").select("response_id", "tranche", "question", "answer"))
+    parsed = r.withColumn("p", gates.parse_reply("reply")).select("response_id", "tranche", F.col("p.question").alias("question"), F.col("p.answer").alias("answer"))
+    out = dedup.gate_duplicates(parsed, "response_id").withColumn("outcome", F.when(text.blank_to_null("question").isNull(), "NO_QUESTION").otherwise(F.col("verdict")))
+    return out.groupBy("tranche", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT tranche, provider, count(*) AS n FROM responses GROUP BY 1, 2")
+def q_stream_telemetry(spark: SparkSession, d: str) -> DataFrame:
+    """Counts kept by a stream over the responses, as they stand when all there is has been read."""
+    import uuid
+
+    from millrace.streaming import logs
+
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, d, "responses").schema
+    logs.run_to_table(logs.count_by(logs.read_stream(spark, f"{d}/responses.parquet*", schema), "tranche", "provider"), f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query(f"SELECT count(DISTINCT sha256({S.key("coalesce(question, '')")})) AS questions FROM responses")
+def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct questions that a stream lets through."""
+    import uuid
+
+    from millrace.streaming import logs
+
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, d, "responses").schema
+    kept = logs.first_questions(logs.read_stream(spark, f"{d}/responses.parquet*", schema).select("response_id", "question"))
+    logs.run_to_table(kept, f"{base}/out", f"{base}/state", "append")
+    return spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("questions"))
+
+
+# Joins and groupings of the general tables
+
+
+@query("""SELECT r_name, n_name, c_mktsegment, count(*) AS orders, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY GROUPING SETS ((), (r_name), (r_name, n_name), (c_mktsegment))""")
+def q_star_rollup(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda n: table(spark, d, n)
+    x = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cols = ("r_name", "n_name", "c_mktsegment")
+    g = x.groupingSets([[], [F.col("r_name")], [F.col("r_name"), F.col("n_name")], [F.col("c_mktsegment")]], *cols)
+    return g.agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_totals": p3_totals, "p3_found": p3_found}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "p3_totals": f"""
-            WITH p AS ({PAIRS}), b AS (SELECT *, row_number() OVER (PARTITION BY model_name, model_bucket ORDER BY q DESC NULLS LAST, task_key) k FROM p)
-            SELECT model_name, model_bucket, count(*) AS n_rows, count(DISTINCT seed_id) AS n_seeds, max(task_key) FILTER (k = 1) AS best_task FROM b GROUP BY 1, 2""",
-        "p3_found": f"WITH p AS ({PAIRS}) SELECT model_name, model_bucket FROM p GROUP BY 1, 2 HAVING count(*) * 50 >= (SELECT count(*) FROM planned_tasks)",
-    }
+    return dict(ORACLES)
