@@ -86,13 +86,18 @@ def bucket(effective: Column) -> Column:
     return F.when(effective >= HIGH, "high_capacity").when(effective >= MID, "mid_capacity").otherwise("low_capacity")
 
 
-def report(matrix: DataFrame) -> DataFrame:
-    """Per model: capacity_score, dedup_risk, effective_capacity, capacity_bucket and the suggested caps."""
-    x = scaled(matrix, list(WEIGHTS))
+def weighted_score() -> Column:
+    """The weighted sum of the scaled features, not rounded."""
     score = F.lit(0.0)
     for n, w in WEIGHTS.items():
         score = score + w * F.col(f"norm_{n}")
-    x = x.withColumn("capacity_score", F.bround(score, 6)).withColumn("dedup_risk", risk(matrix.columns))
+    return score
+
+
+def report(matrix: DataFrame) -> DataFrame:
+    """Per model: capacity_score, dedup_risk, effective_capacity, capacity_bucket and the suggested caps."""
+    x = scaled(matrix, list(WEIGHTS))
+    x = x.withColumn("capacity_score", F.bround(weighted_score(), 6)).withColumn("dedup_risk", risk(matrix.columns))
     x = x.withColumn("effective_capacity", F.bround(F.col("capacity_score") * (1 - F.col("dedup_risk")), 6))
     caps = [lerp_int(low, high, F.col("effective_capacity")).alias(n) for n, (low, high) in CAPS.items()]
     return x.select("model_name", "capacity_score", "dedup_risk", "effective_capacity", bucket(F.col("effective_capacity")).alias("capacity_bucket"), *caps)

@@ -456,11 +456,12 @@ _made = ("n_seed_anchors", "n_corpus_records", "n_classes_covered", "n_core_proc
 _score = " + ".join(f"{capacity.WEIGHTS[c]} * {_norm(c)}" for c in _made)
 
 
-@query(f"""WITH {FEATURES}, s AS (SELECT model_name, round({_score}, 6) AS score FROM m)
+@query(f"""WITH {FEATURES}, s AS (SELECT model_name, {_score} AS score FROM m)
     SELECT model_name, round(score, 5) AS capacity_score, round_even(10 + 20 * score * 0.9, 0)::INT AS cap_total, CASE WHEN score * 0.9 >= 0.72 THEN 'high_capacity' WHEN score * 0.9 >= 0.45 THEN 'mid_capacity' ELSE 'low_capacity' END AS capacity_bucket FROM s""")
 def q_capacity(spark: SparkSession, d: str) -> DataFrame:
-    x = capacity.report(_matrix(spark, d))
-    return x.select("model_name", F.round("capacity_score", 5).alias("capacity_score"), "cap_total", "capacity_bucket")
+    m = durable(_matrix(spark, d))
+    score = capacity.scaled(m, list(capacity.WEIGHTS)).select("model_name", F.round(capacity.weighted_score(), 5).alias("capacity_score"))
+    return capacity.report(m).select("model_name", "cap_total", "capacity_bucket").join(score, "model_name")
 
 
 @query(f"""WITH {POOL}, z AS (SELECT model_name, seed_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2), u AS (SELECT model_name, record_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2),
