@@ -84,14 +84,12 @@ class Model:
 
     # Sentences
 
-    def _ids(self, sentence: str) -> list[int]:
-        return [i for t in terms(sentence) if (i := self.vocabulary.get(t)) is not None]
-
-    def fit_terms(self, docs: list[list[str]], labels: np.ndarray) -> None:
+    def fit_terms(self, docs: list[list[tuple[list[str], str | None]]], labels: np.ndarray) -> None:
+        """docs: the terms and the language of each sentence of each document."""
         count: dict[str, int] = {}
         for d in docs:
-            for s in d:
-                for t in terms(s):
+            for own, _ in d:
+                for t in own:
                     count[t] = count.get(t, 0) + 1
         kept = sorted((t for t, n in count.items() if n > 1), key=lambda t: (-count[t], t))[:MAX_TERMS]
         self.vocabulary = {t: i for i, t in enumerate(kept)}
@@ -99,28 +97,28 @@ class Model:
         self.weights = np.zeros((v, k + 1))
         doc, ids, lens, lang = [], [], [], []
         for i, d in enumerate(docs):
-            for s in d:
-                own = self._ids(s)
+            for own, language in d:
+                known = [j for t in own if (j := self.vocabulary.get(t)) is not None]
                 doc.append(i)
-                lens.append(len(own))
-                ids += own
-                lang.append(LANGUAGES.index(language_of(s)))
+                lens.append(len(known))
+                ids += known
+                lang.append(LANGUAGES.index(language))
         if not doc:
             self.prior = np.zeros(k + 1)
             return
         doc, ids, lens, lang = np.array(doc), np.array(ids, np.int64), np.array(lens), np.array(lang)
         row = np.repeat(np.arange(len(doc)), lens)
         # A term is measured against the sentences of its own languages, so that no subject takes over a language.
-        spread = np.zeros((v, len(LANGUAGES)))
-        np.add.at(spread, (ids, lang[row]), 1.0)
+        spread = np.bincount(ids * len(LANGUAGES) + lang[row], minlength=v * len(LANGUAGES)).reshape(v, -1).astype(float)
         seen = spread.sum(axis=1, keepdims=True)
         spread /= seen
         mean = seen / (spread @ np.bincount(lang, minlength=len(LANGUAGES)))[:, None]
         # Only terms that stand mostly in documents of one subject may tell subjects apart: the wording that all share gets no weight.
-        pairs = np.unique(np.stack([doc[row], ids], axis=1), axis=0)
+        code = np.sort(doc[row] * np.int64(v) + ids)
+        code = code[np.r_[True, code[1:] != code[:-1]]] if len(code) else code
+        pairs = np.stack([code // max(v, 1), code % max(v, 1)], axis=1)
         holds = np.bincount(pairs[:, 1], minlength=v).astype(float)
-        of = np.zeros((v, k))
-        np.add.at(of, pairs[:, 1], labels[pairs[:, 0]])
+        of = _sums(pairs[:, 1], labels[pairs[:, 0]], v)
         base = np.clip(labels.mean(axis=0), 1e-3, 0.999)
         best = of.argmax(axis=1)
         top = of.max(axis=1)
@@ -135,17 +133,13 @@ class Model:
         prior = np.log(allow / allow.sum(axis=1, keepdims=True))[doc]
         self.weights[tells, 1 + best[tells]] = 3.0
         for last in range(ROUNDS + 1):
-            score = np.zeros((len(doc), k + 1))
-            np.add.at(score, row, self.weights[ids])
-            score += prior
+            score = prior + _sums(row, self.weights[ids], len(doc))
             p = np.exp(score - score.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             if last == ROUNDS:
                 break
-            mass = np.zeros((v, k + 1))
-            np.add.at(mass, ids, p[row])
-            total = np.zeros((len(LANGUAGES), k + 1))
-            np.add.at(total, lang, p)
+            mass = _sums(ids, p[row], v)
+            total = _sums(lang, p, len(LANGUAGES))
             rate = np.log((mass + STIFF * mean) / (spread @ total + STIFF))
             self.weights = np.where(tells[:, None], np.clip(rate - rate[:, :1], -CLIP, CLIP), 0.0)
         flat = np.full(k + 1, 0.6 / k)
@@ -156,9 +150,9 @@ class Model:
         """(sentences, 1 + subjects) probabilities, none first."""
         out = np.tile(self.prior, (len(sentences), 1))
         for i, s in enumerate(sentences):
-            own = self._ids(s)
-            if own:
-                out[i] += self.weights[own].sum(axis=0)
+            known = [j for t in terms(s) if (j := self.vocabulary.get(t)) is not None]
+            if known:
+                out[i] += self.weights[known].sum(axis=0)
         out = np.exp(out - out.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
 
@@ -224,6 +218,11 @@ class Model:
         return self.decode(np.stack([self.features(t, s) for t, s in zip(texts, sources, strict=True)]))
 
 
+def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by their index `at`."""
+    return np.stack([np.bincount(at, weights=rows[:, c], minlength=n) for c in range(rows.shape[1])], axis=1)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, l2: float = L2) -> np.ndarray:
     """Weights of a logistic regression with a quadratic penalty, by Newton's method."""
     w = np.zeros(x.shape[1])
@@ -245,7 +244,7 @@ def fit(texts: list[str | None], sources: list[str | None], labels: list[set[str
     named = [s for s in sources if s]
     model.sources = sorted({s for s in named if named.count(s) >= 20})
     # Shares of labelled documents must look like those of unseen ones, so each is made by a model that has not seen it.
-    docs = [running_sentences(t)[0] for t in texts]
+    docs = [[(terms(s), language_of(s)) for s in running_sentences(t)[0]] for t in texts]
     fold = np.arange(len(docs)) % FOLDS
     x: list = [None] * len(docs)
     for f in range(FOLDS):
@@ -275,7 +274,7 @@ def subjects_of(documents: DataFrame, labels: DataFrame, subjects: list[str], ke
     """
     model = fit(*labelled_sample(documents, labels, key, text, source, most), subjects)
     spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # MAX_TERMS terms and weights at most
+    sent = spark.sparkContext.broadcast(model)  # at most MAX_TERMS terms with a weight per subject
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
