@@ -49,7 +49,7 @@ def parse_reply(raw: Column | str) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, t: s + t)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
 
 
 def class_centres(vectors: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:

@@ -39,12 +39,12 @@ def dictionary(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
 
 
 def encode(df: DataFrame, keys: list[str], codes: DataFrame, small: bool) -> DataFrame:
-    codes = F.broadcast(codes) if small else codes
-    on = [df[k].eqNullSafe(codes[k]) for k in keys]
-    cond = on[0]
-    for x in on[1:]:
-        cond = cond & x
-    return df.join(codes, cond).select(codes["key_id"], *[df[c] for c in df.columns if c not in keys])
+    own = codes.select("key_id", *[F.col(k).alias(f"_c{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_c{k}"))
+    x = df.join(F.broadcast(own) if small else own, cond)
+    return x.select("key_id", *[c for c in df.columns if c not in keys])
 
 
 def _accumulate(best: bool):
