@@ -67,30 +67,31 @@ def cap_per_contributor(
     """
     if cap is None:
         cap = max(1, int(df.count() * share))
+    df = df.drop("stratum_slots", "stratum_rank")
     names = df.columns
-    rows = df.withColumns({"_stratum": stratum.cast("string"), "_weight": weight.cast("double") if weight is not None else F.lit(None).cast("double")})
+    rows = df.withColumns({"_cap_stratum": stratum.cast("string"), "_cap_weight": weight.cast("double") if weight is not None else F.lit(None).cast("double")})
     own = rows.filter(F.col(contributor).isNotNull())
-    counts = own.groupBy(contributor, "_stratum").agg(F.count(F.lit(1)).alias("_n"), F.max("_weight").alias("_w"))
-    gathered = counts.groupBy(contributor).agg(F.sum("_n").alias("_all"), F.array_sort(F.collect_list(F.struct("_stratum", "_n", "_w"))).alias("_strata"))
-    over = gathered.filter(F.col("_all") > cap)
+    counts = own.groupBy(contributor, "_cap_stratum").agg(F.count(F.lit(1)).alias("_cap_n"), F.max("_cap_weight").alias("_cap_w"))
+    gathered = counts.groupBy(contributor).agg(F.sum("_cap_n").alias("_cap_all"), F.array_sort(F.collect_list(F.struct("_cap_stratum", "_cap_n", "_cap_w"))).alias("_cap_strata"))
+    over = gathered.filter(F.col("_cap_all") > cap)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out: list[tuple] = []
-            for who, strata in zip(pdf[contributor], pdf["_strata"], strict=True):
-                n = np.array([x["_n"] for x in strata])
-                w = np.array([np.nan if x["_w"] is None else x["_w"] for x in strata], float)
+            for who, strata in zip(pdf[contributor], pdf["_cap_strata"], strict=True):
+                n = np.array([x["_cap_n"] for x in strata])
+                w = np.array([np.nan if x["_cap_w"] is None else x["_cap_w"] for x in strata], float)
                 slots = apportion(cap, n, np.where(np.isnan(w), n, w), ranked)
-                out += [(who, x["_stratum"], int(k)) for x, k in zip(strata, slots, strict=True) if k]
-            yield pd.DataFrame(out, columns=[contributor, "_stratum", "_slots"])
+                out += [(who, x["_cap_stratum"], int(k)) for x, k in zip(strata, slots, strict=True) if k]
+            yield pd.DataFrame(out, columns=[contributor, "_cap_stratum", "_cap_slots"])
 
     kind = dict(df.dtypes)[contributor]
-    slots = over.select(contributor, "_strata").mapInPandas(split, f"`{contributor}` {kind}, _stratum string, _slots long")
+    slots = over.select(contributor, "_cap_strata").mapInPandas(split, f"`{contributor}` {kind}, _cap_stratum string, _cap_slots long")
     # The constant bound lets Spark cut every stratum to `cap` rows before the shuffle, so a hot contributor is never gathered whole.
-    best = own.withColumn("stratum_rank", F.row_number().over(Window.partitionBy(contributor, "_stratum").orderBy(*order))).filter(F.col("stratum_rank") <= cap)
+    best = own.withColumn("stratum_rank", F.row_number().over(Window.partitionBy(contributor, "_cap_stratum").orderBy(*order))).filter(F.col("stratum_rank") <= cap)
     a, b = best.alias("a"), slots.alias("b")
-    kept = a.join(b, (F.col(f"a.{contributor}") == F.col(f"b.{contributor}")) & F.col("a._stratum").eqNullSafe(F.col("b._stratum")) & (F.col("a.stratum_rank") <= F.col("b._slots")))
-    kept = kept.select(*[F.col(f"a.`{c}`") for c in names], F.col("b._slots").alias("stratum_slots"), "a.stratum_rank")
+    kept = a.join(b, (F.col(f"a.{contributor}") == F.col(f"b.{contributor}")) & F.col("a._cap_stratum").eqNullSafe(F.col("b._cap_stratum")) & (F.col("a.stratum_rank") <= F.col("b._cap_slots")))
+    kept = kept.select(*[F.col(f"a.`{c}`") for c in names], F.col("b._cap_slots").alias("stratum_slots"), "a.stratum_rank")
     if over_only:
         return kept
     rest = rows.join(over.select(contributor), contributor, "left_anti").select(*names, F.lit(None).cast("long").alias("stratum_slots"), F.lit(None).cast("int").alias("stratum_rank"))

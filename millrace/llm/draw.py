@@ -23,17 +23,17 @@ def permuted_prefix(df: DataFrame, group: str, key: Column, quotas: dict[str, in
     wanted = [(g, int(q)) for g, q in quotas.items() if q > 0 and g is not None]
     h = F.xxhash64(F.lit(seed), key)
     one = (weight if weight is not None else F.lit(1)).cast("long")
-    rows = df.withColumns({"_h": h, "_w": F.coalesce(one, F.lit(0))}).withColumn("_b", F.shiftrightunsigned("_h", 54).cast("int"))
+    rows = df.withColumns({"_draw_h": h, "_draw_w": F.coalesce(one, F.lit(0))}).withColumn("_draw_b", F.shiftrightunsigned("_draw_h", 54).cast("int"))
     if not wanted:
         return df.limit(0)
-    counts = rows.groupBy(F.col(group).alias("_group"), "_b").agg(F.sum("_w").alias("_sum"))
-    quota = spark.createDataFrame(wanted, "_qg string, _quota long")
-    before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_group").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = rows.groupBy(F.col(group).alias("_draw_group"), "_draw_b").agg(F.sum("_draw_w").alias("_draw_sum"))
+    quota = spark.createDataFrame(wanted, "_draw_qg string, _draw_quota long")
+    before = F.coalesce(F.sum("_draw_sum").over(Window.partitionBy("_draw_group").orderBy("_draw_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # At most BUCKETS rows per group of the map: small by construction.
-    cuts = counts.join(F.broadcast(quota), F.col("_group") == F.col("_qg")).withColumn("_before", before).filter(F.col("_before") < F.col("_quota"))
-    cuts = cuts.select("_group", F.col("_b").alias("_cb"), "_before", "_quota", (F.col("_before") + F.col("_sum") <= F.col("_quota")).alias("_whole"))
-    found = rows.join(F.broadcast(cuts), (F.col(group) == F.col("_group")) & (F.col("_b") == F.col("_cb")))
-    inside = F.coalesce(F.sum("_w").over(Window.partitionBy("_group", "_b").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    whole = found.filter("_whole").select(*df.columns)
-    edge = found.filter("not _whole").withColumn("_in", inside).filter(F.col("_before") + F.col("_in") < F.col("_quota")).select(*df.columns)
+    cuts = counts.join(F.broadcast(quota), F.col("_draw_group") == F.col("_draw_qg")).withColumn("_draw_before", before).filter(F.col("_draw_before") < F.col("_draw_quota"))
+    cuts = cuts.select("_draw_group", F.col("_draw_b").alias("_draw_cb"), "_draw_before", "_draw_quota", (F.col("_draw_before") + F.col("_draw_sum") <= F.col("_draw_quota")).alias("_draw_whole"))
+    found = rows.join(F.broadcast(cuts), (F.col(group) == F.col("_draw_group")) & (F.col("_draw_b") == F.col("_draw_cb")))
+    inside = F.coalesce(F.sum("_draw_w").over(Window.partitionBy("_draw_group", "_draw_b").orderBy("_draw_h", key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = found.filter("_draw_whole").select(*df.columns)
+    edge = found.filter("not _draw_whole").withColumn("_draw_in", inside).filter(F.col("_draw_before") + F.col("_draw_in") < F.col("_draw_quota")).select(*df.columns)
     return whole.unionByName(edge)

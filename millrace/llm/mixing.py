@@ -52,6 +52,7 @@ def mix_sources(sized: DataFrame, plan: list[dict], source: str, key: Column, si
     number of tokens, gets one more. Documents of no target source or of size null count nothing; those of
     size 0 get the whole copies only. Same seed and rows, same mix.
     """
+    sized = sized.drop("copies")
     whole, extra = {}, {}
     for p in plan:
         if p["tokens"] > 0:

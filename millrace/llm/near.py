@@ -9,7 +9,7 @@ distance and, at the end, exactly against the runs.
 
 Equal texts are one class and are compared once; classes are known by the hash of their words. Keys travel as
 packed arrays, one record per batch and partition, and are joined by sorting inside a partition. A key that
-more than HOT classes share is not paired there: its classes must meet in a second chunk as well.
+more than HOT classes share is not paired there but block by block, in tasks of its own.
 """
 
 from __future__ import annotations
@@ -202,8 +202,8 @@ def _filter_of(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _all_keys(mask: bytes):
-    """All keys and the sketch of the classes that pass a filter."""
+def _sketch_rows(mask: bytes):
+    """The sketch of the classes that pass a filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(mask, np.uint8)).astype(bool)
@@ -211,31 +211,48 @@ def _all_keys(mask: bytes):
             ids, words = _texts(batch)
             p, q = _places(ids)
             hit = np.flatnonzero(wanted[p] & wanted[q])
-            if not len(hit):
-                continue
-            ids = ids[hit]
-            symbols = signatures([words[i] for i in hit.tolist()])
-            k = np.concatenate([chunk_keys(symbols, c) for c in range(CHUNKS)], axis=1)
-            bits = np.ascontiguousarray(sketches(symbols).view(np.int64))
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (k, bits)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *lists], ["id", "keys", "sketch"])
+            if len(hit):
+                sketch = sketches(signatures([words[i] for i in hit.tolist()]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([x.tobytes() for x in sketch], pa.binary())], ["id", "sketch"])
+
+    return run
+
+
+def _block_pairs(bits: int):
+    """Close pairs of two blocks of a hot key (or of one block), row by row against the rest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        ids = table.column("id").to_numpy()
+        own = table.column("own").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        a, b = [], []
+        for x in left.tolist():
+            hit = right[_close(sketch[right], sketch[x], bits)]
+            if i == j:
+                hit = hit[hit > x]
+            a.append(np.minimum(ids[hit], ids[x]))
+            b.append(np.maximum(ids[hit], ids[x]))
+        cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
+        return pa.table({"a": cat(a), "b": cat(b)})
 
     return run
 
 
-def _hot_pairs(texts: DataFrame, hot: DataFrame, split: int, bits: int) -> DataFrame:
-    """Pairs within shared hot keys: they must also share the key of another chunk. The sketch is held against inside the join."""
+def _hot_pairs(texts: DataFrame, hot: DataFrame, block: int, bits: int) -> DataFrame:
+    """All close pairs within hot keys: a key's classes are cut into blocks, and every two blocks are a task of their own.
+
+    Nothing is left out, whatever the key's size; the work of a key grows with the square of its classes, spread
+    over tasks of at most about 2 * block classes. Only pairs whose sketches are close are put out.
+    """
     members = hot.select(F.col("a").alias("bucket"), F.col("b").alias("id")).distinct()
-    full = texts.mapInArrow(_all_keys(_filter_of(members.select("id"))), "id long, keys array<long>, sketch array<long>").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    words = SYMBOLS // 64
-    flat = full.select("id", F.posexplode("keys").alias("at", "key"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
-    # A bucket is part << 32 | key, part is chunk * split + s: keys of the bucket's own chunk say nothing new.
-    own = F.floor(F.shiftright("bucket", 32) / split)
-    wide = members.join(flat, "id").filter(F.floor(F.col("at") / WIDTH) != own)
-    x, y = wide.alias("x"), wide.alias("y")
-    far = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(1, words)), F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))))
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (far <= bits))
-    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    rows = texts.mapInArrow(_sketch_rows(_filter_of(members.select("id"))), "id long, sketch binary").dropDuplicates(["id"])
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).alias("n"))
+    x = members.join(blocks, "bucket").join(rows, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    x = x.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "sketch")
+    return x.groupBy("bucket", "i", "j").applyInArrow(_block_pairs(bits), "a long, b long")
 
 
 def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, rows: int | None = None) -> DataFrame:
@@ -246,7 +263,7 @@ def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, r
     met = durable(packed.groupBy("part").applyInArrow(_join(bits, hot), "a long, b long, hot boolean"))
     pairs = met.filter("not hot").select("a", "b")
     if met.filter("hot").limit(1).count():
-        pairs = pairs.unionByName(_hot_pairs(texts, met.filter("hot"), split, bits))
+        pairs = pairs.unionByName(_hot_pairs(texts, met.filter("hot"), hot, bits))
     return pairs.distinct()
 
 

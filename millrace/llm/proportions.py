@@ -106,8 +106,8 @@ def sample_to_targets(df: DataFrame, key: Column, dims: list[str], targets: Data
     sample. An empty table gives an empty sample.
     """
     _, _, folded, _, quota = _quotas(df, dims, targets, rate)
-    named = df.withColumn("_leaf", F.concat_ws("\x1f", *folded))
-    return permuted_prefix(named, "_leaf", key, {"\x1f".join(k): v for k, v in quota.items()}, seed).drop("_leaf")
+    named = df.withColumn("_draw_leaf", F.concat_ws("\x1f", *folded))
+    return permuted_prefix(named, "_draw_leaf", key, {"\x1f".join(k): v for k, v in quota.items()}, seed).drop("_draw_leaf")
 
 
 def target_report(df: DataFrame, dims: list[str], targets: DataFrame, rate: float) -> DataFrame:

@@ -17,4 +17,4 @@ def category(x: str):
 def latest(df: DataFrame, key: str, at: str, *then) -> DataFrame:
     """One row per non-null key: that of the latest `at` (null first), ties by the given expressions, descending."""
     w = Window.partitionBy(key).orderBy(F.col(at).desc_nulls_last(), *[x.desc_nulls_last() for x in then])
-    return df.filter(F.col(key).isNotNull()).withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    return df.filter(F.col(key).isNotNull()).withColumn("_latest", F.row_number().over(w)).filter("_latest = 1").drop("_latest")
