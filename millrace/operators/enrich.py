@@ -38,3 +38,9 @@ def fill_only(df: DataFrame, columns: list[str], watch: str) -> DataFrame:
     conflict = own.isNotNull() & F.col(f"found.{watch}").isNotNull() & (own != F.col(f"found.{watch}"))
     kept = {c: F.coalesce(F.col(c), F.col(f"found.{c}")) for c in columns}
     return df.select(*[kept.get(c, F.col(c)).alias(c) for c in df.columns if c not in ("found", "found_at")], F.col("found").isNotNull().alias("matched"), F.coalesce(conflict, F.lit(False)).alias("conflict"))
+
+
+def report(enriched: DataFrame, row: str = "record_id", debug: int = 25) -> tuple[DataFrame, DataFrame]:
+    """(one row with matched, unmatched and conflicts; the first `debug` rows in conflict by id)."""
+    n = enriched.agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"), F.count_if("conflict").alias("conflicts"))
+    return n, enriched.filter("conflict").orderBy(row).limit(debug)

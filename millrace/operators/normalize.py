@@ -131,3 +131,9 @@ def consistency_report(records: DataFrame) -> DataFrame:
     model = x.filter(F.col("source").isin("corpus", "seed")).groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
     model = model.select(F.lit("model").alias("kind"), F.coalesce("model_name", F.lit("unknown")).alias("name"), "n")
     return by_source.unionByName(issue).unionByName(model)
+
+
+def seed_record_id(seed_id: Column, seed_type: Column, *content: Column) -> Column:
+    """seed::id::type, seed::id, or for a seed without id a name made from its content, the same at every run."""
+    anonymous = F.concat(F.lit("seed::_anon_"), F.sha2(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in content]), 256))
+    return F.when(seed_id.isNull(), anonymous).when(seed_type.isNull(), F.concat(F.lit("seed::"), seed_id)).otherwise(F.concat_ws("::", F.lit("seed"), seed_id, seed_type))

@@ -76,3 +76,10 @@ def validate_specs(profiles: DataFrame, specs: DataFrame) -> DataFrame:
     """Per model of specs (model_name, families): missing_core, and the identifiers that the core already has."""
     x = specs.alias("s").join(profiles.select("model_name", "core").alias("p"), "model_name", "left")
     return x.select("model_name", F.col("core").isNull().alias("missing_core"), F.array_sort(F.array_intersect(extension_ids(F.col("families")), F.coalesce("core", F.array().cast("array<string>")))).alias("overlap"))
+
+
+def extension_summary(support: DataFrame, k: int = 100) -> DataFrame:
+    """The k families with most support, ties by model and family, with their place. support: (model_name, family, support)."""
+    order = [F.desc("support"), F.col("model_name"), F.col("family")]
+    top = support.orderBy(*order).limit(k)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))

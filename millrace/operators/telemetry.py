@@ -119,3 +119,9 @@ def pick_tranche(tasks: DataFrame, n: int, order: list[Column], mode: str | None
 def chunks(df: DataFrame, size: int, by: str, order: list[Column]) -> DataFrame:
     """Rows numbered within `by` and cut into chunks of a fixed size: chunk counts from 0."""
     return df.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1) / size).cast("long"))
+
+
+def collection_rate(asked: DataFrame, got: DataFrame, key: str, by: str) -> DataFrame:
+    """Per `by`: requests, distinct answers to them, and their share."""
+    x = asked.select(by, key).distinct().join(got.select(key).distinct().withColumn("_hit", F.lit(1)), key, "left")
+    return x.groupBy(by).agg(F.count(F.lit(1)).alias("asked"), F.count("_hit").alias("collected"), (F.count("_hit") / F.count(F.lit(1))).alias("rate"))

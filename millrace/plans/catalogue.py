@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import lexical, numbers, text
-from millrace.operators import audit, capacity, dedup, enrich, gates, heavy_keys, normalize, planner, profiles, prompts, routing, srcparse, support, telemetry
+from millrace.operators import audit, capacity, dedup, enrich, gates, greedy, heavy_keys, normalize, planner, profiles, prompts, routing, runner, srcparse, support, telemetry
 from millrace.plans import sql as S
 from millrace.plans import views
 from millrace.session import durable, shared_folder
@@ -222,6 +222,13 @@ def q_quoted_phrases(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer")).alias("phrase"))
 
 
+@query(f"""WITH {S.LAST}, {IDS}, {S.SEEDS}, e AS (SELECT record_id, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS place FROM ids),
+    h AS (SELECT e.record_id, s.class_id AS c FROM e JOIN seeds s ON s.seed_id = e.id QUALIFY row_number() OVER (PARTITION BY e.record_id ORDER BY place) = 1)
+    SELECT count(h.record_id) AS matched, count(*) - count(h.record_id) AS unmatched, count(*) FILTER (l.class_id <> h.c) AS conflicts FROM last l LEFT JOIN h USING (record_id)""")
+def q_enrich_report(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.report(q_enrich_priority_join(spark, d))[0]
+
+
 # Source texts
 
 
@@ -301,6 +308,12 @@ def q_spec_validation(spark: SparkSession, d: str) -> DataFrame:
     return x.select("model_name", "missing_core", joined("overlap").alias("overlap"))
 
 
+@query(f"""WITH {S.PROFILES}, f AS (SELECT model_name, 'family_1' AS family, unnest(f1) AS term FROM profiles UNION ALL SELECT model_name, 'family_2', unnest(f2) FROM profiles UNION ALL SELECT model_name, 'family_3', unnest(f3) FROM profiles),
+    s AS (SELECT model_name, family, sum(n)::BIGINT AS support FROM f JOIN identifiers USING (model_name, term) GROUP BY 1, 2) SELECT *, CAST(row_number() OVER (ORDER BY support DESC, model_name, family) AS INT) AS place FROM s QUALIFY place <= 100""")
+def q_extension_summary(spark: SparkSession, d: str) -> DataFrame:
+    return profiles.extension_summary(q_family_support(spark, d))
+
+
 AUDIT = f"""{S.PROFILES}, used AS (SELECT model_name, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL),
     uc AS (SELECT model_name, term, count(*) AS n FROM used WHERE term <> '' GROUP BY 1, 2),
     classified AS (SELECT model_name, term, n, CASE WHEN list_contains(core, term) THEN 'core' WHEN list_contains({S.words(routing.ALLOW)}, term) THEN 'allowed' WHEN n >= 2 THEN 'extension_candidate' ELSE 'drift' END AS class FROM uc JOIN profiles USING (model_name)),
@@ -532,6 +545,26 @@ def q_gate3_history(spark: SparkSession, d: str) -> DataFrame:
     return dedup.gate_duplicates(table(spark, d, "responses"), "response_id", history=old).select("response_id", "verdict")
 
 
+NEAR = 0.985
+
+
+@query()
+def q_gate3_near(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors admitted in order unless an admitted earlier one is at least NEAR similar."""
+    e = table(spark, d, "embeddings")
+    size = len(e.filter("embedding is not null").select("embedding").first()[0])
+    pairs = greedy.cosine_pairs(e, "vec_id", "embedding", NEAR, size)
+    return greedy.admit_in_order(e, pairs, "vec_id")
+
+
+@query("""WITH e AS (SELECT a.vec_id AS earlier, b.vec_id AS later FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.6)
+    SELECT earlier, later FROM e""")
+def q_similar_vectors(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "embeddings")
+    size = len(e.filter("embedding is not null").select("embedding").first()[0])
+    return greedy.cosine_pairs(e, "vec_id", "embedding", 0.6, size).select("earlier", "later")
+
+
 # Logs, quotas, tranches
 
 EVENTS = """ev AS (SELECT r.response_id, r.tranche, r.model_name, r.seed_id, CASE WHEN j.task_key IS NULL THEN 'accepted' ELSE 'rejected' END AS status, j.reason FROM responses r LEFT JOIN (SELECT task_key, max(reason) AS reason FROM rejected WHERE task_key IS NOT NULL GROUP BY 1) j USING (task_key))"""
@@ -597,6 +630,26 @@ def q_chunk500(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("provider_hint", "chunk").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""WITH {S.TASKS}, r AS (SELECT DISTINCT task_key FROM responses) SELECT provider_hint, count(*) AS asked, count(r.task_key) AS collected, round(count(r.task_key) / count(*), 6) AS rate FROM tasks t LEFT JOIN r ON t.task_key = r.task_key GROUP BY 1""")
+def q_collection_rate(spark: SparkSession, d: str) -> DataFrame:
+    x = telemetry.collection_rate(views.tasks(spark, d).select("task_key", "provider_hint"), table(spark, d, "responses"), "task_key", "provider_hint")
+    return x.withColumn("rate", F.round("rate", 6))
+
+
+@query(f"""WITH {S.TASKS}, {S.SEEDS} SELECT t.task_key, t.route_mode, s.question, s.tier IS NULL AS no_tier FROM tasks t LEFT JOIN seeds s ON t.seed_id = s.seed_id""")
+def q_task_seed_join(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks with the text of their seed; the task's own columns count."""
+    t = views.tasks(spark, d).select("task_key", "seed_id", "route_mode")
+    return runner.attach(t, views.seeds(spark, d)).select("task_key", "route_mode", "question", F.col("tier").isNull().alias("no_tier"))
+
+
+@query(f"""WITH {S.LAST}, l AS (SELECT DISTINCT seed_id, record_id FROM support_entries WHERE record_id IS NOT NULL) SELECT l.seed_id, l.record_id, last.question FROM l LEFT JOIN last USING (record_id)""")
+def q_support_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Support entries with the text of their record."""
+    l = table(spark, d, "support_entries").filter("record_id is not null").select("seed_id", "record_id").distinct()
+    return l.join(views.records(spark, d).select("record_id", "question"), "record_id", "left").select("seed_id", "record_id", "question")
+
+
 # Prompts
 
 
@@ -642,6 +695,18 @@ def q_pipeline_echo(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("tranche", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def q_runner_echo(spark: SparkSession, d: str) -> DataFrame:
+    """Three tranches of planned tasks through the whole loop with an echo generator: what each tranche did."""
+    import uuid
+
+    s = views.seeds(spark, d)
+    t = views.tasks(spark, d).select("task_key", "seed_id", text.model_key("model_name").alias("model_name"), text.strip("route_mode").alias("route_mode"), "extension_family", "transform_type", "level", F.when(~F.isnan("priority"), F.col("priority")).alias("priority"))
+    folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    out = runner.run(spark, durable(t), durable(s.drop("model_name", "route_mode", "extension_family", "level")), durable(views.profiles(spark, d)), prompts.echo, folder, 10_000, 200, routing.ALLOW, max_tranches=3)
+    return spark.createDataFrame([(r["tranche"], r["total"], r["accepted"], r["stop_reason"]) for r in out], "tranche int, total long, accepted long, stop_reason string")
+
+
 @query("SELECT tranche, provider, count(*) AS n FROM responses GROUP BY 1, 2")
 def q_stream_telemetry(spark: SparkSession, d: str) -> DataFrame:
     """Counts kept by a stream over the responses, as they stand when all there is has been read."""

@@ -44,6 +44,20 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_document(df: DataFrame, path: str, key: str, most: int = 100_000) -> None:
+    """One JSON object on one line: key to the row's other columns. More than `most` rows are refused, since a document is one row."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows are no document")
+    rest = F.struct(*[c for c in df.columns if c != key])
+    entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), rest.alias("v"))))
+    df.groupBy().agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_lines(df: DataFrame, column: str, path: str) -> None:
+    """A text file of one column, for services that take request files."""
+    df.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_by(df: DataFrame, path: str, column: str) -> None:
     """One folder per value of a column, JSON lines inside."""
     df.withColumn("_part", safe_name(F.coalesce(F.col(column).cast("string"), F.lit("unknown")))).write.mode("overwrite").partitionBy("_part").option("ignoreNullFields", "false").json(path)
