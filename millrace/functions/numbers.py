@@ -56,11 +56,3 @@ def tier_of(p10: Column | str) -> Column:
     p = as_col(p10)
     return F.when(p.isNull(), F.lit(None).cast("string")).when(F.isnan(p), "C").when(p >= 0.82, "A").when(p >= 0.78, "B").otherwise("C")
 
-
-def min_max(x: Column | str) -> Column:
-    """Scaled to 0..1 over all rows: null to 0, all equal to 1. A window over the whole table, for tables of one row per key."""
-    from pyspark.sql import Window
-
-    v = as_col(x).cast("double")
-    low, high = F.min(v).over(Window.partitionBy(F.lit(1))), F.max(v).over(Window.partitionBy(F.lit(1)))
-    return F.when(v.isNull(), 0.0).when(high <= low, 1.0).otherwise((v - low) / (high - low))

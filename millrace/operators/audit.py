@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lexical import term_list, words_literal
+from millrace.functions.lexical import backtick_spans, identifier_tokens, term_list, words_literal
+from millrace.functions.text import as_col, text_key
 
 CLASSES = ("core", "allowed", "extension_candidate", "drift")
 
@@ -46,3 +47,16 @@ def roll_up(top: DataFrame, k: int) -> DataFrame:
     x = top.groupBy("class", "term").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("class").orderBy(F.desc("n"), "term")
     return x.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def pressure(classified: DataFrame, k: int = 20) -> DataFrame:
+    """(model_name, n): the k models with most uses of terms that their profile does not cover, ties by name."""
+    n = classified.filter(F.col("class").isin("extension_candidate", "drift")).groupBy("model_name").agg(F.sum("n").alias("n"))
+    return n.orderBy(F.desc("n"), "model_name").limit(k)
+
+
+def spelled_terms(text: Column | str) -> Column:
+    """Terms that are written as identifiers: back-ticked spans, single identifiers in brackets, and tokens with a hyphen; repeats included."""
+    brackets = F.transform(F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(r"\[\s*([A-Za-z_][A-Za-z0-9_\-]*\??)\s*\]"), F.lit(1)), F.lower)
+    hyphened = F.filter(F.transform(identifier_tokens(text), F.lower), lambda t: F.contains(t, F.lit("-")))
+    return F.concat(F.transform(backtick_spans(text), text_key), brackets, hyphened)

@@ -101,3 +101,8 @@ def report(matrix: DataFrame) -> DataFrame:
     x = x.withColumn("effective_capacity", F.bround(F.col("capacity_score") * (1 - F.col("dedup_risk")), 6))
     caps = [lerp_int(low, high, F.col("effective_capacity")).alias(n) for n, (low, high) in CAPS.items()]
     return x.select("model_name", "capacity_score", "dedup_risk", "effective_capacity", bucket(F.col("effective_capacity")).alias("capacity_bucket"), *caps)
+
+
+def top_models(capacities: DataFrame, k: int = 50) -> DataFrame:
+    """The k models of highest effective capacity, ties by name."""
+    return capacities.orderBy(F.desc("effective_capacity"), "model_name").limit(k)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.numbers import tier_of
 from millrace.functions.text import blank_to_null
 
 
@@ -44,3 +45,14 @@ def report(enriched: DataFrame, row: str = "record_id", debug: int = 25) -> tupl
     """(one row with matched, unmatched and conflicts; the first `debug` rows in conflict by id)."""
     n = enriched.agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"), F.count_if("conflict").alias("conflicts"))
     return n, enriched.filter("conflict").orderBy(row).limit(debug)
+
+
+def with_class_tier(examples: DataFrame, classes: DataFrame) -> DataFrame:
+    """examples with `tier` of their class: the given one in upper case, else computed from p10; unknown classes give null.
+
+    classes: class_id (each once), tier, p10. Spark broadcasts them while they are small.
+    """
+    side = classes.select("class_id", F.coalesce(F.upper(blank_to_null("tier")), tier_of("p10")).alias("_tier"))
+    x = examples.join(side, "class_id", "left")
+    own = F.coalesce(F.upper(blank_to_null("tier")), F.col("_tier")) if "tier" in examples.columns else F.col("_tier")
+    return x.withColumn("tier", own).drop("_tier")

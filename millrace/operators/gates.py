@@ -71,6 +71,7 @@ def nearest_class(vectors: DataFrame, centres: DataFrame, key: str, vector: str
         raise ValueError(f"more than {most} classes")
     kind = dict(centres.dtypes)[label]
     table = F.array(*[F.struct(F.lit(r[label]).cast(kind).alias("label"), F.array(*[F.lit(float(v)) for v in r["centre"]]).alias("c")) for r in sorted(rows, key=lambda r: r[label])])
+    table = table.cast(f"array<struct<label:{kind},c:array<double>>>")  # also without any class
     scores = F.transform(table, lambda t: F.struct(cosine(F.col(vector), t["c"]).alias("s"), t["label"].alias("label")))
     ok = F.filter(scores, lambda s: s["s"].isNotNull() & ~F.isnan(s["s"]))
     two = F.slice(F.reverse(F.array_sort(ok)), 1, 2)

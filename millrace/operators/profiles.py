@@ -83,3 +83,10 @@ def extension_summary(support: DataFrame, k: int = 100) -> DataFrame:
     order = [F.desc("support"), F.col("model_name"), F.col("family")]
     top = support.orderBy(*order).limit(k)
     return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def with_defaults(specific: Column, defaults: list[str]) -> Column:
+    """Default phrases, then the model's own, each once regardless of case."""
+    both = F.concat(F.array(*[F.lit(d) for d in defaults]), F.coalesce(specific, F.array().cast("array<string>")))
+    low = F.transform(both, F.lower)
+    return F.filter(both, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)

@@ -99,3 +99,26 @@ def generate(df: DataFrame, client, column: str = "prompt", attempts: int = 3) -
 
     schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", reply string, reply_error string"
     return df.mapInPandas(run, schema)
+
+
+def join_results(tasks: DataFrame, collected: DataFrame, key: str) -> DataFrame:
+    """Every task with the `reply` collected for it, NO_RESPONSE in `reply_error` where there is none or a blank one."""
+    side = collected.select(F.col("custom_id").alias("_id"), F.col("content").alias("_content")).dropDuplicates(["_id"])
+    x = tasks.join(side, tasks[key].cast("string") == side["_id"], "left")
+    reply = F.when(strip("_content") != "", F.col("_content"))
+    return x.select(*[tasks[c] for c in tasks.columns], reply.alias("reply"), F.when(reply.isNull(), "NO_RESPONSE").alias("reply_error"))
+
+
+def embed(df: DataFrame, client, column: str = "question", out: str = "embedding") -> DataFrame:
+    """df with the vector that a client, a callable list[str] -> list of vectors that workers can import, gives each text; null texts get null."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ask = [t for t in pdf[column] if isinstance(t, str)]
+            got = iter(client(ask) if ask else [])
+            yield pdf.assign(**{out: [list(map(float, next(got))) if isinstance(t, str) else None for t in pdf[column]]})
+
+    return df.mapInPandas(run, ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + f", `{out}` array<float>")

@@ -137,3 +137,15 @@ def widget_score(token: Column, n: Column) -> Column:
 
 def widget_candidates(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("score", widget_score(F.col("token"), F.col("n"))).filter("score >= 3")
+
+
+def fallback_summary(name: Column) -> Column:
+    """A sentence on the model from what core_of found, for sources without an info paragraph."""
+    part = lambda label, c, n: F.when(F.size(c) > 0, F.concat(F.lit(label), F.array_join(F.slice(c, 1, n), ", ")))
+    parts = F.filter(F.array(part("breeds ", "breeds", 4), part("procedures such as ", "procedures", 5), part("variables like ", "variables", 5), part("controls such as ", "widgets", 5)), lambda p: p.isNotNull())
+    return F.when(F.size(parts) > 0, F.concat(F.lit("The model "), name, F.lit(" has "), F.array_join(parts, "; "), F.lit("."))).otherwise(F.concat(F.lit("The model "), name, F.lit(" has no names that can be read from its source.")))
+
+
+def merged_widgets(*names: Column) -> Column:
+    """All names, distinct regardless of case with the first spelling kept, sorted."""
+    return sorted_names(first_seen(F.concat(*names)))

@@ -340,6 +340,11 @@ def q_audit_rollup(spark: SparkSession, d: str) -> DataFrame:
     return audit.roll_up(audit.top_terms(_audit(spark, d), 50), 100).select("class", "term", "n", "rank")
 
 
+@query(f"WITH {AUDIT} SELECT model_name, sum(n)::BIGINT AS n FROM classified WHERE class IN ('extension_candidate', 'drift') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def q_audit_pressure(spark: SparkSession, d: str) -> DataFrame:
+    return audit.pressure(_audit(spark, d))
+
+
 @query(f"""WITH {AUDIT}, e AS (SELECT DISTINCT model_name, record_id, left(coalesce(question, ''), 220) AS example, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL)
     SELECT model_name, term, record_id, example FROM e JOIN classified USING (model_name, term) WHERE class IN ('extension_candidate', 'drift') QUALIFY row_number() OVER (PARTITION BY model_name, term ORDER BY record_id, example) <= 3""")
 def q_audit_examples(spark: SparkSession, d: str) -> DataFrame:
@@ -552,19 +557,12 @@ NEAR = 0.985
 def q_gate3_near(spark: SparkSession, d: str) -> DataFrame:
     """Vectors admitted in order unless an admitted earlier one is at least NEAR similar."""
     e = table(spark, d, "embeddings")
-    size = len(e.filter("embedding is not null").select("embedding").first()[0])
+    some = e.filter("embedding is not null").select("embedding").first()
+    size = len(some[0]) if some else 1
     pairs = greedy.cosine_pairs(e, "vec_id", "embedding", NEAR, size)
     return greedy.admit_in_order(e, pairs, "vec_id")
 
 
-@query("""WITH e AS (SELECT a.vec_id AS earlier, b.vec_id AS later FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.6)
-    SELECT earlier, later FROM e""")
-def q_similar_vectors(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings")
-    size = len(e.filter("embedding is not null").select("embedding").first()[0])
-    return greedy.cosine_pairs(e, "vec_id", "embedding", 0.6, size).select("earlier", "later")
-
-
 # Logs, quotas, tranches
 
 EVENTS = """ev AS (SELECT r.response_id, r.tranche, r.model_name, r.seed_id, CASE WHEN j.task_key IS NULL THEN 'accepted' ELSE 'rejected' END AS status, j.reason FROM responses r LEFT JOIN (SELECT task_key, max(reason) AS reason FROM rejected WHERE task_key IS NOT NULL GROUP BY 1) j USING (task_key))"""

@@ -126,3 +126,22 @@ def test_nearest_class(spark):
     c = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "label int, centre array<double>")
     got = {r["i"]: r["reason"] for r in gates.nearest_class(v, c, "i").collect()}
     assert got == {1: None, 2: None, 3: "WRONG_CLASS_NEIGHBORHOOD", 4: "GATE1_BACKEND_ERROR", 5: "GATE1_BACKEND_ERROR"}
+
+
+def test_smaller_pieces(spark, rows):
+    from millrace.operators import audit, enrich, prompts
+
+    ex = spark.createDataFrame([("e", 1, None), ("f", 2, "b"), ("g", 9, None)], "id string, class_id int, tier string")
+    cl = spark.createDataFrame([(1, None, 0.79), (2, "a", 0.9)], "class_id int, tier string, p10 double")
+    assert rows(enrich.with_class_tier(ex, cl).select("id", "tier")) == [("e", "B"), ("f", "B"), ("g", None)]
+    one = spark.createDataFrame([("See `A b`, [foo-bar] and x-y.",)], "t string")
+    assert one.select(audit.spelled_terms("t")).first()[0] == ["a b", "foo-bar", "foo-bar", "x-y"]
+    assert one.select(profiles.with_defaults(F.array(F.lit("You Could"), F.lit("new")), ["you could", "extend"])).first()[0] == ["you could", "extend", "new"]
+    assert one.select(srcparse.merged_widgets(F.array(F.lit("b"), F.lit("A")), F.array(F.lit("a")))).first()[0] == ["A", "b"]
+    t = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    c = spark.createDataFrame([("1", "x"), ("2", " ")], "custom_id string, content string")
+    assert rows(prompts.join_results(t, c, "k")) == [(1, "x", None), (2, None, "NO_RESPONSE"), (3, None, "NO_RESPONSE")]
+    got = prompts.embed(spark.createDataFrame([("ab",), (None,)], "question string"), lambda xs: [[len(x), 1.0] for x in xs]).collect()
+    assert {r["question"]: r["embedding"] for r in got} == {"ab": [2.0, 1.0], None: None}
+    core = srcparse.core_of(spark.createDataFrame([("m", "to go\nend")], "name string, text string"), "text")
+    assert core.select(srcparse.fallback_summary(F.col("name"))).first()[0] == "The model m has procedures such as go."
