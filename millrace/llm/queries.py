@@ -189,8 +189,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_sample, p1_report, p2_found, p2_top, p4_found, p5_found, p5_reasons, p6_found, p6_groups, p7_found, p7_by_month, p8_ids, p9_mix, p9_report, p10_found, p10_composition)}
 
 
+_words = lambda x: f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
+_runs = lambda w: f"list_distinct([{w}[i] || ' ' || {w}[i + 1] || ' ' || {w}[i + 2] for i in range(1, len({w}) - 1)])"
+_blank = lambda x: f"coalesce(regexp_matches({x}, '[^\\s\\x0b\\x1c-\\x1f\\x85\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]'), false)"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": f"""
+            WITH rej AS (SELECT task_key, min(coalesce(tranche, 2147483647)) AS first FROM rejected WHERE task_key IS NOT NULL GROUP BY 1),
+            r AS (SELECT response_id, tranche, first, CASE WHEN {_blank('question')} THEN {_words('question')} END AS w FROM responses LEFT JOIN rej USING (task_key)),
+            acc AS (SELECT w, min(t) AS t FROM (SELECT {_words('question')} AS w, -1 AS t FROM records WHERE source IS DISTINCT FROM 'rejected_synth' AND {_blank('question')}
+                UNION ALL SELECT w, tranche FROM r WHERE first IS NULL AND w IS NOT NULL) GROUP BY 1),
+            a AS (SELECT w, t, len(s) AS n, unnest(s) AS s FROM (SELECT w, t, {_runs('w')} AS s FROM acc)), b AS (SELECT response_id, tranche, w, len(s) AS n, unnest(s) AS s FROM (SELECT response_id, tranche, w, {_runs('w')} AS s FROM r WHERE w IS NOT NULL)),
+            p AS (SELECT b.response_id, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM a JOIN b ON a.s = b.s AND a.t < b.tranche AND a.w <> b.w GROUP BY b.response_id, a.w),
+            near AS (SELECT DISTINCT response_id FROM p WHERE 100 * c >= 55 * (na + nb - c)),
+            k AS (SELECT r.response_id, CASE WHEN first < r.tranche THEN 'retried' WHEN acc.t < r.tranche THEN 'same' WHEN near.response_id IS NOT NULL THEN 'near' END AS kind
+                FROM r LEFT JOIN acc ON r.w = acc.w LEFT JOIN near ON r.response_id = near.response_id)
+            SELECT response_id, kind FROM k WHERE kind IS NOT NULL""",
+        "p6_found": f"""
+            WITH d AS (SELECT DISTINCT record_id, {_words("question || ' ' || answer")} AS w FROM records WHERE record_id IS NOT NULL AND {_blank('question')} AND {_blank('answer')}),
+            s AS (SELECT record_id, len(s) AS n, unnest(s) AS s FROM (SELECT record_id, {_runs('w')} AS s FROM d)),
+            p AS (SELECT a.record_id AS record_a, b.record_id AS record_b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM s a JOIN s b ON a.s = b.s AND a.record_id < b.record_id GROUP BY 1, 2)
+            SELECT record_a, record_b FROM p WHERE 2 * c >= na + nb - c""",
         "p2_found": """
             WITH b AS (SELECT seed_id, record_id, max(score) s FROM support_entries WHERE score IS NOT NULL AND record_id IS NOT NULL GROUP BY 1, 2),
             r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY s DESC, record_id) k, count(*) OVER (PARTITION BY seed_id) n FROM b)
