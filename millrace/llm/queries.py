@@ -85,8 +85,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     # One class per sequence of words, with the first tranche that made it accepted: copies never meet one by one.
     both = records.unionByName(asked).filter("key is not null").withColumn("id", F.xxhash64("key"))
     classes = durable(both.groupBy("id").agg(F.first("key").alias("key"), F.min("accepted").alias("accepted"), F.max("asked").alias("asked")))
-    strings = segments.letters(classes, segments.run_frequencies(classes.select("key")), NEAR_QUESTION).join(classes.drop("key"), "id")
-    met = segments.near_pairs(strings.filter("accepted is not null").drop("asked"), strings.filter("asked").select("id", "size", "runs", "segments"), NEAR_QUESTION)
+    order = segments.run_frequencies(classes.select("key"))
+    index = segments.letters(classes.filter("accepted is not null"), order, NEAR_QUESTION, ("accepted",))
+    met = segments.near_pairs(index, segments.letters(classes.filter("asked"), order, NEAR_QUESTION), NEAR_QUESTION)
     first_near = met.join(classes.select(F.col("id").alias("other"), "accepted"), "other").groupBy("id").agg(F.min("accepted").alias("near_from"))
     out = known.withColumn("id", F.xxhash64("key")).join(classes.select("id", F.col("accepted").alias("same_from")), "id", "left").join(first_near, "id", "left")
     kind = (

@@ -58,12 +58,14 @@ def overlap_needed(size_a: int, size_b: int, t: float) -> int:
     return math.ceil(t / (1 + t) * (size_a + size_b) - 1e-9)
 
 
-def letters(texts: DataFrame, frequencies: np.ndarray, t: float) -> DataFrame:
-    """Per text (id long, key string): its number of runs, the runs, and its leading letters, rarest first, that are segments.
+def letters(texts: DataFrame, frequencies: np.ndarray, t: float, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per text (id long, key string): its number of runs, the runs, and its leading letters, rarest first, that are segments; then the columns `keep`.
 
     Texts without a run give no row.
     """
     order = frequencies.tobytes()
+    kinds = dict(texts.dtypes)
+    schema = ", ".join([SCHEMA, *[f"`{c}` {kinds[c]}" for c in keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(order, np.int32)
@@ -75,11 +77,12 @@ def letters(texts: DataFrame, frequencies: np.ndarray, t: float) -> DataFrame:
             stored = n - np.ceil(t * n - 1e-9).astype(np.int64) + 1
             start = np.cumsum(n) - n
             lead = h[by][(np.arange(len(h)) - start[text]) < stored[text]]
-            keep = n > 0
-            ids = batch.column(0).filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n[keep], pa.int32()), long_lists(n[keep], h), long_lists(stored[keep], lead)], ["id", "size", "runs", "segments"])
+            some = n > 0
+            own = batch.filter(pa.array(some))
+            made = [own.column(0), pa.array(n[some], pa.int32()), long_lists(n[some], h), long_lists(stored[some], lead)]
+            yield pa.RecordBatch.from_arrays([*made, *own.columns[2:]], ["id", "size", "runs", "segments", *keep])
 
-    return texts.select("id", "key").mapInArrow(run, SCHEMA)
+    return texts.select("id", "key", *keep).mapInArrow(run, schema)
 
 
 def near_pairs(index: DataFrame, batch: DataFrame, t: float, when=None) -> DataFrame:
