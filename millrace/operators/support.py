@@ -2,7 +2,10 @@
 
 All seeds of one kind (model, class, level) score a record alike, and within a stratum (model, class, level,
 source) all records score alike and are told apart by their id only. So of each stratum only the first few ids
-can enter any pool, and pools are built per kind; a seed then drops its own records from its kind's pool.
+can enter any pool. A kind meets all strata of its own class, but of the other classes only the first ids per level
+and source: with k per stratum, the first 2 k of these hold k of other classes, whichever the kind's own is. A
+kind's work is thus the same however many records and classes its model has; a seed then drops its own records from
+its kind's pool.
 """
 
 from __future__ import annotations
@@ -10,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import durable
+
 # What counts how much.
 SAME_MODEL, SAME_CLASS, SAME_LEVEL = 50, 40, 5
 SOURCE_BONUS = {"corpus": 8, "seed": 3}
@@ -31,16 +36,24 @@ def support_pools(seeds: DataFrame, records: DataFrame, k: int = 12, sources: tu
     spare = own.groupBy("seed_id").agg(F.count_distinct("record_id").alias("n")).agg(F.max("n")).first()[0] or 0
     most = k + int(spare)
     stratum = Window.partitionBy("model_name", "class_id", "level", "source").orderBy("record_id")
-    lead = rec.withColumn("_r", F.row_number().over(stratum)).filter(F.col("_r") <= most).drop("_r")
+    # Read twice below and small: `most` rows a stratum.
+    lead = durable(rec.withColumn("_r", F.row_number().over(stratum)).filter(F.col("_r") <= most).drop("_r"))
     kinds = s.select("model_name", "class_id", "level").distinct().withColumn("kind", F.xxhash64("model_name", F.coalesce(F.col("class_id").cast("string"), F.lit("~")), F.coalesce("level", F.lit("~"))))
-    a, b = kinds.alias("a"), lead.alias("b")
+    first = Window.partitionBy("model_name", "level", "source").orderBy("record_id", "class_id")
+    others = lead.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= 2 * most).drop("_r")
     same_class = F.coalesce(F.col("a.class_id") == F.col("b.class_id"), F.lit(False))
     same_level = F.coalesce(F.col("a.level") == F.col("b.level"), F.lit(False))
     bonus = F.lit(0)
     for src, v in SOURCE_BONUS.items():
         bonus = F.when(F.col("b.source") == src, v).otherwise(bonus)
     score = F.lit(SAME_MODEL) + F.when(same_class, SAME_CLASS).otherwise(0) + F.when(same_level, SAME_LEVEL).otherwise(0) + bonus
-    x = a.join(b, F.col("a.model_name") == F.col("b.model_name")).select("a.kind", "b.record_id", "b.source", F.when(same_class, "same_class_same_model").otherwise("same_model").alias("relation"), score.alias("score"))
+
+    def scored(side: DataFrame, on) -> DataFrame:
+        met = kinds.alias("a").join(side.alias("b"), on)
+        return met.select("a.kind", "b.record_id", "b.source", F.when(same_class, "same_class_same_model").otherwise("same_model").alias("relation"), score.alias("score"))
+
+    same_model = F.col("a.model_name") == F.col("b.model_name")
+    x = scored(lead, same_model & (F.col("a.class_id") == F.col("b.class_id"))).unionByName(scored(others, same_model))
     best = x.groupBy("kind", "record_id").agg(F.max(F.struct("score", "source", "relation")).alias("m"))
     order = Window.partitionBy("kind").orderBy(F.desc("m.score"), "record_id")
     pool = best.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most)
