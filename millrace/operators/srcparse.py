@@ -29,9 +29,14 @@ def sections(text: Column | str) -> Column:
     return F.struct(at(1).alias("code"), at(2).alias("interface"), at(3).alias("info"), F.slice(parts, 4, 1_000_000).alias("extra"))
 
 
+def unix_lines(text: Column | str) -> Column:
+    """Each line end, of whatever kind, one line feed."""
+    return F.regexp_replace(as_col(text), r"\r\n?", "\n")
+
+
 def strip_comments(code: Column | str) -> Column:
-    """Everything from a semicolon to the line's end removed, but not inside quotes, which may span lines."""
-    return F.regexp_replace(F.coalesce(as_col(code), F.lit("")), r'("[^"]*(?:"|$))|;[^\n]*', "$1")
+    """Everything from a semicolon to the line's end removed, but not inside quotes, which may span lines. Line ends become line feeds."""
+    return F.regexp_replace(F.coalesce(unix_lines(code), F.lit("")), r'("[^"]*(?:"|$))|;[^\n]*', "$1")
 
 
 def found(code: Column, pattern: str, group: int = 1) -> Column:

@@ -241,6 +241,15 @@ def q_procedures(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", joined(srcparse.procedures(code)).alias("procedures"), F.length(code).cast("long").alias("code_chars"))
 
 
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g') AS code FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, array_to_string(regexp_extract_all(code, '(?mi)^\s*to(?:-report)?\s+([A-Za-z_][A-Za-z0-9_\-]*\??)', 1), '|') AS procedures, len(code)::BIGINT AS code_chars FROM t""")
+def q_procedures_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Procedures in all documents, whatever their line ends."""
+    t = table(spark, d, "documents").filter("text is not null")
+    code = srcparse.strip_comments("text")
+    return t.select("doc_id", joined(srcparse.procedures(code)).alias("procedures"), F.length(code).cast("long").alias("code_chars"))
+
+
 SOURCE = (
     'globals [ total-count max-age ]\nbreed [ cows cow ]\ncows-own [ energy hungry? ]\n; to ghost\nto setup\n  clear-all\n  let herd count cows\n  show "a; not a comment"\nend\n\n'
     'to-report mean-energy [ group ]\n  report mean [ energy ] of group\nend\n\nto go\n  ask cows [ graze-field grass-rate graze-field ]\n  tick\nend\n'
