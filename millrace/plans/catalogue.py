@@ -275,6 +275,20 @@ def q_unresolved(spark: SparkSession, d: str) -> DataFrame:
     return srcparse.widget_candidates(srcparse.unresolved(_source(spark), "name", "text", known)).select("name", "token", F.col("n").cast("int").alias("n"), "score")
 
 
+@query()
+def q_source_core_whole(spark: SparkSession, d: str) -> DataFrame:
+    """What the source parser reads from all documents; null texts give empty lists."""
+    x = srcparse.core_of(table(spark, d, "documents").select("doc_id", "text"), "text")
+    return x.select("doc_id", *[joined(F.col(c)).alias(c) for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals")], "summary")
+
+
+@query()
+def q_unresolved_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Widget candidates among the unresolved names of all documents."""
+    t = table(spark, d, "documents").select("doc_id", "text")
+    return srcparse.widget_candidates(srcparse.unresolved(t, "doc_id", "text")).select("doc_id", "token", "n", "score")
+
+
 # Profiles and audit
 
 

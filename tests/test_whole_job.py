@@ -1,11 +1,39 @@
 """Queries and operators pass over all rows and whole texts."""
 
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from millrace.operators import srcparse
+from millrace.plans import catalogue
 
 
 def test_old_line_ends(spark):
     texts = ["to a ; x\nend\nto b\nend", "to a ; x\r\nend\r\nto b\r\nend", "to a ; x\rend\rto b\rend"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(srcparse.procedures(srcparse.strip_comments("t")), F.length(srcparse.strip_comments("t"))).collect()
     assert {(tuple(r[0]), r[1]) for r in got} == {(("a", "b"), len("to a \nend\nto b\nend"))}
+
+
+def brute_core(text):
+    """The source parser's procedures and unresolved widget candidates as a loop."""
+    code = re.split(r"@#\$#@#\$#@", re.sub(r"\r\n?", "\n", text or ""))[0]
+    code = re.sub(r'("[^"]*(?:"|$))|;[^\n]*', lambda m: m.group(1) or "", code)
+    name = srcparse.ID
+    procs = re.findall(rf"(?mi)^\s*to(?:-report)?\s+({name})", code)
+    own = [n for b in re.findall(r"(?is)\bglobals\s*\[(.*?)\]", code) + re.findall(rf"(?is)\b{name}-own\s*\[(.*?)\]", code) for n in re.findall(name, b)]
+    local = re.findall(rf"(?i)\blet\s+({name})", code)
+    known = {n.lower() for n in procs + own + local} | set(srcparse.RESERVED)
+    left = Counter(t.lower() for t in re.findall(name, re.sub(r'"[^"]*"', " ", code)) if t.lower() not in known)
+    score = {t: 3 * ("-" in t) + 2 * t.endswith("?") + 2 * (n >= 2) + 2 * any(t.startswith(p) for p in srcparse.PREFIXES) + 2 * (t in ("vision", "visualization")) for t, n in left.items()}
+    return sorted(set(procs), key=lambda x: (x.lower(), x)), {(t, n, score[t]) for t, n in left.items() if score[t] >= 3}
+
+
+def test_source_queries_read_documents(spark, tmp_path):
+    texts = [(1, catalogue.SOURCE.split("breed")[0] + "to setup\n  set graze-rate max-age\n  show hidden-level\nend"), (2, None), (3, "globals [ a-b ]\rto go ; old-note\r  set a-b wolf-age? + wolf-age?\rend")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    q = catalogue.queries()
+    core = {r["doc_id"]: r["procedures"] for r in q["q_source_core_whole"](spark, str(tmp_path)).collect()}
+    assert core == {i: "|".join(brute_core(t)[0]) for i, t in texts}
+    left = {(r["doc_id"], r["token"], r["n"], r["score"]) for r in q["q_unresolved_whole"](spark, str(tmp_path)).collect()}
+    assert left == {(i, *x) for i, t in texts for x in brute_core(t)[1]} and len(left) >= 3
