@@ -106,19 +106,21 @@ def target_counts(total: int, shares: dict[str, float]) -> dict[str, int]:
     return out
 
 
-def select_tasks(tasks: DataFrame, total: int, targets: dict[str, dict[str, int]], key: str = "task_key", order: str = "priority", strict: bool = False, most: int = 5_000_000) -> DataFrame:
+def select_tasks(tasks: DataFrame, total: int, targets: dict[str, dict[str, int]], key: str = "task_key", order: str = "priority", strict: bool = False) -> DataFrame:
     """`total` tasks by priority under the quotas of several columns: four passes that give up family, then provider, then all quotas.
 
     A column's null, and a value without target, is free. strict leaves out the last pass. One admission changes
-    the counts that the next one sees, so this runs on the driver over (key, quota columns) of at most `most`
-    tasks; more tasks are refused with an error rather than cut. With a single quota use quota_cut, which runs
-    in the cluster.
+    the counts that the next one sees, so this runs on the driver, over the first `total` tasks of each
+    combination of what the quotas tell apart. That is exact: tasks of one combination fit or fail alike, so they
+    are taken in order, and at most `total` of them in all. Values without target are one. With a single quota
+    use quota_cut, which runs in the cluster.
     """
     dims = list(targets)
-    n = tasks.count()
-    if n > most:
-        raise ValueError(f"{n} tasks are more than the {most} that are selected on the driver")
-    rows = tasks.select(key, *dims).orderBy(F.desc_nulls_last(order), key).collect()
+    told = [F.when(F.col(d).isin(list(targets[d])), F.col(d)).alias(d) for d in dims]
+    by = [F.desc_nulls_last("_o"), F.col("_k")]
+    lead = tasks.select(F.col(key).alias("_k"), F.col(order).alias("_o"), *told)
+    lead = lead.withColumn("_n", F.row_number().over(Window.partitionBy(*dims).orderBy(*by))).filter(F.col("_n") <= total)
+    rows = lead.orderBy(*by).select("_k", *dims).collect()
     used: dict[str, Counter] = {d: Counter() for d in dims}
     chosen: list = []
     taken = [False] * len(rows)
@@ -131,7 +133,7 @@ def select_tasks(tasks: DataFrame, total: int, targets: dict[str, dict[str, int]
             if taken[i] or any(r[d] is not None and r[d] in targets[d] and used[d][r[d]] >= targets[d][r[d]] for d in held):
                 continue
             taken[i] = True
-            chosen.append((r[key], len(chosen) + 1))
+            chosen.append((r["_k"], len(chosen) + 1))
             for d in dims:
                 used[d][r[d]] += 1
     picked = tasks.sparkSession.createDataFrame(chosen, f"`{key}` {dict(tasks.dtypes)[key]}, selected long")

@@ -1,11 +1,12 @@
 """Queries and operators pass over all rows and whole texts."""
 
+import random
 import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from millrace.operators import srcparse
+from millrace.operators import planner, srcparse
 from millrace.plans import catalogue
 
 
@@ -37,3 +38,33 @@ def test_source_queries_read_documents(spark, tmp_path):
     assert core == {i: "|".join(brute_core(t)[0]) for i, t in texts}
     left = {(r["doc_id"], r["token"], r["n"], r["score"]) for r in q["q_unresolved_whole"](spark, str(tmp_path)).collect()}
     assert left == {(i, *x) for i, t in texts for x in brute_core(t)[1]} and len(left) >= 3
+
+
+def brute_selection(rows, total, targets, strict):
+    """The four passes as a loop over all tasks."""
+    dims = list(targets)
+    rows = sorted(rows, key=lambda r: (r["priority"] is None, -(r["priority"] or 0), r["task_key"]))
+    used, chosen = Counter(), []
+    for dropped in [[], ["extension_family"], ["extension_family", "provider_hint"], dims][: 3 if strict else 4]:
+        for r in rows:
+            if len(chosen) < total and r["task_key"] not in chosen and not any(r[d] in targets[d] and used[d, r[d]] >= targets[d][r[d]] for d in dims if d not in dropped):
+                chosen.append(r["task_key"])
+                used.update((d, r[d]) for d in dims)
+    return chosen
+
+
+def test_selection_brings_few_tasks_to_the_driver(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [{"task_key": f"t{i:04d}", "route_mode": r.choice("abc"), "extension_family": r.choice(["x", "y", None]), "provider_hint": r.choice("pq"), "priority": r.choice([None, *map(float, range(5))])} for i in range(600)]
+    df = spark.createDataFrame([tuple(x.values()) for x in rows], "task_key string, route_mode string, extension_family string, provider_hint string, priority double").cache()
+    targets = {"route_mode": {"a": 7, "b": 4}, "extension_family": {"x": 2}, "provider_hint": {"p": 9}}
+    collected = []
+    plain = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: collected.append(plain(self)) or collected[-1])
+    for total, strict in ((12, False), (30, True), (30, False), (590, False)):
+        collected.clear()
+        picked = planner.select_tasks(df, total, targets, strict=strict)
+        assert len(collected) == 1 and len(collected[0]) <= min(600, 12 * total)
+        assert [x["task_key"] for x in sorted(plain(picked), key=lambda x: x["selected"])] == brute_selection(rows, total, targets, strict)
+        if total == 12:
+            assert len(collected[0]) < 150
