@@ -63,6 +63,8 @@ COURTESY = re.compile(
 )
 #: Bytes that may be left over, beyond the mark and header of a frame, where one text is compressed with the other as dictionary: a frame like "You asked:" and altered marks.
 FRAME_BYTES, FRAME_SHARE = 24, 0.22
+#: Of the shorter text's own compressed size, the share that may be altered in a copy: about one word in twenty. Repetitive texts have a small one, however long they are.
+ALTERED_SHARE = 0.1
 #: Below this share of endings even a full stop does not count as one.
 RARE = 0.1
 _FULL_STOP = re.compile(r"[.!?][\"'”»)\]]*$")
@@ -112,7 +114,10 @@ def novelty(text: bytes, known: bytes) -> int:
     """Bytes that zstandard needs for text with known as dictionary, without the frame's own."""
     if len(known) < 8:
         return len(text)
-    d = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return _packed(text, zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+
+
+def _packed(text: bytes, d: zstandard.ZstdCompressionDict | None = None) -> int:
     out = zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress(text)
     return len(out) - 6 - 3
 
@@ -122,7 +127,11 @@ def is_copy(question: str, answer: str) -> bool:
     if len(q) < 12 or len(a) < 12:
         return q == a and len(q) > 0
     bound = FRAME_BYTES + FRAME_SHARE * min(len(q), 200) * 0.25
-    return novelty(a, q) <= bound and novelty(q, a) <= bound
+    new = novelty(a, q)
+    if new > max(bound, FRAME_BYTES + ALTERED_SHARE * min(len(q), len(a))):
+        return False  # no text packs to more than its bytes
+    new = max(new, novelty(q, a))
+    return new <= bound or new <= FRAME_BYTES + ALTERED_SHARE * min(_packed(q), _packed(a))
 
 
 _TOKEN = re.compile(r"`[^`\n]*`|[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|\n|[^\w\s]")
