@@ -42,7 +42,7 @@ def _logs(spark: SparkSession, folder: str, kind: str) -> DataFrame:
         return spark.createDataFrame([], LOG + ", tranche int")
 
 
-def run(spark: SparkSession, tasks: DataFrame, seeds: DataFrame, profiles: DataFrame, generate: Callable[[DataFrame], DataFrame], folder: str, target: int, size: int, allow: list[str] = (), max_tranches: int = 1000) -> list[dict]:
+def run(spark: SparkSession, tasks: DataFrame, seeds: DataFrame, profiles: DataFrame, generate: Callable[[DataFrame], DataFrame], folder: str, target: int, size: int, allow: list[str] = (), max_tranches: int | None = None) -> list[dict]:
     """Runs tranches until `target` rows are accepted, no task is left, or a tranche's rates pass a limit; returns their summaries.
 
     generate adds `reply` to the rows it gets. Everything a tranche did is written before the next begins, and a
@@ -52,7 +52,7 @@ def run(spark: SparkSession, tasks: DataFrame, seeds: DataFrame, profiles: DataF
     accepted, rejected = _logs(spark, folder, "accepted"), _logs(spark, folder, "rejected")
     number = max([r[0] + 1 for x in (accepted, rejected) for r in x.select("tranche").distinct().collect()], default=0)
     have = accepted.count()
-    while have < target and len(out) < max_tranches:
+    while have < target and (max_tranches is None or len(out) < max_tranches):
         done = accepted.select("task_key").unionByName(rejected.select("task_key"))
         left = telemetry.unseen(tasks, done, "task_key")
         picked = durable(telemetry.pick_tranche(left, min(size, 2 * (target - have)), [F.col("priority").desc_nulls_last(), F.col("task_key")]))

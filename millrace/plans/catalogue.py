@@ -716,15 +716,31 @@ def q_pipeline_echo(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("tranche", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _to_run(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    t = views.tasks(spark, d).select("task_key", "seed_id", text.model_key("model_name").alias("model_name"), text.strip("route_mode").alias("route_mode"), "extension_family", "transform_type", "level", F.when(~F.isnan("priority"), F.col("priority")).alias("priority"))
+    return t, views.seeds(spark, d).drop("model_name", "route_mode", "extension_family", "level")
+
+
+@query()
+def q_pipeline_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All tasks in one pass through seed, prompt, echo generator and the gates of reply, vocabulary and duplicates: how many end where."""
+    t, s = _to_run(spark, d)
+    p = durable(views.profiles(spark, d))
+    full = durable(prompts.prompts(runner.attach(t, s), p))
+    gated = runner.gate(prompts.echo(full.filter("prompt_error is null")), p, routing.ALLOW, None)
+    ends = gated.select("route_mode", F.coalesce("reason", F.lit("ACCEPTED")).alias("outcome"))
+    ends = ends.unionByName(full.filter("prompt_error is not null").select("route_mode", F.col("prompt_error").alias("outcome")))
+    return ends.groupBy("route_mode", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def q_runner_echo(spark: SparkSession, d: str) -> DataFrame:
-    """Three tranches of planned tasks through the whole loop with an echo generator: what each tranche did."""
+    """Tranches of planned tasks through the whole loop with an echo generator, until a limit is passed: what each tranche did."""
     import uuid
 
-    s = views.seeds(spark, d)
-    t = views.tasks(spark, d).select("task_key", "seed_id", text.model_key("model_name").alias("model_name"), text.strip("route_mode").alias("route_mode"), "extension_family", "transform_type", "level", F.when(~F.isnan("priority"), F.col("priority")).alias("priority"))
+    t, s = _to_run(spark, d)
     folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
-    out = runner.run(spark, durable(t), durable(s.drop("model_name", "route_mode", "extension_family", "level")), durable(views.profiles(spark, d)), prompts.echo, folder, 10_000, 200, routing.ALLOW, max_tranches=3)
+    out = runner.run(spark, durable(t), durable(s), durable(views.profiles(spark, d)), prompts.echo, folder, 10_000, 1000, routing.ALLOW)
     return spark.createDataFrame([(r["tranche"], r["total"], r["accepted"], r["stop_reason"]) for r in out], "tranche int, total long, accepted long, stop_reason string")
 
 

@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from millrace.operators import planner, srcparse
-from millrace.plans import catalogue
+from millrace.plans import catalogue, views
 
 
 def test_old_line_ends(spark):
@@ -68,3 +68,13 @@ def test_selection_brings_few_tasks_to_the_driver(spark, monkeypatch):
         assert [x["task_key"] for x in sorted(plain(picked), key=lambda x: x["selected"])] == brute_selection(rows, total, targets, strict)
         if total == 12:
             assert len(collected[0]) < 150
+
+
+def test_pipeline_takes_all_tasks(spark, monkeypatch):
+    d = "/root/testdata/sf0.001"
+    tasks = views.tasks(spark, d).count()
+    assert sum(r["n"] for r in catalogue.queries()["q_pipeline_whole"](spark, d).collect()) == tasks > 600
+    seen = []
+    monkeypatch.setattr(catalogue.runner, "run", lambda *a, **k: seen.append((a[6:8], k)) or [])
+    catalogue.queries()["q_runner_echo"](spark, d)
+    assert seen == [((10_000, 1000), {})]
