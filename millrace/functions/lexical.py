@@ -70,14 +70,17 @@ def sentences(x: Column | str) -> Column:
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
-def word_ngrams(x: Column | str, low: int = 2, high: int = 4) -> Column:
-    """Runs of low to high successive identifier tokens that are no stop words."""
+def word_ngrams(x: Column | str, low: int = 2, high: int = 4, keywords: list[str] | None = None) -> Column:
+    """Runs of low to high successive identifier tokens that are no stop words; with `keywords`, those that have one of them."""
     tokens = F.filter(F.transform(identifier_tokens(x), F.lower), lambda t: ~t.isin(STOPWORDS))
     none = F.array().cast("array<string>")
 
     def grams(t: Column, n: int) -> Column:
         # sequence(1, 0) counts down, so short lists are told apart first.
-        runs = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, F.lit(n)), " "))
+        runs = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.slice(t, i, F.lit(n)))
+        if keywords is not None:
+            runs = F.filter(runs, lambda g: F.arrays_overlap(g, words_literal(keywords)))
+        runs = F.transform(runs, lambda g: F.array_join(g, " "))
         return F.when(F.size(t) >= n, runs).otherwise(none)
 
     out = none
@@ -86,9 +89,11 @@ def word_ngrams(x: Column | str, low: int = 2, high: int = 4) -> Column:
     return out
 
 
-def quoted_phrases(x: Column | str, max_chars: int = 120, max_words: int = 5) -> Column:
-    """Keys of the phrases of one to max_words words in double quotes."""
-    spans = F.transform(F.regexp_extract_all(F.coalesce(as_col(x), F.lit("")), F.lit(f'"([^"\\n]{{1,{max_chars}}})"'), F.lit(1)), text_key)
+def quoted_phrases(x: Column | str, max_chars: int = 120, max_words: int = 5, single: bool = False) -> Column:
+    """Keys of the phrases of one to max_words words in double quotes, or with `single` in double or single quotes."""
+    pattern = f'"[^"\\n]{{1,{max_chars}}}"' + (f"|'[^'\\n]{{1,{max_chars}}}'" if single else "")
+    quoted = F.regexp_extract_all(F.coalesce(as_col(x), F.lit("")), F.lit(pattern), F.lit(0))
+    spans = F.transform(quoted, lambda q: text_key(F.substr(q, F.lit(2), F.length(q) - 2)))
     return F.filter(spans, lambda s: (s != "") & (F.size(F.split(s, " ")) <= max_words))
 
 

@@ -207,6 +207,14 @@ def q_ngrams(spark: SparkSession, d: str) -> DataFrame:
     return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
 
 
+@query(f"""WITH {S.LAST}, t AS (SELECT {S.tokens('question')} AS t FROM last), g AS (SELECT unnest(flatten([[array_to_string(t[i:i + n - 1], ' ') for i in range(1, len(t) - n + 2)] for n in [2, 3, 4]])) AS gram FROM t)
+    SELECT gram, count(*) AS n FROM g GROUP BY 1""")
+def q_ngrams_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All runs of words, rare ones too."""
+    g = views.records(spark, d).select(F.explode(lexical.word_ngrams("question")).alias("gram"))
+    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+
 PHRASES = ["switch is turned on", "which bends at tick", "random cells", "every tenth tick", "gives way"]
 
 
@@ -222,6 +230,13 @@ def q_quoted_phrases(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer")).alias("phrase"))
 
 
+@query(rf"""WITH x AS (SELECT response_id, unnest([{S.key("substr(p, 2, len(p) - 2)")} for p in regexp_extract_all(coalesce(answer, ''), '"[^"\n]{{1,120}}"|\x27[^\x27\n]{{1,120}}\x27')]) AS phrase FROM responses)
+    SELECT response_id, phrase FROM x WHERE phrase <> '' AND len(string_split(phrase, ' ')) <= 5""")
+def q_quoted_phrases_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Phrases in quotes of both kinds."""
+    return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer", single=True)).alias("phrase"))
+
+
 @query(f"""WITH {S.LAST}, {IDS}, {S.SEEDS}, e AS (SELECT record_id, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS place FROM ids),
     h AS (SELECT e.record_id, s.class_id AS c FROM e JOIN seeds s ON s.seed_id = e.id QUALIFY row_number() OVER (PARTITION BY e.record_id ORDER BY place) = 1)
     SELECT count(h.record_id) AS matched, count(*) - count(h.record_id) AS unmatched, count(*) FILTER (l.class_id <> h.c) AS conflicts FROM last l LEFT JOIN h USING (record_id)""")

@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from millrace.functions import lexical
 from millrace.operators import planner, srcparse
 from millrace.plans import catalogue, views
 
@@ -78,3 +79,10 @@ def test_pipeline_takes_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(catalogue.runner, "run", lambda *a, **k: seen.append((a[6:8], k)) or [])
     catalogue.queries()["q_runner_echo"](spark, d)
     assert seen == [((10_000, 1000), {})]
+
+
+def test_phrases_in_both_quotes_and_keywords(spark):
+    one = spark.createDataFrame([("Say \"One  Two\" or 'Slow Fox' but 'a b c d e f' never.",)], "t string")
+    assert one.select(lexical.quoted_phrases("t", single=True)).first()[0] == ["one two", "slow fox"]
+    assert one.select(lexical.quoted_phrases("t")).first()[0] == ["one two"]
+    assert one.select(lexical.word_ngrams(F.lit("slow fox runs far"), 2, 3, ["far"])).first()[0] == ["runs far", "fox runs far"]
