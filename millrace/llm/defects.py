@@ -63,7 +63,7 @@ COURTESY = re.compile(
 )
 #: Bytes that may be left over, beyond the mark and header of a frame, where one text is compressed with the other as dictionary: a frame like "You asked:" and altered marks.
 FRAME_BYTES, FRAME_SHARE = 24, 0.22
-#: Of the shorter text's own compressed size, the share that may be altered in a copy: about one word in twenty. Repetitive texts have a small one, however long they are.
+#: Of the shorter text's own compressed size, the share that may be altered in a copy. Repetitive texts have a small one, however long they are.
 ALTERED_SHARE = 0.1
 #: Below this share of endings even a full stop does not count as one.
 RARE = 0.1
