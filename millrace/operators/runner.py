@@ -14,7 +14,6 @@ from millrace.session import durable
 from millrace.sources import files
 
 LOG = "task_key string, seed_id string, model_name string, route_mode string, question string, answer string, reason string"
-OVERRIDES = ("route_mode", "extension_family", "transform_type", "template_id", "provider_hint", "support_record_id", "priority", "task_key")
 
 
 def attach(tasks: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -36,10 +35,10 @@ def gate(replied: DataFrame, profiles: DataFrame, allow: list[str], history: Dat
 
 
 def _logs(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    try:
-        return files.all_tranches(spark, folder, kind, LOG)
-    except Exception:  # noqa: BLE001  nothing has been written yet
+    """What was logged so far; only where no such log exists is it empty, any other failure to read is raised."""
+    if not files.exists(spark, f"{folder}/tranche_*/{kind}"):
         return spark.createDataFrame([], LOG + ", tranche int")
+    return files.all_tranches(spark, folder, kind, LOG)
 
 
 def run(spark: SparkSession, tasks: DataFrame, seeds: DataFrame, profiles: DataFrame, generate: Callable[[DataFrame], DataFrame], folder: str, target: int, size: int, allow: list[str] = (), max_tranches: int | None = None) -> list[dict]:
@@ -64,7 +63,7 @@ def run(spark: SparkSession, tasks: DataFrame, seeds: DataFrame, profiles: DataF
         cols = [c.split(" ")[0] for c in LOG.split(", ")]
         base = files.tranche_folder(folder, number)
         for kind, cond in (("accepted", "reason is null"), ("rejected", "reason is not null")):
-            files.write_jsonl(gated.filter(cond).select(*cols), f"{base}/{kind}")
+            files.write_jsonl(gated.filter(cond).select(*cols), f"{base}/{kind}", fresh=True)
         events = gated.select(F.lit(number).alias("tranche"), F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("status"), "reason")
         summary = telemetry.tranche_stops(events).first().asDict()
         spark.createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/summary")

@@ -39,9 +39,9 @@ def read_sources(spark: SparkSession, folder: str, pattern: str = "*.nlogo") ->
     return x.withColumn("model_name", model_key(stem)).withColumn("_r", F.row_number().over(last)).filter("_r = 1").select("model_name", "path", "text")
 
 
-def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
-    """JSON lines, explicit nulls kept; a folder of part files."""
-    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, append: bool = False, fresh: bool = False) -> None:
+    """JSON lines, explicit nulls kept; a folder of part files. fresh: what is there already is an error and stays as it is."""
+    df.write.mode("append" if append else "errorifexists" if fresh else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_document(df: DataFrame, path: str, key: str, most: int = 100_000) -> None:
@@ -68,6 +68,13 @@ def safe_name(x):
     return F.regexp_replace(F.regexp_replace(x, r"[^A-Za-z0-9._-]+", "_"), r"^_+|_+$", "")
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a pattern, by the file system that holds it; its failures are raised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def tranche_folder(base: str, number: int) -> str:
     return f"{base}/tranche_{number:03d}"
 

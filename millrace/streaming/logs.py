@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.numbers import q_hash, qa_hash
 from millrace.operators.dedup import gate_duplicates
+from millrace.sources.files import exists
 
 
 def read_stream(spark: SparkSession, path: str, schema, per_trigger: int = 1000) -> DataFrame:
@@ -49,10 +50,7 @@ def gate_stream(stream: DataFrame, pos: str, accepted: str, verdicts: str, check
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            history = spark.read.parquet(accepted).filter(F.col("batch") < number)
-        except Exception:  # noqa: BLE001  the first batch has no history yet
-            history = None
+        history = spark.read.parquet(accepted).filter(F.col("batch") < number) if exists(spark, f"{accepted}/batch=*") else None
         out = batch.withColumns({"_q": q_hash("question"), "_qa": qa_hash("question", "answer")})
         if history is not None:
             old = history.select("_q", F.col("_qa").alias("_old"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import config
 from millrace.operators import greedy, prompts, runner
+from millrace.sources import files
 from tests.test_planning import profile
 
 SEEDS = "seed_id string, model_name string, level string, tier string, route_mode string, extension_family string, question string, answer string"
@@ -39,6 +40,25 @@ def test_run_and_resume(spark, tmp_path, rows):
     assert rows(runner._logs(spark, str(tmp_path / "r"), "accepted").select("seed_id")) == [("S1",), ("S3",)]
 
 
+def test_unreadable_log_is_an_error_and_stays(spark, tmp_path):
+    log = tmp_path / "r" / "tranche_000" / "accepted"
+    log.mkdir(parents=True)
+    (log / "part-0.json.gz").write_bytes(b"no gzip at all")
+    s = seeds(spark).drop("model_name", "level", "route_mode", "extension_family")
+    with pytest.raises(Exception):
+        runner.run(spark, plan(spark), s, profile(spark), prompts.echo, str(tmp_path / "r"), 10, 1, [])
+    assert (log / "part-0.json.gz").read_bytes() == b"no gzip at all"
+
+
+def test_a_written_tranche_is_not_overwritten(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "a int")
+    files.write_jsonl(df, str(tmp_path / "t"), fresh=True)
+    with pytest.raises(Exception):
+        files.write_jsonl(df.limit(0), str(tmp_path / "t"), fresh=True)
+    assert spark.read.json(str(tmp_path / "t")).count() == 1
+    assert files.exists(spark, f"{tmp_path}/*") and not files.exists(spark, f"{tmp_path}/none_*/x")
+
+
 def brute(n, pairs):
     ok = {}
     for k in range(n):
