@@ -1,10 +1,10 @@
 """Defective pairs of question and answer, each with its defect.
 
 Copies are found by compression: question and answer are each compressed with the other as zstandard
-dictionary, and where neither leaves anything new but a frame, the answer is the question. Refusals and
-languages are told by dictionaries. Whether a text breaks off is told by its open structure (JSON, code
-blocks, brackets, list entries) and by a model of terminal contexts: how often, in all answers, a sentence or
-entry is over after the tokens that this text ends with.
+dictionary, and where neither leaves anything new but a frame, the answer is the question. Refusals are told
+by dictionaries of words, languages by scripts, function words and profiles of trigrams. Whether a text breaks
+off is told by its open structure (JSON, code blocks, brackets, list entries) and by a model of terminal
+contexts: how often, in all answers, a sentence or entry is over after the tokens that this text ends with.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice, repeat
 
 import pyarrow as pa
 import zstandard
@@ -21,63 +23,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.languages import _WEIGHT, language_of
+from millrace.llm.refusals import is_refusal
 
 DEFECTS = ("empty", "refusal", "copied_question", "truncated", "other_language")
 
 # What stands for no answer, without marks and in lower case.
 PLACEHOLDERS = set("none|null|nil|nan|n a|na|tbd|todo|empty|no answer|no response|no reply|not available|not applicable|answer|response|reply|antwort|keine antwort|leer|k a|respuesta|sin respuesta|vacío|ninguna|réponse|sans réponse|aucune réponse|vide|undefined|unknown|placeholder|xxx|lorem ipsum".split("|"))
 
-# What declines, in lower case; a sentence with one of them declines.
-REFUSALS = re.compile(
-    "|".join(
-        (
-            # English
-            r"\b(?:i|we)(?:'m| am| are|'re)? (?:(?:really|simply|just|also) )?(?:can't|cannot|can not|could not|couldn't|won't|will not|would not|wouldn't|unable|not able|not allowed|not permitted|not going|not comfortable|uncomfortable|do not feel|don't feel|must decline|have to decline|decline|refuse|will pass|would rather not|abstain|must refuse)\b",
-            r"\bi'd rather not\b|\brather not (?:reply|answer|say)",
-            r"\bnot possible for (?:me|us)\b|\bno way for (?:me|us)\b|\bimpossible for (?:me|us)\b",
-            r"\boutside what i may\b|\bbeyond what i (?:can|may)\b",
-            r"\bno answer (?:will|can) be (?:given|provided)\b|\brequest (?:was |is )?(?:not fulfilled|declined|denied|refused|rejected)\b",
-            r"^\W*(?:declined|refused|skip|skipped|skipping|pass)\b(?=\W|$)",
-            r"\bunable to (?:help|answer|say|comment|assist|comply)\b|\bcan(?:'t|not) (?:help|assist|answer|comply)\b",
-            # German
-            r"\b(?:kann|könnte|möchte|darf|werde|will) ich (?:\w+ ){0,3}?(?:nicht|nichts|keine)\b|\bich (?:kann|möchte|darf|werde|will) (?:\w+ ){0,4}?(?:nicht|nichts|keine)\b",
-            r"\b(?:lehne|muss) (?:ich )?(?:es |das |diese \w+ )?(?:leider )?(?:ab\b|ablehnen)|\bkeine auskunft\b|\bnicht (?:beantworten|helfen|antworten)\b|\bkeine antwort geben\b",
-            # Spanish
-            r"\bno (?:puedo|podemos|voy a|quiero|debo|me es posible|es posible para mí)\b|\bprefiero no\b|\b(?:debo|tengo que) (?:rechazar|declinar)\b|\bme niego\b|\brechazo (?:esta|esa|la)\b|\bdeclino\b",
-            # French
-            r"\bje ne (?:peux|puis|veux|souhaite|suis|vais|saurais)\b.*\b(?:pas|rien|en mesure|aider|répondre)\b|\bje ne (?:peux|puis|saurais)\b|\bm'est impossible\b|\bje (?:dois|préfère|refuse|décline)\b.*(?:décliner|refuser|ne pas|répondre|demande|parler)|\bje refuse\b",
-        )
-    )
-)
-# Polite openings and endings that tell nothing.
-COURTESY = re.compile(
-    "|".join(
-        (
-            r"^\W*(?:i'm |i am )?(?:so |very )?sorry\b[^.]{0,40}$|^\W*(?:my )?apologies\b.{0,30}$|^\W*i apologi[sz]e\b.{0,40}$|^\W*unfortunately\W*$|^\W*regrettably\W*$|^\W*(?:no|nein|non|yes|hello|hi|ok|okay)\W*$",
-            r"\bplease (?:ask|try|rephrase|contact|consult)\b|\btry (?:rephrasing|asking|again|another)\b|\bis there anything else\b|\blet me know if\b|\bhope you understand\b|\bmay want to (?:consult|ask|try)\b|\bthank(?:s| you) for\b.{0,40}$|\banything else (?:i can|you)\b|\bfeel free to\b|\bi must be honest\b.{0,5}$",
-            r"^\W*(?:es )?tut mir leid\W*$|\bbitte (?:stellen|fragen|haben sie verständnis|formulieren|versuchen)\b|\bhoffe auf ihr verständnis\b|^\W*leider\W*$",
-            r"^\W*lo siento\W*$|\bpor favor\b.{0,60}$|^\W*lamentablemente\W*$|\bespero que (?:lo )?(?:entienda|comprenda)\b",
-            r"^\W*(?:je suis )?désolée?\W*$|\bveuillez\b|\bj'espère que vous comprenez\b|^\W*malheureusement\W*$|^\W*je regrette\W*$|\bn'hésitez pas\b",
-        )
-    )
-)
 #: Bytes that may be left over, beyond the mark and header of a frame, where one text is compressed with the other as dictionary: a frame like "You asked:" and altered marks.
 FRAME_BYTES, FRAME_SHARE = 24, 0.22
 #: Of the shorter text's own compressed size, the share that may be altered in a copy. Repetitive texts have a small one, however long they are.
 ALTERED_SHARE = 0.1
+#: Letters of words that the question has not, for each byte they pack to, at most: no text of different words packs closer.
+LEAST_PACKED = 5
 #: Below this share of endings even a full stop does not count as one.
 RARE = 0.1
-_FULL_STOP = re.compile(r"[.!?][\"'”»)\]]*$")
+_FULL_STOP = re.compile(r"[.!?。！？][\"'”»)\]]*$")
 _TAG = re.compile(r"</?[A-Za-z][\w-]*\s*/?>")
 _WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-_SENTENCES = re.compile(r"(?<=[.!?])[\"')\]]*\s+|\n+")
+_LONGEST_PLACEHOLDER = max(len(p.split()) for p in PLACEHOLDERS)
 _LIST = re.compile(r"^\s*(?:[-*+•]|\d+[.)])(?=\s|$)")
 
 
 def _is_nothing(text: str) -> bool:
-    t = _TAG.sub(" ", text)
-    words = " ".join(_WORDS.findall(t.lower()))
-    return not words or words in PLACEHOLDERS
+    t = _TAG.sub(" ", text) if "<" in text else text
+    first = [m.group().lower() for m in islice(_WORDS.finditer(t), _LONGEST_PLACEHOLDER + 1)]
+    return not first or " ".join(first) in PLACEHOLDERS
 
 
 def _from_json(text: str):
@@ -91,21 +62,6 @@ def _from_json(text: str):
         return "broken", None
 
 
-def _sentences(text: str) -> list[str]:
-    return [s for s in (x.strip() for x in _SENTENCES.split(text)) if s]
-
-
-def is_refusal(text: str) -> bool:
-    """Every sentence declines or is a courtesy, and one declines."""
-    declines = False
-    for s in _sentences(text.lower().replace("’", "'")):
-        if REFUSALS.search(re.sub(r"`[^`]*`", "x", s)):
-            declines = True
-        elif not COURTESY.search(s) and _WORDS.search(s):
-            return False
-    return declines
-
-
 def _plain(text: str) -> bytes:
     return " ".join(_WORDS.findall(text.lower())).encode()
 
@@ -127,98 +83,120 @@ def is_copy(question: str, answer: str) -> bool:
     if len(q) < 12 or len(a) < 12:
         return q == a and len(q) > 0
     bound = FRAME_BYTES + FRAME_SHARE * min(len(q), 200) * 0.25
+    most = max(bound, FRAME_BYTES + ALTERED_SHARE * min(len(q), len(a)))  # no text packs to more than its bytes
+    if sum(map(len, set(a.split()).difference(q.split()))) > LEAST_PACKED * most:
+        return False
     new = novelty(a, q)
-    if new > max(bound, FRAME_BYTES + ALTERED_SHARE * min(len(q), len(a))):
-        return False  # no text packs to more than its bytes
+    if new > most:
+        return False
     new = max(new, novelty(q, a))
     return new <= bound or new <= FRAME_BYTES + ALTERED_SHARE * min(_packed(q), _packed(a))
 
 
 _TOKEN = re.compile(r"`[^`\n]*`|[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|\n|[^\w\s]")
+_FENCED = re.compile(r"```.*?(?:```|$)", re.S)
+#: Marks with a shape of their own; all others share one, so that the shapes are a closed set whatever the texts hold.
+MARKS = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~…–—•¿¡“”„«»’‘。！？、，")
+_ENDING_MARKS = set(".!?)\"")
+_BEGINNINGS = set("`\"'(¿")
+
+
+@lru_cache(65536)
+def _shape_of_word(token: str) -> str:
+    low = token.lower()
+    return low if low in _WEIGHT else "w"
 
 
 def _shape(token: str) -> str:
-    if token[0] == "`" and len(token) > 1:
+    c = token[0]
+    if c == "`" and len(token) > 1:
         return "ID"
-    if token[0].isdigit():
+    if c.isalpha():
+        return _shape_of_word(token)
+    if c.isdigit():
         return "N"
-    if token[0].isalpha():
-        low = token.lower()
-        return low if low in _WEIGHT else "w"
-    return token
+    return token if token in MARKS else "m"
 
 
-def contexts(text: str) -> Iterator[tuple[str, bool]]:
-    """(context, whether a sentence or entry is over there) after every token of the running text.
+def _line_shapes(line: str) -> tuple[str, list[str], list[str]]:
+    item = _LIST.match(line)
+    tokens = _TOKEN.findall(line[item.end() :] if item else line)
+    return "list" if item else "line", tokens, [_shape(t) for t in tokens]
+
+
+def contexts(text: str) -> tuple[list[tuple[str, str, str]], list[tuple[str, str, str]]]:
+    """(contexts after every token of the running text, those of them after which a sentence or entry is over).
 
     A context is the kind of line and the shapes of the last two tokens. A sentence is over before a line's end
     or before a new sentence that begins with a capital after . ! ? : and what closes them.
     """
-    for line in re.sub(r"```.*?(?:```|$)", "\n", text, flags=re.S).split("\n"):
-        kind = "list" if _LIST.match(line) else "line"
-        tokens = _TOKEN.findall(_LIST.sub("", line))
-        shapes = [_shape(t) for t in tokens]
-        for k, s in enumerate(shapes):
-            over = k + 1 == len(shapes) or (s in ".!?)\"" and (tokens[k + 1][0].isupper() or tokens[k + 1][0] in "`\"'(¿"))
-            yield f"{kind} {shapes[k - 1] if k else '^'} {s}", over
-
-
-#: Contexts that the model keeps, the most frequent ones: it is small for any corpus. Shapes make few of them.
-MAX_CONTEXTS = 20_000
+    seen, over = [], []
+    for line in (_FENCED.sub("\n", text) if "```" in text else text).split("\n"):
+        kind, tokens, shapes = _line_shapes(line)
+        if not shapes:
+            continue
+        own = list(zip(repeat(kind), ["^", *shapes], shapes, strict=False))
+        seen += own
+        over += [own[k] for k in range(len(own) - 1) if shapes[k] in _ENDING_MARKS and (tokens[k + 1][0].isupper() or tokens[k + 1][0] in _BEGINNINGS)]
+        over.append(own[-1])
+    return seen, over
 
 
 class Endings:
     """Share of all occurrences of a context at which a sentence or entry is over, backing off to the last token alone."""
 
-    def __init__(self, counts: list[tuple[str, int, int]]) -> None:
-        self.full = {c: (n, over) for c, n, over in counts}
-        self.last: dict[str, list[int]] = {}
-        for c, n, over in counts:
-            kind, _, s = c.split(" ", 2)
-            x = self.last.setdefault(f"{kind} {s}", [0, 0])
+    def __init__(self, counts: list[tuple[str, str, str, int, int]]) -> None:
+        self.full = {(kind, before, s): (n, over) for kind, before, s, n, over in counts}
+        self.last: dict[tuple[str, str], list[int]] = {}
+        for kind, _, s, n, over in counts:
+            x = self.last.setdefault((kind, s), [0, 0])
             x[0] += n
             x[1] += over
 
     def over(self, text: str) -> float:
-        at = None
-        for at, _ in contexts(text):  # noqa: B007
-            pass
-        if at is None:
+        for line in reversed(_FENCED.sub("\n", text).split("\n")):
+            kind, _, shapes = _line_shapes(line)
+            if shapes:
+                break
+        else:
             return 1.0
-        kind, _, s = at.split(" ", 2)
-        n1, o1 = self.last.get(f"{kind} {s}", (0, 0))
+        n1, o1 = self.last.get((kind, shapes[-1]), (0, 0))
         back = (o1 + 0.5) / (n1 + 1)
-        n2, o2 = self.full.get(at, (0, 0))
+        n2, o2 = self.full.get((kind, shapes[-2] if len(shapes) > 1 else "^", shapes[-1]), (0, 0))
         return (o2 + 4 * back) / (n2 + 4)
 
 
-def count_endings(answers: DataFrame) -> list[tuple[str, int, int]]:
-    """Counts of contexts over all whole texts (one string column); each text's own last token is left out, since it may be cut there."""
+def count_endings(answers: DataFrame) -> list[tuple[str, str, str, int, int]]:
+    """Counts of contexts over all whole texts (one string column); each text's own last token is left out, since it may be cut there.
+
+    Shapes are a closed set of function words, marks and three kinds, so there are never more contexts than
+    twice the square of their number (some 200,000), whatever the corpus; all of them are kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter = Counter()
+        over: Counter = Counter()
         for batch in batches:
-            n: Counter = Counter()
-            over: Counter = Counter()
             for t in batch.column(0).to_pylist():
                 if t:
-                    seen = list(contexts(t))[:-1]
-                    n.update(c for c, _ in seen)
-                    over.update(c for c, o in seen if o)
-            keys = list(n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([over[k] for k in keys], pa.int64())], ["context", "n", "over"])
+                    seen, ends = contexts(t)
+                    n.update(seen[:-1])
+                    over.update(ends[:-1])
+        keys = list(n)
+        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([n[k] for k in keys], pa.int64()), pa.array([over[k] for k in keys], pa.int64())], ["kind", "before", "last", "n", "over"])
+
+    got = answers.mapInArrow(run, "kind string, before string, last string, n long, over long").groupBy("kind", "before", "last").agg(F.sum("n").alias("n"), F.sum("over").alias("over"))
+    return sorted(tuple(r) for r in got.collect())
+
 
-    got = answers.mapInArrow(run, "context string, n long, over long").groupBy("context").agg(F.sum("n").alias("n"), F.sum("over").alias("over"))
-    return [tuple(r) for r in got.orderBy(F.desc("n"), "context").limit(MAX_CONTEXTS).collect()]
+_BRACKETS = re.compile(r"[()\[\]{}]")
+_CODE = re.compile(r"`[^`\n]*`")
 
 
 def _open_brackets(text: str) -> bool:
-    depth = Counter()
-    for c in re.sub(r"`[^`\n]*`", "", text):
-        if c in "([{":
-            depth[c] += 1
-        elif c in ")]}":
-            depth["([{"[")]}".index(c)]] -= 1
-    return any(v > 0 for v in depth.values())
+    depth = Counter(_BRACKETS.findall(_CODE.sub("", text)))
+    return depth["("] > depth[")"] or depth["["] > depth["]"] or depth["{"] > depth["}"]
 
 
 def is_truncated(text: str, endings: Endings) -> bool:
@@ -227,14 +205,14 @@ def is_truncated(text: str, endings: Endings) -> bool:
         return True
     if t.endswith("```"):
         return False
-    prose = re.sub(r"```.*?```", "\n", t, flags=re.S).rstrip()
+    prose = re.sub(r"```.*?```", "\n", t, flags=re.S).rstrip() if "```" in t else t
     line = prose.split("\n")[-1]
     item = _LIST.match(line)
     if item and not line[item.end() :].strip():
         return True  # a marker without its entry
     if _open_brackets(prose) or line.count("`") % 2:
         return True
-    if len(_TOKEN.findall(prose)) <= 3 and "\n" not in prose and prose[-1] not in ",;:–-…":
+    if len(list(islice(_TOKEN.finditer(prose), 4))) <= 3 and "\n" not in prose and prose[-1] not in ",;:–-…":
         return False  # a short answer needs no full stop
     if unicodedata.category(prose[-1]) in ("Pd", "Sm") or prose[-1] in ",;:…" or prose.endswith("..."):
         return True
@@ -254,7 +232,7 @@ def defect_of(question: str | None, answer: str | None, endings: Endings) -> str
             text = value["answer"] if isinstance(value["answer"], str) else json.dumps(value["answer"])
             if _is_nothing(text):
                 return "empty"
-    if is_refusal(text):
+    if is_refusal(text, question):
         return "refusal"
     if question and is_copy(question, text):
         return "copied_question"

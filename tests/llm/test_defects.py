@@ -31,10 +31,10 @@ def endings():
 
     n, o = Counter(), Counter()
     for t in texts:
-        for c, over in list(defects.contexts(t))[:-1]:
-            n[c] += 1
-            o[c] += over
-    return defects.Endings([(c, n[c], o[c]) for c in n])
+        seen, over = defects.contexts(t)
+        n.update(seen[:-1])
+        o.update(over[:-1])
+    return defects.Endings([(*c, n[c], o[c]) for c in n])
 
 
 @pytest.mark.parametrize("answer", SOUND)
@@ -61,3 +61,77 @@ def test_languages():
     assert language_of("Les renards du nord ne sont pas sur la carte.") == "fr"
     assert language_of("Los zorros del norte no están en el mapa.") == "es"
     assert language_of("`alpha`") is None and language_of(None) is None
+
+
+# Written for this test; none of them stands in the tables.
+DECLINED = [
+    "As an AI language model, I do not have access to that information.",
+    "I'm afraid that is something I have to leave unanswered.",
+    "This question falls outside my scope.",
+    "Sorry, no comment on this one.",
+    "It is against policy to reply to this.",
+    "Cannot provide details about it.",
+    "Answering this would go against my guidelines.",
+    "I don't have enough information to answer. Please try another question.",
+    "Dazu kann ich leider keine Angaben machen.",
+    "Das liegt außerhalb meines Aufgabenbereichs.",
+    "Ich muss diese Frage unbeantwortet lassen.",
+    "No dispongo de esa información.",
+    "Esta pregunta está fuera de mi alcance.",
+    "Cette question dépasse mes compétences.",
+    "Je n'ai pas le droit d'en parler.",
+    "Non posso rispondere a questa domanda.",
+    "Não posso ajudar com isso.",
+    "Ik kan deze vraag niet beantwoorden.",
+    "Я не могу ответить на этот вопрос.",
+    "抱歉，我无法回答这个问题。",
+]
+TOLD = [
+    "The foxes cannot answer the call of the hares.",
+    "It cannot help because `beta-cost` is zero.",
+    "No, the question of the hares does not change it.",
+    "We cannot see the hares because `vision` is low, so they starve.",
+    "The reporter does not provide details about energy.",
+    "Nothing else.",
+    "The hares refuse to move, and so the foxes starve within 12 ticks.",
+]
+
+
+@pytest.mark.parametrize("answer", DECLINED)
+def test_refusals_of_other_wording(answer, endings):
+    assert defects.defect_of(Q, answer, endings) == "refusal"
+
+
+@pytest.mark.parametrize("answer", TOLD)
+def test_denials_that_tell_something(answer, endings):
+    assert defects.defect_of(Q, answer, endings) is None
+
+
+FOREIGN = [
+    "Gli agenti si muovono a caso e perdono energia a ogni passo. Quando non ci sono lepri, le volpi muoiono.",
+    "As lebres comem a relva e as raposas caçam as lebres. Quando não há lebres, as raposas morrem.",
+    "Лисы охотятся на зайцев, пока не кончится энергия. Потом они умирают.",
+    "狐狸追逐野兔，直到能量耗尽。然后它们会死去。",
+    "キツネはウサギを追いかけます。エネルギーがなくなると死にます。",
+    "De vossen jagen op de hazen zolang er energie is, en daarna sterven zij.",
+    "Lisy polują na zające, gdy są głodne, i tracą energię z każdym krokiem.",
+    "Schafe fressen Gras.",
+]
+
+
+@pytest.mark.parametrize("answer", FOREIGN)
+def test_answers_in_further_languages(answer, endings):
+    assert defects.defect_of(Q, answer, endings) == "other_language"
+
+
+def test_short_texts_and_same_language():
+    assert [language_of(t) for t in ("Schafe fressen Gras.", "Sheep eat grass quickly.", "Los lobos cazan ovejas.", "energy", "12")] == ["de", "en", "es", None, None]
+    assert language_of("Лисы охотятся на зайцев.") == "cyrillic" and language_of("It uses the letter π for the angle.") == "en"
+
+
+def test_all_contexts_are_kept_and_their_number_is_bounded(spark):
+    marks = "".join(chr(c) for c in range(0x2500, 0x2600))
+    df = spark.createDataFrame([(f"The {m} fox {m}{m} waits. It",) for m in marks], "t string")
+    got = defects.count_endings(df)
+    assert {c[1] for c in got} | {c[2] for c in got} <= {"^", "the", "m", "w", ".", "it"}
+    assert sum(c[3] for c in got) == 256 * 7
