@@ -15,31 +15,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def apportion(cap: int, have: np.ndarray, weight: np.ndarray, ranked: bool = False) -> np.ndarray:
+def apportion(cap: int, have: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Slots of each stratum: at most have, in all min(cap, sum(have)).
 
-    Proportional (the default): largest remainder of cap by weight, equal remainders by position; slots beyond
-    what a stratum has are split again among the others until none is left. ranked: the weights are an order
-    of precedence, as if each weighed infinitely more than all after it, so that spare slots pass down.
+    Largest remainder of cap by weight, equal remainders by position; slots beyond what a stratum has are
+    split again among the others until none is left. Whole weights are divided without rounding.
     """
     have = np.asarray(have, np.int64)
     slots, left = np.zeros(len(have), np.int64), int(min(cap, have.sum()))
-    if ranked:
-        for k in np.argsort(-np.asarray(weight, float), kind="stable"):
-            slots[k] = min(left, have[k])
-            left -= slots[k]
-        return slots
     w = np.maximum(np.nan_to_num(np.asarray(weight, float)), 0)
+    whole = bool((w == np.floor(w)).all()) and w.sum() < 2**53
+    w = [int(x) for x in w] if whole else w.tolist()
     while left > 0:
         room = have - slots
-        open_ = room > 0
-        share = np.where(open_, w, 0.0)
-        if share.sum() <= 0:
-            share = open_.astype(float)
-        exact = left * share / share.sum()
-        give = np.floor(exact).astype(np.int64)
-        rest = left - give.sum()
-        give[np.lexsort((np.arange(len(have)), -(exact - give)))[:rest]] += 1
+        share = [x if r > 0 else 0 for x, r in zip(w, room.tolist(), strict=True)]
+        if sum(share) <= 0:
+            share = [int(r > 0) for r in room.tolist()]
+        total = sum(share)
+        give = np.array([int(left * x // total) for x in share], np.int64)
+        rest = [left * x % total if whole else left * x / total - g for x, g in zip(share, give.tolist(), strict=True)]
+        for k in sorted(range(len(rest)), key=lambda k: (-rest[k], k))[: left - int(give.sum())]:
+            give[k] += 1
         give = np.minimum(give, room)
         slots += give
         left -= int(give.sum())
@@ -54,14 +50,18 @@ def cap_per_contributor(
     cap: int | None = None,
     share: float | None = None,
     weight: Column | None = None,
-    ranked: bool = False,
+    best_first: bool = False,
     over_only: bool = False,
 ) -> DataFrame:
     """The rows of df that stay, all its columns, with `stratum_slots` and `stratum_rank` added.
 
     cap limits the number of items of each contributor; share limits it to that share of all rows (rounded
     down, at least 1). weight (default: the stratum's number of items) steers the split; it must be equal
-    within a stratum. order ranks the items of a stratum and must be total for a defined result. Rows of a
+    within a stratum. best_first: strata are bands of quality, the better the higher their weight, and the
+    split must keep the best of the contributor as a whole. Then the weights are taken from the histogram of
+    the bands: each counts with as many items as it has among the contributor's best `cap`. The split by
+    largest remainder comes out even with these, so it has no freedom: that is what the best ones mean. The
+    strata of a contributor must be few (topics, periods, bands), since one task splits them. order ranks the items of a stratum and must be total for a defined result. Rows of a
     null contributor are nobody's and all stay (with over_only they are left out, as are contributors within
     their cap). Null strata form one stratum. An empty table gives no rows.
     """
@@ -72,6 +72,10 @@ def cap_per_contributor(
     rows = df.withColumns({"_cap_stratum": stratum.cast("string"), "_cap_weight": weight.cast("double") if weight is not None else F.lit(None).cast("double")})
     own = rows.filter(F.col(contributor).isNotNull())
     counts = own.groupBy(contributor, "_cap_stratum").agg(F.count(F.lit(1)).alias("_cap_n"), F.max("_cap_weight").alias("_cap_w"))
+    if best_first:
+        earlier = Window.partitionBy(contributor).orderBy(F.col("_cap_w").desc_nulls_last(), "_cap_stratum").rowsBetween(Window.unboundedPreceding, -1)
+        better = F.coalesce(F.sum("_cap_n").over(earlier), F.lit(0))
+        counts = counts.withColumn("_cap_w", F.greatest(F.lit(0), F.least(F.col("_cap_n"), F.lit(cap) - better)).cast("double"))
     gathered = counts.groupBy(contributor).agg(F.sum("_cap_n").alias("_cap_all"), F.array_sort(F.collect_list(F.struct("_cap_stratum", "_cap_n", "_cap_w"))).alias("_cap_strata"))
     over = gathered.filter(F.col("_cap_all") > cap)
 
@@ -81,7 +85,7 @@ def cap_per_contributor(
             for who, strata in zip(pdf[contributor], pdf["_cap_strata"], strict=True):
                 n = np.array([x["_cap_n"] for x in strata])
                 w = np.array([np.nan if x["_cap_w"] is None else x["_cap_w"] for x in strata], float)
-                slots = apportion(cap, n, np.where(np.isnan(w), n, w), ranked)
+                slots = apportion(cap, n, np.where(np.isnan(w), n, w))
                 out += [(who, x["_cap_stratum"], int(k)) for x, k in zip(strata, slots, strict=True) if k]
             yield pd.DataFrame(out, columns=[contributor, "_cap_stratum", "_cap_slots"])
 

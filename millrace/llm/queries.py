@@ -56,13 +56,13 @@ def _capped(spark: SparkSession, d: str, **how) -> DataFrame:
     return cap.cap_per_contributor(t, "support_record_id", order=order, cap=CAP, **how)
 
 
-#: Width of a band of quality. The best band takes the cap first and passes its spare slots down, so what stays is the overall best.
-BAND = 0.25
+#: Width of a band of quality, and the bands on either side of 0 at most: what lies beyond shares the outermost band, where it is ranked like the rest.
+BAND, BANDS = 0.25, 64
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    band = F.floor(F.col("priority") / BAND)
-    return _capped(spark, d, stratum=band, weight=F.coalesce(band, F.lit(-(2**60))), ranked=True, over_only=True).select("support_record_id", "task_key")
+    band = F.least(F.greatest(F.floor(F.col("priority") / BAND), F.lit(-BANDS)), F.lit(BANDS))
+    return _capped(spark, d, stratum=band, weight=F.coalesce(band, F.lit(-BANDS - 1)), best_first=True, over_only=True).select("support_record_id", "task_key")
 
 
 def p7_by_month(spark: SparkSession, d: str) -> DataFrame:
@@ -227,4 +227,15 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT support_record_id, task_key, row_number() OVER (PARTITION BY support_record_id ORDER BY q DESC NULLS LAST, seed_id ASC NULLS LAST, task_key) k, count(*) OVER (PARTITION BY support_record_id) n
                   FROM l WHERE support_record_id IS NOT NULL)
             SELECT support_record_id, task_key FROM r WHERE n > 60 AND k <= 60""",
+        # Whole numbers only: 60 slots by the months' tasks, the rest to the largest remainders, equal ones by month.
+        "p7_by_month": """
+            WITH t AS (SELECT *, CASE WHEN isnan(priority) THEN NULL ELSE priority END q FROM planned_tasks WHERE task_key IS NOT NULL),
+            l AS (SELECT *, strftime(planned_at, '%Y-%m') AS month FROM t QUALIFY row_number() OVER (PARTITION BY task_key ORDER BY planned_at DESC NULLS LAST, q DESC NULLS LAST, seed_id DESC NULLS LAST, support_record_id DESC NULLS LAST) = 1),
+            c AS (SELECT support_record_id, month, count(*) AS n FROM l WHERE support_record_id IS NOT NULL GROUP BY 1, 2),
+            o AS (SELECT *, sum(n) OVER (PARTITION BY support_record_id) AS total FROM c QUALIFY total > 60),
+            f AS (SELECT *, 60 * n // total AS low, row_number() OVER (PARTITION BY support_record_id ORDER BY (60 * n) % total DESC, month ASC NULLS FIRST) AS place, 60 - sum(60 * n // total) OVER (PARTITION BY support_record_id) AS spare FROM o),
+            s AS (SELECT support_record_id, month, (low + CASE WHEN place <= spare THEN 1 ELSE 0 END)::BIGINT AS slots FROM f),
+            r AS (SELECT support_record_id, month, task_key, row_number() OVER (PARTITION BY support_record_id, month ORDER BY q DESC NULLS LAST, seed_id ASC NULLS LAST, task_key) AS k FROM l)
+            SELECT r.support_record_id, r.task_key, r.month, s.slots AS stratum_slots, r.k::INT AS stratum_rank FROM r JOIN s ON r.support_record_id = s.support_record_id AND r.month IS NOT DISTINCT FROM s.month WHERE r.k <= s.slots
+            UNION ALL SELECT support_record_id, task_key, month, NULL, NULL FROM l WHERE support_record_id IS NULL OR support_record_id NOT IN (SELECT support_record_id FROM o)""",
     }

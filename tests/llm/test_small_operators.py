@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import pytest
@@ -42,17 +43,16 @@ def test_top_n_nan_and_empty(spark, rows):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 30), st.floats(0, 9)), min_size=1, max_size=8), st.integers(0, 60), st.booleans())
-def test_apportion(strata, limit, ranked):
+@given(st.lists(st.tuples(st.integers(0, 30), st.floats(0, 9)), min_size=1, max_size=8), st.integers(0, 60))
+def test_apportion(strata, limit):
     have = np.array([h for h, _ in strata])
-    got = cap.apportion(limit, have, np.array([w for _, w in strata]), ranked)
+    got = cap.apportion(limit, have, np.array([w for _, w in strata]))
     assert (got <= have).all() and (got >= 0).all() and got.sum() == min(limit, have.sum())
 
 
 def test_apportion_shares_and_spare_slots():
     assert cap.apportion(10, [100, 100, 100], np.array([5, 3, 2])).tolist() == [5, 3, 2]
     assert cap.apportion(10, [1, 100, 100], np.array([5, 3, 2])).tolist() == [1, 5, 4]
-    assert cap.apportion(10, [4, 100, 100], np.array([3, 2, 1]), ranked=True).tolist() == [4, 6, 0]
 
 
 def _cap_frame(spark):
@@ -67,7 +67,7 @@ def order():
 def test_cap_by_bands_is_the_overall_best(spark, rows):
     data, df = _cap_frame(spark)
     band = F.floor(F.col("q") / 0.5)
-    got = rows(cap.cap_per_contributor(df, "who", band, order(), cap=60, weight=F.coalesce(band, F.lit(-1000)), ranked=True, over_only=True).select("who", "task"))
+    got = rows(cap.cap_per_contributor(df, "who", band, order(), cap=60, weight=F.coalesce(band, F.lit(-1000)), best_first=True, over_only=True).select("who", "task"))
     best = sorted((x for x in data if x[0] == "hot"), key=lambda x: (x[2] is None, -(x[2] or 0), x[1]))[:60]
     assert got == sorted((("hot", x[1]) for x in best), key=str)
 
@@ -113,8 +113,44 @@ def test_sample_matches_shares(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.tuples(st.sampled_from("ab"), st.sampled_from("xyz")), st.integers(0, 40), min_size=1), st.integers(0, 90))
 def test_allocation_is_whole_and_possible(leaves, n):
-    got = proportions.allocate(leaves, [{"a": 0.7, "b": 0.3}, {"x": 0.5, "y": 0.5}], [{"b": 4}, {"y": 3}], n)
-    assert sum(got.values()) == min(n, sum(leaves.values())) and all(0 <= got[k] <= leaves[k] for k in leaves)
+    got, moved = proportions.allocate(leaves, [{"a": 0.7, "b": 0.3}, {"x": 0.5, "y": 0.5}], [{"b": 4}, {"y": 3}], n)
+    assert 0 <= moved and sum(got.values()) == min(n, sum(leaves.values())) and all(0 <= got[k] <= leaves[k] for k in leaves)
+
+
+def test_the_tree_meets_targets_without_moving_rows():
+    r = random.Random(3)
+    leaves = {(a, b, c): r.choice([3, 40, 700, 9000]) for a in "pqrs" for b in "xyz" for c in "uvw"}
+    targets = [{"p": 0.5, "q": 0.24, "r": 0.18, "s": 0.08}, {"x": 0.3, "y": 0.25, "z": 0.45}, {"u": 0.55, "v": 0.25, "w": 0.2}]
+    n = sum(leaves.values()) // 10
+    got, moved = proportions.allocate(leaves, targets, [{}, {}, {}], n)
+    assert moved <= n // 100
+    for d in (0, 1, 2):
+        for c, share in targets[d].items():
+            assert abs(sum(v for k, v in got.items() if k[d] == c) - n * share) <= 2
+
+
+def test_allocation_is_near_the_best_one():
+    r = random.Random(5)
+    for _ in range(20):
+        leaves = {(a, b): r.randint(0, 5) for a in "ab" for b in "xy"}
+        targets, n = [{"a": 0.7, "b": 0.3}, {"x": 0.5, "y": 0.5}], r.randint(1, 8)
+        n = min(n, sum(leaves.values()))
+        err = lambda q: sum(abs(sum(v for k, v in q.items() if k[d] == c) - n * s) for d in (0, 1) for c, s in targets[d].items())  # noqa: B023, E731
+        best = min((err(dict(zip(leaves, x, strict=True))) for x in product(*[range(v + 1) for v in leaves.values()]) if sum(x) == n), default=0)
+        assert err(proportions.allocate(leaves, targets, [{}, {}], n)[0]) <= best + 1e-9
+
+
+def test_largest_remainder_divides_whole_weights_exactly():
+    assert cap.apportion(60, np.array([7, 100, 313]), np.array([7, 100, 313])).tolist() == [1, 14, 45]
+    assert cap.apportion(10, np.array([1, 50, 50]), np.array([8.0, 1.0, 1.0])).tolist() == [1, 5, 4]
+    assert cap.apportion(3, np.array([5, 5, 5]), np.zeros(3)).tolist() == [1, 1, 1]
+
+
+def test_rank_with_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(draw, "BUCKET_ROWS", 10)
+    df = spark.range(5000).select(F.lit("a").alias("g"), F.col("id").alias("i"))
+    got = [x["i"] for x in draw.permuted_prefix(df, "g", F.col("i"), {"a": 1234}, 7).collect()]
+    assert len(set(got)) == len(got) == 1234
 
 
 def test_water_fill():
