@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.languages import FUNCTION_WORDS, language_of
+from millrace.llm.languages import FUNCTION_WORDS, by_function_words
 
 #: Labelled documents that the model is fitted on, at most, chosen by a seeded hash; all documents are classified.
 MAX_LABELLED = 2_000
@@ -41,6 +41,7 @@ _CODE_LINE = re.compile(r"^\s{2,}(?:;|let |set |ask |if |ifelse |diffuse |tick\b
 _ENDS = re.compile(r"[.!?…。？！][\"'”»)\]]*$")
 _SPLIT = re.compile(r"(?<=[.!?。])[\"'”»)\]]*\s+(?=\S)")
 _IDENT = re.compile(r"`[^`\n]*`?|\b\w+(?:-\w+){2,}\b|\d+")
+_MARKED = re.compile(r"[`\d]|-\w+-")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
@@ -69,9 +70,14 @@ def running_sentences(text: str | None) -> tuple[list[str], dict[str, float]]:
     return out, seen | {"heading": float(heads > 0), "paragraphs": float(paragraphs)}
 
 
+def words_in(text: str) -> list[list[str]]:
+    """The words of every line, without identifiers and numbers."""
+    return [_WORD.findall(_IDENT.sub(" ", x) if _MARKED.search(x) else x) for x in text.lower().replace("’", "'").split("\n")]
+
+
 def terms(sentence: str) -> list[str]:
-    """Words and pairs of neighbouring words, without identifiers and numbers, each once."""
-    words = _WORD.findall(_IDENT.sub(" ", sentence.lower().replace("’", "'")))
+    """Words and pairs of neighbouring words, each once."""
+    words = words_in(sentence)[0]
     return list(dict.fromkeys(words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]))
 
 
@@ -95,6 +101,7 @@ class Model:
         self.vocabulary = {t: i for i, t in enumerate(kept)}
         v, k = len(kept), len(self.subjects)
         self.weights = np.zeros((v, k + 1))
+        self._look_up()
         doc, ids, lens, lang = [], [], [], []
         for i, d in enumerate(docs):
             for own, language in d:
@@ -145,33 +152,62 @@ class Model:
         flat = np.full(k + 1, 0.6 / k)
         flat[0] = 0.4
         self.prior = np.log(flat)
-
-    def sentence_subjects(self, sentences: list[str]) -> np.ndarray:
-        """(sentences, 1 + subjects) probabilities, none first."""
-        out = np.tile(self.prior, (len(sentences), 1))
-        for i, s in enumerate(sentences):
-            known = [j for t in terms(s) if (j := self.vocabulary.get(t)) is not None]
-            if known:
-                out[i] += self.weights[known].sum(axis=0)
+        self._look_up()
+
+    def _look_up(self) -> None:
+        """The terms that tell subjects apart, by first word; all others have no weight."""
+        used = np.flatnonzero(self.weights.any(axis=1))
+        place = {int(v): i for i, v in enumerate(used)}
+        self.rows = self.weights[used]
+        self.words: dict[str, int] = {}
+        self.pairs: dict[str, dict[str, int]] = {}
+        for t, v in self.vocabulary.items():
+            if v in place:
+                first, _, second = t.partition(" ")
+                if second:
+                    self.pairs.setdefault(first, {})[second] = place[v]
+                else:
+                    self.words[first] = place[v]
+
+    def _known(self, words: list[str]) -> set[int]:
+        own = set(words)
+        found = {self.words[w] for w in own & self.words.keys()}
+        begin = own & self.pairs.keys()
+        if begin:
+            for first, second in zip(words, words[1:], strict=False):
+                if first in begin and second in self.pairs[first]:
+                    found.add(self.pairs[first][second])
+        return found
+
+    def sentence_subjects(self, docs: list[list[str]]) -> np.ndarray:
+        """(sentences of all documents, 1 + subjects) probabilities, none first."""
+        ids: list[int] = []
+        lens: list[int] = []
+        for sentences in docs:
+            if not sentences:
+                continue
+            for line in words_in("\n".join(sentences)):
+                known = self._known(line)
+                ids += known
+                lens.append(len(known))
+        out = np.tile(self.prior, (len(lens), 1))
+        if ids:
+            out += _sums(np.repeat(np.arange(len(lens)), lens), self.rows[ids], len(lens))
         out = np.exp(out - out.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
 
     # Documents
 
-    def features(self, text: str | None, source: str | None) -> np.ndarray:
-        sentences, seen = running_sentences(text)
-        n = len(sentences)
-        share = (self.sentence_subjects(sentences) > 0.5).sum(axis=0)[1:] / n if n else np.zeros(len(self.subjects))
-        x = np.concatenate(
-            [
-                np.clip((share - SHARE) * 12, -3, 3),
-                (share >= SHARE - 1e-9) * 2.0,
-                [np.sort(share)[::-1][: 3].sum() if n else 0.0, np.log1p(n) / 2, float(n == 0), seen["code"], seen["heading"], seen["markup"], np.log1p(seen["paragraphs"])],
-                [float(source == s) for s in self.sources],
-                [1.0],
-            ]
-        )
-        return x
+    def features(self, cut: list[tuple[list[str], dict[str, float]]], sources: list[str | None]) -> np.ndarray:
+        """One row per document; cut: what running_sentences gives of each."""
+        k = len(self.subjects)
+        n = np.array([len(x) for x, _ in cut], np.int64)
+        deals = (self.sentence_subjects([x for x, _ in cut]) > 0.5)[:, 1:].astype(float)
+        share = _sums(np.repeat(np.arange(len(cut)), n), deals, len(cut)) / np.maximum(n, 1)[:, None]
+        top = np.sort(share, axis=1)[:, max(0, k - 3) :].sum(axis=1)
+        seen = np.array([[x["code"], x["heading"], x["markup"], np.log1p(x["paragraphs"])] for _, x in cut])
+        source = np.array([[float(s == own) for own in self.sources] for s in sources]).reshape(len(cut), len(self.sources))
+        return np.concatenate([np.clip((share - SHARE) * 12, -3, 3), (share >= SHARE - 1e-9) * 2.0, np.stack([top, np.log1p(n) / 2, (n == 0).astype(float)], axis=1), seen, source, np.ones((len(cut), 1))], axis=1)
 
     def _own(self, x: np.ndarray, before: np.ndarray, j: int) -> np.ndarray:
         """What the j-th classifier sees: its subject's share, the strongest other, structure and source, and the subjects decided before it."""
@@ -215,7 +251,7 @@ class Model:
     def predict(self, texts: list[str | None], sources: list[str | None]) -> np.ndarray:
         if not texts:
             return np.zeros((0, len(self.subjects)), np.int8)
-        return self.decode(np.stack([self.features(t, s) for t, s in zip(texts, sources, strict=True)]))
+        return self.decode(self.features([running_sentences(t) for t in texts], sources))
 
 
 def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -244,15 +280,17 @@ def fit(texts: list[str | None], sources: list[str | None], labels: list[set[str
     named = [s for s in sources if s]
     model.sources = sorted({s for s in named if named.count(s) >= 20})
     # Shares of labelled documents must look like those of unseen ones, so each is made by a model that has not seen it.
-    docs = [[(terms(s), language_of(s)) for s in running_sentences(t)[0]] for t in texts]
+    cut = [running_sentences(t) for t in texts]
+    docs = [[(terms(s), by_function_words(s)) for s in x] for x, _ in cut]
     fold = np.arange(len(docs)) % FOLDS
-    x: list = [None] * len(docs)
+    x = np.zeros((len(docs), 2 * len(subjects) + 8 + len(model.sources)))
     for f in range(FOLDS):
-        model.fit_terms([d for d, g in zip(docs, fold, strict=True) if g != f], y[fold != f])
-        for i in np.flatnonzero(fold == f):
-            x[i] = model.features(texts[i], sources[i])
+        held = np.flatnonzero(fold == f)
+        if len(held):
+            model.fit_terms([d for d, g in zip(docs, fold, strict=True) if g != f], y[fold != f])
+            x[held] = model.features([cut[i] for i in held], [sources[i] for i in held])
     model.fit_terms(docs, y)
-    model.fit_chain(np.stack(x) if x else np.zeros((0, 2 * len(subjects) + 8 + len(model.sources))), y)
+    model.fit_chain(x, y)
     return model
 
 
@@ -274,6 +312,7 @@ def subjects_of(documents: DataFrame, labels: DataFrame, subjects: list[str], ke
     """
     model = fit(*labelled_sample(documents, labels, key, text, source, most), subjects)
     spark = documents.sparkSession
+    del model.vocabulary, model.weights  # what tells subjects apart is in the look-up
     sent = spark.sparkContext.broadcast(model)  # at most MAX_TERMS terms with a weight per subject
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
