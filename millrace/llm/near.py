@@ -1,20 +1,24 @@
 """Pairs of texts that share at least a given part of their runs of three words.
 
 Multi-index Hamming join. A text's signature has SYMBOLS symbols of 16 bits (b-bit minwise hashes of its
-runs), of which 16 chunks of 5 are indexed and all give a sketch of one bit each. Every chunk is looked up
-with one error allowed, by enumerating the five ways to leave a symbol out. By the pigeonhole principle every
-pair whose indexed symbols differ in at most 31 of 80 places meets; pairs that differ in more meet in most
-cases as well (similarity 0.5: 96 %, 0.55: 99.1 %, 0.6: 99.9 %). What meets is held against the sketch
-distance and, at the end, exactly against the runs.
-
-Equal texts are one class and are compared once; classes are known by the hash of their words. Keys travel as
-packed arrays, one record per batch and partition, and are joined by sorting inside a partition. A key that
-more than HOT classes share is not paired there but block by block, in tasks of its own.
+runs), of which CHUNKS chunks of WIDTH are indexed and all give a sketch of one bit each. Every chunk is looked
+up with ERRORS errors allowed, by enumerating the ways to leave that many symbols out. By the pigeonhole
+principle every pair whose indexed symbols differ in at most RADIUS of all places meets. A pair of similarity s
+differs in (1 - s) of them in the mean, so of the pairs at 0.5 exactly 82 % are within the radius, at 0.55 93 %
+and at 0.6 98 %; beyond it pairs still meet in most cases (at 0.5 98.4 % of all do). What meets is held against
+the sketch distance and, at the end, exactly against the runs.
+
+Equal texts are one class and are compared once; classes are known by the hash of their words. The join runs in
+parts: a chunk's keys are grouped by the first symbol that they keep, so that a text stands in three parts of a
+chunk however many there are, and a part holds TEXTS_PER_PART texts in the mean. Keys travel as packed arrays.
+Symbols and keys that very many texts share are found on a sample beforehand; such a symbol's keys are spread
+by the whole key, and what such a key holds is not gathered but paired block by block, in tasks of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +28,22 @@ from pyspark.sql import functions as F
 from millrace.llm.shingles import RUN, class_id, distinct_runs, mix64, runs_of, words_of
 from millrace.session import durable
 
-CHUNKS, WIDTH = 16, 5
-KEYS = CHUNKS * WIDTH
-SYMBOLS = 128  # the first KEYS are indexed; all of them are in the sketch
+CHUNKS, WIDTH, ERRORS = 6, 5, 2
+INDEXED = CHUNKS * WIDTH
+#: Indexed symbols that may differ for a pair to meet surely.
+RADIUS = CHUNKS * (ERRORS + 1) - 1
+#: The symbols that each key of a chunk keeps, grouped by the first of them.
+_KEPT = list(combinations(range(WIDTH), WIDTH - ERRORS))
+_GROUPS = [[k for k, kept in enumerate(_KEPT) if kept[0] == first] for first in range(ERRORS + 1)]
+SYMBOLS = 128  # the first INDEXED are indexed; all of them are in the sketch
 #: Sketch bits that may differ. A pair of similarity s differs in (1 - s) / 2 of them in the mean: 32 at 0.5, with a standard deviation of 4.9.
 SKETCH_BITS = 43
 HOT = 8192
-#: Texts that a partition of the join holds in the mean.
-TEXTS_PER_PART = 1_000_000
+#: Texts that a part of the join holds in the mean. A symbol or key of more than CROWD of that is spread beforehand.
+TEXTS_PER_PART = 100_000
+CROWD = 0.25
+#: Texts of a symbol or key at the limit that the sample holds in the mean, and texts that a task packs at once.
+SEEN, FLUSH_TEXTS = 64, 32_768
 #: Fixed size of the filter over the classes in candidate pairs: 2^23 bits (1 MB), whatever the input.
 FILTER_BITS = 23
 _rng = np.random.default_rng(20240229)
@@ -49,21 +61,20 @@ def signatures(words: list[list[str]]) -> np.ndarray:
 
 
 def chunk_keys(symbols: np.ndarray, chunk: int) -> np.ndarray:
-    """(texts, WIDTH) keys of a chunk, each of all its symbols but one."""
+    """(texts, len(_KEPT)) keys of a chunk, each of all its symbols but ERRORS."""
     part = symbols[:, chunk * WIDTH : (chunk + 1) * WIDTH].astype(np.uint64)
-    out = np.empty((len(part), WIDTH), np.uint64)
-    for leave in range(WIDTH):
-        h = np.full(len(part), chunk * WIDTH + leave + 1, np.uint64)
-        for k in range(WIDTH):
-            if k != leave:
-                h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + part[:, k])
-        out[:, leave] = h
+    out = np.empty((len(part), len(_KEPT)), np.uint64)
+    for at, kept in enumerate(_KEPT):
+        h = np.full(len(part), chunk * len(_KEPT) + at + 1, np.uint64)
+        for k in kept:
+            h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + part[:, k])
+        out[:, at] = h
     return out
 
 
 def sketches(symbols: np.ndarray) -> np.ndarray:
-    """(texts, SYMBOLS / 64) words of 64 bits."""
-    return np.packbits((symbols & 1).astype(np.uint8), axis=1).view(np.uint64)
+    """(texts, SYMBOLS / 32) words of 32 bits."""
+    return np.packbits((symbols & 1).astype(np.uint8), axis=1).view(np.uint32)
 
 
 def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[list[str]]]:
@@ -90,30 +101,102 @@ def class_ids(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, id long")
 
 
-def _index(split: int):
-    """Packed records (part, classes, sketches, 32-bit keys, class of each key)."""
+def _symbol_code(symbols: np.ndarray, chunk: int, first: int) -> np.ndarray:
+    """One number per text for its first kept symbol and the place of it."""
+    return symbols[:, chunk * WIDTH + first].astype(np.int64) + ((chunk * (ERRORS + 1) + first) << 16)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, symbols) of the distinct classes of about `size` texts at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        ids, words = _texts(batch)
+        if len(ids):
+            held.append((ids, signatures(words)))
+        if sum(len(i) for i, _ in held) >= size:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held = []
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _crowds(texts: DataFrame, rows: int, split: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbol codes, keys) that more than CROWD * TEXTS_PER_PART texts share, as a sample tells.
+
+    They only decide where work is done, never what is found. There are fewer of them than parts, whatever
+    the number of texts, times the number of symbols and keys of a text.
+    """
+    if split == 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    part = min(1.0, SEEN * split / CROWD / rows)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, symbols in _packed(batches, FLUSH_TEXTS):
+            codes = [_symbol_code(symbols, c, f) for c in range(CHUNKS) for f in range(ERRORS + 1)]
+            keys = [chunk_keys(symbols, c).reshape(-1).view(np.int64) for c in range(CHUNKS)]
+            for is_key, values in ((False, codes), (True, keys)):
+                v, n = np.unique(np.concatenate(values), return_counts=True)
+                if is_key:
+                    v, n = v[n > 1], n[n > 1]  # a crowd of a task's share is never alone there
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), is_key)), pa.array(v), pa.array(n)], ["is_key", "v", "n"])
+
+    sample = texts.sample(part, 1) if part < 1 else texts
+    seen = sample.coalesce(max(1, split // 8)).mapInArrow(count, "is_key boolean, v long, n long").groupBy("is_key", "v").agg(F.sum("n").alias("n"))
+    found = seen.filter(F.col("n") >= CROWD * TEXTS_PER_PART * part).select("is_key", "v").collect()
+    codes = np.array(sorted(r["v"] for r in found if not r["is_key"]), np.int64)
+    keys = np.sort(np.array([r["v"] for r in found if r["is_key"]], np.int64).view(np.uint64))
+    return codes, keys
+
+
+def _inside(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    if not len(among):
+        return np.zeros(values.shape, bool)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return among[at] == values
+
+
+def _index(split: int, codes: np.ndarray, crowded: np.ndarray):
+    """Packed records (part, classes, sketches, 32-bit keys of each class in turn); crowded keys are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = _texts(batch)
-            if not len(ids):
-                continue
-            symbols = signatures(keys)
+        for ids, symbols in _packed(batches, FLUSH_TEXTS):
             sketch = sketches(symbols)
             rows: list[tuple] = []
+
+            def put(part: np.ndarray, who: np.ndarray, keys: np.ndarray) -> None:
+                order = np.argsort(part, kind="stable")
+                cuts = np.flatnonzero(np.diff(part[order])) + 1
+                for at in np.split(order, cuts):  # noqa: B023
+                    if len(at):
+                        rows.append((int(part[at[0]]), ids[who[at]].tobytes(), sketch[who[at]].tobytes(), keys[at].astype(np.uint32).tobytes()))  # noqa: B023
+
+            for c in range(CHUNKS):
+                keys = chunk_keys(symbols, c)
+                for f, group in enumerate(_GROUPS):
+                    base = (c * len(_GROUPS) + f) * 2 * split
+                    code = _symbol_code(symbols, c, f)
+                    spread = _inside(code, codes)
+                    calm = np.flatnonzero(~spread)
+                    put(base + (mix64(code[calm].view(np.uint64)) % np.uint64(split)).astype(np.int64), calm, keys[np.ix_(calm, group)])
+                    busy = np.flatnonzero(spread)
+                    for k in group if len(busy) else []:
+                        own = keys[busy, k]
+                        rest = ~_inside(own, crowded)
+                        put(base + split + (own[rest] >> np.uint64(32)).astype(np.int64) % split, busy[rest], own[rest][:, None])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 4)]], ["part", "ids", "sketch", "keys"])
+
+    return run
+
+
+def _members(crowded: np.ndarray):
+    """(bucket, id) of every class and crowded key that it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, symbols in _packed(batches, FLUSH_TEXTS):
             for c in range(CHUNKS):
-                k = chunk_keys(symbols, c)
-                part = (k >> np.uint64(32)) % np.uint64(split)
-                for s in range(split):
-                    hit = part == s
-                    who = np.flatnonzero(hit.any(axis=1))
-                    if len(who):
-                        place = np.zeros(len(ids), np.uint32)
-                        place[who] = np.arange(len(who))
-                        at, _ = np.nonzero(hit)
-                        own = place[at].astype(np.uint16 if len(who) <= 65536 else np.uint32)
-                        rows.append((c * split + s, ids[who].tobytes(), sketch[who].tobytes(), (k[hit] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), own.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5)]], ["part", "ids", "sketch", "keys", "own"])
+                keys = chunk_keys(symbols, c)
+                at, which = np.nonzero(_inside(keys, crowded))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at, which].view(np.int64)), pa.array(ids[at])], ["bucket", "id"])
 
     return run
 
@@ -128,12 +211,12 @@ def _join(bits: int, hot: int):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py() if table.num_rows else 0
         ids, sketch, keys, own, base = [], [], [], [], 0
-        for i, s, k, o in zip(*[table.column(c).to_pylist() for c in ("ids", "sketch", "keys", "own")], strict=True):
+        for i, s, k in zip(*[table.column(c).to_pylist() for c in ("ids", "sketch", "keys")], strict=True):
             n, m = len(i) // 8, len(k) // 4
             ids.append(np.frombuffer(i, np.int64))
-            sketch.append(np.frombuffer(s, np.uint64).reshape(n, -1))
+            sketch.append(np.frombuffer(s, np.uint32).reshape(n, -1))
             keys.append(np.frombuffer(k, np.uint32))
-            own.append(np.frombuffer(o, np.uint16 if len(o) == 2 * m else np.uint32).astype(np.int64) + base)
+            own.append(np.repeat(np.arange(base, base + n), m // n))
             base += n
         ids, sketch, keys, own = (np.concatenate(x) for x in (ids, sketch, keys, own))
         # The same class from several batches is one.
@@ -225,7 +308,7 @@ def _block_pairs(bits: int):
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         ids = table.column("id").to_numpy()
         own = table.column("own").to_numpy()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(len(ids), -1)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b = [], []
         for x in left.tolist():
@@ -240,13 +323,13 @@ def _block_pairs(bits: int):
     return run
 
 
-def _hot_pairs(texts: DataFrame, hot: DataFrame, block: int, bits: int) -> DataFrame:
-    """All close pairs within hot keys: a key's classes are cut into blocks, and every two blocks are a task of their own.
+def _hot_pairs(texts: DataFrame, members: DataFrame, block: int, bits: int) -> DataFrame:
+    """All close pairs within hot keys (bucket, id): a key's classes are cut into blocks, and every two blocks are a task of their own.
 
     Nothing is left out, whatever the key's size; the work of a key grows with the square of its classes, spread
     over tasks of at most about 2 * block classes. Only pairs whose sketches are close are put out.
     """
-    members = hot.select(F.col("a").alias("bucket"), F.col("b").alias("id")).distinct()
+    members = durable(members.distinct())
     rows = texts.mapInArrow(_sketch_rows(_filter_of(members.select("id"))), "id long, sketch binary").dropDuplicates(["id"])
     blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).alias("n"))
     x = members.join(blocks, "bucket").join(rows, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")))
@@ -259,11 +342,17 @@ def candidate_pairs(texts: DataFrame, hot: int = HOT, bits: int = SKETCH_BITS, r
     """(a, b) with a < b: classes that meet in the index and whose sketches are close. texts: one text column."""
     n = texts.count() if rows is None else rows
     split = max(1, -(-n // TEXTS_PER_PART))
-    packed = texts.mapInArrow(_index(split), "part int, ids binary, sketch binary, keys binary, own binary")
+    codes, crowded = _crowds(texts, n, split)
+    packed = texts.mapInArrow(_index(split, codes, crowded), "part int, ids binary, sketch binary, keys binary")
+    # As many tasks as parts, so that a task's input stays the same when the table grows.
+    packed = packed.repartition(CHUNKS * len(_GROUPS) * split, "part")
     met = durable(packed.groupBy("part").applyInArrow(_join(bits, hot), "a long, b long, hot boolean"))
     pairs = met.filter("not hot").select("a", "b")
-    if met.filter("hot").limit(1).count():
-        pairs = pairs.unionByName(_hot_pairs(texts, met.filter("hot"), hot, bits))
+    many = [met.filter("hot").select(F.col("a").alias("bucket"), F.col("b").alias("id"))] if met.filter("hot").limit(1).count() else []
+    if len(crowded):
+        many.append(texts.mapInArrow(_members(crowded), "bucket long, id long"))
+    if many:
+        pairs = pairs.unionByName(_hot_pairs(texts, many[0] if len(many) == 1 else many[0].unionByName(many[1]), hot, bits))
     return pairs.distinct()
 
 
@@ -282,6 +371,25 @@ def _runs(mask: bytes):
     return run
 
 
+def record_pairs(pairs: DataFrame, members: DataFrame, expand: int | None) -> DataFrame:
+    """(record_a, record_b), record_a < record_b: the pairs of records that pairs of classes stand for.
+
+    members: id, record_id, copies and first (the class' number of records and least record). expand None is
+    the exact way: all pairs of copies, and all copies of one class with all of a class it is similar to. A
+    number bounds what a group of copies can put out: a class of more records is then shown by its first record,
+    and each of its other records stands in one pair with that one, so that membership is part of the result.
+    """
+    shown = members if expand is None else members.filter((F.col("copies") <= expand) | (F.col("record_id") == F.col("first")))
+    a, b = shown.select(F.col("id").alias("a"), F.col("record_id").alias("ra")), shown.select(F.col("id").alias("b"), F.col("record_id").alias("rb"))
+    out = pairs.select("a", "b").join(a, "a").join(b, "b").select("ra", "rb")
+    few = members.filter("copies > 1" if expand is None else F.col("copies").between(2, expand)).select("id", "record_id")
+    within = few.select("id", F.col("record_id").alias("ra")).join(few.select("id", F.col("record_id").alias("rb")), "id").filter("ra < rb")
+    out = out.unionByName(within.select("ra", "rb"))
+    if expand is not None:
+        out = out.unionByName(members.filter(F.col("copies") > expand).select(F.col("first").alias("ra"), F.col("record_id").alias("rb")))
+    return out.filter("ra <> rb").select(F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+
+
 def similar_classes(texts: DataFrame, threshold: float, hot: int = HOT, rows: int | None = None) -> DataFrame:
     """(a, b, similarity) of classes a < b whose distinct runs shared are at least `threshold` of those in either.
 

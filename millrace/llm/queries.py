@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from millrace.llm import cap, defects, mixing, near, proportions, segments, subj
 from millrace.llm.components import components
 from millrace.llm.shingles import has_text, word_key
 from millrace.llm.tasks import category, latest
-from millrace.session import durable
+from millrace.session import durable, shared_folder
 from millrace.sources.tables import table
 
 DIMS = ["route_mode", "tier", "provider_hint"]
@@ -75,27 +76,40 @@ NEAR_QUESTION = 0.55
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """The responses that are not new, by tranche, against records, earlier accepted responses and rejected tasks."""
+    """The responses that are not new, by tranche, against records, earlier accepted responses and rejected tasks.
+
+    The index is started from the records; then every tranche probes it and appends what it accepts.
+    """
     key = F.when(has_text("question"), word_key(F.col("question"))).alias("key")
     responses = table(spark, d, "responses").select("response_id", "task_key", F.col("tranche").cast("int").alias("tranche"), key)
     rejected = table(spark, d, "rejected").filter("task_key is not null").groupBy("task_key").agg(F.min(F.coalesce(F.col("tranche"), F.lit(2**31 - 1))).alias("first_rejected"))
-    known = responses.join(rejected, "task_key", "left")
-    records = table(spark, d, "records").filter(~F.col("source").eqNullSafe("rejected_synth")).select(key, F.lit(-1).alias("accepted"), F.lit(False).alias("asked"))
-    asked = known.select("key", F.when(F.col("first_rejected").isNull(), F.col("tranche")).alias("accepted"), F.lit(True).alias("asked"))
-    # One class per sequence of words, with the first tranche that made it accepted: copies never meet one by one.
-    both = records.unionByName(asked).filter("key is not null").withColumn("id", F.xxhash64("key"))
-    classes = durable(both.groupBy("id").agg(F.first("key").alias("key"), F.min("accepted").alias("accepted"), F.max("asked").alias("asked")))
-    order = segments.run_frequencies(classes.select("key"))
-    index = segments.letters(classes.filter("accepted is not null"), order, NEAR_QUESTION, ("accepted",))
-    met = segments.near_pairs(index, segments.letters(classes.filter("asked"), order, NEAR_QUESTION), NEAR_QUESTION)
-    first_near = met.join(classes.select(F.col("id").alias("other"), "accepted"), "other").groupBy("id").agg(F.min("accepted").alias("near_from"))
-    out = known.withColumn("id", F.xxhash64("key")).join(classes.select("id", F.col("accepted").alias("same_from")), "id", "left").join(first_near, "id", "left")
-    kind = (
-        F.when(F.col("first_rejected") < F.col("tranche"), "retried")
-        .when(F.col("key").isNotNull() & (F.col("same_from") < F.col("tranche")), "same")
-        .when(F.col("key").isNotNull() & (F.col("near_from") < F.col("tranche")), "near")
-    )
-    return out.select("response_id", kind.alias("kind")).filter("kind is not null")
+    known = responses.join(rejected.hint("merge"), "task_key", "left").withColumn("id", F.xxhash64("key"))
+    records = table(spark, d, "records").filter(~F.col("source").eqNullSafe("rejected_synth")).select(key).filter("key is not null")
+    history = durable(records.withColumn("id", F.xxhash64("key")).dropDuplicates(["id"]))
+    # Equal sequences of words are told by their hash; a sequence is accepted by the records or the first tranche that accepts it.
+    asked = known.filter("first_rejected is null and key is not null").select("id", F.col("tranche").alias("accepted"))
+    same = history.select("id", F.lit(-1).alias("accepted")).unionByName(asked).groupBy("id").agg(F.min("accepted").alias("same_from"))
+    x = known.join(same.hint("merge"), "id", "left")
+    has_key = F.col("key").isNotNull()
+    kind = F.when(F.col("first_rejected") < F.col("tranche"), "retried").when(has_key & (F.col("same_from") < F.col("tranche")), "same")
+    base = f"{shared_folder(spark)}/batches-{uuid.uuid4().hex}"
+    x = x.select("response_id", "tranche", "id", kind.alias("kind"), F.when(kind.isNull() & has_key & F.col("tranche").isNotNull(), F.col("key")).alias("key"), (F.col("first_rejected").isNull() & (F.col("same_from") == F.col("tranche"))).alias("accepted"))
+    x.repartition("tranche", F.pmod("id", F.lit(16))).write.partitionBy("tranche").parquet(f"{base}/tranches")
+    x = spark.read.schema("response_id long, id long, kind string, key string, accepted boolean, tranche int").parquet(f"{base}/tranches")
+
+    index = segments.SegmentIndex(spark, f"{base}/index", NEAR_QUESTION)
+    index.create(history)
+    tranches = sorted(r[0] for r in x.filter("key is not null").select("tranche").distinct().collect())  # a fixed number of batches
+    for n in tranches:
+        own = x.filter((F.col("tranche") == n) & F.col("key").isNotNull())
+        batch = durable(segments.strings(own.groupBy("id").agg(F.first("key").alias("key"), F.max("accepted").alias("accepted")), ("accepted",)))
+        near_ids = index.near_strings(batch).select("id").distinct()
+        own.select("response_id", "id").join(near_ids.hint("merge"), "id", "left_semi").select("response_id").write.mode("append").parquet(f"{base}/near")
+        if n != tranches[-1]:
+            index.append_strings(batch.filter("accepted"))
+    index.close(delete=True)
+    found = spark.read.schema("response_id long").parquet(f"{base}/near") if tranches else x.limit(0).select("response_id")
+    return x.filter("kind is not null").select("response_id", "kind").unionByName(found.withColumn("kind", F.lit("near")))
 
 
 def _defects(spark: SparkSession, d: str) -> DataFrame:
@@ -116,7 +130,7 @@ def p5_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 
 ALIKE = 0.5
-#: Copies of one text are paired with each other up to this number; beyond it, each with the first of them.
+#: Groups of more copies than this are shown by their first record (see near.record_pairs; None is the exact way). The SQL has the same rule.
 EXPAND = 100
 
 
@@ -134,25 +148,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pairs, members = _similar(spark, d)
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     members = durable(members.join(involved.withColumn("linked", F.lit(True)), "id", "left").filter("linked or copies > 1"))
-    shown = members.filter((F.col("copies") <= EXPAND) | (F.col("record_id") == F.col("first")))
-    a, b = shown.select(F.col("id").alias("a"), F.col("record_id").alias("ra")), shown.select(F.col("id").alias("b"), F.col("record_id").alias("rb"))
-    across = pairs.select("a", "b").join(a, "a").join(b, "b")
-    few = members.filter(F.col("copies").between(2, EXPAND)).select("id", "record_id")
-    within = few.select("id", F.col("record_id").alias("ra")).join(few.select("id", F.col("record_id").alias("rb")), "id").filter("ra < rb")
-    many = members.filter((F.col("copies") > EXPAND) & (F.col("record_id") != F.col("first"))).select(F.col("first").alias("ra"), F.col("record_id").alias("rb"))
-    out = across.select("ra", "rb").unionByName(within.select("ra", "rb")).unionByName(many).filter("ra <> rb")
-    return out.select(F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+    return near.record_pairs(pairs, members, EXPAND)
 
 
 def p6_groups(spark: SparkSession, d: str) -> DataFrame:
-    """(record_id, group_id, copies, links): each record with its group, the copies of its text and its links to other texts."""
+    """(record_id, group_id, copy_of, copies, links): each record with its group, the first record of its text, the copies of it and its links to other texts."""
     pairs, members = _similar(spark, d)
     groups = components(pairs)
     links = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     x = members.join(groups.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
     x = x.withColumn("component", F.coalesce("component", "id"))
     names = x.groupBy("component").agg(F.min("record_id").alias("group_id"))
-    return x.join(names, "component").select("record_id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    return x.join(names, "component").select("record_id", "group_id", F.col("first").alias("copy_of"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -210,9 +217,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT response_id, kind FROM k WHERE kind IS NOT NULL""",
         "p6_found": f"""
             WITH d AS (SELECT DISTINCT record_id, {_words("question || ' ' || answer")} AS w FROM records WHERE record_id IS NOT NULL AND {_blank('question')} AND {_blank('answer')}),
-            s AS (SELECT record_id, len(s) AS n, unnest(s) AS s FROM (SELECT record_id, {_runs('w')} AS s FROM d)),
-            p AS (SELECT a.record_id AS record_a, b.record_id AS record_b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM s a JOIN s b ON a.s = b.s AND a.record_id < b.record_id GROUP BY 1, 2)
-            SELECT record_a, record_b FROM p WHERE 2 * c >= na + nb - c""",
+            c AS (SELECT w, count(*) AS copies, min(record_id) AS first FROM d WHERE len(w) >= 3 GROUP BY 1),
+            m AS (SELECT record_id, w, copies, first FROM d JOIN c USING (w)),
+            s AS (SELECT w, len(s) AS n, unnest(s) AS s FROM (SELECT w, {_runs('w')} AS s FROM c)),
+            p AS (SELECT a.w AS wa, b.w AS wb FROM s a JOIN s b ON a.s = b.s AND a.w < b.w GROUP BY 1, 2 HAVING 2 * count(*) >= any_value(a.n) + any_value(b.n) - count(*)),
+            shown AS (SELECT * FROM m WHERE copies <= {EXPAND} OR record_id = first),
+            r AS (SELECT a.record_id AS ra, b.record_id AS rb FROM p JOIN shown a ON a.w = wa JOIN shown b ON b.w = wb
+                UNION SELECT a.record_id, b.record_id FROM m a JOIN m b ON a.w = b.w AND a.record_id < b.record_id WHERE a.copies <= {EXPAND} OR a.record_id = a.first)
+            SELECT DISTINCT least(ra, rb) AS record_a, greatest(ra, rb) AS record_b FROM r WHERE ra <> rb""",
         "p2_found": """
             WITH b AS (SELECT seed_id, record_id, max(score) s FROM support_entries WHERE score IS NOT NULL AND record_id IS NOT NULL GROUP BY 1, 2),
             r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY s DESC, record_id) k, count(*) OVER (PARTITION BY seed_id) n FROM b)

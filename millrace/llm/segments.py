@@ -1,4 +1,4 @@
-"""New batches held against all history by a segment index for edit distance.
+"""New batches held against all history by a stored segment index for edit distance.
 
 A question is taken as the string of its distinct runs of three words, rarest first. Two such sorted strings of
 distinct letters differ by insertions and deletions only, and their edit distance is the number of runs that
@@ -6,28 +6,37 @@ one has and the other has not. So a share t of common runs is the same as an edi
 (1 - t) / (1 + t) times the sum of the lengths: a bounded edit distance, and no approximation.
 
 For a bound of k edits a string is cut into k + 1 segments, of which one must come through unchanged: the k
-rarest letters, and what follows them. Only the segments that the largest bound of a length needs are stored,
-each with the string's length and the segment's position; a batch probes its own leading letters, and a hit counts only
-where lengths and positions leave room for the bound. Then the exact distance decides. A question enters the
-index once, whatever its repeats; appending reads nothing of what is stored.
+rarest letters, one each, and what follows them. A string of a given length has a fixed number of segments, that
+of the largest bound it can meet, and each is stored with the string's length and its position. A batch probes
+its own leading letters; a hit counts only where lengths and positions leave room for the bound, and then the
+exact distance decides.
+
+The index is kept in two bucketed tables, segments by letter and strings by id, so that neither is shuffled when
+a batch is held against it. A letter that very many strings lead with is salted: its strings are spread over
+several buckets and a batch probes all of them. A question enters the index once, whatever its repeats;
+appending reads nothing of what is stored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shingles import distinct_runs, long_lists, split_key
+from millrace.llm.shingles import distinct_runs, long_lists, mix64, split_key
+from millrace.session import durable
 
 #: Slots of the table of run frequencies that orders the letters: fixed size (1 MB), whatever the corpus. Runs that share a slot share a rank, which costs time and no result.
 SLOTS = 2**18
 _BLOCK = 4096
-SCHEMA = "id long, size int, runs array<long>, segments array<long>"
+#: Strings of the history that lead with a letter, for each of its salts.
+SALT_ROWS = 100_000
+#: Strings for each bucket of a new index.
+BUCKET_ROWS = 200_000
 
 
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,82 +62,126 @@ def run_frequencies(keys: DataFrame) -> np.ndarray:
     return np.minimum(out, 2**31 - 1).astype(np.int32)
 
 
-def overlap_needed(size_a: int, size_b: int, t: float) -> int:
-    """Common runs that strings of these lengths need for a share of t."""
-    return math.ceil(t / (1 + t) * (size_a + size_b) - 1e-9)
+def strings(texts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per text (id long, key string) with a run: id, size (number of distinct runs), runs, then the columns `keep`."""
+    kinds = dict(texts.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, h = distinct_runs([split_key(k) for k in batch.column(1).to_pylist()])
+            some = n > 0
+            own = batch.filter(pa.array(some))
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(n[some], pa.int32()), long_lists(n[some], h), *own.columns[2:]], ["id", "size", "runs", *keep])
 
+    schema = ", ".join(["id long, size int, runs array<long>", *[f"`{c}` {kinds[c]}" for c in keep]])
+    return texts.select("id", "key", *keep).mapInArrow(run, schema)
 
-def letters(texts: DataFrame, frequencies: np.ndarray, t: float, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per text (id long, key string): its number of runs, the runs, and its leading letters, rarest first, that are segments; then the columns `keep`.
 
-    Texts without a run give no row.
+def segments(rows: DataFrame, frequencies: np.ndarray, t: float, probe: bool) -> DataFrame:
+    """(letter, at, id, size): the leading letters of strings(), rarest first, with their positions.
+
+    A frequent letter has as many salts as SALT_ROWS asks for: a stored string takes one by its id, a probe all.
     """
     order = frequencies.tobytes()
-    kinds = dict(texts.dtypes)
-    schema = ", ".join([SCHEMA, *[f"`{c}` {kinds[c]}" for c in keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(order, np.int32)
         for batch in batches:
-            n, h = distinct_runs([split_key(k) for k in batch.column(1).to_pylist()])
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            n = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            h = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             text = np.repeat(np.arange(len(n)), n)
-            by = np.lexsort((h, rank[(h & np.uint64(SLOTS - 1)).astype(np.int64)], text))
+            seen = rank[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
+            by = np.lexsort((h, seen, text))
+            at = np.arange(len(h)) - (np.cumsum(n) - n)[text]
             # The shortest partner, t times as long, leaves the most room for edits and so needs the most segments.
-            stored = n - np.ceil(t * n - 1e-9).astype(np.int64) + 1
-            start = np.cumsum(n) - n
-            lead = h[by][(np.arange(len(h)) - start[text]) < stored[text]]
-            some = n > 0
-            own = batch.filter(pa.array(some))
-            made = [own.column(0), pa.array(n[some], pa.int32()), long_lists(n[some], h), long_lists(stored[some], lead)]
-            yield pa.RecordBatch.from_arrays([*made, *own.columns[2:]], ["id", "size", "runs", "segments", *keep])
+            lead = at < (n - np.ceil(t * n - 1e-9).astype(np.int64) + 1)[text]
+            letter, at, text = h[by][lead], at[lead], text[lead]
+            salts = 1 + seen[by][lead].astype(np.int64) // SALT_ROWS
+            if probe:
+                letter, at, text = np.repeat(letter, salts), np.repeat(at, salts), np.repeat(text, salts)
+                salt = np.arange(len(letter)) - np.repeat(np.cumsum(salts) - salts, salts)
+            else:
+                salt = (mix64(ids[text].view(np.uint64)) % salts.astype(np.uint64)).astype(np.int64)
+            letter = np.where(salt > 0, mix64(letter + salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), letter)
+            yield pa.RecordBatch.from_arrays([pa.array(letter.view(np.int64)), pa.array(at, pa.int32()), pa.array(ids[text]), pa.array(n[text], pa.int32())], ["letter", "at", "id", "size"])
 
-    return texts.select("id", "key", *keep).mapInArrow(run, schema)
+    return rows.select("id", "size", "runs").mapInArrow(run, "letter long, at int, id long, size int")
 
 
-def near_pairs(index: DataFrame, batch: DataFrame, t: float, when=None) -> DataFrame:
-    """(id, other): texts of the batch and indexed texts whose common runs are at least t of those in either.
+def near_pairs(stored: DataFrame, known: DataFrame, probes: DataFrame, batch: DataFrame, t: float) -> DataFrame:
+    """(id, other): strings of a batch and stored ones within the edit distance that a share t of common runs allows.
 
-    index and batch have the columns of letters(); when: a condition on the aliases `i` (index) and `b` (batch), of whose further
-    columns it may use any. A text is not held against itself.
+    stored, probes: segments(); known, batch: strings(). A string is not held against itself.
     """
-    extra_i = [c for c in index.columns if c not in ("id", "size", "runs", "segments")]
-    extra_b = [c for c in batch.columns if c not in ("id", "size", "runs", "segments")]
-    i = index.select("id", "size", *extra_i, F.posexplode("segments").alias("at", "letter")).alias("i")
-    b = batch.select("id", "size", *extra_b, F.posexplode("segments").alias("at", "letter")).alias("b")
+    i, b = stored.alias("i"), probes.alias("b")
     total = F.col("i.size") + F.col("b.size")
-    need = F.ceil(F.lit(t / (1 + t)) * total - 1e-9)
     room = F.least(F.col("i.size") - F.col("i.at"), F.col("b.size") - F.col("b.at"))
-    cond = (F.col("i.letter") == F.col("b.letter")) & (F.col("i.id") != F.col("b.id")) & (room >= need) & (F.least("i.size", "b.size") >= F.lit(t) * F.greatest("i.size", "b.size") - 1e-9)
-    if when is not None:
-        cond = cond & when
-    met = b.join(i, cond).select(F.col("b.id").alias("id"), F.col("i.id").alias("other")).distinct()
-    known = met.join(batch.select("id", F.col("runs").alias("_rb")), "id").join(index.select(F.col("id").alias("other"), F.col("runs").alias("_ri")), "other")
-    shared = F.size(F.array_intersect("_rb", "_ri"))
-    return known.select("id", "other", shared.alias("_s"), (F.size("_rb") + F.size("_ri")).alias("_n")).filter(F.col("_s") >= F.lit(t) * (F.col("_n") - F.col("_s")) - 1e-9).select("id", "other")
+    fits = (room >= F.ceil(F.lit(t / (1 + t)) * total - 1e-9)) & (F.least("i.size", "b.size") >= F.lit(t) * F.greatest("i.size", "b.size") - 1e-9)
+    # Sorted joins only: they split a hot letter, and nothing is sent to the driver to be broadcast.
+    met = b.join(i.hint("merge"), (F.col("i.letter") == F.col("b.letter")) & (F.col("i.id") != F.col("b.id")) & fits).select(F.col("b.id").alias("id"), F.col("i.id").alias("other")).distinct()
+    own = batch.select("id", F.col("runs").alias("_rb"))
+    both = met.join(own.hint("merge"), "id").join(known.select(F.col("id").alias("other"), F.col("runs").alias("_ri")).hint("merge"), "other")
+    length = F.size("_rb") + F.size("_ri")
+    edits = length - 2 * F.size(F.array_intersect("_rb", "_ri"))
+    return both.filter(edits <= F.floor(F.lit((1 - t) / (1 + t)) * length + 1e-9)).select("id", "other")
 
 
 class SegmentIndex:
-    """A stored index of accepted texts: a folder with the frequencies that fix the order of letters, and appended segments."""
+    """A stored index of accepted texts: the frequencies that fix the order of letters, and bucketed segments and strings.
+
+    The folder must be one that all executors share. A later session opens what is there by the same folder.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, t: float) -> None:
         self.spark, self.folder, self.t = spark, folder, t
+        self._name = "segment_index_" + xxhash.xxh3_64_hexdigest(folder)
+        self._order: np.ndarray | None = None
 
-    def create(self, texts: DataFrame) -> None:
-        """Starts the index from the history (id long, key string); the order of letters is fixed from here on."""
+    def create(self, texts: DataFrame, buckets: int | None = None) -> None:
+        """Starts the index from the history (id long, key string); the order of letters and the number of buckets are fixed from here on."""
         counts = run_frequencies(texts.select("key"))
-        self.spark.createDataFrame([(counts.tobytes(),)], "counts binary").write.mode("overwrite").parquet(f"{self.folder}/order")
-        self._write(texts, "overwrite")
+        buckets = buckets or max(8, -(-texts.count() // BUCKET_ROWS))
+        self.spark.createDataFrame([(counts.tobytes(), buckets)], "counts binary, buckets int").coalesce(1).write.mode("errorifexists").parquet(f"{self.folder}/order")
+        self._order = counts
+        self._open(buckets)
+        self.append(texts)
 
-    def _counts(self) -> np.ndarray:
-        return np.frombuffer(self.spark.read.parquet(f"{self.folder}/order").first()[0], np.int32)
+    def _open(self, buckets: int) -> None:
+        for part, columns, by in (("segments", "letter LONG, at INT, id LONG, size INT", "letter"), ("strings", "id LONG, size INT, runs ARRAY<LONG>", "id")):
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._name}_{part} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.folder}/{part}'")
+        self._buckets = buckets
 
-    def _write(self, texts: DataFrame, mode: str) -> None:
-        letters(texts.dropDuplicates(["id"]), self._counts(), self.t).write.mode(mode).parquet(f"{self.folder}/segments")
+    def _counts(self) -> np.ndarray:
+        if self._order is None:
+            row = self.spark.read.parquet(f"{self.folder}/order").first()
+            self._order = np.frombuffer(row["counts"], np.int32)
+            self._open(row["buckets"])
+        return self._order
 
     def append(self, texts: DataFrame) -> None:
-        """Adds texts; what is stored is neither read nor rewritten."""
-        self._write(texts, "append")
+        """Adds texts (id long, key string), each id once; what is stored is neither read nor rewritten."""
+        self.append_strings(durable(strings(texts.dropDuplicates(["id"]))))
+
+    def append_strings(self, rows: DataFrame) -> None:
+        """Adds strings() that were made already."""
+        found = segments(rows, self._counts(), self.t, False)
+        rows.select("id", "size", "runs").repartition(self._buckets, "id").write.insertInto(f"{self._name}_strings")
+        found.repartition(self._buckets, "letter").write.insertInto(f"{self._name}_segments")
 
     def near(self, batch: DataFrame) -> DataFrame:
         """(id, other) of batch texts (id long, key string) near an indexed text."""
-        return near_pairs(self.spark.read.parquet(f"{self.folder}/segments"), letters(batch, self._counts(), self.t), self.t)
+        return self.near_strings(strings(batch.dropDuplicates(["id"])))
+
+    def near_strings(self, rows: DataFrame) -> DataFrame:
+        """(id, other) of strings() near an indexed one."""
+        order = self._counts()
+        return near_pairs(self.spark.table(f"{self._name}_segments"), self.spark.table(f"{self._name}_strings"), segments(rows, order, self.t, True), rows, self.t)
+
+    def close(self, delete: bool = False) -> None:
+        """Forgets the tables in this session; with delete, their files go as well."""
+        for part in ("segments", "strings"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name}_{part}")
+        if delete:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
