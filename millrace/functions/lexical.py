@@ -70,23 +70,24 @@ def sentences(x: Column | str) -> Column:
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
-def word_ngrams(x: Column | str, low: int = 2, high: int = 4, keywords: list[str] | None = None) -> Column:
-    """Runs of low to high successive identifier tokens that are no stop words; with `keywords`, those that have one of them."""
-    tokens = F.filter(F.transform(identifier_tokens(x), F.lower), lambda t: ~t.isin(STOPWORDS))
+def runs_of(tokens: Column, low: int, high: int, told: Column | None = None) -> Column:
+    """Runs of low to high successive tokens, joined by blanks; with `told`, an array of truth values beside the tokens, those where one is true."""
     none = F.array().cast("array<string>")
 
     def grams(t: Column, n: int) -> Column:
         # sequence(1, 0) counts down, so short lists are told apart first.
-        runs = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.slice(t, i, F.lit(n)))
-        if keywords is not None:
-            runs = F.filter(runs, lambda g: F.arrays_overlap(g, words_literal(keywords)))
-        runs = F.transform(runs, lambda g: F.array_join(g, " "))
-        return F.when(F.size(t) >= n, runs).otherwise(none)
-
-    out = none
-    for n in range(low, high + 1):
-        out = F.concat(out, grams(tokens, n))
-    return out
+        at = F.sequence(F.lit(1), F.size(t) - (n - 1))
+        if told is not None:
+            at = F.filter(at, lambda i: F.array_contains(F.slice(told, i, F.lit(n)), True))
+        return F.when(F.size(t) >= n, F.transform(at, lambda i: F.array_join(F.slice(t, i, F.lit(n)), " "))).otherwise(none)
+
+    return F.concat(none, *[grams(tokens, n) for n in range(low, high + 1)])
+
+
+def word_ngrams(x: Column | str, low: int = 2, high: int = 4, keywords: list[str] | None = None) -> Column:
+    """Runs of low to high successive identifier tokens that are no stop words; with `keywords`, those that have one of them."""
+    tokens = F.filter(F.transform(identifier_tokens(x), F.lower), lambda t: ~t.isin(STOPWORDS))
+    return runs_of(tokens, low, high, F.transform(tokens, lambda t: t.isin(keywords)) if keywords is not None else None)
 
 
 def quoted_phrases(x: Column | str, max_chars: int = 120, max_words: int = 5, single: bool = False) -> Column:

@@ -5,7 +5,7 @@ White space is Unicode white space plus the four information separators U+001C t
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -45,3 +45,13 @@ def model_key(x: Column | str) -> Column:
     """A model's name as key: blank to null, lower case, each blank an underscore; hyphens stay."""
     t = F.replace(F.lower(strip(as_col(x).cast("string"))), F.lit(" "), F.lit("_"))
     return F.when(t != "", t)
+
+
+def evaluated(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """df with further columns, each made once per row, and without those to drop.
+
+    A plain projection is merged into the next one, which then makes a value as often as it names it; one row
+    made of an array of one struct is not.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in drop]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -25,26 +25,48 @@ MAX_BROADCAST_KEYS = 200_000
 KEY_BYTES = 160
 
 
+#: Of a larger dictionary the most frequent keys, at most so many and none of more bytes, are sent to every executor, so that only rows of rarer keys are shuffled to meet it.
+HEAVY_KEYS, HEAVY_BYTES = 1_000, 32_768
+
+
 def dictionary(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
-    """(keys..., key_id) with ids dense within blocks, and whether its size is proven small."""
+    """(keys..., key_id) with ids dense within blocks, and whether its size is proven small; a large one has `key_rows` as well."""
     spark = df.sparkSession
-    distinct = df.select(*keys).distinct()
-    head = distinct.limit(MAX_BROADCAST_KEYS + 1).toArrow()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    head = counted.select(*keys).limit(MAX_BROADCAST_KEYS + 1).toArrow()
     if head.num_rows <= MAX_BROADCAST_KEYS and head.nbytes <= MAX_BROADCAST_KEYS * KEY_BYTES:
         head = head.sort_by([(k, "ascending") for k in keys])
         ids = pa.array(np.arange(head.num_rows), pa.int64())
         return spark.createDataFrame(head.append_column("key_id", ids)), True
     # Ids made in place are not the same when a task runs again, so they are fixed in the shared folder.
-    return durable(distinct.withColumn("key_id", F.monotonically_increasing_id())), False
+    return durable(counted.withColumn("key_id", F.monotonically_increasing_id())), False
 
 
-def encode(df: DataFrame, keys: list[str], codes: DataFrame, small: bool) -> DataFrame:
-    own = codes.select("key_id", *[F.col(k).alias(f"_c{k}") for k in keys])
-    cond = F.lit(True)
+def heavy(codes: DataFrame, keys: list[str]) -> DataFrame:
+    """The codes of the most frequent keys, a bounded number of rows of bounded length."""
+    size = F.lit(0)
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_c{k}"))
-    x = df.join(F.broadcast(own) if small else own, cond)
-    return x.select("key_id", *[c for c in df.columns if c not in keys])
+        size = size + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
+    return codes.filter(size <= HEAVY_BYTES).orderBy(F.desc("key_rows"), "key_id").limit(HEAVY_KEYS)
+
+
+def encode(df: DataFrame, keys: list[str], codes: DataFrame, small: bool) -> DataFrame:
+    """The rows of df with key_id in place of the keys."""
+    rest = [c for c in df.columns if c not in keys]
+
+    def coded(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
+        own = side.select("key_id", *[F.col(k).alias(f"_c{k}") for k in keys])
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_c{k}"))
+        return rows.join(own, cond, how)
+
+    if small:
+        return coded(df, F.broadcast(codes)).select("key_id", *rest)
+    top = durable(heavy(codes, keys))
+    frequent = coded(df, F.broadcast(top)).select("key_id", *rest)
+    rare = coded(coded(df, F.broadcast(top), "left_anti"), codes.join(F.broadcast(top.select("key_id")), "key_id", "left_anti")).select("key_id", *rest)
+    return frequent.unionByName(rare)
 
 
 def _accumulate(best: bool):

@@ -58,18 +58,35 @@ def merge_profiles(core: DataFrame, ext: DataFrame) -> DataFrame:
 
 
 def compare_identifiers(now: DataFrame, before: DataFrame) -> DataFrame:
-    """Per model: identifiers only now, only before, and in both, regardless of case. Both sides: (model_name, term)."""
+    """Per model: only_now, only_before and both, the identifiers that only one side or both have, regardless of case, sorted, and their counts n_*.
+
+    Both sides: (model_name, term). The lists hold a model's identifiers, as its profile does.
+    """
     a = now.select("model_name", F.lower("term").alias("term")).distinct().withColumn("a", F.lit(True))
     b = before.select("model_name", F.lower("term").alias("term")).distinct().withColumn("b", F.lit(True))
     x = a.join(b, ["model_name", "term"], "full_outer")
-    return x.groupBy("model_name").agg(F.count_if(F.col("b").isNull()).alias("only_now"), F.count_if(F.col("a").isNull()).alias("only_before"), F.count_if(F.col("a") & F.col("b")).alias("both"))
+    sides = {"only_now": F.col("b").isNull(), "only_before": F.col("a").isNull(), "both": F.col("a") & F.col("b")}
+    g = x.groupBy("model_name").agg(*[F.array_sort(F.collect_list(F.when(c, F.col("term")))).alias(n) for n, c in sides.items()])
+    return g.select("model_name", *sides, *[F.size(n).cast("long").alias(f"n_{n}") for n in sides])
 
 
-def family_support(profiles: DataFrame, counts: DataFrame) -> DataFrame:
-    """(model_name, family, support): uses of a family's identifiers by the model's records. counts: (model_name, term, n)."""
-    f = profiles.select("model_name", F.explode("families").alias("f")).select("model_name", F.col("f.name").alias("family"), F.explode("f.identifiers").alias("term"))
-    x = f.join(counts, ["model_name", "term"], "left")
-    return x.groupBy("model_name", "family").agg(F.sum(F.coalesce("n", F.lit(0))).alias("support"))
+def family_support(profiles: DataFrame, terms: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(model_name, family, unsupported, candidates, parser_misses, phrases, support): what the audit has on each family.
+
+    terms: the audit's classified terms (model_name, term, n, class); phrases: its phrases (model_name, phrase,
+    n). support is the uses of a family's identifiers that the core does not cover, those of extension
+    candidates counted once more, and the uses of its concepts as phrases. A family nothing speaks for has 0.
+    """
+    f = profiles.select("model_name", F.explode("families").alias("f"))
+    ids = f.select("model_name", F.col("f.name").alias("family"), F.explode(F.array_distinct("f.identifiers")).alias("term"))
+    loose = terms.filter(~F.col("class").isin("core", "supported"))
+    i = ids.join(loose, ["model_name", "term"], "left").groupBy("model_name", "family")
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    i = i.agg(n(F.lit(True)).alias("unsupported"), n(F.col("class") == "extension_candidate").alias("candidates"), n(F.col("class") == "parser_miss").alias("parser_misses"))
+    concepts = f.select("model_name", F.col("f.name").alias("family"), F.explode(F.array_distinct("f.concepts")).alias("phrase"))
+    c = concepts.join(phrases, ["model_name", "phrase"], "left").groupBy("model_name", "family").agg(n(F.lit(True)).alias("phrases"))
+    x = i.join(c, ["model_name", "family"], "full_outer").fillna(0, ["unsupported", "candidates", "parser_misses", "phrases"])
+    return x.withColumn("support", F.col("unsupported") + F.col("candidates") + F.col("phrases"))
 
 
 def validate_specs(profiles: DataFrame, specs: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.lexical import STOPWORDS, phrases_in, summary_keywords, terms, words_literal
+from millrace.functions.lexical import STOPWORDS, summary_keywords, terms, words_literal
+from millrace.functions.text import evaluated, text_key
 from millrace.operators.profiles import extension_concepts, extension_ids
 
 # Words that speak of a change to the model.
@@ -30,12 +31,12 @@ PATHOGENS = r"(?i)\b(?:multiple\s+pathogen|multi.?pathogen|coevolut|multiple\s+s
 ALLOW = "ticks tick turtles patches links agent agents observer breed monitor plot reporter button chooser slider switch world ask count mean sum min max distance of one-of n-of ifelse let set run repeat foreach map filter random random-float color heading xcor ycor size shape who label to end true false list item length first last experiment metric parameter threshold ratio time series density".split()
 
 
-def family_scores(families: Column, found: Column, text: Column) -> Column:
-    """Per family: name and score, from identifiers found, concept phrases in the text and single words of concepts found."""
+def family_scores(families: Column, found: Column, key: Column) -> Column:
+    """Per family: name and score, from identifiers found, concept phrases in the text's key and single words of concepts found."""
 
     def score(f: Column) -> Column:
         ids = F.size(F.array_intersect(f["identifiers"], found))
-        phrases = F.size(phrases_in(text, f["concepts"]))
+        phrases = F.size(F.array_distinct(F.filter(f["concepts"], lambda p: (p != "") & F.contains(key, p))))
         words = F.array_except(F.flatten(F.transform(f["concepts"], lambda c: F.split(c, " "))), words_literal(STOPWORDS))
         return ids * W_ID + phrases * W_PHRASE + F.size(F.array_intersect(words, found)) * W_TOKEN
 
@@ -48,29 +49,33 @@ def route(df: DataFrame, profiles: DataFrame, question: str = "question", answer
     Null texts are empty. Rows whose model has no profile are skipped with reason missing_model_profile. One
     projection after one join with the profiles; Spark broadcasts these as long as they are small.
     """
-    known = profiles.select(F.col("model_name").alias("_m"), "core", "summary", "families")
-    x = df.join(known, F.col("model_name") == F.col("_m"), "left")
     none = F.array().cast("array<string>")
+    names = df.columns
+    # What a profile says is made once per model, what a text says once per row.
+    side = {"_p_ext": F.coalesce(extension_ids("families"), none), "_p_phrases": F.coalesce(extension_concepts("families"), none), "_p_summary": summary_keywords("summary")}
+    known = evaluated(profiles.select("model_name", "core", "families", "summary"), side).select(F.col("model_name").alias("_m"), F.col("core").alias("_p_core"), F.col("families").alias("_p_families"), "_p_ext", "_p_phrases", "_p_summary")
+    x = df.join(known, F.col("model_name") == F.col("_m"), "left")
     text = F.concat(F.coalesce(question, F.lit("")), F.lit("\n"), F.coalesce(answer, F.lit("")))
-    x = x.withColumns({"_text": text, "_core": F.coalesce("core", none), "_fam": F.coalesce("families", F.array().cast("array<struct<name:string,identifiers:array<string>,concepts:array<string>>>"))})
-    x = x.withColumns({"_terms": terms(F.col("_text")), "_ext": extension_ids("_fam")})
-    known_terms = F.array_union(F.array_union(F.col("_core"), F.col("_ext")), words_literal(allow))
-    unknown = F.size(F.array_except("_terms", known_terms))
-    x = x.withColumns(
+    empty = F.array().cast("array<struct<name:string,identifiers:array<string>,concepts:array<string>>>")
+    made = {"_text": text, "_low": text_key(text), "_terms": terms(text), "_core": F.coalesce("_p_core", none), "_ext": F.coalesce("_p_ext", none), "_phrases": F.coalesce("_p_phrases", none), "_summary": F.coalesce("_p_summary", none), "_fam": F.coalesce("_p_families", empty)}
+    x = evaluated(x, made)
+    unknown = F.size(F.array_except(F.array_except(F.array_except("_terms", "_core"), "_ext"), words_literal(allow)))
+    x = evaluated(
+        x,
         {
-            "core_hits": F.size(F.array_intersect("_terms", "_core")),
-            "unknown_ratio": unknown / F.greatest(F.lit(1), F.size("_terms")),
+            "_hits": F.size(F.array_intersect("_terms", "_core")),
+            "_unknown": unknown / F.greatest(F.lit(1), F.size("_terms")),
             "_ids": F.size(F.array_intersect("_terms", "_ext")),
-            "_concepts": F.size(phrases_in("_text", extension_concepts("_fam"))),
-            "_overlap": F.size(F.array_intersect(summary_keywords("summary"), F.col("_terms"))),
-            "extension_intent": F.arrays_overlap("_terms", words_literal(INTENT)),
-            "_best": F.array_max(family_scores(F.col("_fam"), F.col("_terms"), F.col("_text"))),
-        }
+            "_concepts": F.exists("_phrases", lambda p: (p != "") & F.contains(F.col("_low"), p)),
+            "_overlap": F.size(F.array_intersect("_summary", "_terms")),
+            "_intent": F.arrays_overlap("_terms", words_literal(INTENT)),
+            "_best": F.array_max(family_scores(F.col("_fam"), F.col("_terms"), F.col("_low"))),
+        },
     )
     score = F.greatest(F.coalesce(F.col("_best.score"), F.lit(0)), F.lit(0))
     family = F.when(score > 0, F.col("_best.name"))
-    intent = F.col("extension_intent")
-    anchor = (F.col("core_hits") >= 1) | (F.col("_overlap") >= 2)
+    intent = F.col("_intent")
+    anchor = (F.col("_hits") >= 1) | (F.col("_overlap") >= 2)
     lower_core = F.array_join("_core", " ")
     mismatch = F.when(F.col("_text").rlike(HEX_GRID), "seed_requires_hex_grid").when(F.col("_text").rlike(PATHOGENS) & ~F.contains(lower_core, F.lit("sick?")) & ~F.contains(lower_core, F.lit("infected")), "seed_requires_multi_pathogen")
     layer = F.col("_text").rlike(TOPOLOGY) & F.exists("_fam", lambda f: f["name"] == "network_layer")
@@ -79,13 +84,14 @@ def route(df: DataFrame, profiles: DataFrame, question: str = "question", answer
         F.when(F.col("_m").isNull(), s("skip", "missing_model_profile"))
         .when(mismatch.isNotNull(), F.struct(F.lit("skip").alias("route"), F.concat(F.lit("scope_mismatch:"), mismatch).alias("why"), F.lit(None).cast("string").alias("family")))
         .when(family.isNotNull() & ((score >= STRONG) | (intent & (score >= WEAK))), s("anchored_extension", "strong_extension_family_match", family))
-        .when((F.col("core_hits") >= PARAPHRASE_HITS) & (score == 0) & (F.col("unknown_ratio") <= PARAPHRASE_UNKNOWN), s("core_paraphrase", "strong_core_match"))
-        .when((F.col("core_hits") >= REPAIR_HITS) & (score == 0) & (F.col("unknown_ratio") <= REPAIR_UNKNOWN), s("core_repair", "core_match_with_noise"))
-        .when(family.isNotNull() & (score >= WEAK) & (intent | (F.col("_ids") > 0) | (F.col("_concepts") > 0)), s("anchored_extension", "mixed_core_extension_content", family))
+        .when((F.col("_hits") >= PARAPHRASE_HITS) & (score == 0) & (F.col("_unknown") <= PARAPHRASE_UNKNOWN), s("core_paraphrase", "strong_core_match"))
+        .when((F.col("_hits") >= REPAIR_HITS) & (score == 0) & (F.col("_unknown") <= REPAIR_UNKNOWN), s("core_repair", "core_match_with_noise"))
+        .when(family.isNotNull() & (score >= WEAK) & (intent | (F.col("_ids") > 0) | F.col("_concepts")), s("anchored_extension", "mixed_core_extension_content", family))
         .when(layer, s("anchored_extension", "network_topology_routed_to_network_layer", F.lit("network_layer")))
-        .when(anchor & (F.col("unknown_ratio") > REPAIR_UNKNOWN) & F.col("_text").rlike(MODIFICATION), s("freeform_extension", "extension_intent_with_weak_core_anchor"))
+        .when(anchor & (F.col("_unknown") > REPAIR_UNKNOWN) & F.col("_text").rlike(MODIFICATION), s("freeform_extension", "extension_intent_with_weak_core_anchor"))
         .when(anchor, s("core_repair", "weak_core_anchor"))
         .otherwise(s("skip", "insufficient_anchor"))
     )
     x = x.withColumn("_rule", rule)
-    return x.select(*df.columns, F.col("_rule.route").alias("route"), F.col("_rule.why").alias("route_reason"), F.col("_rule.family").alias("family"), "core_hits", score.alias("best_family_score"), "unknown_ratio", "extension_intent")
+    made_here = ("route", "route_reason", "family", "core_hits", "best_family_score", "unknown_ratio", "extension_intent")
+    return x.select(*[F.col(f"`{c}`") for c in names if c not in made_here], F.col("_rule.route").alias("route"), F.col("_rule.why").alias("route_reason"), F.col("_rule.family").alias("family"), F.col("_hits").alias("core_hits"), score.alias("best_family_score"), F.col("_unknown").alias("unknown_ratio"), F.col("_intent").alias("extension_intent"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import as_col, strip
+from millrace.functions.text import as_col, evaluated, strip
 
 # Formats.
 SEPARATOR = "@#$#@#$#@"
@@ -18,6 +18,9 @@ PREFIXES = ["initial-", "num-", "max-", "min-", "show-", "plot-", "vision", "mov
 RESERVED = "to to-report end breed globals turtles-own patches-own links-own let set report if ifelse while repeat foreach map filter stop tick reset-ticks clear-all ask of with one-of n-of count sum mean max min random patch patches turtle turtles self myself other neighbors hatch sprout die move-to fd rt lt distance face setxy true false not and or who color pcolor size label diffuse create-turtles ticks".split()
 
 
+CORE_COLUMNS = ("procedures", "variables", "breeds", "widgets", "locals")
+
+
 def none() -> Column:
     return F.array().cast("array<string>")
 
@@ -69,11 +72,18 @@ def declared(code: Column) -> Column:
 
 def procedures(code: Column) -> Column:
     """Names after `to` and `to-report` at a line's start, in order."""
-    return found(code, rf"(?mi)^\s*to(?:-report)?\s+({ID})")
+    return found(code, rf"(?dmi)^\s*to(?:-report)?\s+({ID})")
 
 
 def reporters(code: Column) -> Column:
-    return found(code, rf"(?mi)^\s*to-report\s+({ID})")
+    return found(code, rf"(?dmi)^\s*to-report\s+({ID})")
+
+
+def signatures(code: Column) -> Column:
+    """array of struct(kind, name, inputs): every procedure in order, `to` or `to-report`, with the names of its inputs."""
+    pattern = rf"(?dmi)^\s*(to(?:-report)?)\s+({ID})[ \t]*(?:\[([^\]]*)\])?"
+    zipped = F.arrays_zip(found(code, pattern, 1).alias("kind"), found(code, pattern, 2).alias("name"), found(code, pattern, 3).alias("inputs"))
+    return F.transform(zipped, lambda p: F.struct(F.lower(p["kind"]).alias("kind"), p["name"].alias("name"), F.regexp_extract_all(p["inputs"], F.lit(f"({ID})"), F.lit(1)).alias("inputs")))
 
 
 def local_names(code: Column) -> Column:
@@ -108,15 +118,26 @@ def interface_blocks(interface: Column | str) -> Column:
     return F.transform(F.slice(parts, 2, 1_000_000), lambda p: F.split(p, "\n"))
 
 
-def control_names(interface: Column | str) -> Column:
-    """The variable of each control widget: its second identifier line, else its first; first spelling, in order."""
-    names = F.transform(interface_blocks(interface), lambda b: F.when(strip(b[0]).isin(CONTROLS), F.filter(F.transform(F.slice(b, 2, 1_000_000), strip), lambda s: s.rlike(f"^{ID}$") & ~F.lower(s).isin(IGNORED))))
-    return first_seen(F.filter(F.transform(names, lambda n: F.coalesce(F.try_element_at(n, F.lit(2)), F.try_element_at(n, F.lit(1)))), lambda s: s.isNotNull()))
+def controls(interface: Column | str) -> Column:
+    """array of struct(kind, name): the variable of each control widget, its second identifier line, else its first, in order."""
+    def one(b: Column) -> Column:
+        lines = F.filter(F.transform(F.slice(b, 2, 1_000_000), strip), lambda s: s.rlike(f"^{ID}$") & ~F.lower(s).isin(IGNORED))
+        return F.struct(F.lower(strip(b[0])).alias("kind"), F.coalesce(F.try_element_at(lines, F.lit(2)), F.try_element_at(lines, F.lit(1))).alias("name"))
+
+    blocks = F.filter(interface_blocks(interface), lambda b: strip(b[0]).isin(CONTROLS))
+    return F.filter(F.transform(blocks, one), lambda c: c["name"].isNotNull())
+
+
+def control_names(interface: Column | str, kind: str | None = None) -> Column:
+    """The names of all controls, or of those of one kind (slider, switch, chooser, inputbox); first spelling, in order."""
+    all_ = controls(interface)
+    return first_seen(F.transform(F.filter(all_, lambda c: c["kind"] == kind) if kind else all_, lambda c: c["name"]))
 
 
 def core_of(df: DataFrame, text: str) -> DataFrame:
     """df with procedures, reporters, variables, breeds, widgets, locals, literals and summary of each source text."""
-    x = df.withColumn("_s", sections(text)).withColumn("_c", strip_comments(F.col("_s.code")))
+    x = evaluated(df, {"_s": sections(text)})
+    x = evaluated(x, {"_c": strip_comments(F.col("_s.code"))})
     c = F.col("_c")
     x = x.withColumns({"procedures": sorted_names(procedures(c)), "reporters": sorted_names(reporters(c)), "variables": sorted_names(F.concat(declared(c)["globals"], declared(c)["own"])), "breeds": breeds(c), "widgets": sorted_names(control_names(F.col("_s.interface"))), "locals": local_names(c), "literals": string_literals(c)})
     return x.withColumn("summary", info_paragraph(F.col("_s.info"))).drop("_s", "_c")
@@ -127,7 +148,8 @@ def unresolved(df: DataFrame, key: str, text: str, reserved: list[str] = RESERVE
     x = core_of(df.select(key, text), text).withColumn("_c", strip_comments(sections(text)["code"]))
     known = F.transform(F.concat("procedures", "variables", "breeds", "widgets", "locals", breed_words(F.col("breeds"))), F.lower)
     tokens = F.transform(F.regexp_extract_all(F.regexp_replace("_c", r'"[^"]*"', " "), F.lit(f"({ID})"), F.lit(1)), F.lower)
-    left = x.select(key, F.explode(F.filter(tokens, lambda t: ~F.array_contains(known, t))).alias("token"))
+    x = evaluated(x.select(key, "_c", *CORE_COLUMNS), {"_known": known, "_tokens": tokens}, drop=("_c", *CORE_COLUMNS))
+    left = x.select(key, F.explode(F.filter("_tokens", lambda t: ~F.array_contains("_known", t))).alias("token"))
     return left.filter(~F.col("token").isin(reserved)).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -29,6 +29,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+_text = "coalesce(question, '') || chr(10) || coalesce(answer, '')"
+_quote = lambda p: "'" + p.replace("'", "''") + "'"
+_matches = lambda x, p: f"regexp_matches({x}, {_quote(p)})"
+
+
 def joined(x, by: str = "|"):
     return F.array_join(x, by)
 
@@ -200,16 +205,9 @@ def q_sentences(spark: SparkSession, d: str) -> DataFrame:
     return views.records(spark, d).select("record_id", F.size(s).cast("long").alias("n"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
 
 
-@query(f"""WITH {S.LAST}, t AS (SELECT {S.tokens('question')} AS t FROM last), g AS (SELECT unnest(flatten([[array_to_string(t[i:i + n - 1], ' ') for i in range(1, len(t) - n + 2)] for n in [2, 3, 4]])) AS gram FROM t)
-    SELECT gram, count(*) AS n FROM g GROUP BY 1 HAVING count(*) >= 5""")
-def q_ngrams(spark: SparkSession, d: str) -> DataFrame:
-    g = views.records(spark, d).select(F.explode(lexical.word_ngrams("question")).alias("gram"))
-    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
-
-
 @query(f"""WITH {S.LAST}, t AS (SELECT {S.tokens('question')} AS t FROM last), g AS (SELECT unnest(flatten([[array_to_string(t[i:i + n - 1], ' ') for i in range(1, len(t) - n + 2)] for n in [2, 3, 4]])) AS gram FROM t)
     SELECT gram, count(*) AS n FROM g GROUP BY 1""")
-def q_ngrams_whole(spark: SparkSession, d: str) -> DataFrame:
+def q_ngrams(spark: SparkSession, d: str) -> DataFrame:
     """All runs of words, rare ones too."""
     g = views.records(spark, d).select(F.explode(lexical.word_ngrams("question")).alias("gram"))
     return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
@@ -224,15 +222,9 @@ def q_phrase_hits(spark: SparkSession, d: str) -> DataFrame:
     return views.records(spark, d).select("record_id", joined(lexical.phrases_in(t, lexical.words_literal(PHRASES))).alias("phrases"))
 
 
-@query(rf"""WITH x AS (SELECT response_id, unnest([{S.key("p")} for p in regexp_extract_all(coalesce(answer, ''), '"([^"\n]{{1,120}})"', 1)]) AS phrase FROM responses)
-    SELECT response_id, phrase FROM x WHERE phrase <> '' AND len(string_split(phrase, ' ')) <= 5""")
-def q_quoted_phrases(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer")).alias("phrase"))
-
-
 @query(rf"""WITH x AS (SELECT response_id, unnest([{S.key("substr(p, 2, len(p) - 2)")} for p in regexp_extract_all(coalesce(answer, ''), '"[^"\n]{{1,120}}"|\x27[^\x27\n]{{1,120}}\x27')]) AS phrase FROM responses)
     SELECT response_id, phrase FROM x WHERE phrase <> '' AND len(string_split(phrase, ' ')) <= 5""")
-def q_quoted_phrases_whole(spark: SparkSession, d: str) -> DataFrame:
+def q_quoted_phrases(spark: SparkSession, d: str) -> DataFrame:
     """Phrases in quotes of both kinds."""
     return table(spark, d, "responses").select("response_id", F.explode(lexical.quoted_phrases("answer", single=True)).alias("phrase"))
 
@@ -246,62 +238,67 @@ def q_enrich_report(spark: SparkSession, d: str) -> DataFrame:
 
 # Source texts
 
-
-@query(r"""SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(text, '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g'), '(?mi)^\s*to(?:-report)?\s+([A-Za-z_][A-Za-z0-9_\-]*\??)', 1), '|') AS procedures,
-    len(regexp_replace(text, '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g'))::BIGINT AS code_chars FROM documents WHERE text IS NOT NULL AND strpos(text, chr(13)) = 0""")
+_ID = srcparse.ID
+CODE = r"""regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g')"""
+_names = lambda x: f"[q.x for q in list_sort(list_distinct([{{'l': lower(i), 'x': i}} for i in {x}]))]"
+_first = lambda x: f"list_filter({x}, lambda q, k: list_position([lower(y) for y in {x}], lower(q)) = k)"
+_all = lambda pattern, group=1, of="code": f"regexp_extract_all({of}, {_quote(pattern)}, {group})"
+_inner = lambda pattern: f"flatten([{_all(f'({_ID})', 1, 'b')} for b in {_all(pattern)}])"
+_pair = r"(?i)\b(?:directed-link-|undirected-link-)?breed\s*\[\s*(" + _ID + r")\s+(" + _ID + r")\s*\]"
+_sig = rf"(?mi)^\s*(to(?:-report)?)\s+({_ID})[ \t]*(?:\[([^\]]*)\])?"
+#: The parts that the parser must find again in the sources that _sources() makes of the documents.
+PARSED = rf"""s AS (SELECT doc_id, text, {CODE} AS code, 'w-' || regexp_replace(lower(coalesce(model_name, '')), '[^a-z]+', '-', 'g') AS w FROM documents),
+    c AS (SELECT doc_id, text, code, CASE WHEN text IS NULL THEN [] ELSE [w || '-rate'] END AS sliders, CASE WHEN text IS NULL THEN [] ELSE [w || '-on?'] END AS switches, {_all(rf'(?mi)^\s*to(?:-report)?\s+({_ID})')} AS procedures, {_all(rf'(?mi)^\s*to-report\s+({_ID})')} AS reporters,
+        list_concat({_inner(r'(?is)\bglobals\s*\[(.*?)\]')}, {_inner(r'(?is)\b' + _ID + r'-own\s*\[(.*?)\]')}) AS variables, flatten([[z[1], z[2]] for z in list_zip({_all(_pair, 1)}, {_all(_pair, 2)})]) AS pairs,
+        list_concat({_all(rf'(?i)\blet\s+({_ID})')}, flatten([string_split_regex(a, '\s+') for a in {_all(rf'->\s*({_ID}(?:\s+{_ID})*)')}])) AS locals,
+        [t for t in [{S.strip('t')} for t in {_all('"([^"\n]*)"')}] if t <> '' and not list_contains(['horizontal', 'vertical', 'n/a', 'nil'], lower(t))] AS literals,
+        [{{'k': z[1], 'n': z[2], 'i': regexp_extract_all(z[3], '({_ID})', 1)}} for z in list_zip({_all(_sig, 1)}, {_all(_sig, 2)}, {_all(_sig, 3)})] AS sigs,
+        list_filter([array_to_string([l for l in [{S.strip('l')} for l in string_split(p, chr(10))] if l <> ''], ' ') for p in string_split_regex(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '\n[ \t]*(?:\n[ \t]*)+')],
+            lambda p: p <> '' AND NOT starts_with(p, '#') AND NOT (len(string_split_regex(p, '\s+')) <= 4 AND upper(p) = p) AND len(string_split_regex(p, '\s+')) >= 8) AS info FROM s),
+    parsed AS (SELECT *, {_first('pairs')} AS breeds, list_concat(sliders, switches) AS widgets FROM c)"""
+
+
+def _sources(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a source of three sections: its text as code, an interface of three widgets named after its model, its text as information."""
+    w = F.concat(F.lit("w-"), F.regexp_replace(F.lower(F.coalesce("model_name", F.lit(""))), "[^a-z]+", "-"))
+    widgets = F.concat(F.lit("ignored\nSLIDER\n1\n2\n"), w, F.lit("-rate\n"), w, F.lit("-rate\n0\n100\n\nSWITCH\n1\n2\n"), w, F.lit("-on?\n"), w, F.lit("-on?\n0\n\nMONITOR\n1\n2\n"), w, F.lit("\n"))
+    cut = F.lit(srcparse.SEPARATOR)
+    return table(spark, d, "documents").select("doc_id", F.concat("text", cut, widgets, cut, "text").alias("text"))
+
+
+@query(f"WITH {PARSED} SELECT doc_id, array_to_string(procedures, '|') AS procedures, array_to_string([lower(g.k) || ' ' || g.n || '(' || coalesce(array_to_string(g.i, ','), '') || ')' for g in sigs], '|') AS signatures, len(code)::BIGINT AS code_chars FROM parsed WHERE text IS NOT NULL")
 def q_procedures(spark: SparkSession, d: str) -> DataFrame:
-    """Procedures in documents, comments removed first; texts with old line ends are another format."""
-    t = table(spark, d, "documents").filter("text is not null and instr(text, char(13)) = 0")
-    code = srcparse.strip_comments("text")
-    return t.select("doc_id", joined(srcparse.procedures(code)).alias("procedures"), F.length(code).cast("long").alias("code_chars"))
-
-
-@query(r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '("[^"]*(?:"|$))|;[^\n]*', '\1', 'g') AS code FROM documents WHERE text IS NOT NULL)
-    SELECT doc_id, array_to_string(regexp_extract_all(code, '(?mi)^\s*to(?:-report)?\s+([A-Za-z_][A-Za-z0-9_\-]*\??)', 1), '|') AS procedures, len(code)::BIGINT AS code_chars FROM t""")
-def q_procedures_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Procedures in all documents, whatever their line ends."""
-    t = table(spark, d, "documents").filter("text is not null")
-    code = srcparse.strip_comments("text")
-    return t.select("doc_id", joined(srcparse.procedures(code)).alias("procedures"), F.length(code).cast("long").alias("code_chars"))
-
-
-SOURCE = (
-    'globals [ total-count max-age ]\nbreed [ cows cow ]\ncows-own [ energy hungry? ]\n; to ghost\nto setup\n  clear-all\n  let herd count cows\n  show "a; not a comment"\nend\n\n'
-    'to-report mean-energy [ group ]\n  report mean [ energy ] of group\nend\n\nto go\n  ask cows [ graze-field grass-rate graze-field ]\n  tick\nend\n'
-    "@#$#@#$#@\nSLIDER\n1\n2\ngrass-rate\ngrass-rate\n0\n100\n\nSWITCH\n1\n2\nshow-energy?\nshow-energy?\n0\n\nMONITOR\n1\n2\nmean-energy\n"
-    "@#$#@#$#@\n## WHAT IS IT?\n\nCows graze on grass that grows back at a given rate.\n"
-)
-
+    """Procedures with kind and inputs in all documents, whatever their line ends, comments removed first."""
+    t = text.evaluated(table(spark, d, "documents").filter("text is not null").select("doc_id", "text"), {"code": srcparse.strip_comments("text")})
+    shown = F.transform(srcparse.signatures(F.col("code")), lambda g: F.concat(g["kind"], F.lit(" "), g["name"], F.lit("("), F.array_join(g["inputs"], ","), F.lit(")")))
+    return t.select("doc_id", joined(srcparse.procedures(F.col("code"))).alias("procedures"), joined(shown).alias("signatures"), F.length("code").cast("long").alias("code_chars"))
 
-def _source(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("pasture", SOURCE), ("nothing", None)], "name string, text string")
 
-
-@query("""SELECT * FROM (VALUES ('pasture', 'go|mean-energy|setup', 'mean-energy', 'energy|hungry?|max-age|total-count', 'cows|cow', 'grass-rate|show-energy?', 'herd', 'a; not a comment', 'Cows graze on grass that grows back at a given rate.'),
-    ('nothing', '', '', '', '', '', '', '', '')) t(name, procedures, reporters, variables, breeds, widgets, locals, literals, summary)""")
+@query(f"""WITH {PARSED} SELECT doc_id, {", ".join(f"coalesce(array_to_string({x}, '|'), '') AS {n}" for n, x in (
+    ("procedures", _names("procedures")), ("reporters", _names("reporters")), ("variables", _names("variables")), ("breeds", "breeds"), ("widgets", _names("widgets")), ("locals", _names("locals")), ("literals", _names("literals")), ("sliders", "sliders"), ("switches", "switches")))},
+    coalesce(info[1], '') AS summary FROM parsed""")
 def q_source_core(spark: SparkSession, d: str) -> DataFrame:
-    x = srcparse.core_of(_source(spark), "text")
-    return x.select("name", *[joined(F.col(c)).alias(c) for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals")], "summary")
-
-
-@query("SELECT * FROM (VALUES ('pasture', 'graze-field', 2, 5), ('pasture', 'cows-own', 1, 3)) t(name, token, n, score)")
-def q_unresolved(spark: SparkSession, d: str) -> DataFrame:
-    known = [*srcparse.RESERVED, "show", "group"]
-    return srcparse.widget_candidates(srcparse.unresolved(_source(spark), "name", "text", known)).select("name", "token", F.col("n").cast("int").alias("n"), "score")
+    """What the source parser reads from all documents; null texts give empty lists."""
+    x = srcparse.core_of(_sources(spark, d), "text")
+    kinds = {k + "s" if k == "slider" else k + "es": srcparse.control_names(srcparse.sections("text")["interface"], k) for k in ("slider", "switch")}
+    return x.withColumns(kinds).select("doc_id", *[joined(F.col(c)).alias(c) for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals", "sliders", "switches")], "summary")
 
 
-@query()
-def q_source_core_whole(spark: SparkSession, d: str) -> DataFrame:
-    """What the source parser reads from all documents; null texts give empty lists."""
-    x = srcparse.core_of(table(spark, d, "documents").select("doc_id", "text"), "text")
-    return x.select("doc_id", *[joined(F.col(c)).alias(c) for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals")], "summary")
+_score_of = (
+    "CASE WHEN contains(token, '-') THEN 3 ELSE 0 END + CASE WHEN ends_with(token, '?') THEN 2 ELSE 0 END + CASE WHEN n >= 2 THEN 2 ELSE 0 END + CASE WHEN "
+    + " OR ".join(f"starts_with(token, '{p}')" for p in srcparse.PREFIXES)
+    + " THEN 2 ELSE 0 END + CASE WHEN token IN ('vision', 'visualization') THEN 2 ELSE 0 END"
+)
+UNRESOLVED = f"""{PARSED}, known AS (SELECT doc_id, [lower(k) for k in list_concat(procedures, variables, breeds, widgets, locals, flatten([['create-' || b, 'create-ordered-' || b, 'hatch-' || b, 'sprout-' || b, b || '-here'] for b in breeds]))] AS known,
+        [lower(t) for t in regexp_extract_all(regexp_replace(code, '"[^"]*"', ' ', 'g'), '({_ID})', 1)] AS tokens FROM parsed WHERE text IS NOT NULL),
+    u AS (SELECT doc_id, unnest(list_filter(tokens, lambda t: NOT list_contains(known, t))) AS token FROM known),
+    unresolved AS (SELECT doc_id, token, count(*) AS n FROM u WHERE NOT list_contains({S.words(srcparse.RESERVED)}, token) GROUP BY 1, 2)"""
 
 
-@query()
-def q_unresolved_whole(spark: SparkSession, d: str) -> DataFrame:
+@query(f"WITH {UNRESOLVED} SELECT doc_id, token, n, score FROM (SELECT *, {_score_of} AS score FROM unresolved) WHERE score >= 3")
+def q_unresolved(spark: SparkSession, d: str) -> DataFrame:
     """Widget candidates among the unresolved names of all documents."""
-    t = table(spark, d, "documents").select("doc_id", "text")
-    return srcparse.widget_candidates(srcparse.unresolved(t, "doc_id", "text")).select("doc_id", "token", "n", "score")
+    return srcparse.widget_candidates(srcparse.unresolved(_sources(spark, d), "doc_id", "text")).select("doc_id", "token", "n", "score")
 
 
 # Profiles and audit
@@ -323,18 +320,45 @@ def q_full_outer_profiles(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {S.LAST}, a AS (SELECT DISTINCT model_name, unnest({S.ticked('question')}) AS term FROM last WHERE model_name IS NOT NULL), b AS (SELECT DISTINCT model_name, unnest({S.ticked('answer')}) AS term FROM last WHERE model_name IS NOT NULL),
     x AS (SELECT coalesce(a.model_name, b.model_name) AS model_name, a.term AS ta, b.term AS tb FROM a FULL JOIN b ON a.model_name = b.model_name AND a.term = b.term)
-    SELECT model_name, count(*) FILTER (tb IS NULL) AS only_now, count(*) FILTER (ta IS NULL) AS only_before, count(*) FILTER (ta IS NOT NULL AND tb IS NOT NULL) AS both FROM x GROUP BY 1""")
+    SELECT model_name, coalesce(string_agg(ta, '|' ORDER BY ta) FILTER (tb IS NULL), '') AS only_now, coalesce(string_agg(tb, '|' ORDER BY tb) FILTER (ta IS NULL), '') AS only_before, coalesce(string_agg(ta, '|' ORDER BY ta) FILTER (ta = tb), '') AS both,
+        count(*) FILTER (tb IS NULL) AS n_only_now, count(*) FILTER (ta IS NULL) AS n_only_before, count(*) FILTER (ta IS NOT NULL AND tb IS NOT NULL) AS n_both FROM x GROUP BY 1""")
 def q_core_diff(spark: SparkSession, d: str) -> DataFrame:
     r = views.records(spark, d).filter("model_name is not null")
     side = lambda c: r.select("model_name", F.explode(lexical.backticked_identifiers(c)).alias("term"))
-    return profiles.compare_identifiers(side("question"), side("answer"))
+    x = profiles.compare_identifiers(side("question"), side("answer"))
+    return x.withColumns({c: joined(F.col(c)) for c in ("only_now", "only_before", "both")})
+
+
+_record_text = "coalesce(question, '') || chr(10) || coalesce(answer, '')"
+_plain = lambda x: f"[lower(t) for t in regexp_extract_all({x}, '{lexical.IDENTIFIER}', 1)]"
+_marked = lambda x: rf"""list_concat([{S.key('t')} for t in {S.spans(x)}], [lower(b) for b in [{S.strip('b')} for b in regexp_extract_all({x}, '\[([^\]]+)\]', 1)] if regexp_matches(b, '{lexical.SINGLE_IDENTIFIER}')], [t for t in {_plain(x)} if contains(t, '-') or ends_with(t, '?')])"""
+_runs = lambda t: f"flatten([[array_to_string({t}[i:i + n - 1], ' ') for i in range(1, len({t}) - n + 2) if list_has_any({t}[i:i + n - 1], {S.words(audit.PHRASE_KEYWORDS)})] for n in [2, 3, 4]])"
+AUDIT = rf"""{S.PROFILES}, texts AS (SELECT model_name, record_id, left(coalesce(question, ''), 220) AS example, {_record_text} AS text FROM last WHERE model_name IS NOT NULL),
+    {PARSED.replace('FROM documents)', ', model_name FROM documents)').replace('SELECT doc_id, text, code, CASE', 'SELECT doc_id, model_name, text, code, CASE')},
+    {UNRESOLVED[len(PARSED) + 2:].replace('known AS (SELECT doc_id,', 'known AS (SELECT doc_id, model_name,').replace('FROM parsed WHERE text', "FROM (SELECT * REPLACE ([] AS widgets) FROM parsed) WHERE text")},
+    hints AS (SELECT model, term, bool_or(aux) AS aux, bool_or(NOT aux) AS unresolved FROM (SELECT {S.model('model_name')} AS model, lower(unnest(literals)) AS term, true AS aux FROM parsed UNION ALL SELECT {S.model('k.model_name')}, token, false FROM unresolved JOIN known k USING (doc_id)) WHERE model IS NOT NULL GROUP BY 1, 2),
+    uses AS (SELECT model_name, term, count(*) FILTER (m = 1) AS marked, count(*) FILTER (m = 0) AS plain FROM (SELECT model_name, unnest({_marked('text')}) AS term, 1 AS m FROM texts UNION ALL SELECT model_name, unnest([t for t in {_plain('text')} if not contains(t, '-') and not ends_with(t, '?')]), 0 FROM texts) WHERE term <> '' GROUP BY 1, 2),
+    met AS (SELECT u.model_name, u.term, list_contains(p.core, u.term) AS is_core, coalesce(h.aux, false) AS aux, coalesce(h.unresolved, false) AS unresolved, marked + CASE WHEN list_contains(p.core, u.term) OR coalesce(h.unresolved, false) THEN plain ELSE 0 END AS n FROM uses u JOIN profiles p ON u.model_name = p.model_name LEFT JOIN hints h ON u.model_name = h.model AND u.term = h.term),
+    classified AS (SELECT model_name, term, n, CASE WHEN is_core THEN 'core' WHEN aux OR list_contains({S.words(routing.ALLOW)}, term) THEN 'supported' WHEN unresolved THEN 'parser_miss' WHEN n >= 2 THEN 'extension_candidate' ELSE 'drift' END AS class FROM met WHERE n > 0),
+    top AS (SELECT *, CAST(row_number() OVER (PARTITION BY model_name, class ORDER BY n DESC, term) AS INT) AS rank FROM classified),
+    phrases AS (SELECT model_name, unnest(list_concat([p for p in [{S.key("substr(p, 2, len(p) - 2)")} for p in regexp_extract_all(text, '"[^"\n]{{1,120}}"|\x27[^\x27\n]{{1,120}}\x27')] if p <> '' and len(string_split(p, ' ')) <= 5], {_runs('w')})) AS phrase
+        FROM (SELECT model_name, text, [t for t in {_plain('text')} if not list_contains({S.words(lexical.STOPWORDS + audit.MORE_STOPWORDS)}, t)] AS w FROM texts)),
+    phrase_uses AS (SELECT model_name, phrase, count(*) AS n FROM phrases GROUP BY 1, 2)"""
+SUPPORT = f"""{AUDIT}, f AS (SELECT model_name, 'family_1' AS family, unnest(f1) AS term FROM profiles UNION ALL SELECT model_name, 'family_2', unnest(f2) FROM profiles UNION ALL SELECT model_name, 'family_3', unnest(f3) FROM profiles),
+    fi AS (SELECT f.model_name, family, coalesce(sum(n), 0)::BIGINT AS unsupported, coalesce(sum(n) FILTER (class = 'extension_candidate'), 0)::BIGINT AS candidates, coalesce(sum(n) FILTER (class = 'parser_miss'), 0)::BIGINT AS parser_misses
+        FROM f LEFT JOIN classified c ON f.model_name = c.model_name AND f.term = c.term AND c.class NOT IN ('core', 'supported') GROUP BY 1, 2),
+    fc AS (SELECT g.model_name, family, coalesce(sum(n), 0)::BIGINT AS phrases FROM (SELECT DISTINCT model_name, family, replace(term, '-', ' ') AS phrase FROM f) g LEFT JOIN phrase_uses u ON g.model_name = u.model_name AND g.phrase = u.phrase GROUP BY 1, 2),
+    support AS (SELECT *, unsupported + candidates + phrases AS support FROM fi JOIN fc USING (model_name, family))"""
 
 
-@query(f"""WITH {S.PROFILES}, f AS (SELECT model_name, 'family_1' AS family, unnest(f1) AS term FROM profiles UNION ALL SELECT model_name, 'family_2', unnest(f2) FROM profiles UNION ALL SELECT model_name, 'family_3', unnest(f3) FROM profiles)
-    SELECT model_name, family, sum(n)::BIGINT AS support FROM f JOIN identifiers USING (model_name, term) GROUP BY 1, 2""")
+def _audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.classified_terms(views.records(spark, d), views.profiles(spark, d), routing.ALLOW, views.source_hints(spark, d))
+
+
+@query(f"WITH {SUPPORT} SELECT model_name, family, unsupported, candidates, parser_misses, phrases, support FROM support")
 def q_family_support(spark: SparkSession, d: str) -> DataFrame:
-    r = views.records(spark, d)
-    return profiles.family_support(views.profiles(spark, d), profiles.identifier_counts(r))
+    """What the audit's unsupported terms and phrases have on each family of a model."""
+    return profiles.family_support(views.profiles(spark, d), _audit(spark, d), audit.phrase_uses(views.records(spark, d)))
 
 
 @query(f"""WITH {S.PROFILES}, s AS (SELECT model_name, list_distinct(list_concat(f1, core[1:2])) AS ids FROM profiles), c AS (SELECT * FROM profiles WHERE model_name < 'p')
@@ -346,20 +370,9 @@ def q_spec_validation(spark: SparkSession, d: str) -> DataFrame:
     return x.select("model_name", "missing_core", joined("overlap").alias("overlap"))
 
 
-@query(f"""WITH {S.PROFILES}, f AS (SELECT model_name, 'family_1' AS family, unnest(f1) AS term FROM profiles UNION ALL SELECT model_name, 'family_2', unnest(f2) FROM profiles UNION ALL SELECT model_name, 'family_3', unnest(f3) FROM profiles),
-    s AS (SELECT model_name, family, sum(n)::BIGINT AS support FROM f JOIN identifiers USING (model_name, term) GROUP BY 1, 2) SELECT *, CAST(row_number() OVER (ORDER BY support DESC, model_name, family) AS INT) AS place FROM s QUALIFY place <= 100""")
+@query(f"WITH {SUPPORT} SELECT model_name, family, support, CAST(row_number() OVER (ORDER BY support DESC, model_name, family) AS INT) AS place FROM support QUALIFY place <= 100")
 def q_extension_summary(spark: SparkSession, d: str) -> DataFrame:
-    return profiles.extension_summary(q_family_support(spark, d))
-
-
-AUDIT = f"""{S.PROFILES}, used AS (SELECT model_name, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL),
-    uc AS (SELECT model_name, term, count(*) AS n FROM used WHERE term <> '' GROUP BY 1, 2),
-    classified AS (SELECT model_name, term, n, CASE WHEN list_contains(core, term) THEN 'core' WHEN list_contains({S.words(routing.ALLOW)}, term) THEN 'allowed' WHEN n >= 2 THEN 'extension_candidate' ELSE 'drift' END AS class FROM uc JOIN profiles USING (model_name)),
-    top AS (SELECT *, CAST(row_number() OVER (PARTITION BY model_name, class ORDER BY n DESC, term) AS INT) AS rank FROM classified)"""
-
-
-def _audit(spark: SparkSession, d: str) -> DataFrame:
-    return audit.classified_terms(views.records(spark, d), views.profiles(spark, d), routing.ALLOW)
+    return profiles.extension_summary(q_family_support(spark, d).select("model_name", "family", "support"))
 
 
 @query(f"WITH {AUDIT} SELECT model_name, class, count(*) AS terms, sum(n)::BIGINT AS uses FROM classified GROUP BY 1, 2")
@@ -372,27 +385,62 @@ def q_audit_topk(spark: SparkSession, d: str) -> DataFrame:
     return audit.top_terms(_audit(spark, d), 10).select("model_name", "class", "term", "n", "rank")
 
 
-@query(f"""WITH {AUDIT}, s AS (SELECT class, term, sum(n)::BIGINT AS n FROM top WHERE rank <= 50 GROUP BY 1, 2)
-    SELECT class, term, n, CAST(row_number() OVER (PARTITION BY class ORDER BY n DESC, term) AS INT) AS rank FROM s QUALIFY rank <= 100""")
+@query(f"""WITH {AUDIT}, rolled AS (SELECT class, term, sum(n)::BIGINT AS n FROM top WHERE rank <= 50 GROUP BY 1, 2)
+    SELECT class, term, n, CAST(row_number() OVER (PARTITION BY class ORDER BY n DESC, term) AS INT) AS rank FROM rolled QUALIFY rank <= 100""")
 def q_audit_rollup(spark: SparkSession, d: str) -> DataFrame:
     return audit.roll_up(audit.top_terms(_audit(spark, d), 50), 100).select("class", "term", "n", "rank")
 
 
-@query(f"WITH {AUDIT} SELECT model_name, sum(n)::BIGINT AS n FROM classified WHERE class IN ('extension_candidate', 'drift') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+@query(f"WITH {AUDIT} SELECT model_name, sum(n)::BIGINT AS n FROM classified WHERE class NOT IN ('core', 'supported') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def q_audit_pressure(spark: SparkSession, d: str) -> DataFrame:
     return audit.pressure(_audit(spark, d))
 
 
-@query(f"""WITH {AUDIT}, e AS (SELECT DISTINCT model_name, record_id, left(coalesce(question, ''), 220) AS example, unnest({S.term_list("coalesce(question, '') || chr(10) || coalesce(answer, '')")}) AS term FROM last WHERE model_name IS NOT NULL)
-    SELECT model_name, term, record_id, example FROM e JOIN classified USING (model_name, term) WHERE class IN ('extension_candidate', 'drift') QUALIFY row_number() OVER (PARTITION BY model_name, term ORDER BY record_id, example) <= 3""")
+@query(f"WITH {AUDIT} SELECT model_name, phrase, n, CAST(row_number() OVER (PARTITION BY model_name ORDER BY n DESC, phrase) AS INT) AS rank FROM phrase_uses QUALIFY rank <= 100")
+def q_audit_phrases(spark: SparkSession, d: str) -> DataFrame:
+    """The most used phrases of each model: quoted ones, and runs of terms that have a keyword."""
+    p = audit.phrase_uses(views.records(spark, d)).select("model_name", F.lit("phrase").alias("class"), F.col("phrase").alias("term"), "n")
+    return audit.top_terms(p, 100).select("model_name", F.col("term").alias("phrase"), "n", "rank")
+
+
+@query(f"""WITH {AUDIT}, e AS (SELECT model_name, record_id, example, unnest(list_distinct(list_concat({_marked('text')}, {_plain('text')}))) AS term FROM texts WHERE record_id IS NOT NULL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY model_name, term ORDER BY record_id, example) AS r FROM e QUALIFY r <= 3)
+    SELECT model_name, term, class, record_id, example FROM r JOIN classified USING (model_name, term)""")
 def q_audit_examples(spark: SparkSession, d: str) -> DataFrame:
+    """The first records that hold each exact term, of every class."""
     return audit.examples(views.records(spark, d), _audit(spark, d))
 
 
 # Routing
 
 
-@query()
+def _family_score(f: str) -> str:
+    phrases = f"list_distinct([replace(i, '-', ' ') for i in {f}])"
+    split = f"list_distinct(flatten([string_split(replace(i, '-', ' '), ' ') for i in {f}]))"
+    return (
+        f"{routing.W_ID} * len([i for i in list_distinct({f}) if list_contains(terms, i)]) + {routing.W_PHRASE} * len([i for i in {phrases} if i <> '' and contains(low, i)])"
+        f" + {routing.W_TOKEN} * len([i for i in {split} if not list_contains({S.words(lexical.STOPWORDS)}, i) and list_contains(terms, i)])"
+    )
+
+
+_rule = lambda mode, why, fam="NULL": f"{{'r': '{mode}', 'w': {why}, 'f': CAST({fam} AS VARCHAR)}}"
+
+
+@query(f"""WITH {S.PROFILES}, {S.SEEDS}, x AS (SELECT s.seed_id, p.model_name AS pm, coalesce(p.core, []) AS core, coalesce(p.f1, []) AS f1, coalesce(p.f2, []) AS f2, coalesce(p.f3, []) AS f3, {_text} AS text FROM seeds s LEFT JOIN profiles p USING (model_name)),
+    y AS (SELECT *, list_distinct({S.term_list('text')}) AS terms, {S.key('text')} AS low, list_distinct(list_concat(f1, f2, f3)) AS ext FROM x),
+    z AS (SELECT *, len([t for t in terms if list_contains(core, t)]) AS hits, len([t for t in terms if not list_contains(core, t) and not list_contains(ext, t) and not list_contains({S.words(routing.ALLOW)}, t)]) / greatest(1, len(terms)) AS unknown,
+        len([t for t in terms if list_contains(ext, t)]) AS ids, len([i for i in ext if i <> '' and contains(low, replace(i, '-', ' '))]) AS concepts, list_has_any(terms, {S.words(routing.INTENT)}) AS intent,
+        list_filter([{{'s': {_family_score('f1')}, 'b': 0, 'n': 'family_1', 'k': len(f1)}}, {{'s': {_family_score('f2')}, 'b': -1, 'n': 'family_2', 'k': len(f2)}}, {{'s': {_family_score('f3')}, 'b': -2, 'n': 'family_3', 'k': len(f3)}}], lambda q: q.k > 0) AS fams FROM y),
+    b AS (SELECT *, coalesce(list_max([q.s for q in fams]), 0) AS score, list_sort(fams, 'DESC')[1].n AS top FROM z),
+    c AS (SELECT *, CASE WHEN score > 0 THEN top END AS fam, CASE WHEN {_matches('text', routing.HEX_GRID)} THEN 'seed_requires_hex_grid' WHEN {_matches('text', routing.PATHOGENS)} AND NOT contains(array_to_string(core, ' '), 'sick?') AND NOT contains(array_to_string(core, ' '), 'infected') THEN 'seed_requires_multi_pathogen' END AS bad FROM b),
+    d AS (SELECT *, CASE WHEN pm IS NULL THEN {_rule('skip', "'missing_model_profile'")} WHEN bad IS NOT NULL THEN {_rule('skip', "'scope_mismatch:' || bad")}
+        WHEN fam IS NOT NULL AND (score >= {routing.STRONG} OR (intent AND score >= {routing.WEAK})) THEN {_rule('anchored_extension', "'strong_extension_family_match'", 'fam')}
+        WHEN hits >= {routing.PARAPHRASE_HITS} AND score = 0 AND unknown <= {routing.PARAPHRASE_UNKNOWN} THEN {_rule('core_paraphrase', "'strong_core_match'")}
+        WHEN hits >= {routing.REPAIR_HITS} AND score = 0 AND unknown <= {routing.REPAIR_UNKNOWN} THEN {_rule('core_repair', "'core_match_with_noise'")}
+        WHEN fam IS NOT NULL AND score >= {routing.WEAK} AND (intent OR ids > 0 OR concepts > 0) THEN {_rule('anchored_extension', "'mixed_core_extension_content'", 'fam')}
+        WHEN hits >= 1 AND unknown > {routing.REPAIR_UNKNOWN} AND {_matches('text', routing.MODIFICATION)} THEN {_rule('freeform_extension', "'extension_intent_with_weak_core_anchor'")}
+        WHEN hits >= 1 THEN {_rule('core_repair', "'weak_core_anchor'")} ELSE {_rule('skip', "'insufficient_anchor'")} END AS rule FROM c)
+    SELECT seed_id, rule.r AS route, rule.w AS route_reason, rule.f AS family, hits::INT AS core_hits, score::INT AS best_family_score, round(unknown, 6) AS unknown_ratio, intent AS extension_intent FROM d""")
 def q_route(spark: SparkSession, d: str) -> DataFrame:
     x = routing.route(views.seeds(spark, d), views.profiles(spark, d))
     return x.select("seed_id", "route", "route_reason", "family", "core_hits", "best_family_score", F.round("unknown_ratio", 6).alias("unknown_ratio"), "extension_intent")
@@ -558,7 +606,23 @@ def _gated(spark: SparkSession, d: str) -> DataFrame:
     return gates.validate_vocabulary(r.join(t, "task_key", "left"), views.profiles(spark, d), routing.ALLOW)
 
 
-@query()
+_none_of = lambda *xs: " and ".join(f"not list_contains({x}, u)" for x in xs)
+
+
+@query(f"""WITH {S.PROFILES}, {S.TASKS}, p AS (SELECT *, list_distinct(list_concat(coalesce(f1, []), coalesce(f2, []), coalesce(f3, []))) AS ext FROM profiles),
+    g AS (SELECT {S.model('r.model_name')} AS m, {S.strip('t.route_mode')} AS mode, t.extension_family AS fam, coalesce(r.answer, '') AS a, coalesce(r.question, '') || chr(10) || coalesce(r.answer, '') AS text FROM responses r LEFT JOIN tasks t ON r.task_key = t.task_key),
+    x AS (SELECT g.*, p.model_name AS pm, p.core, p.ext, CASE fam WHEN 'family_1' THEN coalesce(f1, []) WHEN 'family_2' THEN coalesce(f2, []) WHEN 'family_3' THEN coalesce(f3, []) ELSE [] END AS own_family, list_distinct({S.ticked('text')}) AS used, {S.key('text')} AS low, {S.key('a')} AS ak,
+        list_concat([m, replace(m, '_', '-')], list_filter(string_split(m, '_'), lambda w: len(w) >= 3)) AS own FROM g LEFT JOIN p ON g.m = p.model_name),
+    y AS (SELECT *, [u for u in used if list_contains(ext, u)] AS ue, [u for u in used if {_none_of('core', 'ext', 'own', S.words(routing.ALLOW))}] AS un, {_matches('ak', gates.any_phrase(gates.FRAMING_CUES))} OR {_matches('a', gates.any_of(gates.FRAMING))} AS framed,
+        [{S.key('q')} for q in string_split_regex(regexp_replace(a, '([.!?])\\s+', '\\1' || chr(10), 'g'), '\\n+')] AS s FROM x),
+    z AS (SELECT *, list_filter(s, lambda q: {_matches('q', gates.any_phrase(gates.CLAIMS))} AND NOT {_matches('q', gates.any_phrase(gates.SAFE))} AND len(list_filter(list_concat(ue, un), lambda u: contains(q, u))) > 0) AS claims FROM y)
+    SELECT mode AS route_mode, CASE WHEN pm IS NULL THEN 'MISSING_MODEL_PROFILE'
+        WHEN mode IN ('core_paraphrase', 'core_repair') THEN CASE WHEN len(un) > 0 AND NOT (mode = 'core_repair' AND (framed OR {_matches('a', gates.any_of(gates.PROPOSAL))})) THEN 'UNKNOWN_CORE_IDENTIFIER' WHEN len(ue) > 0 THEN 'UNAPPROVED_EXTENSION_IDENTIFIER'
+            WHEN len([e for e in ext if contains(low, replace(e, '-', ' '))]) > 0 THEN 'EXTENSION_CONTENT_IN_CORE_MODE' END
+        WHEN mode IN ('anchored_extension', 'freeform_extension') THEN CASE WHEN len(un) > 0 AND NOT framed THEN 'UNAPPROVED_EXTENSION_IDENTIFIER' WHEN fam IS NOT NULL AND len([u for u in ue if not list_contains(own_family, u)]) > 0 THEN 'CROSS_FAMILY_EXTENSION_IDENTIFIER'
+            WHEN len(ue) + len(un) > 0 AND NOT framed THEN 'EXTENSION_REQUIRES_FRAMING' WHEN len(claims) > 0 THEN 'BASE_MODEL_MISREPRESENTATION'
+            WHEN NOT {_matches('low', gates.any_phrase(gates.ANCHORS))} AND len([c for c in core if contains(low, c)]) = 0 THEN 'INSUFFICIENT_CORE_ANCHOR' END
+        ELSE 'UNKNOWN_MODE' END AS reason, count(*) AS n FROM z GROUP BY 1, 2""")
 def q_gate2(spark: SparkSession, d: str) -> DataFrame:
     return _gated(spark, d).groupBy("route_mode", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -683,7 +747,7 @@ def q_task_seed_join(spark: SparkSession, d: str) -> DataFrame:
 def q_support_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Support entries with the text of their record."""
     l = table(spark, d, "support_entries").filter("record_id is not null").select("seed_id", "record_id").distinct()
-    return l.join(views.records(spark, d).select("record_id", "question"), "record_id", "left").select("seed_id", "record_id", "question")
+    return prompts.support_texts(l, views.records(spark, d), "record_id").select("seed_id", "record_id", F.col("support_question").alias("question"))
 
 
 # Prompts
@@ -704,10 +768,30 @@ def q_redact(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "responses").select("response_id", prompts.redact(F.concat(F.lit("token="), "task_key", F.lit(" "), F.coalesce("answer", F.lit("")))).alias("safe"))
 
 
-@query()
+_case = lambda x, values, other: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN {_quote(v)}" for k, v in values.items()) + f" ELSE {other} END"
+_bullets = lambda x: f"CASE WHEN len({x}) > 0 THEN array_to_string(['- ' || i for i in {x}], chr(10)) ELSE '- None' END"
+_level = "coalesce(nullif(upper(level), ''), 'L3')"
+_objective = _case("transform_type", prompts.OBJECTIVES, "'Take `' || transform_type || '` as a guide to the style.'")
+_values = {
+    "model_name": "coalesce(m, '')", "level": "coalesce(level, '')", "tier": "coalesce(tier, '')", "family": "coalesce(fam, '')", "transform": "coalesce(transform_type, '')",
+    "style": _case(_level, prompts.STYLES, f"'Style: ' || {_level} || '. Keep the answer useful for teaching and technically correct.'"), "summary": "''", "core": _bullets("core"), "concepts": _bullets("[replace(i, '-', ' ') for i in ids]"), "identifiers": _bullets("ids"), "cues": "'- None'",
+    "objective": f"CASE WHEN coalesce(transform_type, '') = '' THEN '' ELSE 'OBJECTIVE:' || chr(10) || {_objective} || chr(10) || chr(10) END",
+    "support": f"CASE WHEN sq IS NULL AND sa IS NULL THEN '' ELSE 'Support question: ' || {_short('sq', 220)} || chr(10) || 'Support answer: ' || {_short('sa', 420)} || chr(10) || chr(10) END", "question": "coalesce(question, '')", "answer": "coalesce(answer, '')",
+}
+_prompt = "CASE mode " + " ".join(f"WHEN '{m}' THEN " + " || ".join(_quote(t) if kind == "text" else f"({_values[t]})" for kind, t in prompts.layout(m)) for m in prompts.MODES) + " END"
+
+
+@query(f"""WITH {S.PROFILES}, {S.TASKS}, {S.SEEDS}, x AS (SELECT t.task_key, {S.model('t.model_name')} AS m, t.level, t.tier, {S.strip('t.route_mode')} AS mode, CASE WHEN t.extension_family IN ('family_1', 'family_2', 'family_3') THEN t.extension_family ELSE 'family_1' END AS fam, t.transform_type,
+        s.question, s.answer, r.question AS sq, r.answer AS sa FROM tasks t LEFT JOIN seeds s ON t.seed_id = s.seed_id LEFT JOIN last r ON t.support_record_id = r.record_id),
+    y AS (SELECT x.*, p.model_name AS pm, list_sort(p.core) AS core, CASE fam WHEN 'family_1' THEN f1 WHEN 'family_2' THEN f2 ELSE f3 END AS ids FROM x LEFT JOIN profiles p ON x.m = p.model_name),
+    z AS (SELECT *, CASE WHEN mode IS NULL OR mode NOT IN {prompts.MODES} THEN 'NO_TEMPLATE' WHEN pm IS NULL THEN 'MISSING_MODEL_PROFILE' WHEN mode = 'anchored_extension' AND ids IS NULL THEN 'MISSING_FAMILY' END AS prompt_error FROM y)
+    SELECT task_key, CASE WHEN prompt_error IS NULL THEN {_prompt} END AS prompt, prompt_error FROM z""")
 def q_prompts(spark: SparkSession, d: str) -> DataFrame:
-    t = views.tasks(spark, d).withColumn("model_name", text.model_key("model_name")).withColumn("route_mode", text.strip("route_mode"))
-    return prompts.prompts(t.select("task_key", "model_name", "level", "route_mode", "extension_family", "transform_type"), views.profiles(spark, d)).select("task_key", "prompt", "prompt_error")
+    """The prompt of every task, with its seed, its support record and the first family of its model where its own is not derived from the records."""
+    t = views.tasks(spark, d).withColumns({"model_name": text.model_key("model_name"), "route_mode": text.strip("route_mode"), "extension_family": F.when(F.col("extension_family").isin("family_1", "family_2", "family_3"), F.col("extension_family")).otherwise("family_1")})
+    t = t.select("task_key", "seed_id", "model_name", "level", "tier", "route_mode", "extension_family", "transform_type", "support_record_id")
+    full = prompts.support_texts(runner.attach(t, views.seeds(spark, d).select("seed_id", "question", "answer")), views.records(spark, d))
+    return prompts.prompts(full, views.profiles(spark, d)).select("task_key", "prompt", "prompt_error")
 
 
 @query("SELECT response_id::VARCHAR AS custom_id, answer AS content FROM responses WHERE response_id % 5 NOT IN (1, 2) AND answer IS NOT NULL")

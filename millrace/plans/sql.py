@@ -79,4 +79,4 @@ SEEDS = f"""seeds AS (SELECT {nz('seed_id')} AS seed_id, {model('model_name')} A
     QUALIFY row_number() OVER (PARTITION BY {nz('seed_id')} ORDER BY route_mode DESC NULLS LAST, extension_family DESC NULLS LAST, model_name DESC NULLS LAST, class_id DESC NULLS LAST, level DESC NULLS LAST, tier DESC NULLS LAST, question DESC NULLS LAST, answer DESC NULLS LAST) = 1)"""
 
 TASKS = """tasks AS (SELECT * FROM planned_tasks WHERE task_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY task_key ORDER BY planned_at DESC NULLS LAST, CASE WHEN isnan(priority) THEN NULL ELSE priority END DESC NULLS LAST,
-    seed_id DESC NULLS LAST, route_mode DESC NULLS LAST, provider_hint DESC NULLS LAST, tier DESC NULLS LAST) = 1)"""
+    seed_id DESC NULLS LAST, route_mode DESC NULLS LAST, provider_hint DESC NULLS LAST, tier DESC NULLS LAST, model_name DESC NULLS LAST, level DESC NULLS LAST, transform_type DESC NULLS LAST, extension_family DESC NULLS LAST, support_record_id DESC NULLS LAST) = 1)"""

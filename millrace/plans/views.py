@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import blank_to_null, model_key
+from millrace.operators import srcparse
 from millrace.operators.normalize import normalize
 from millrace.operators.profiles import derive_profiles
 from millrace.sources.tables import table
@@ -45,8 +46,16 @@ def tasks(spark: SparkSession, d: str) -> DataFrame:
     """One row per task_key, the last planned; a NaN priority counts as none."""
     t = table(spark, d, "planned_tasks")
     number = F.when(~F.isnan("priority"), F.col("priority"))
-    return first_row(t, "task_key", [F.col("planned_at").desc_nulls_last(), number.desc_nulls_last(), *desc("seed_id", "route_mode", "provider_hint", "tier")])
+    return first_row(t, "task_key", [F.col("planned_at").desc_nulls_last(), number.desc_nulls_last(), *desc("seed_id", "route_mode", "provider_hint", "tier", "model_name", "level", "transform_type", "extension_family", "support_record_id")])
 
 
 def profiles(spark: SparkSession, d: str) -> DataFrame:
     return derive_profiles(records(spark, d))
+
+
+def source_hints(spark: SparkSession, d: str) -> DataFrame:
+    """(model_name, term, kind): what the parse of a model's documents leaves unresolved, and the literals and widgets it tells of."""
+    t = table(spark, d, "documents").select("doc_id", model_key("model_name").alias("model_name"), "text").filter("model_name is not null and text is not null")
+    aux = srcparse.core_of(t, "text").select("model_name", F.explode(F.array_union("literals", "widgets")).alias("term"), F.lit("aux").alias("kind"))
+    open_ = srcparse.unresolved(t, "doc_id", "text").join(t.select("doc_id", "model_name"), "doc_id").select("model_name", "token", F.lit("unresolved").alias("kind"))
+    return aux.unionByName(open_.withColumnRenamed("token", "term")).withColumn("term", F.lower("term")).distinct()

@@ -33,3 +33,15 @@ def test_totals_match_brute_force(spark, rows, monkeypatch, limit):
 def test_empty(spark):
     df = spark.createDataFrame([], "a string, b string, s string, p double, t string")
     assert heavy_keys.key_totals(df, ["a", "b"], "s", "p", "t").count() == 0
+
+
+def test_heavy_keys_of_a_large_dictionary_stay_out_of_the_shuffle(spark, monkeypatch):
+    """The key of most rows meets its code by broadcast; only rows of other keys are joined by shuffle."""
+    monkeypatch.setattr(heavy_keys, "MAX_BROADCAST_KEYS", 10)
+    monkeypatch.setattr(heavy_keys, "HEAVY_KEYS", 3)
+    df = spark.createDataFrame(DATA, "a string, b string, s string, p double, t string").select("a", "b")
+    codes, small = heavy_keys.dictionary(df, ["a", "b"])
+    top = heavy_keys.heavy(codes, ["a", "b"]).collect()
+    assert not small and len(top) == 3 and (top[0]["a"], top[0]["b"], top[0]["key_rows"]) == ("m", "x", 900)
+    coded = heavy_keys.encode(df, ["a", "b"], codes, small)
+    assert coded.count() == len(DATA) and coded.groupBy("key_id").count().agg({"count": "max"}).first()[0] == 900

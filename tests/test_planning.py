@@ -3,7 +3,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from millrace.operators import capacity, gates, planner, profiles, routing, srcparse, support
+from millrace.operators import audit, capacity, gates, planner, profiles, prompts, routing, srcparse, support
 
 PROFILE = "model_name string, core array<string>, summary string, families array<struct<name:string,identifiers:array<string>,concepts:array<string>>>, cues array<string>, themes array<string>"
 CORE = "setup go determine-behavior grievance estimated-arrest-probability active? jail-term risk-aversion perceived-hardship k threshold agents cops government-legitimacy vision initial-cop-density".split()
@@ -135,7 +135,7 @@ def test_smaller_pieces(spark, rows):
     cl = spark.createDataFrame([(1, None, 0.79), (2, "a", 0.9)], "class_id int, tier string, p10 double")
     assert rows(enrich.with_class_tier(ex, cl).select("id", "tier")) == [("e", "B"), ("f", "B"), ("g", None)]
     one = spark.createDataFrame([("See `A b`, [foo-bar] and x-y.",)], "t string")
-    assert one.select(audit.spelled_terms("t")).first()[0] == ["a b", "foo-bar", "foo-bar", "x-y"]
+    assert sorted(one.select(audit.marked_terms("t")).first()[0]) == sorted(["a b", "foo-bar", "foo-bar", "x-y"])
     assert one.select(profiles.with_defaults(F.array(F.lit("You Could"), F.lit("new")), ["you could", "extend"])).first()[0] == ["you could", "extend", "new"]
     assert one.select(srcparse.merged_widgets(F.array(F.lit("b"), F.lit("A")), F.array(F.lit("a")))).first()[0] == ["A", "b"]
     t = spark.createDataFrame([(1,), (2,), (3,)], "k int")
@@ -145,3 +145,78 @@ def test_smaller_pieces(spark, rows):
     assert {r["question"]: r["embedding"] for r in got} == {"ab": [2.0, 1.0], None: None}
     core = srcparse.core_of(spark.createDataFrame([("m", "to go\nend")], "name string, text string"), "text")
     assert core.select(srcparse.fallback_summary(F.col("name"))).first()[0] == "The model m has procedures such as go."
+
+
+FRAMED = [
+    "Extending the original model with a signal.",
+    "Adding a new variable to the agents.",
+    "The model has no `trade` feature.",
+    "Introducing a `mood` variable changes this.",
+    "Add to `nodes-own` a field.",
+    "In an extension of the model this works.",
+    "A state_refinement extension would help.",
+    "We'll introduce a layer.",
+    "Modify the `setup` procedure first.",
+]
+UNFRAMED = ["The agents move at random.", "It rises with `grievance`.", None, ""]
+
+
+def test_framing(spark):
+    df = spark.createDataFrame([(t,) for t in FRAMED + UNFRAMED], "a string")
+    a = F.coalesce("a", F.lit(""))
+    got = [r[0] for r in df.select(gates.has_framing(a, F.lower(a), F.array().cast("array<string>"))).collect()]
+    assert got == [True] * len(FRAMED) + [False] * len(UNFRAMED)
+
+
+def test_anchor_by_two_words_of_the_summary(spark):
+    cases = [("You could add `media-influence`: citizens then meet a central authority.", None), ("You could add `media-influence`: citizens then meet.", "INSUFFICIENT_CORE_ANCHOR"), (None, "INSUFFICIENT_CORE_ANCHOR"), ("You could record the peak of `media-influence` in the original code.", None)]
+    df = spark.createDataFrame([(i, "rebellion", None, a, "anchored_extension", "broadcast_media") for i, (a, _) in enumerate(cases)], "i int, model_name string, question string, answer string, route_mode string, extension_family string").withColumn("core", F.lit(1))
+    p = profile(spark).withColumn("core", F.array(F.lit("zzz-core")))
+    got = {r["i"]: r["reason"] for r in gates.validate_vocabulary(df, p, []).collect()}
+    assert got[0] is None and got[1] == got[2] == "INSUFFICIENT_CORE_ANCHOR" and got[3] == "EXTENSION_REQUIRES_FRAMING"
+
+
+def test_prompts_carry_their_content(spark):
+    schema = "task_key string, model_name string, route_mode string, extension_family string, transform_type string, level string, tier string, question string, answer string, support_question string, support_answer string"
+    rows_ = [
+        ("a", "rebellion", "core_paraphrase", None, "lexical_paraphrase", "L3", "C", "Why does it rise?", "Because of `grievance`.", "Other question?", "Other answer."),
+        ("b", "rebellion", "core_repair", None, "made_up", "L2", None, "Q?", "A.", None, None),
+        ("c", "rebellion", "anchored_extension", "broadcast_media", None, None, "A", "Q?", None, None, None),
+        ("d", "rebellion", "skip", None, None, None, None, "Q?", "A.", None, None),
+        ("e", "rebellion", "anchored_extension", "gone", None, None, None, "Q?", "A.", None, None),
+        ("f", "unknown", "core_repair", None, None, None, None, "Q?", "A.", None, None),
+        ("g", None, None, None, None, None, None, None, None, None, None),
+    ]
+    got = {r["task_key"]: r for r in prompts.prompts(spark.createDataFrame(rows_, schema).withColumn("core", F.lit(1)), profile(spark)).collect()}
+    a, b, c = (got[k]["prompt"] for k in "abc")
+    assert "core_paraphrase" in a and "Do not add extensions" in a and "SEED_CONFLICT" not in a and "Why does it rise?" in a and "Because of `grievance`." in a
+    assert "Support question: Other question?\nSupport answer: Other answer." in a and prompts.OBJECTIVES["lexical_paraphrase"] in a and prompts.STYLES["L3"] in a and "- determine-behavior" in a and "citizen uprising" in a
+    assert prompts.SKIP in b and "Take `made_up`" in b and "Support question" not in b and prompts.STYLES["L2"] in b
+    assert "media-signal" in c and "global signal" in c and "you could add" in c and "homophily-index" not in c and "social network" not in c and "OBJECTIVE" not in c
+    assert [got[k]["prompt_error"] for k in "defg"] == ["NO_TEMPLATE", "MISSING_FAMILY", "MISSING_MODEL_PROFILE", "NO_TEMPLATE"] and all(got[k]["prompt"] is None for k in "defg")
+    by_kind = profile(spark).withColumns({"procedures": F.array(F.lit("go")), "breeds": F.array(F.lit("cops"))})
+    assert "- procedures: go\n- breeds: cops" in prompts.prompts(spark.createDataFrame(rows_[:1], schema), by_kind).first()["prompt"]
+
+
+def test_audit_classes(spark, rows):
+    recs = spark.createDataFrame([("r1", "m", "How does `core-a` use lone and [b-c]?", "`b-c` is new; odd-one is seen, as is miss."), ("r2", "m", None, "miss and lit and tick"), ("r3", None, "`x-y`", ""), ("r4", "none", "`x-y`", "")], "record_id string, model_name string, question string, answer string")
+    prof = spark.createDataFrame([("m", ["core-a", "lone"])], "model_name string, core array<string>")
+    hints = spark.createDataFrame([("m", "Miss", "unresolved"), ("m", "lit", "aux"), ("m", None, "aux"), (None, "lit", "aux")], "model_name string, term string, kind string")
+    got = {r["term"]: (r["n"], r["class"]) for r in audit.classified_terms(recs, prof, ["tick"], hints).collect()}
+    assert got == {"core-a": (2, "core"), "lone": (1, "core"), "b-c": (4, "extension_candidate"), "odd-one": (1, "drift"), "miss": (2, "parser_miss")}
+    ex = rows(audit.examples(recs, audit.classified_terms(recs, prof, [], hints), 1).select("term", "record_id"))
+    assert ("miss", "r1") in ex and ("core-a", "r1") in ex
+    p = {r["phrase"]: r["n"] for r in audit.phrase_uses(spark.createDataFrame([("m", "The state of the 'old agents' use network links", None)], "model_name string, question string, answer string")).collect()}
+    assert p["old agents"] == 1 and p["network links"] == 1 and "use network" not in p and p["state agents"] == 1
+
+
+def test_nearest_class_of_odd_vectors(spark):
+    e = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [0.0, 2.0], 1), (3, None, 1), (4, [0.0, 0.0], 0), (5, [1.0], None), (6, [1.0, None], None), (7, [float("nan"), 1.0], None), (8, [1.0, 1.0], None)], "vec_id long, embedding array<float>, label int")
+    c = spark.createDataFrame([(0, [3.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 0.0]), (None, [1.0, 1.0])], "label int, centre array<double>")
+    got = {r["vec_id"]: (r["best_label"], r["reason"]) for r in gates.nearest_class(e, c, "vec_id").collect()}
+    bad = (None, "GATE1_BACKEND_ERROR")
+    assert got == {1: (0, None), 2: (1, None), 3: bad, 4: bad, 5: bad, 6: bad, 7: bad, 8: (1, "LOW_CLASS_MARGIN")}
+    none = gates.nearest_class(e, c.limit(0), "vec_id").collect()
+    assert len(none) == 8 and all(r["reason"] == "GATE1_BACKEND_ERROR" for r in none)
+    plan = gates.nearest_class(e, c, "vec_id")._jdf.queryExecution().analyzed().toString()
+    assert "3.0" not in plan  # no centre stands in the plan

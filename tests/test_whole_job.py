@@ -31,13 +31,35 @@ def brute_core(text):
     return sorted(set(procs), key=lambda x: (x.lower(), x)), {(t, n, score[t]) for t, n in left.items() if score[t] >= 3}
 
 
+SOURCE = (
+    'globals [ total-count max-age ]\nbreed [ cows cow ]\ncows-own [ energy hungry? ]\n; to ghost\nto setup\n  clear-all\n  let herd count cows\n  show "a; not a comment"\nend\n\n'
+    'to-report mean-energy [ group other-group ]\n  report mean [ energy ] of group\nend\n\nto go\n  ask cows [ graze-field grass-rate graze-field ]\n  tick\nend\n'
+    "@#$#@#$#@\nSLIDER\n1\n2\ngrass-rate\ngrass-rate\n0\n100\n\nSWITCH\n1\n2\nshow-energy?\nshow-energy?\n0\n\nMONITOR\n1\n2\nmean-energy\n"
+    "@#$#@#$#@\n## WHAT IS IT?\n\nCows graze on grass that grows back at a given rate.\n"
+)
+
+
+def test_a_whole_source(spark, rows):
+    df = spark.createDataFrame([("pasture", SOURCE), ("nothing", None)], "name string, text string")
+    x = srcparse.core_of(df, "text").select("name", *[F.array_join(c, "|") for c in ("procedures", "reporters", "variables", "breeds", "widgets", "locals", "literals")], "summary")
+    assert rows(x) == [
+        ("nothing", "", "", "", "", "", "", "", ""),
+        ("pasture", "go|mean-energy|setup", "mean-energy", "energy|hungry?|max-age|total-count", "cows|cow", "grass-rate|show-energy?", "herd", "a; not a comment", "Cows graze on grass that grows back at a given rate."),
+    ]
+    left = srcparse.widget_candidates(srcparse.unresolved(df, "name", "text", [*srcparse.RESERVED, "show", "group", "other-group"]))
+    assert rows(left.select("name", "token", "n", "score")) == [("pasture", "cows-own", 1, 3), ("pasture", "graze-field", 2, 5)]
+    got = df.filter("name = 'pasture'").select(srcparse.signatures(srcparse.strip_comments(srcparse.sections("text")["code"])), srcparse.control_names(srcparse.sections("text")["interface"], "slider")).first()
+    assert [(g["kind"], g["name"], g["inputs"]) for g in got[0]] == [("to", "setup", []), ("to-report", "mean-energy", ["group", "other-group"]), ("to", "go", [])]
+    assert got[1] == ["grass-rate"]
+
+
 def test_source_queries_read_documents(spark, tmp_path):
-    texts = [(1, catalogue.SOURCE.split("breed")[0] + "to setup\n  set graze-rate max-age\n  show hidden-level\nend"), (2, None), (3, "globals [ a-b ]\rto go ; old-note\r  set a-b wolf-age? + wolf-age?\rend")]
-    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    texts = [(1, "globals [ total-count max-age ]\nto setup\n  set graze-rate max-age\n  show hidden-level\nend"), (2, None), (3, "globals [ a-b ]\rto go ; old-note\r  set a-b wolf-age? + wolf-age?\rend")]
+    spark.createDataFrame([(i, t, "Wolf Pack") for i, t in texts], "doc_id long, text string, model_name string").write.parquet(str(tmp_path / "documents.parquet"))
     q = catalogue.queries()
-    core = {r["doc_id"]: r["procedures"] for r in q["q_source_core_whole"](spark, str(tmp_path)).collect()}
-    assert core == {i: "|".join(brute_core(t)[0]) for i, t in texts}
-    left = {(r["doc_id"], r["token"], r["n"], r["score"]) for r in q["q_unresolved_whole"](spark, str(tmp_path)).collect()}
+    core = {r["doc_id"]: (r["procedures"], r["widgets"]) for r in q["q_source_core"](spark, str(tmp_path)).collect()}
+    assert core == {i: ("|".join(brute_core(t)[0]), "w-wolf-pack-on?|w-wolf-pack-rate" if t else "") for i, t in texts}
+    left = {(r["doc_id"], r["token"], r["n"], r["score"]) for r in q["q_unresolved"](spark, str(tmp_path)).collect()}
     assert left == {(i, *x) for i, t in texts for x in brute_core(t)[1]} and len(left) >= 3
 
 
