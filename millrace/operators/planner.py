@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import joined_key, sha1_mod
+from millrace.operators.capacity import CAPS as capacity_caps
 
 
 @dataclass
@@ -65,17 +66,31 @@ def priority(plan: Plan, tier: Column, mode: Column, score: Column, source: Colu
     return F.bround(base + sha1_mod(jitter_key, 1000) / 1_000_000.0, 6)
 
 
-def enumerate_tasks(seeds: DataFrame, pools: DataFrame, plan: Plan = Plan()) -> DataFrame:
+def enumerate_tasks(seeds: DataFrame, pools: DataFrame, plan: Plan = Plan(), capacities: DataFrame | None = None) -> DataFrame:
     """One row per task: every transform of a seed's mode with each of its first supports, best first, up to the mode's cap.
 
     seeds: seed_id (unique), model_name, class_id, tier, level, route_mode, extension_family. pools: as of
     support_pools. A seed without support gets tasks of relation seed_only. Modes without transforms, skip
     among them, get none. Tasks of equal key are one. Each support record gives at most plan.per_support tasks,
     the first by seed and rank.
+
+    capacities: one row per model as of capacity.report. Then a seed's cap is the model's cap_<mode> where there
+    is one, the priority before the jitter is multiplied with effective_capacity, and model_bucket is
+    capacity_bucket; a model that is not listed is planned as without.
     """
     mode = F.col("route_mode")
     kinds = F.create_map(*[x for m, t in plan.transforms.items() for x in (F.lit(m), F.array(*[F.lit(v) for v in t]))])
     s = seeds.filter(mode.isin(list(plan.transforms)) & F.col("seed_id").isNotNull())
+    most, room, worth = max(plan.tasks.values()), _pick(mode, plan.tasks, 4), None
+    if capacities is not None:
+        # Made per seed, before supports and transforms multiply the rows.
+        own = [c for c in capacities.columns if c.startswith("cap_")]
+        s = s.join(capacities.select("model_name", F.col("effective_capacity").alias("_worth"), F.col("capacity_bucket").alias("_bucket"), *own), "model_name", "left")
+        caps = {m: F.coalesce(F.col(f"cap_{m}"), F.lit(plan.tasks.get(m, 4))) for m in plan.transforms if f"cap_{m}" in own}
+        for m, c in caps.items():
+            room = F.when(mode == m, c).otherwise(room)
+        most = max([most, *[capacity_caps[f"cap_{m}"][1] for m in caps if f"cap_{m}" in capacity_caps]])
+        worth = F.col("_worth")
     p = pools.select("seed_id", F.col("record_id").alias("support_record_id"), F.col("source").alias("support_source"), F.col("relation").alias("support_relation"), F.col("score").cast("double").alias("support_score"), F.col("rank").alias("_rank"))
     p = p.filter(F.col("_rank") <= max(plan.supports.values()))
     x = s.join(p, "seed_id", "left").filter(F.col("_rank").isNull() | (F.col("_rank") <= _pick(mode, plan.supports, 3)))
@@ -85,14 +100,14 @@ def enumerate_tasks(seeds: DataFrame, pools: DataFrame, plan: Plan = Plan()) ->
     fields = [F.col(c) for c in ("seed_id", "route_mode", "extension_family", "transform_type", "support_record_id", "provider_hint")]
     x = x.withColumn("task_key", F.sha1(joined_key(*fields, F.lit(plan.version))))
     jitter = joined_key(*[F.col(c) for c in ("seed_id", "route_mode", "extension_family", "support_record_id", "provider_hint")])
-    x = x.withColumn("priority", priority(plan, F.col("tier"), mode, F.col("support_score"), F.col("support_source"), F.col("support_relation"), jitter))
+    x = x.withColumn("priority", priority(plan, F.col("tier"), mode, F.col("support_score"), F.col("support_source"), F.col("support_relation"), jitter, worth))
     best = Window.partitionBy("seed_id").orderBy(F.desc("support_score"), "transform_type", F.coalesce("support_record_id", F.lit("")))
-    x = x.withColumn("_r", F.row_number().over(best)).filter((F.col("_r") <= max(plan.tasks.values())) & (F.col("_r") <= _pick(mode, plan.tasks, 4)))
+    x = x.withColumn("_r", F.row_number().over(best)).filter((F.col("_r") <= most) & (F.col("_r") <= room))
     free = x.filter("support_record_id is null")
     tied = x.filter("support_record_id is not null").withColumn("_s", F.row_number().over(Window.partitionBy("support_record_id").orderBy("seed_id", "_r"))).filter(F.col("_s") <= plan.per_support).drop("_s")
     out = tied.unionByName(free).join(model_buckets(seeds, plan), "model_name", "left")
     names = ("task_key", "seed_id", "model_name", "class_id", "tier", "level", "route_mode", "extension_family", "transform_type", "support_record_id", "support_relation", "support_source", "support_score", "provider_hint", "priority")
-    return out.select(*names, F.concat_ws("::", F.coalesce("tier", F.lit("None")), mode).alias("tier_route_key"), F.concat_ws("::", mode, F.col("transform_type"), F.lit(plan.version)).alias("template_id"), F.coalesce("model_bucket", F.lit("long_tail")).alias("model_bucket"))
+    return out.select(*names, F.concat_ws("::", F.coalesce("tier", F.lit("None")), mode).alias("tier_route_key"), F.concat_ws("::", mode, F.col("transform_type"), F.lit(plan.version)).alias("template_id"), F.coalesce(*(["_bucket"] if capacities is not None else []), "model_bucket", F.lit("long_tail")).alias("model_bucket"))
 
 
 def target_counts(total: int, shares: dict[str, float]) -> dict[str, int]:
@@ -106,17 +121,19 @@ def target_counts(total: int, shares: dict[str, float]) -> dict[str, int]:
     return out
 
 
-def select_tasks(tasks: DataFrame, total: int, targets: dict[str, dict[str, int]], key: str = "task_key", order: str = "priority", strict: bool = False) -> DataFrame:
+def select_tasks(tasks: DataFrame, total: int, targets: dict[str, dict[str, int]], key: str = "task_key", order: str = "priority", strict: bool = False, only_in: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """`total` tasks by priority under the quotas of several columns: four passes that give up family, then provider, then all quotas.
 
-    A column's null, and a value without target, is free. strict leaves out the last pass. One admission changes
+    A column's null, and a value without target, is free. only_in: a column's quota counts and holds only tasks
+    with a given value of another column, like families in the mode that has them: {column: (other, value)}. strict leaves out the last pass. One admission changes
     the counts that the next one sees, so this runs on the driver, over the first `total` tasks of each
     combination of what the quotas tell apart. That is exact: tasks of one combination fit or fail alike, so they
     are taken in order, and at most `total` of them in all. Values without target are one. With a single quota
     use quota_cut, which runs in the cluster.
     """
     dims = list(targets)
-    told = [F.when(F.col(d).isin(list(targets[d])), F.col(d)).alias(d) for d in dims]
+    scope = {d: F.col(c).eqNullSafe(F.lit(v)) for d, (c, v) in (only_in or {}).items()}
+    told = [F.when(F.col(d).isin(list(targets[d])) & scope.get(d, F.lit(True)), F.col(d)).alias(d) for d in dims]
     by = [F.desc_nulls_last("_o"), F.col("_k")]
     lead = tasks.select(F.col(key).alias("_k"), F.col(order).alias("_o"), *told)
     lead = lead.withColumn("_n", F.row_number().over(Window.partitionBy(*dims).orderBy(*by))).filter(F.col("_n") <= total)

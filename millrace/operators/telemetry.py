@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import durable
+
 
 def summary(events: DataFrame, singles: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
     """(kind, key, key2, n): totals, counts by each single column and by each pair, in one pass by grouping sets.
@@ -28,6 +30,21 @@ def summary(events: DataFrame, singles: list[str], pairs: list[tuple[str, str]])
     return g.filter(keep).select(out.alias("_r"), "n").select("_r.kind", "_r.key", "_r.key2", "n")
 
 
+def histograms(rows: DataFrame, columns: list[str], most: dict[str, int] | None = None) -> DataFrame:
+    """(kind, key, n): the total and the count of every value of each column, in one pass; of the columns in `most` only the most frequent values, ties by value. Nulls are left out."""
+    x = summary(rows, columns, []).select("kind", "key", "n")
+    if not most:
+        return x
+    cut = F.lit(None).cast("long")
+    for c, k in most.items():
+        cut = F.when(F.col("kind") == c, F.lit(k)).otherwise(cut)
+    w = Window.partitionBy("kind").orderBy(F.desc("n"), "key")
+    limited = F.col("kind").isin(list(most))
+    # The constant bound cuts a long histogram before the shuffle.
+    top = x.filter(limited).withColumn("_r", F.row_number().over(w)).filter((F.col("_r") <= max(most.values())) & (F.col("_r") <= cut)).drop("_r")
+    return x.filter(~limited).unionByName(top)
+
+
 def stop_reason(total: Column, bad_json: Column, failed: Column, template_dup: Column, accepted: Column) -> Column:
     """Why a tranche ends the run, null if it does not: first empty, then the rates against their fixed limits."""
 
@@ -117,8 +134,20 @@ def pick_tranche(tasks: DataFrame, n: int, order: list[Column], mode: str | None
 
 
 def chunks(df: DataFrame, size: int, by: str, order: list[Column]) -> DataFrame:
-    """Rows numbered within `by` and cut into chunks of a fixed size: chunk counts from 0."""
-    return df.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1) / size).cast("long"))
+    """Rows numbered within `by` and cut into chunks of a fixed size: chunk counts from 0; null is a value of its own.
+
+    No value is gathered in one task: rows are sorted in ranges over all tasks, counted per range and value,
+    and numbered from where their range begins within the value.
+    """
+    part = df.repartitionByRange(F.col(by), *order).sortWithinPartitions(F.col(by), *order)
+    part = durable(part.withColumn("_chunk_part", F.spark_partition_id()).withColumn("_chunk_row", F.monotonically_increasing_id()))
+    own = F.col(by).alias("_chunk_by")
+    counts = part.groupBy("_chunk_part", own).agg(F.count(F.lit(1)).alias("_chunk_n"), F.min("_chunk_row").alias("_chunk_first"))
+    earlier = Window.partitionBy("_chunk_by").orderBy("_chunk_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_chunk_start", F.coalesce(F.sum("_chunk_n").over(earlier), F.lit(0))).withColumnRenamed("_chunk_part", "_chunk_of")
+    x = part.join(starts, (F.col("_chunk_part") == F.col("_chunk_of")) & F.col(by).eqNullSafe(F.col("_chunk_by")))
+    at = F.col("_chunk_start") + F.col("_chunk_row") - F.col("_chunk_first")
+    return x.select(*[F.col(f"`{c}`") for c in df.columns if c != "chunk"], F.floor(at / size).cast("long").alias("chunk"))
 
 
 def collection_rate(asked: DataFrame, got: DataFrame, key: str, by: str) -> DataFrame:

@@ -456,10 +456,11 @@ def q_route_summary(spark: SparkSession, d: str) -> DataFrame:
 
 # Support, tasks, capacity
 
-POOL = f"""{S.LAST}, {S.SEEDS}, cand AS (SELECT s.seed_id, r.record_id, r.source, CASE WHEN s.class_id = r.class_id THEN 'same_class_same_model' ELSE 'same_model' END AS relation,
+POOLED = """cand AS (SELECT s.seed_id, r.record_id, r.source, CASE WHEN s.class_id = r.class_id THEN 'same_class_same_model' ELSE 'same_model' END AS relation,
         50 + CASE WHEN s.class_id = r.class_id THEN 40 ELSE 0 END + CASE WHEN s.level = r.level THEN 5 ELSE 0 END + CASE r.source WHEN 'corpus' THEN 8 WHEN 'seed' THEN 3 ELSE 0 END AS score
         FROM seeds s JOIN last r ON s.model_name = r.model_name WHERE r.source IN ('corpus', 'seed') AND r.seed_id IS DISTINCT FROM s.seed_id AND NOT (r.source = 'seed' AND r.source_id = s.seed_id)),
     pool AS (SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, record_id) AS INT) AS rank FROM cand QUALIFY rank <= 12)"""
+POOL = f"{S.LAST}, {S.SEEDS}, {POOLED}"
 
 
 def _pools(spark: SparkSession, d: str) -> DataFrame:
@@ -471,7 +472,9 @@ def q_support_pool(spark: SparkSession, d: str) -> DataFrame:
     return _pools(spark, d)
 
 
-@query(f"WITH {POOL}, n AS (SELECT seed_id, count(record_id) AS n FROM seeds LEFT JOIN pool USING (seed_id) GROUP BY 1) SELECT count(*) AS seeds, round(avg(n), 4) AS avg_size, min(n) AS min_size, max(n) AS max_size FROM n")
+@query(f"""WITH {POOL}, n AS (SELECT seed_id, count(record_id) AS n FROM seeds LEFT JOIN pool USING (seed_id) GROUP BY 1)
+    SELECT 'pools' AS kind, 'seeds' AS key, count(*)::DOUBLE AS value FROM n UNION ALL SELECT 'pools', 'avg_size', round(avg(n), 4) FROM n UNION ALL SELECT 'pools', 'min_size', min(n) FROM n UNION ALL SELECT 'pools', 'max_size', max(n) FROM n
+    UNION ALL SELECT 'relation', relation, count(*) FROM pool GROUP BY 2 UNION ALL SELECT 'source', source, count(*) FROM pool GROUP BY 2""")
 def q_pool_summary(spark: SparkSession, d: str) -> DataFrame:
     return support.pool_summary(_pools(spark, d), views.seeds(spark, d))
 
@@ -481,18 +484,25 @@ _modes = "MAP {" + ", ".join(f"'{m}': {S.words(t)}" for m, t in PLAN.transforms.
 _n = lambda d: "MAP {" + ", ".join(f"'{k}': {v}" for k, v in d.items()) + "}"
 _share = "MAP {" + ", ".join(f"'{k}': {round(v * 100)}" for k, v in PLAN.alternate_share.items()) + "}"
 _key = lambda *c: " || '|' || ".join(f"coalesce({x}, '')" for x in c)
-TASKS = f"""{POOL}, c AS (SELECT s.seed_id, s.model_name, s.class_id, s.tier, s.level, s.route_mode, s.extension_family, unnest(({_modes})[s.route_mode]) AS transform_type, p.record_id AS support_record_id,
+
+
+def _planned(worth: str, room: str, more: str = "") -> str:
+    """The planner in SQL: what multiplies a priority, a seed's cap, and further tables for the seeds."""
+    return f"""c AS (SELECT s.*, unnest(({_modes})[s.route_mode]) AS transform_type, p.record_id AS support_record_id,
         coalesce(p.source, 'seed_only') AS support_source, coalesce(p.relation, 'seed_only') AS support_relation, coalesce(p.score, 0)::DOUBLE AS support_score
-        FROM seeds s LEFT JOIN pool p ON s.seed_id = p.seed_id AND p.rank <= ({_n(PLAN.supports)})[s.route_mode] WHERE s.route_mode IN {tuple(PLAN.transforms)}),
+        FROM (SELECT * FROM seeds {more}) s LEFT JOIN pool p ON s.seed_id = p.seed_id AND p.rank <= ({_n(PLAN.supports)})[s.route_mode] WHERE s.route_mode IN {tuple(PLAN.transforms)}),
     h AS (SELECT *, CASE WHEN route_mode = 'anchored_extension' AND {S.sha1_mod(_key('seed_id', 'route_mode', 'extension_family', 'transform_type', 'support_record_id'), 100)} < coalesce(({_share})[extension_family], 0) THEN '{PLAN.alternate}' ELSE '{PLAN.provider}' END AS provider_hint FROM c),
     k AS (SELECT *, sha1({_key('seed_id', 'route_mode', 'extension_family', 'transform_type', 'support_record_id', 'provider_hint')} || '|v1') AS task_key,
-        round(coalesce(({_n(PLAN.tier_weight)})[coalesce(tier, 'C')], 0.5) + coalesce(({_n(PLAN.route_weight)})[route_mode], 0.7) + support_score / 100 + CASE WHEN support_source = 'corpus' THEN 0.05 ELSE 0 END - CASE WHEN support_relation = 'seed_only' THEN 0.08 ELSE 0 END
+        round_even((coalesce(({_n(PLAN.tier_weight)})[coalesce(tier, 'C')], 0.5) + coalesce(({_n(PLAN.route_weight)})[route_mode], 0.7) + support_score / 100 + CASE WHEN support_source = 'corpus' THEN 0.05 ELSE 0 END - CASE WHEN support_relation = 'seed_only' THEN 0.08 ELSE 0 END) * {worth}
         + ({S.sha1_mod(_key('seed_id', 'route_mode', 'extension_family', 'support_record_id', 'provider_hint'), 1000)}) / 1000000.0, 6) AS priority,
         row_number() OVER (PARTITION BY seed_id ORDER BY support_score DESC, transform_type, coalesce(support_record_id, '')) AS r FROM h),
-    capped AS (SELECT * FROM k WHERE r <= ({_n(PLAN.tasks)})[route_mode]),
+    capped AS (SELECT * FROM k WHERE r <= {room}),
     planned AS (SELECT *, row_number() OVER (PARTITION BY support_record_id ORDER BY seed_id, r) AS s FROM capped QUALIFY support_record_id IS NULL OR s <= 60)"""
 
 
+TASKS = f"{POOL}, {_planned('1.0', f'({_n(PLAN.tasks)})[route_mode]')}"
+
+
 def _tasks(spark: SparkSession, d: str) -> DataFrame:
     return planner.enumerate_tasks(views.seeds(spark, d), _pools(spark, d), PLAN)
 
@@ -502,9 +512,14 @@ def q_tasks(spark: SparkSession, d: str) -> DataFrame:
     return _tasks(spark, d).select("task_key", "seed_id", "transform_type", "support_record_id", "provider_hint", F.round(F.col("priority") * 1e6).cast("long").alias("micro_priority"))
 
 
-@query(f"WITH {TASKS} SELECT route_mode, support_relation, provider_hint, count(*) AS n, round(max(priority) * 1e6)::BIGINT AS best FROM planned GROUP BY 1, 2, 3")
+HISTOGRAMS = ["route_mode", "extension_family", "provider_hint", "tier", "transform_type", "support_relation", "model_name", "seed_id"]
+
+
+@query(f"""WITH {TASKS}, a AS (SELECT 'total' AS kind, CAST(NULL AS VARCHAR) AS key, count(*) AS n FROM planned UNION ALL {" UNION ALL ".join(f"SELECT '{c}', {c}, count(*) FROM planned WHERE {c} IS NOT NULL GROUP BY 2" for c in HISTOGRAMS)})
+    SELECT kind, key, n FROM a QUALIFY kind NOT IN ('model_name', 'seed_id') OR row_number() OVER (PARTITION BY kind ORDER BY n DESC, key) <= 50""")
 def q_task_summary(spark: SparkSession, d: str) -> DataFrame:
-    return _tasks(spark, d).groupBy("route_mode", "support_relation", "provider_hint").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("priority") * 1e6).cast("long").alias("best"))
+    """How many planned tasks have each value of each column, of models and seeds the first 50."""
+    return telemetry.histograms(_tasks(spark, d), HISTOGRAMS, {"model_name": 50, "seed_id": 50})
 
 
 @query(f"""WITH {S.SEEDS}, n AS (SELECT model_name, count(*) AS n FROM seeds WHERE route_mode <> 'skip' AND model_name IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, model_name) AS r FROM n)
@@ -535,7 +550,7 @@ def q_quota_cut(spark: SparkSession, d: str) -> DataFrame:
 def q_select_greedy(spark: SparkSession, d: str) -> DataFrame:
     t = views.tasks(spark, d).select("task_key", "route_mode", "tier", "extension_family", "provider_hint", F.when(~F.isnan("priority"), F.col("priority")).alias("priority"))
     targets = {"route_mode": planner.target_counts(500, {"core_repair": 0.5, "core_paraphrase": 0.3, "anchored_extension": 0.2}), "tier": {"A": 150, "C": 250}, "extension_family": {"memory_layer": 10}, "provider_hint": {"prov-nano": 400}}
-    return planner.select_tasks(t, 500, targets)
+    return planner.select_tasks(t, 500, targets, only_in={"extension_family": ("route_mode", "anchored_extension")})
 
 
 FEATURES = f"""{S.PROFILES}, {S.SEEDS},
@@ -568,6 +583,19 @@ def q_capacity(spark: SparkSession, d: str) -> DataFrame:
     return capacity.report(m).select("model_name", "cap_total", "capacity_bucket").join(score, "model_name")
 
 
+_capacities = f"""s AS (SELECT model_name, round_even(({_score}), 6) AS score FROM m), capacities AS (SELECT model_name, eff, CASE WHEN eff >= {capacity.HIGH} THEN 'high_capacity' WHEN eff >= {capacity.MID} THEN 'mid_capacity' ELSE 'low_capacity' END AS bucket
+    FROM (SELECT model_name, round_even(score * (1 - {capacity.LOW_SUPPORT}), 6) AS eff FROM s))"""
+_room = "CASE route_mode " + " ".join(f"WHEN '{m}' THEN coalesce(round_even({capacity.CAPS[f'cap_{m}'][0]} + {capacity.CAPS[f'cap_{m}'][1] - capacity.CAPS[f'cap_{m}'][0]} * eff, 0)::INT, {n})" for m, n in PLAN.tasks.items()) + " END"
+
+
+@query(f"""WITH {FEATURES}, {_capacities}, {POOLED}, {_planned('coalesce(eff, 1.0)', _room, 'LEFT JOIN capacities USING (model_name)')}
+    SELECT task_key, seed_id, coalesce(bucket, 'long_tail') AS model_bucket, floor(priority * 1e3)::BIGINT AS milli_priority FROM planned""")
+def q_tasks_capacity(spark: SparkSession, d: str) -> DataFrame:
+    """The plan by what each model can yield: its own caps, weights and buckets."""
+    t = planner.enumerate_tasks(views.seeds(spark, d), _pools(spark, d), PLAN, capacity.report(durable(_matrix(spark, d))))
+    return t.select("task_key", "seed_id", "model_bucket", F.floor(F.col("priority") * 1e3).cast("long").alias("milli_priority"))
+
+
 @query(f"""WITH {POOL}, z AS (SELECT model_name, seed_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2), u AS (SELECT model_name, record_id, count(*) AS n FROM pool JOIN seeds USING (seed_id) GROUP BY 1, 2),
     a AS (SELECT model_name, round(avg(n), 4) AS avg_size, median(n)::DOUBLE AS median_size, max(n) AS max_size FROM z GROUP BY 1), b AS (SELECT model_name, round(avg(n), 4) AS reuse_avg, max(n) AS reuse_max FROM u GROUP BY 1)
     SELECT * FROM a JOIN b USING (model_name)""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -65,3 +67,23 @@ def gate_stream(stream: DataFrame, pos: str, accepted: str, verdicts: str, check
         done.unpersist()
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step).trigger(availableNow=True).start()
+
+
+def quota_stream(stream: DataFrame, key: str, cap: int) -> DataFrame:
+    """The rows of a stream with `admitted`: true for the first `cap` of every key, as they come; null is a key of its own.
+
+    The state holds one count per key and nothing else. Rows of a key pass in batches, never all at once.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    def run(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        used = state.get[0] if state.exists else 0
+        for pdf in chunks:
+            yield pdf.assign(admitted=[used + i < cap for i in range(len(pdf))])
+            used = min(cap, used + len(pdf))
+        state.update((used,))
+
+    kinds = ", ".join(f"`{n}` {t}" for n, t in stream.dtypes if n != "admitted")
+    rows = stream.select(*[F.col(f"`{n}`") for n in stream.columns if n != "admitted"])
+    return rows.groupBy(key).applyInPandasWithState(run, f"{kinds}, admitted boolean", "used long", "append", GroupStateTimeout.NoTimeout)

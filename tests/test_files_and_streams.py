@@ -63,3 +63,13 @@ def test_generate_retries_transient_errors(spark):
 
     got = {r["prompt"]: (r["reply"], r["reply_error"]) for r in prompts.generate(spark.createDataFrame([("hi",), ("bad",), (None,)], "prompt string"), client).collect()}
     assert got == {"hi": ("HI", None), "bad": (None, "no such model"), None: (None, "NO_PROMPT")}
+
+
+def test_quota_stream(spark, tmp_path, rows):
+    src, schema = tmp_path / "in", "i int, model string, admitted int"
+    for part in ([(1, "a", 0), (2, "a", 0), (3, "b", 0), (4, None, 0)], [(5, "a", 0), (6, "b", 0), (7, None, 0), (8, "c", 0)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(src))
+        s = logs.quota_stream(logs.read_stream(spark, str(src), spark.createDataFrame([], schema).schema), "model", 2)
+        logs.run_to_table(s, str(tmp_path / "out"), str(tmp_path / "state"), "append")
+    got = rows(spark.read.parquet(str(tmp_path / "out")).groupBy("model").agg(F.count_if("admitted"), F.count("*")))
+    assert got == sorted([("a", 2, 3), ("b", 2, 2), ("c", 1, 1), (None, 2, 2)], key=str)

@@ -220,3 +220,46 @@ def test_nearest_class_of_odd_vectors(spark):
     assert len(none) == 8 and all(r["reason"] == "GATE1_BACKEND_ERROR" for r in none)
     plan = gates.nearest_class(e, c, "vec_id")._jdf.queryExecution().analyzed().toString()
     assert "3.0" not in plan  # no centre stands in the plan
+
+
+def test_pools_of_seeds_with_many_records_of_their_own(spark, rows):
+    """A seed whose own versions fill the head of every pool draws from further down, and nobody else's pool grows for it."""
+    recs = [(f"a{i:04d}", "corpus", None, "big" if i < 400 else None, "m", 1, "L1") for i in range(430)] + [("z", "corpus", None, None, "n", 1, "L1")]
+    r = spark.createDataFrame(recs, "record_id string, source string, source_id string, seed_id string, model_name string, class_id int, level string")
+    s = spark.createDataFrame([("big", "m", 1, "L1"), ("other", "m", 1, "L1"), ("few", "n", 1, "L1"), ("none", "q", 1, "L1")], "seed_id string, model_name string, class_id int, level string")
+    got = rows(support.support_pools(s, r, 5).select("seed_id", "rank", "record_id"))
+    want = [("big", i + 1, f"a{400 + i:04d}") for i in range(5)] + [("few", 1, "z")] + [("other", i + 1, f"a{i:04d}") for i in range(5)]
+    assert got == sorted(want, key=str)
+
+
+def test_capacity_steers_the_plan(spark):
+    s = spark.createDataFrame([("s1", "rich", 1, "A", "L1", "core_repair", None), ("s2", "poor", 1, "A", "L1", "core_repair", None), ("s3", "new", 1, "A", "L1", "core_repair", None)], "seed_id string, model_name string, class_id int, tier string, level string, route_mode string, extension_family string")
+    p = spark.createDataFrame([(f"s{k}", f"r{k}{i}", "corpus", "same_model", 58, i) for k in (1, 2, 3) for i in range(1, 6)], "seed_id string, record_id string, source string, relation string, score int, rank int")
+    c = spark.createDataFrame([("rich", 0.9, "high_capacity", 7, 30), ("poor", 0.1, "low_capacity", 2, 10)], "model_name string, effective_capacity double, capacity_bucket string, cap_core_repair int, cap_total int")
+    plain = {r["task_key"]: r["priority"] for r in planner.enumerate_tasks(s, p).collect()}
+    got = planner.enumerate_tasks(s, p, capacities=c).collect()
+    n = {k: [r for r in got if r["seed_id"] == k] for k in ("s1", "s2", "s3")}
+    assert [len(x) for x in n.values()] == [7, 2, 5] and [x[0]["model_bucket"] for x in n.values()] == ["high_capacity", "low_capacity", "high_volume"]
+    for r in n["s3"]:
+        assert r["priority"] == plain[r["task_key"]]
+    shared = next(r for r in n["s2"] if r["task_key"] in plain)
+    assert shared["priority"] < plain[shared["task_key"]] * 0.11
+
+
+def test_family_quota_holds_its_mode_only(spark):
+    t = spark.createDataFrame([(f"t{i}", "core_repair" if i % 2 else "anchored_extension", "x", float(10 - i)) for i in range(10)], "task_key string, route_mode string, extension_family string, priority double")
+    one = planner.select_tasks(t, 6, {"route_mode": {}, "extension_family": {"x": 1}}, strict=True, only_in={"extension_family": ("route_mode", "anchored_extension")})
+    first = [r["task_key"] for r in one.orderBy("selected").collect()]
+    assert first == ["t0", "t1", "t3", "t5", "t7", "t9"]
+
+
+def test_histograms_and_chunks(spark, rows):
+    from millrace.operators import telemetry
+
+    t = spark.createDataFrame([(i, "ab"[i % 2], f"s{i % 5}" if i else None) for i in range(20)], "i int, mode string, seed string")
+    h = rows(telemetry.histograms(t, ["mode", "seed"], {"seed": 2}))
+    assert h == [("mode", "a", 10), ("mode", "b", 10), ("seed", "s1", 4), ("seed", "s2", 4), ("total", None, 20)]
+    big = spark.range(1000).select("id", F.when(F.col("id") < 900, "hot").when(F.col("id") < 990, "x").alias("who"), F.lit(1).alias("chunk"))
+    c = telemetry.chunks(big.repartition(7), 50, "who", [F.col("id").desc()])
+    assert rows(c.groupBy("who", "chunk").count().groupBy("who").agg(F.count("*"), F.max("count"), F.min("count"))) == sorted([("hot", 18, 50, 50), ("x", 2, 50, 40), (None, 1, 10, 10)], key=str)
+    assert c.filter("who = 'hot' and chunk = 0").agg(F.min("id"), F.max("id")).first() == (850, 899)

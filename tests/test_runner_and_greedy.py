@@ -96,3 +96,45 @@ def test_config():
     with pytest.raises(ValueError):
         config.load("no.such:thing")
     assert config.build("builtins:dict", {"a": 1}) == {"a": 1}
+
+
+def test_bits_grow_with_the_vectors():
+    few, many = greedy.bits_and_bands(500, 0.985), greedy.bits_and_bands(10**8, 0.985)
+    assert few[0] < many[0] <= 24 and few[1] < many[1]
+
+
+def test_hot_keys_are_paired_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal(8)
+    data = [(i, (base + rng.standard_normal(8) * 0.02).tolist()) for i in range(40)] + [(99, [0.0] * 8)]
+    df = spark.createDataFrame(data, "k long, v array<double>")
+    got = {(r["earlier"], r["later"]) for r in greedy.cosine_pairs(df, "k", "v", 0.9, 8, hot=7).collect()}
+    assert got == {(i, j) for i in range(40) for j in range(i + 1, 40)}
+
+
+def test_a_long_chain_is_settled(spark):
+    n = 210
+    got = greedy.admit_in_order(spark.range(n).withColumnRenamed("id", "k"), spark.createDataFrame([(0, 1), (1, 2), (2, 3), (0, 3)], "earlier long, later long"), "k")
+    assert {r["k"]: r["accepted"] for r in got.collect() if r["k"] < 4} == {0: True, 1: False, 2: True, 3: False}
+
+
+def test_all_gates_providers_and_logs(spark, tmp_path):
+    s = seeds(spark).drop("model_name", "level", "route_mode", "extension_family")
+    t = plan(spark).withColumn("provider_hint", F.when(F.col("seed_id") != "S2", F.lit("p1")))
+    far = lambda df: df.select("task_key", F.when(F.col("seed_id") == "S3", "LOW_EMBED_SIM").alias("reason"))
+    alike = lambda df: df.sparkSession.createDataFrame([], "earlier string, later string")
+    out = runner.run(spark, t, s, profile(spark), {"p1": prompts.echo}, str(tmp_path / "r"), 10, 10, ["grievance"], nearest=far, conflicts=alike)
+    assert out[0]["total"] == 4 and out[0]["accepted"] == 1
+    reasons = {r["seed_id"]: r["reason"] for r in runner._logs(spark, str(tmp_path / "r"), "rejected").collect()}
+    assert reasons == {"S2": "NO_RESPONSE", "S3": "LOW_EMBED_SIM", "S4": "EXACT_QA_DUP"}
+    events = spark.read.json(str(tmp_path / "r" / "tranche_000" / "telemetry"))
+    assert events.count() == 4 and events.filter("status = 'accepted'").count() == 1
+    meta = spark.read.json(str(tmp_path / "r" / "tranche_000" / "batch_meta")).first()
+    assert meta["providers"]["p1"]["requests"] == 3 and meta["providers"]["unknown"]["replies"] == 0
+
+
+def test_near_duplicates_of_accepted_rows(spark):
+    df = spark.createDataFrame([(f"k{i}", "rebellion", "core_repair", None, f"What is `threshold` {i}?", "A limit for `agents`.") for i in range(3)], "task_key string, model_name string, route_mode string, extension_family string, question string, answer string")
+    pairs = lambda x: x.sparkSession.createDataFrame([("k0", "k1"), ("k1", "k2")], "earlier string, later string")
+    got = {r["task_key"]: r["reason"] for r in runner.gate(prompts.echo(df), profile(spark), [], None, conflicts=pairs).collect()}
+    assert got == {"k0": None, "k1": "NEAR_DUP_QUESTION", "k2": None}
