@@ -166,6 +166,14 @@ def widget_candidates(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("score", widget_score(F.col("token"), F.col("n"))).filter("score >= 3")
 
 
+def widget_review(df: DataFrame, key: str, text: str, reserved: list[str] = RESERVED, first: int = 20) -> DataFrame:
+    """(key, interface_widgets, widget_candidates, unresolved): per source the widgets of its interface, the names of its code that look like further ones, and the first names that are declared nowhere, each sorted."""
+    left = unresolved(df, key, text, reserved).withColumn("score", widget_score(F.col("token"), F.col("n")))
+    names = left.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("score") >= 3, F.col("token")))).alias("widget_candidates"), F.slice(F.array_sort(F.collect_list("token")), 1, first).alias("unresolved"))
+    x = df.select(key, sorted_names(control_names(sections(text)["interface"])).alias("interface_widgets")).join(names, key, "left")
+    return x.select(key, "interface_widgets", *[F.coalesce(c, none()).alias(c) for c in ("widget_candidates", "unresolved")])
+
+
 def fallback_summary(name: Column) -> Column:
     """A sentence on the model from what core_of found, for sources without an info paragraph."""
     part = lambda label, c, n: F.when(F.size(c) > 0, F.concat(F.lit(label), F.array_join(F.slice(c, 1, n), ", ")))

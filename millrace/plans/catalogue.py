@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from millrace.operators import audit, capacity, dedup, enrich, gates, greedy, he
 from millrace.plans import sql as S
 from millrace.plans import views
 from millrace.session import durable, shared_folder
+from millrace.sources import files
 from millrace.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,6 +303,13 @@ def q_unresolved(spark: SparkSession, d: str) -> DataFrame:
     return srcparse.widget_candidates(srcparse.unresolved(_sources(spark, d), "doc_id", "text")).select("doc_id", "token", "n", "score")
 
 
+@query(f"""WITH {UNRESOLVED}, v AS (SELECT doc_id, list(token ORDER BY token) AS tokens, list(token ORDER BY token) FILTER ({_score_of} >= 3) AS candidates FROM unresolved GROUP BY 1)
+    SELECT doc_id, coalesce(array_to_string({_names('widgets')}, '|'), '') AS interface_widgets, coalesce(array_to_string(candidates, '|'), '') AS widget_candidates, coalesce(array_to_string(tokens[1:20], '|'), '') AS unresolved FROM parsed LEFT JOIN v USING (doc_id)""")
+def q_widget_review(spark: SparkSession, d: str) -> DataFrame:
+    x = srcparse.widget_review(_sources(spark, d), "doc_id", "text")
+    return x.select("doc_id", *[joined(F.col(c)).alias(c) for c in ("interface_widgets", "widget_candidates", "unresolved")])
+
+
 # Profiles and audit
 
 
@@ -426,7 +435,7 @@ def _family_score(f: str) -> str:
 _rule = lambda mode, why, fam="NULL": f"{{'r': '{mode}', 'w': {why}, 'f': CAST({fam} AS VARCHAR)}}"
 
 
-@query(f"""WITH {S.PROFILES}, {S.SEEDS}, x AS (SELECT s.seed_id, p.model_name AS pm, coalesce(p.core, []) AS core, coalesce(p.f1, []) AS f1, coalesce(p.f2, []) AS f2, coalesce(p.f3, []) AS f3, {_text} AS text FROM seeds s LEFT JOIN profiles p USING (model_name)),
+ROUTED = f"""{S.PROFILES}, {S.SEEDS}, x AS (SELECT s.seed_id, s.model_name, p.model_name AS pm, coalesce(p.core, []) AS core, coalesce(p.f1, []) AS f1, coalesce(p.f2, []) AS f2, coalesce(p.f3, []) AS f3, {_text} AS text FROM seeds s LEFT JOIN profiles p USING (model_name)),
     y AS (SELECT *, list_distinct({S.term_list('text')}) AS terms, {S.key('text')} AS low, list_distinct(list_concat(f1, f2, f3)) AS ext FROM x),
     z AS (SELECT *, len([t for t in terms if list_contains(core, t)]) AS hits, len([t for t in terms if not list_contains(core, t) and not list_contains(ext, t) and not list_contains({S.words(routing.ALLOW)}, t)]) / greatest(1, len(terms)) AS unknown,
         len([t for t in terms if list_contains(ext, t)]) AS ids, len([i for i in ext if i <> '' and contains(low, replace(i, '-', ' '))]) AS concepts, list_has_any(terms, {S.words(routing.INTENT)}) AS intent,
@@ -439,19 +448,23 @@ _rule = lambda mode, why, fam="NULL": f"{{'r': '{mode}', 'w': {why}, 'f': CAST({
         WHEN hits >= {routing.REPAIR_HITS} AND score = 0 AND unknown <= {routing.REPAIR_UNKNOWN} THEN {_rule('core_repair', "'core_match_with_noise'")}
         WHEN fam IS NOT NULL AND score >= {routing.WEAK} AND (intent OR ids > 0 OR concepts > 0) THEN {_rule('anchored_extension', "'mixed_core_extension_content'", 'fam')}
         WHEN hits >= 1 AND unknown > {routing.REPAIR_UNKNOWN} AND {_matches('text', routing.MODIFICATION)} THEN {_rule('freeform_extension', "'extension_intent_with_weak_core_anchor'")}
-        WHEN hits >= 1 THEN {_rule('core_repair', "'weak_core_anchor'")} ELSE {_rule('skip', "'insufficient_anchor'")} END AS rule FROM c)
+        WHEN hits >= 1 THEN {_rule('core_repair', "'weak_core_anchor'")} ELSE {_rule('skip', "'insufficient_anchor'")} END AS rule FROM c)"""
+
+
+@query(f"""WITH {ROUTED}
     SELECT seed_id, rule.r AS route, rule.w AS route_reason, rule.f AS family, hits::INT AS core_hits, score::INT AS best_family_score, round(unknown, 6) AS unknown_ratio, intent AS extension_intent FROM d""")
 def q_route(spark: SparkSession, d: str) -> DataFrame:
     x = routing.route(views.seeds(spark, d), views.profiles(spark, d))
     return x.select("seed_id", "route", "route_reason", "family", "core_hits", "best_family_score", F.round("unknown_ratio", 6).alias("unknown_ratio"), "extension_intent")
 
 
-@query(f"""WITH {S.SEEDS} SELECT 'total' AS kind, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS key2, count(*) AS n FROM seeds
-    UNION ALL SELECT 'route_mode', route_mode, NULL, count(*) FROM seeds WHERE route_mode IS NOT NULL GROUP BY 2 UNION ALL SELECT 'extension_family', extension_family, NULL, count(*) FROM seeds WHERE extension_family IS NOT NULL GROUP BY 2
-    UNION ALL SELECT 'model_name', model_name, NULL, count(*) FROM seeds WHERE model_name IS NOT NULL GROUP BY 2
-    UNION ALL SELECT 'model_name+route_mode', model_name, route_mode, count(*) FROM seeds WHERE model_name IS NOT NULL AND route_mode IS NOT NULL GROUP BY 2, 3""")
+@query(f"""WITH {ROUTED}, e AS (SELECT model_name, rule.r AS route, rule.w AS route_reason, rule.f AS family FROM d) SELECT 'total' AS kind, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS key2, count(*) AS n FROM e
+    UNION ALL SELECT 'route', route, NULL, count(*) FROM e GROUP BY 2 UNION ALL SELECT 'family', family, NULL, count(*) FROM e WHERE family IS NOT NULL GROUP BY 2 UNION ALL SELECT 'route_reason', route_reason, NULL, count(*) FROM e GROUP BY 2
+    UNION ALL SELECT 'model_name', model_name, NULL, count(*) FROM e WHERE model_name IS NOT NULL GROUP BY 2 UNION ALL SELECT 'model_name+route', model_name, route, count(*) FROM e WHERE model_name IS NOT NULL GROUP BY 2, 3""")
 def q_route_summary(spark: SparkSession, d: str) -> DataFrame:
-    return telemetry.summary(views.seeds(spark, d), ["route_mode", "extension_family", "model_name"], [("model_name", "route_mode")])
+    """What the routes come to: in all, by mode, family, reason and model, and by model and mode."""
+    x = routing.route(views.seeds(spark, d), views.profiles(spark, d))
+    return telemetry.summary(x, ["route", "family", "route_reason", "model_name"], [("model_name", "route")])
 
 
 # Support, tasks, capacity
@@ -637,20 +650,26 @@ def _gated(spark: SparkSession, d: str) -> DataFrame:
 _none_of = lambda *xs: " and ".join(f"not list_contains({x}, u)" for x in xs)
 
 
-@query(f"""WITH {S.PROFILES}, {S.TASKS}, p AS (SELECT *, list_distinct(list_concat(coalesce(f1, []), coalesce(f2, []), coalesce(f3, []))) AS ext FROM profiles),
-    g AS (SELECT {S.model('r.model_name')} AS m, {S.strip('t.route_mode')} AS mode, t.extension_family AS fam, coalesce(r.answer, '') AS a, coalesce(r.question, '') || chr(10) || coalesce(r.answer, '') AS text FROM responses r LEFT JOIN tasks t ON r.task_key = t.task_key),
-    x AS (SELECT g.*, p.model_name AS pm, p.core, p.ext, CASE fam WHEN 'family_1' THEN coalesce(f1, []) WHEN 'family_2' THEN coalesce(f2, []) WHEN 'family_3' THEN coalesce(f3, []) ELSE [] END AS own_family, list_distinct({S.ticked('text')}) AS used, {S.key('text')} AS low, {S.key('a')} AS ak,
-        list_concat([m, replace(m, '_', '-')], list_filter(string_split(m, '_'), lambda w: len(w) >= 3)) AS own FROM g LEFT JOIN p ON g.m = p.model_name),
+
+#: The vocabulary gate in SQL over rows g (id, m, mode, fam, a, q) and the profiles; it ends with gated (id, mode, reason).
+VOCABULARY = f"""p AS (SELECT *, list_distinct(list_concat(coalesce(f1, []), coalesce(f2, []), coalesce(f3, []))) AS ext FROM profiles),
+    t AS (SELECT *, q || chr(10) || a AS text FROM g),
+    x AS (SELECT t.*, p.model_name AS pm, p.core, p.ext, CASE fam WHEN 'family_1' THEN coalesce(f1, []) WHEN 'family_2' THEN coalesce(f2, []) WHEN 'family_3' THEN coalesce(f3, []) ELSE [] END AS own_family, list_distinct({S.ticked('text')}) AS used, {S.key('text')} AS low, {S.key('a')} AS ak,
+        list_concat([m, replace(m, '_', '-')], list_filter(string_split(m, '_'), lambda w: len(w) >= 3)) AS own FROM t LEFT JOIN p ON t.m = p.model_name),
     y AS (SELECT *, [u for u in used if list_contains(ext, u)] AS ue, [u for u in used if {_none_of('core', 'ext', 'own', S.words(routing.ALLOW))}] AS un, {_matches('ak', gates.any_phrase(gates.FRAMING_CUES))} OR {_matches('a', gates.any_of(gates.FRAMING))} AS framed,
         [{S.key('q')} for q in string_split_regex(regexp_replace(a, '([.!?])\\s+', '\\1' || chr(10), 'g'), '\\n+')] AS s FROM x),
-    z AS (SELECT *, list_filter(s, lambda q: {_matches('q', gates.any_phrase(gates.CLAIMS))} AND NOT {_matches('q', gates.any_phrase(gates.SAFE))} AND len(list_filter(list_concat(ue, un), lambda u: contains(q, u))) > 0) AS claims FROM y)
-    SELECT mode AS route_mode, CASE WHEN pm IS NULL THEN 'MISSING_MODEL_PROFILE'
+    z AS (SELECT *, list_filter(s, lambda q: {_matches('q', gates.any_phrase(gates.CLAIMS))} AND NOT {_matches('q', gates.any_phrase(gates.SAFE))} AND len(list_filter(list_concat(ue, un), lambda u: contains(q, u))) > 0) AS claims FROM y),
+    gated AS (SELECT id, mode, q, a, CASE WHEN pm IS NULL THEN 'MISSING_MODEL_PROFILE'
         WHEN mode IN ('core_paraphrase', 'core_repair') THEN CASE WHEN len(un) > 0 AND NOT (mode = 'core_repair' AND (framed OR {_matches('a', gates.any_of(gates.PROPOSAL))})) THEN 'UNKNOWN_CORE_IDENTIFIER' WHEN len(ue) > 0 THEN 'UNAPPROVED_EXTENSION_IDENTIFIER'
             WHEN len([e for e in ext if contains(low, replace(e, '-', ' '))]) > 0 THEN 'EXTENSION_CONTENT_IN_CORE_MODE' END
         WHEN mode IN ('anchored_extension', 'freeform_extension') THEN CASE WHEN len(un) > 0 AND NOT framed THEN 'UNAPPROVED_EXTENSION_IDENTIFIER' WHEN fam IS NOT NULL AND len([u for u in ue if not list_contains(own_family, u)]) > 0 THEN 'CROSS_FAMILY_EXTENSION_IDENTIFIER'
             WHEN len(ue) + len(un) > 0 AND NOT framed THEN 'EXTENSION_REQUIRES_FRAMING' WHEN len(claims) > 0 THEN 'BASE_MODEL_MISREPRESENTATION'
             WHEN NOT {_matches('low', gates.any_phrase(gates.ANCHORS))} AND len([c for c in core if contains(low, c)]) = 0 THEN 'INSUFFICIENT_CORE_ANCHOR' END
-        ELSE 'UNKNOWN_MODE' END AS reason, count(*) AS n FROM z GROUP BY 1, 2""")
+        ELSE 'UNKNOWN_MODE' END AS reason FROM z)"""
+
+
+@query(f"""WITH {S.PROFILES}, {S.TASKS}, g AS (SELECT response_id AS id, {S.model('r.model_name')} AS m, {S.strip('t.route_mode')} AS mode, t.extension_family AS fam, coalesce(r.answer, '') AS a, coalesce(r.question, '') AS q FROM responses r LEFT JOIN tasks t ON r.task_key = t.task_key),
+    {VOCABULARY} SELECT mode AS route_mode, reason, count(*) AS n FROM gated GROUP BY 1, 2""")
 def q_gate2(spark: SparkSession, d: str) -> DataFrame:
     return _gated(spark, d).groupBy("route_mode", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -683,7 +702,11 @@ def q_gate3_history(spark: SparkSession, d: str) -> DataFrame:
 NEAR = 0.985
 
 
-@query()
+@query(f"""WITH RECURSIVE c AS (SELECT a.vec_id AS earlier, b.vec_id AS later FROM embeddings a, embeddings b WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {NEAR}),
+    o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r, coalesce(es, []) AS es FROM embeddings LEFT JOIN (SELECT later, list(earlier) AS es FROM c GROUP BY 1) ON later = vec_id),
+    s AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS acc UNION ALL SELECT o.r, CASE WHEN list_has_any(acc, es) THEN acc ELSE list_append(acc, vec_id) END FROM s JOIN o ON o.r = s.r + 1),
+    f AS (SELECT acc FROM s ORDER BY r DESC LIMIT 1)
+    SELECT vec_id, list_contains(acc, vec_id) AS accepted, list_min([x for x in es if list_contains(acc, x)]) AS by FROM o, f""")
 def q_gate3_near(spark: SparkSession, d: str) -> DataFrame:
     """Vectors admitted in order unless an admitted earlier one is at least NEAR similar."""
     e = table(spark, d, "embeddings")
@@ -848,7 +871,12 @@ def _to_run(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return t, views.seeds(spark, d).drop("model_name", "route_mode", "extension_family", "level")
 
 
-@query()
+@query(f"""WITH {S.PROFILES}, {S.TASKS}, {S.SEEDS}, w AS (SELECT t.task_key AS id, {S.model('t.model_name')} AS m, {S.strip('t.route_mode')} AS mode, t.extension_family AS fam, coalesce(s.answer, '') AS a, coalesce(s.question, '') AS q FROM tasks t LEFT JOIN seeds s ON t.seed_id = s.seed_id),
+    e AS (SELECT w.*, CASE WHEN mode IS NULL OR mode NOT IN {prompts.MODES} THEN 'NO_TEMPLATE' WHEN model_name IS NULL THEN 'MISSING_MODEL_PROFILE' WHEN mode = 'anchored_extension' AND (CASE fam WHEN 'family_1' THEN f1 WHEN 'family_2' THEN f2 WHEN 'family_3' THEN f3 END) IS NULL THEN 'MISSING_FAMILY' END AS prompt_error FROM w LEFT JOIN profiles ON m = model_name),
+    g AS (SELECT id, m, mode, fam, a, q FROM e WHERE prompt_error IS NULL), {VOCABULARY},
+    told AS (SELECT *, CASE WHEN {S.strip('q')} = '' THEN 'BAD_JSON' ELSE reason END AS why, {S.key('q')} AS qk, {S.key('q')} || chr(10) || '---' || chr(10) || {S.key('a')} AS qa FROM gated),
+    dup AS (SELECT id, CASE WHEN row_number() OVER w = 1 THEN NULL WHEN qa = first_value(qa) OVER w THEN 'EXACT_QA_DUP' ELSE 'QUESTION_TEMPLATE_DUP' END AS verdict FROM told WHERE why IS NULL WINDOW w AS (PARTITION BY qk ORDER BY id))
+    SELECT mode AS route_mode, coalesce(why, verdict, 'ACCEPTED') AS outcome, count(*) AS n FROM told LEFT JOIN dup USING (id) GROUP BY 1, 2 UNION ALL SELECT mode, prompt_error, count(*) FROM e WHERE prompt_error IS NOT NULL GROUP BY 1, 2""")
 def q_pipeline_whole(spark: SparkSession, d: str) -> DataFrame:
     """All tasks in one pass through seed, prompt, echo generator and the gates of reply, vocabulary and duplicates: how many end where."""
     t, s = _to_run(spark, d)
@@ -863,8 +891,6 @@ def q_pipeline_whole(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_runner_echo(spark: SparkSession, d: str) -> DataFrame:
     """Tranches of planned tasks through the whole loop with an echo generator, until a limit is passed: what each tranche did."""
-    import uuid
-
     t, s = _to_run(spark, d)
     folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
     out = runner.run(spark, durable(t), durable(s), durable(views.profiles(spark, d)), prompts.echo, folder, 10_000, 1000, routing.ALLOW)
@@ -874,8 +900,6 @@ def q_runner_echo(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT tranche, provider, count(*) AS n FROM responses GROUP BY 1, 2")
 def q_stream_telemetry(spark: SparkSession, d: str) -> DataFrame:
     """Counts kept by a stream over the responses, as they stand when all there is has been read."""
-    import uuid
-
     from millrace.streaming import logs
 
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -887,8 +911,6 @@ def q_stream_telemetry(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT count(DISTINCT sha256({S.key("coalesce(question, '')")})) AS questions FROM responses")
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Distinct questions that a stream lets through."""
-    import uuid
-
     from millrace.streaming import logs
 
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -898,6 +920,146 @@ def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("questions"))
 
 
+# Files, written and read again
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT response_id, task_key, tranche::INT AS tranche, answer FROM responses WHERE answer IS NOT NULL OR task_key IS NOT NULL")
+def q_jsonl(spark: SparkSession, d: str) -> DataFrame:
+    """Responses as JSON lines with blank and corrupt lines among them, read back tolerantly."""
+    at = _folder(spark, "jsonl")
+    r = table(spark, d, "responses").filter("answer is not null or task_key is not null").select("response_id", "task_key", F.col("tranche").cast("int").alias("tranche"), "answer")
+    files.write_jsonl(r, at)
+    spark.range(40).select(F.when(F.col("id") % 2 == 0, "").otherwise('{"response_id": 1, "answer').alias("value")).write.mode("append").text(at)
+    return files.read_jsonl(spark, at, "response_id long, task_key string, tranche int, answer string", tolerant=True)
+
+
+@query("SELECT 'not json ' || response_id AS text FROM responses WHERE response_id % 7 = 0")
+def q_corrupt_lines(spark: SparkSession, d: str) -> DataFrame:
+    at = _folder(spark, "corrupt")
+    r = table(spark, d, "responses")
+    r.select(F.when(F.col("response_id") % 7 == 0, F.concat(F.lit("not json "), F.col("response_id").cast("string"))).otherwise(F.to_json(F.struct("response_id"))).alias("value")).write.text(at)
+    return files.corrupt_lines(spark, at).select("text")
+
+
+@query("SELECT subject AS key, title FROM subjects WHERE subject IS NOT NULL")
+def q_document(spark: SparkSession, d: str) -> DataFrame:
+    """A fixed table as one JSON document and back."""
+    at = _folder(spark, "document")
+    files.write_document(table(spark, d, "subjects").filter("subject is not null").select("subject", "title"), at, "subject")
+    return files.read_document(spark, at, "struct<title:string>").select("key", "value.title")
+
+
+@query("SELECT coalesce(regexp_replace(regexp_replace(coalesce(reason, 'unknown'), '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g'), '') AS part, count(*) AS n FROM rejected GROUP BY 1")
+def q_write_by(spark: SparkSession, d: str) -> DataFrame:
+    """One folder of JSON lines per reason, named safely."""
+    at = _folder(spark, "by")
+    r = table(spark, d, "rejected").select("task_key", "reason")
+    files.write_by(r, at, "reason")
+    back = spark.read.schema("task_key string, reason string, _part string").option("basePath", at).json(f"{at}/*") if r.limit(1).count() else r.withColumn("_part", F.lit(""))
+    return back.groupBy(F.col("_part").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT task_key AS line FROM responses WHERE task_key IS NOT NULL")
+def q_write_lines(spark: SparkSession, d: str) -> DataFrame:
+    at = _folder(spark, "lines")
+    files.write_lines(table(spark, d, "responses").filter("task_key is not null"), "task_key", at)
+    return spark.read.text(at).select(F.col("value").alias("line"))
+
+
+@query("SELECT tranche::INT AS tranche, response_id, seed_id FROM responses WHERE tranche BETWEEN 0 AND 999")
+def q_tranche_logs(spark: SparkSession, d: str) -> DataFrame:
+    """Logs of all tranches, each in its folder, read as one table."""
+    at = _folder(spark, "tranches")
+    r = table(spark, d, "responses").filter("tranche between 0 and 999").select(F.col("tranche").cast("int").alias("n"), "response_id", "seed_id")
+    for n in sorted(x[0] for x in r.select("n").distinct().collect()):  # a fixed number of tranches
+        files.write_jsonl(r.filter(F.col("n") == n).drop("n"), f"{files.tranche_folder(at, n)}/log", fresh=True)
+    if not files.exists(spark, f"{at}/tranche_*/log"):
+        return r.select(F.col("n").alias("tranche"), "response_id", "seed_id")
+    return files.all_tranches(spark, at, "log", "response_id long, seed_id string").select("tranche", "response_id", "seed_id")
+
+
+@query(rf"""SELECT lower(replace(p, ' ', '_')) AS model_name, text FROM (SELECT n_name AS p, 'nation ' || n_nationkey AS text FROM nation)""")
+def q_source_files(spark: SparkSession, d: str) -> DataFrame:
+    """Source files below a folder, named by their stem: one file for each row of a fixed table."""
+    at = _folder(spark, "sources")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for r in table(spark, d, "nation").filter("n_name is not null and n_nationkey is not null").select("n_name", "n_nationkey").collect():  # 25 rows
+        path = fs.Path(f"{at}/{r['n_nationkey'] % 3}/{r['n_name']}.txt")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(f"nation {r['n_nationkey']}", "utf-8"))
+        out.close()
+    if not files.exists(spark, f"{at}/*/*.txt"):
+        return spark.createDataFrame([], "model_name string, text string")
+    return files.read_sources(spark, at, "*.txt").select("model_name", "text")
+
+
+# Requests, replies and metadata
+
+
+@query("SELECT seed_id, coalesce(tier, CASE WHEN p10 IS NULL THEN NULL WHEN p10 >= 0.82 THEN 'A' WHEN p10 >= 0.78 THEN 'B' ELSE 'C' END) AS tier FROM (SELECT {0} AS seed_id, upper({1}) AS tier, class_id FROM routed_seeds) s LEFT JOIN (SELECT class_id, 0.7 + (class_id % 16) / 100.0 AS p10 FROM records WHERE class_id IS NOT NULL GROUP BY class_id) c USING (class_id)".format(S.nz("seed_id"), S.nz("tier")))
+def q_class_tier(spark: SparkSession, d: str) -> DataFrame:
+    """Seeds with the tier of their class, where they have none of their own."""
+    s = table(spark, d, "routed_seeds").select(text.blank_to_null("seed_id").alias("seed_id"), "tier", "class_id")
+    name = enrich.first_present(table(spark, d, "records"), ["cluster_id", "class_id", "class"])
+    classes = table(spark, d, "records").filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("class_id")).agg(F.lit(None).cast("string").alias("tier"))
+    return enrich.with_class_tier(s, classes.withColumn("p10", 0.7 + (F.col("class_id") % 16) / 100.0)).select("seed_id", "tier")
+
+
+@query("""SELECT task_key AS custom_id, '{"custom_id":"' || task_key || '","method":"POST","url":"/v1/chat/completions","body":{"model":"small","messages":[{"role":"user","content":"' || task_key || '"}],"temperature":0.7,"max_completion_tokens":1024}}' AS request
+    FROM (SELECT DISTINCT task_key FROM planned_tasks WHERE task_key IS NOT NULL)""")
+def q_requests(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "planned_tasks").filter("task_key is not null").select("task_key", F.col("task_key").alias("prompt")).distinct()
+    return prompts.requests(t, "task_key", "small")
+
+
+@query(rf"""WITH {S.TASKS}, c AS (SELECT task_key AS id, min(answer) AS content FROM responses WHERE task_key IS NOT NULL GROUP BY 1) SELECT task_key, CASE WHEN {S.strip('content')} <> '' THEN content END AS reply, CASE WHEN content IS NULL OR {S.strip('content')} = '' THEN 'NO_RESPONSE' END AS reply_error FROM tasks LEFT JOIN c ON task_key = id""")
+def q_join_results(spark: SparkSession, d: str) -> DataFrame:
+    """Every task with the answer collected for it."""
+    got = table(spark, d, "responses").filter("task_key is not null").groupBy(F.col("task_key").alias("custom_id")).agg(F.min("answer").alias("content"))
+    return prompts.join_results(views.tasks(spark, d).select("task_key"), got, "task_key")
+
+
+def _client(prompt: str) -> str:
+    """A generator for the query below: no request ends in 7, and one that ends in 3 is asked in vain."""
+    if prompt.endswith("7"):
+        raise ValueError("no such model")
+    if prompt.endswith("3"):
+        raise ValueError("400 bad request")
+    return prompt.upper()
+
+
+@query("""SELECT response_id, CASE WHEN task_key IS NOT NULL AND right(task_key, 1) NOT IN ('3', '7') THEN upper(task_key) END AS reply, CASE WHEN task_key IS NULL THEN 'NO_PROMPT' WHEN right(task_key, 1) = '7' THEN 'no such model' WHEN right(task_key, 1) = '3' THEN '400 bad request' END AS reply_error FROM responses""")
+def q_generate(spark: SparkSession, d: str) -> DataFrame:
+    """Replies of a client that fails for some; what isn't transient is not asked again."""
+    return prompts.generate(table(spark, d, "responses").select("response_id", F.col("task_key").alias("prompt")), _client).select("response_id", "reply", "reply_error")
+
+
+@query("SELECT response_id, CASE WHEN question IS NOT NULL THEN len(question)::DOUBLE END AS size FROM responses")
+def q_embed(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of a client for every question; here of its length."""
+    e = prompts.embed(table(spark, d, "responses").select("response_id", "question"), lambda xs: [[float(len(x))] for x in xs])
+    return e.select("response_id", F.col("embedding")[0].cast("double").alias("size"))
+
+
+def _listed(label: str, x: str, n: int) -> str:
+    return f"CASE WHEN len({x}) > 0 THEN '{label}' || array_to_string({x}[1:{n}], ', ') END"
+
+
+@query(f"""WITH {PARSED}, p AS (SELECT doc_id, list_filter([{_listed('breeds ', 'breeds', 4)}, {_listed('procedures such as ', _names('procedures'), 5)}, {_listed('variables like ', _names('variables'), 5)}, {_listed('controls such as ', _names('widgets'), 5)}], lambda x: x IS NOT NULL) AS parts,
+        [q.x for q in list_sort(list_distinct([{{'l': lower(i), 'x': i}} for i in {_first('list_concat(widgets, procedures)')}]))] AS merged FROM parsed)
+    SELECT doc_id, 'The model m' || doc_id || CASE WHEN len(parts) > 0 THEN ' has ' || array_to_string(parts, '; ') || '.' ELSE ' has no names that can be read from its source.' END AS summary, coalesce(array_to_string(merged, '|'), '') AS merged FROM p""")
+def q_fallback_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The sentence on a source that has no information of its own, and its widgets and procedures as one list."""
+    x = srcparse.core_of(_sources(spark, d), "text")
+    name = F.concat(F.lit("m"), F.col("doc_id").cast("string"))
+    code = srcparse.strip_comments(srcparse.sections("text")["code"])
+    return x.select("doc_id", srcparse.fallback_summary(name).alias("summary"), joined(srcparse.merged_widgets(srcparse.control_names(srcparse.sections("text")["interface"]), srcparse.procedures(code))).alias("merged"))
+
+
 # Joins and groupings of the general tables
 
 

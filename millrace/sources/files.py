@@ -18,6 +18,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, tolerant: bool = Fal
     return spark.read.schema(f"{schema}, _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).filter("_corrupt is null").drop("_corrupt")
 
 
+def read_words(spark: SparkSession, path: str, most: int = 100_000) -> list[str]:
+    """A list of words, one a line, in lower case, each once in its order: allow-lists and reserved words that a session brings. More than `most` are an error."""
+    got = spark.read.text(path).select(F.trim(F.lower("value")).alias("w")).filter("w <> ''").limit(most + 1).collect()
+    if len(got) > most:
+        raise ValueError(f"more than {most} words")
+    return list(dict.fromkeys(r["w"] for r in got))
+
+
 def corrupt_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, text) of the non-blank lines that are no JSON object."""
     lines = spark.read.text(path).filter(F.trim("value") != "")

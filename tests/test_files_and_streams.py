@@ -73,3 +73,8 @@ def test_quota_stream(spark, tmp_path, rows):
         logs.run_to_table(s, str(tmp_path / "out"), str(tmp_path / "state"), "append")
     got = rows(spark.read.parquet(str(tmp_path / "out")).groupBy("model").agg(F.count_if("admitted"), F.count("*")))
     assert got == sorted([("a", 2, 3), ("b", 2, 2), ("c", 1, 1), (None, 2, 2)], key=str)
+
+
+def test_words_of_a_file(spark, tmp_path):
+    (tmp_path / "w.txt").write_text("Ticks\n\n tick \nticks\n")
+    assert files.read_words(spark, str(tmp_path / "w.txt")) == ["ticks", "tick"]
