@@ -97,12 +97,17 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     x.repartition("tranche", F.pmod("id", F.lit(16))).write.partitionBy("tranche").parquet(f"{base}/tranches")
     x = spark.read.schema("response_id long, id long, kind string, key string, accepted boolean, tranche int").parquet(f"{base}/tranches")
 
+    # The strings of every batch are cut once, each question once in a batch.
+    open_ = x.filter("key is not null").groupBy("tranche", "id").agg(F.first("key").alias("key"), F.max("accepted").alias("accepted"))
+    segments.strings(open_, ("accepted", "tranche")).repartition("tranche").write.partitionBy("tranche").parquet(f"{base}/strings")
+    cut = spark.read.schema("id long, size int, runs array<long>, accepted boolean, tranche int").parquet(f"{base}/strings")
+
     index = segments.SegmentIndex(spark, f"{base}/index", NEAR_QUESTION)
     index.create(history)
     tranches = sorted(r[0] for r in x.filter("key is not null").select("tranche").distinct().collect())  # a fixed number of batches
     for n in tranches:
         own = x.filter((F.col("tranche") == n) & F.col("key").isNotNull())
-        batch = durable(segments.strings(own.groupBy("id").agg(F.first("key").alias("key"), F.max("accepted").alias("accepted")), ("accepted",)))
+        batch = cut.filter(F.col("tranche") == n).drop("tranche")
         near_ids = index.near_strings(batch).select("id").distinct()
         own.select("response_id", "id").join(near_ids.hint("merge"), "id", "left_semi").select("response_id").write.mode("append").parquet(f"{base}/near")
         if n != tranches[-1]:
@@ -217,14 +222,24 @@ def oracle_sql() -> dict[str, str]:
             SELECT response_id, kind FROM k WHERE kind IS NOT NULL""",
         "p6_found": f"""
             WITH d AS (SELECT DISTINCT record_id, {_words("question || ' ' || answer")} AS w FROM records WHERE record_id IS NOT NULL AND {_blank('question')} AND {_blank('answer')}),
-            c AS (SELECT w, count(*) AS copies, min(record_id) AS first FROM d WHERE len(w) >= 3 GROUP BY 1),
-            m AS (SELECT record_id, w, copies, first FROM d JOIN c USING (w)),
-            s AS (SELECT w, len(s) AS n, unnest(s) AS s FROM (SELECT w, {_runs('w')} AS s FROM c)),
-            p AS (SELECT a.w AS wa, b.w AS wb FROM s a JOIN s b ON a.s = b.s AND a.w < b.w GROUP BY 1, 2 HAVING 2 * count(*) >= any_value(a.n) + any_value(b.n) - count(*)),
+            c AS (SELECT w, count(*) AS copies, min(record_id) AS first, row_number() OVER (ORDER BY w) AS k FROM d WHERE len(w) >= 3 GROUP BY w),
+            m AS (SELECT record_id, k, copies, first FROM d JOIN c USING (w)),
+            s AS (SELECT k, len(s) AS n, unnest(s) AS s FROM (SELECT k, {_runs('w')} AS s FROM c)),
+            p AS (SELECT a.k AS ka, b.k AS kb FROM s a JOIN s b ON a.s = b.s AND a.k < b.k GROUP BY 1, 2 HAVING 2 * count(*) >= any_value(a.n) + any_value(b.n) - count(*)),
             shown AS (SELECT * FROM m WHERE copies <= {EXPAND} OR record_id = first),
-            r AS (SELECT a.record_id AS ra, b.record_id AS rb FROM p JOIN shown a ON a.w = wa JOIN shown b ON b.w = wb
-                UNION SELECT a.record_id, b.record_id FROM m a JOIN m b ON a.w = b.w AND a.record_id < b.record_id WHERE a.copies <= {EXPAND} OR a.record_id = a.first)
+            r AS (SELECT a.record_id AS ra, b.record_id AS rb FROM p JOIN shown a ON a.k = ka JOIN shown b ON b.k = kb
+                UNION SELECT a.record_id, b.record_id FROM m a JOIN m b ON a.k = b.k AND a.record_id < b.record_id WHERE a.copies <= {EXPAND} OR a.record_id = a.first)
             SELECT DISTINCT least(ra, rb) AS record_a, greatest(ra, rb) AS record_b FROM r WHERE ra <> rb""",
+        "p6_groups": f"""
+            WITH RECURSIVE d AS (SELECT DISTINCT record_id, {_words("question || ' ' || answer")} AS w FROM records WHERE record_id IS NOT NULL AND {_blank('question')} AND {_blank('answer')}),
+            c AS (SELECT w, count(*) AS copies, min(record_id) AS first, row_number() OVER (ORDER BY w) AS k FROM d WHERE len(w) >= 3 GROUP BY w),
+            s AS (SELECT k, len(s) AS n, unnest(s) AS s FROM (SELECT k, {_runs('w')} AS s FROM c)),
+            p AS (SELECT a.k AS a, b.k AS b FROM s a JOIN s b ON a.s = b.s AND a.k < b.k GROUP BY 1, 2 HAVING 2 * count(*) >= any_value(a.n) + any_value(b.n) - count(*)),
+            e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+            reach AS (SELECT k AS u, k AS v FROM c UNION SELECT r.u, e.b FROM reach r JOIN e ON r.v = e.a),
+            g AS (SELECT u AS k, min(first) AS group_id FROM reach JOIN c ON reach.v = c.k GROUP BY 1),
+            l AS (SELECT a AS k, count(*) AS links FROM e GROUP BY 1)
+            SELECT d.record_id, g.group_id, c.first AS copy_of, c.copies, coalesce(links, 0) AS links FROM d JOIN c USING (w) JOIN g ON c.k = g.k LEFT JOIN l ON c.k = l.k""",
         "p2_found": """
             WITH b AS (SELECT seed_id, record_id, max(score) s FROM support_entries WHERE score IS NOT NULL AND record_id IS NOT NULL GROUP BY 1, 2),
             r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY s DESC, record_id) k, count(*) OVER (PARTITION BY seed_id) n FROM b)
