@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,11 @@ PROPOSAL = (
 # What claims that something is there already, and what takes the claim back.
 CLAIMS = ["the model already", "the original model already", "the base model already", "already uses", "already tracks", "already contains", "already includes", "already has", "the existing code", "the original code", "built-in", "currently defined", "is defined in the model", "is tracked in the model", "is in the original model", "the model uses", "the model tracks", "the model contains", "the model includes", "the model has"]
 SAFE = ["you could add", "you could introduce", "extend the model", "extend the original model", "in an extended version", "as an extension", "if you modify the model", "not part of the original code", "beyond the original code", "replace the original", "refine the original"]
+#: What a text must hold, in lower case, for the pattern at the same place to match: most texts are told by these alone.
+FRAMING_STEMS = (
+    ["extend"], ["extend"], ["extend"], ["could"], ["modify"], ["extens"], ["beyond"], ["extension"], ["extension"], ["replace", "refine"], ["original"],
+    ["variable", "procedure", "reporter", "breed", "state", "mechanism"], ["implement"], ["modif"], ["introduc"], ["introduc"], ["introduc", "extend"], ["add", "new"], ["own"], ["modif"], ["extension"], ["feature", "mechanism", "variable", "procedure"],
+)
 ANCHORS = ["original model", "base model", "original code", "extend the original model"]
 SUMMARY_WORDS = 2
 
@@ -73,6 +79,11 @@ def any_phrase(phrases) -> str:
     return "|".join(phrases)
 
 
+def holds(text: Column, phrases) -> Column:
+    """Whether text has one of several plain phrases: a search for each costs less than one pattern for all."""
+    return functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases])
+
+
 def parse_reply(raw: Column | str) -> Column:
     """struct(ok, error, question, answer) of a raw reply that should be a JSON object with two strings.
 
@@ -164,7 +175,10 @@ def nearest_class(vectors: DataFrame, centres: DataFrame, key: str, vector: str
 
 def has_framing(answer: Column, answer_key: Column, cues: Column) -> Column:
     """answer_key: text_key of the answer, made once."""
-    return answer_key.rlike(any_phrase(FRAMING_CUES)) | answer.rlike(any_of(FRAMING)) | F.exists(cues, lambda c: F.contains(answer_key, c))
+    told = holds(answer_key, FRAMING_CUES)
+    for stems, pattern in zip(FRAMING_STEMS, FRAMING, strict=True):
+        told = told | (holds(answer_key, stems) & answer.rlike(any_of([pattern])))
+    return told | F.exists(cues, lambda c: F.contains(answer_key, c))
 
 
 def validate_vocabulary(df: DataFrame, profiles: DataFrame, allow: list[str], mode: str = "route_mode", family: str = "extension_family") -> DataFrame:
@@ -215,9 +229,9 @@ def validate_vocabulary(df: DataFrame, profiles: DataFrame, allow: list[str], mo
         F.transform(sentences("answer"), text_key),
         lambda s: s.rlike(any_phrase(CLAIMS)) & ~s.rlike(any_phrase(SAFE)) & F.exists(used, lambda u: F.contains(s, u)),
     )
-    claimed = F.col("_akey").rlike(any_phrase(CLAIMS)) & told
+    claimed = holds(F.col("_akey"), CLAIMS) & told
     words = F.size(F.filter(F.coalesce("_summary", none), lambda w: F.contains(F.col("_low"), w)))
-    anchored = F.col("_low").rlike(any_phrase(ANCHORS)) | F.exists("_core", lambda c: F.contains(F.col("_low"), c)) | (words >= SUMMARY_WORDS)
+    anchored = holds(F.col("_low"), ANCHORS) | F.exists("_core", lambda c: F.contains(F.col("_low"), c)) | (words >= SUMMARY_WORDS)
     ext_reason = (
         F.when(unknown & ~F.col("_framed"), "UNAPPROVED_EXTENSION_IDENTIFIER")
         .when(F.col(family).isNotNull() & (F.size(F.array_except("_used_ext", F.coalesce(own_family, none))) > 0), "CROSS_FAMILY_EXTENSION_IDENTIFIER")
