@@ -81,6 +81,24 @@ def terms(sentence: str) -> list[str]:
     return list(dict.fromkeys(words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]))
 
 
+class Cut:
+    """The sentences of documents with their terms as numbers: document, language and number of terms of each sentence, and the terms one after another."""
+
+    def __init__(self, docs: list[list[str]]) -> None:
+        code: dict[str, int] = {}
+        doc, lang, lens, ids = [], [], [], []
+        for i, sentences in enumerate(docs):
+            for s in sentences:
+                own = terms(s)
+                for t in own:
+                    ids.append(code.setdefault(t, len(code)))
+                doc.append(i)
+                lens.append(len(own))
+                lang.append(LANGUAGES.index(by_function_words(s)))
+        self.names = list(code)
+        self.doc, self.lang, self.lens, self.ids = (np.array(x, np.int64) for x in (doc, lang, lens, ids))
+
+
 class Model:
     """Fitted weights; `subjects` in the order of the chain."""
 
@@ -90,30 +108,26 @@ class Model:
 
     # Sentences
 
-    def fit_terms(self, docs: list[list[tuple[list[str], str | None]]], labels: np.ndarray) -> None:
-        """docs: the terms and the language of each sentence of each document."""
-        count: dict[str, int] = {}
-        for d in docs:
-            for own, _ in d:
-                for t in own:
-                    count[t] = count.get(t, 0) + 1
-        kept = sorted((t for t, n in count.items() if n > 1), key=lambda t: (-count[t], t))[:MAX_TERMS]
-        self.vocabulary = {t: i for i, t in enumerate(kept)}
+    def fit_terms(self, cut: "Cut", some: np.ndarray, labels: np.ndarray) -> None:
+        """cut: the terms of labelled documents; some: which of these are fitted on; labels: one row for each of them."""
+        place = np.cumsum(some) - 1
+        own = some[cut.doc]
+        at = np.repeat(own, cut.lens)
+        count = np.bincount(cut.ids[at], minlength=len(cut.names))
+        kept = sorted(np.flatnonzero(count > 1).tolist(), key=lambda t: (-count[t], cut.names[t]))[:MAX_TERMS]
+        self.vocabulary = {cut.names[t]: i for i, t in enumerate(kept)}
         v, k = len(kept), len(self.subjects)
         self.weights = np.zeros((v, k + 1))
         self._look_up()
-        doc, ids, lens, lang = [], [], [], []
-        for i, d in enumerate(docs):
-            for own, language in d:
-                known = [j for t in own if (j := self.vocabulary.get(t)) is not None]
-                doc.append(i)
-                lens.append(len(known))
-                ids += known
-                lang.append(LANGUAGES.index(language))
-        if not doc:
+        if not own.any():
             self.prior = np.zeros(k + 1)
             return
-        doc, ids, lens, lang = np.array(doc), np.array(ids, np.int64), np.array(lens), np.array(lang)
+        code = np.full(len(cut.names), -1)
+        code[kept] = np.arange(v)
+        known = code[cut.ids[at]]
+        sentence = np.repeat(np.arange(own.sum()), cut.lens[own])[known >= 0]
+        doc, lang = place[cut.doc[own]], cut.lang[own]
+        ids, lens = known[known >= 0], np.bincount(sentence, minlength=own.sum())
         row = np.repeat(np.arange(len(doc)), lens)
         # A term is measured against the sentences of its own languages, so that no subject takes over a language.
         spread = np.bincount(ids * len(LANGUAGES) + lang[row], minlength=v * len(LANGUAGES)).reshape(v, -1).astype(float)
@@ -134,7 +148,7 @@ class Model:
         gain = top * np.log(part / base[best]) + (holds - top) * np.log((1 - part) / (1 - base[best]))
         tells = (part >= LEAST_PART) & (gain >= LEAST_GAIN) & (top >= 1.25 * second) & (part > base[best])
         # What a document's labels allow: its subjects, none, and any other as a passing mention.
-        allow = np.full((len(docs), k + 1), 0.1 / k)
+        allow = np.full((int(some.sum()), k + 1), 0.1 / k)
         allow[:, 0] = 0.4
         allow[:, 1:] += labels * (0.6 / np.maximum(labels.sum(axis=1, keepdims=True), 1))
         prior = np.log(allow / allow.sum(axis=1, keepdims=True))[doc]
@@ -281,15 +295,15 @@ def fit(texts: list[str | None], sources: list[str | None], labels: list[set[str
     model.sources = sorted({s for s in named if named.count(s) >= 20})
     # Shares of labelled documents must look like those of unseen ones, so each is made by a model that has not seen it.
     cut = [running_sentences(t) for t in texts]
-    docs = [[(terms(s), by_function_words(s)) for s in x] for x, _ in cut]
-    fold = np.arange(len(docs)) % FOLDS
-    x = np.zeros((len(docs), 2 * len(subjects) + 8 + len(model.sources)))
+    coded = Cut([x for x, _ in cut])
+    fold = np.arange(len(cut)) % FOLDS
+    x = np.zeros((len(cut), 2 * len(subjects) + 8 + len(model.sources)))
     for f in range(FOLDS):
         held = np.flatnonzero(fold == f)
         if len(held):
-            model.fit_terms([d for d, g in zip(docs, fold, strict=True) if g != f], y[fold != f])
+            model.fit_terms(coded, fold != f, y[fold != f])
             x[held] = model.features([cut[i] for i in held], [sources[i] for i in held])
-    model.fit_terms(docs, y)
+    model.fit_terms(coded, np.ones(len(cut), bool), y)
     model.fit_chain(x, y)
     return model
 
