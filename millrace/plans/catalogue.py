@@ -945,7 +945,7 @@ def q_corrupt_lines(spark: SparkSession, d: str) -> DataFrame:
     return files.corrupt_lines(spark, at).select("text")
 
 
-@query("SELECT subject AS key, title FROM subjects WHERE subject IS NOT NULL")
+@query("SELECT subject AS key, min(title) AS title FROM subjects WHERE subject IS NOT NULL GROUP BY 1")
 def q_document(spark: SparkSession, d: str) -> DataFrame:
     """A fixed table as one JSON document and back."""
     at = _folder(spark, "document")

@@ -53,12 +53,16 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False, fresh: bool = Fa
 
 
 def write_document(df: DataFrame, path: str, key: str, most: int = 100_000) -> None:
-    """One JSON object on one line: key to the row's other columns. More than `most` rows are refused, since a document is one row."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} rows are no document")
+    """One JSON object on one line: key to the row's other columns, of rows of one key the least. Rows of a null key are left out.
+
+    More than `most` keys are refused, since a document is one row.
+    """
     rest = F.struct(*[c for c in df.columns if c != key])
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), rest.alias("v"))))
-    df.groupBy().agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    rows = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("k")).agg(F.min(rest).alias("v"))
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows are no document")
+    entries = F.array_sort(F.collect_list(F.struct("k", "v")))
+    rows.groupBy().agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:
