@@ -270,6 +270,8 @@ class Model:
 
 def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sums of rows by their index `at`."""
+    if not rows.shape[1]:
+        return np.zeros((n, 0))
     return np.stack([np.bincount(at, weights=rows[:, c], minlength=n) for c in range(rows.shape[1])], axis=1)
 
 
