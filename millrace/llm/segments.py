@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,13 +131,18 @@ def near_pairs(stored: DataFrame, known: DataFrame, probes: DataFrame, batch: Da
 class SegmentIndex:
     """A stored index of accepted texts: the frequencies that fix the order of letters, and bucketed segments and strings.
 
-    The folder must be one that all executors share. A later session opens what is there by the same folder.
+    The folder must be one that all executors share. A later session opens what is there by the same folder. In a
+    session that can't have tables (its warehouse folder can't be made) the same files are read and written by
+    their paths: results are equal, but a probe then shuffles the history.
     """
 
+    COLUMNS = {"segments": ("letter LONG, at INT, id LONG, size INT", "letter"), "strings": ("id LONG, size INT, runs ARRAY<LONG>", "id")}
+
     def __init__(self, spark: SparkSession, folder: str, t: float) -> None:
         self.spark, self.folder, self.t = spark, folder, t
         self._name = "segment_index_" + xxhash.xxh3_64_hexdigest(folder)
         self._order: np.ndarray | None = None
+        self._tables = False
 
     def create(self, texts: DataFrame, buckets: int | None = None) -> None:
         """Starts the index from the history (id long, key string); the order of letters and the number of buckets are fixed from here on."""
@@ -148,9 +154,25 @@ class SegmentIndex:
         self.append(texts)
 
     def _open(self, buckets: int) -> None:
-        for part, columns, by in (("segments", "letter LONG, at INT, id LONG, size INT", "letter"), ("strings", "id LONG, size INT, runs ARRAY<LONG>", "id")):
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._name}_{part} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.folder}/{part}'")
         self._buckets = buckets
+        try:
+            for part, (columns, by) in self.COLUMNS.items():
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._name}_{part} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.folder}/{part}'")
+            self._tables = True
+        except PySparkException:
+            self._tables = False
+
+    def _stored(self, part: str) -> DataFrame:
+        if self._tables:
+            return self.spark.table(f"{self._name}_{part}")
+        return self.spark.read.schema(self.COLUMNS[part][0]).parquet(f"{self.folder}/{part}")
+
+    def _add(self, rows: DataFrame, part: str) -> None:
+        rows = rows.repartition(self._buckets, self.COLUMNS[part][1])
+        if self._tables:
+            rows.write.insertInto(f"{self._name}_{part}")
+        else:
+            rows.write.mode("append").parquet(f"{self.folder}/{part}")
 
     def _counts(self) -> np.ndarray:
         if self._order is None:
@@ -166,8 +188,8 @@ class SegmentIndex:
     def append_strings(self, rows: DataFrame) -> None:
         """Adds strings() that were made already."""
         found = segments(rows, self._counts(), self.t, False)
-        rows.select("id", "size", "runs").repartition(self._buckets, "id").write.insertInto(f"{self._name}_strings")
-        found.repartition(self._buckets, "letter").write.insertInto(f"{self._name}_segments")
+        self._add(rows.select("id", "size", "runs"), "strings")
+        self._add(found, "segments")
 
     def near(self, batch: DataFrame) -> DataFrame:
         """(id, other) of batch texts (id long, key string) near an indexed text."""
@@ -176,11 +198,11 @@ class SegmentIndex:
     def near_strings(self, rows: DataFrame) -> DataFrame:
         """(id, other) of strings() near an indexed one."""
         order = self._counts()
-        return near_pairs(self.spark.table(f"{self._name}_segments"), self.spark.table(f"{self._name}_strings"), segments(rows, order, self.t, True), rows, self.t)
+        return near_pairs(self._stored("segments"), self._stored("strings"), segments(rows, order, self.t, True), rows, self.t)
 
     def close(self, delete: bool = False) -> None:
         """Forgets the tables in this session; with delete, their files go as well."""
-        for part in ("segments", "strings"):
+        for part in self.COLUMNS if self._tables else ():
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name}_{part}")
         if delete:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)

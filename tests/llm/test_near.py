@@ -197,3 +197,23 @@ def test_history_is_neither_shuffled_nor_made_again(spark, tmp_path):
                 break
         assert "SortMergeJoin" in above[-1] and not any("Exchange" in line or "MapInArrow" in line for line in above)
     index.close()
+
+
+def test_index_without_tables(spark, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    def no_tables(*_, **__):
+        raise AnalysisException("no warehouse")
+
+    frame = lambda xs: spark.createDataFrame([(class_id(x.split()), x) for x in xs], "id long, key string")
+    old, new = _questions(40, 1), _questions(20, 1)
+    got = []
+    for k in range(2):
+        index = segments.SegmentIndex(spark, str(tmp_path / f"i{k}"), 0.55)
+        if k:
+            monkeypatch.setattr(type(spark), "sql", no_tables)
+        index.create(frame(old[:60]))
+        index.append(frame(old[60:]))
+        got.append(sorted(tuple(r) for r in index.near(frame(new)).collect()))
+        index.close(delete=True)
+    assert got[0] == got[1] and got[0]
