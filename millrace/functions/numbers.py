@@ -32,10 +32,6 @@ def sha1_mod(x: Column, m: int) -> Column:
     return acc
 
 
-def half_even(x: Column | str, digits: int) -> Column:
-    return F.bround(as_col(x), digits)
-
-
 def lerp_int(low: int, high: int, alpha: Column) -> Column:
     """Between low and high at alpha, clamped to 0..1, rounded half to even."""
     return F.bround(F.lit(float(low)) + F.lit(float(high - low)) * F.least(F.greatest(alpha, F.lit(0.0)), F.lit(1.0)), 0).cast("int")

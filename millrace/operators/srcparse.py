@@ -143,16 +143,28 @@ def core_of(df: DataFrame, text: str) -> DataFrame:
     return x.withColumn("summary", info_paragraph(F.col("_s.info"))).drop("_s", "_c")
 
 
-def unresolved(df: DataFrame, key: str, text: str, reserved: list[str] = RESERVED) -> DataFrame:
-    """(key, token, n): identifiers of the code, in lower case, that are declared nowhere and are no word of the language."""
+def _tokens(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, literals, widgets, _known, _tokens): what a source declares, and all identifiers of its code, in lower case."""
     x = core_of(df.select(key, text), text).withColumn("_c", strip_comments(sections(text)["code"]))
     known = F.transform(F.concat("procedures", "variables", "breeds", "widgets", "locals", breed_words(F.col("breeds"))), F.lower)
     tokens = F.transform(F.regexp_extract_all(F.regexp_replace("_c", r'"[^"]*"', " "), F.lit(f"({ID})"), F.lit(1)), F.lower)
-    x = evaluated(x.select(key, "_c", *CORE_COLUMNS), {"_known": known, "_tokens": tokens}, drop=("_c", *CORE_COLUMNS))
-    left = x.select(key, F.explode(F.filter("_tokens", lambda t: ~F.array_contains("_known", t))).alias("token"))
+    return evaluated(x.select(key, "_c", "literals", *CORE_COLUMNS), {"_known": known, "_tokens": tokens}, drop=("_c", "procedures", "variables", "breeds", "locals"))
+
+
+def unresolved(df: DataFrame, key: str, text: str, reserved: list[str] = RESERVED) -> DataFrame:
+    """(key, token, n): identifiers of the code, in lower case, that are declared nowhere and are no word of the language."""
+    left = _tokens(df, key, text).select(key, F.explode(F.filter("_tokens", lambda t: ~F.array_contains("_known", t))).alias("token"))
     return left.filter(~F.col("token").isin(reserved)).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def source_terms(df: DataFrame, key: str, text: str, reserved: list[str] = RESERVED) -> DataFrame:
+    """(key, term, kind) in lower case: `aux` for the literals and widgets of a source, `unresolved` for the identifiers that it declares nowhere; each source is parsed once."""
+    words = F.array(*[F.lit(w) for w in reserved]) if reserved else none()
+    aux = F.transform(F.array_union("literals", "widgets"), lambda t: F.struct(F.lower(t).alias("term"), F.lit("aux").alias("kind")))
+    open_ = F.transform(F.array_except(F.array_except("_tokens", "_known"), words), lambda t: F.struct(t.alias("term"), F.lit("unresolved").alias("kind")))
+    return _tokens(df, key, text).select(key, F.inline(F.concat(aux, open_)))
+
+
 def widget_score(token: Column, n: Column) -> Column:
     """How much a token looks like the name of a widget; 3 or more is a candidate."""
     yes = lambda c, v: F.when(c, v).otherwise(0)

@@ -55,7 +55,5 @@ def profiles(spark: SparkSession, d: str) -> DataFrame:
 
 def source_hints(spark: SparkSession, d: str) -> DataFrame:
     """(model_name, term, kind): what the parse of a model's documents leaves unresolved, and the literals and widgets it tells of."""
-    t = table(spark, d, "documents").select("doc_id", model_key("model_name").alias("model_name"), "text").filter("model_name is not null and text is not null")
-    aux = srcparse.core_of(t, "text").select("model_name", F.explode(F.array_union("literals", "widgets")).alias("term"), F.lit("aux").alias("kind"))
-    open_ = srcparse.unresolved(t, "doc_id", "text").join(t.select("doc_id", "model_name"), "doc_id").select("model_name", "token", F.lit("unresolved").alias("kind"))
-    return aux.unionByName(open_.withColumnRenamed("token", "term")).withColumn("term", F.lower("term")).distinct()
+    t = table(spark, d, "documents").select(model_key("model_name").alias("model_name"), "text").filter("model_name is not null and text is not null")
+    return srcparse.source_terms(t, "model_name", "text").distinct()
